@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from .bpe import op3_bpe
+from .decontaminate import op10_decontaminate
+from .near_dedup import op9_near_dedup
 
 
 def queries() -> dict:
-    return {"op3_bpe": op3_bpe}
+    return {
+        "op3_bpe": op3_bpe,
+        "op9_near_dedup": op9_near_dedup,
+        "op10_decontaminate": op10_decontaminate,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
