@@ -5,10 +5,12 @@ from __future__ import annotations
 from .bpe import op3_bpe
 from .decontaminate import op10_decontaminate
 from .near_dedup import op9_near_dedup
+from .pii import op1_pii
 
 
 def queries() -> dict:
     return {
+        "op1_pii": op1_pii,
         "op3_bpe": op3_bpe,
         "op9_near_dedup": op9_near_dedup,
         "op10_decontaminate": op10_decontaminate,
