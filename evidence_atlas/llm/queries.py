@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op3_bpe
+from .chat import OP6_SQL, op6_chat
 from .decontaminate import op10_decontaminate
 from .near_dedup import op9_near_dedup
 from .pii import op1_pii
@@ -12,10 +13,11 @@ def queries() -> dict:
     return {
         "op1_pii": op1_pii,
         "op3_bpe": op3_bpe,
+        "op6_chat": op6_chat,
         "op9_near_dedup": op9_near_dedup,
         "op10_decontaminate": op10_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_chat": OP6_SQL}
