@@ -187,6 +187,24 @@ def remove_spans(text: str, spans: list[list[int]]) -> str:
     return " ".join(p for p in (*parts, text[start:].lstrip()) if p)
 
 
+def _scanner(held, state: str, clean: bool):
+    """A function of texts and of what earlier automata found."""
+
+    @F.pandas_udf(state)
+    def scan(texts: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
+        a, rows = held.value, []
+        for t, old_spans, old_items in zip(texts, before["spans"], before["item_ids"], strict=True):
+            words = WORD.findall(lower_ascii(t))
+            spans, found = a.hits(words)
+            if len(old_spans):
+                spans = merge_spans([*([int(x), int(y)] for x, y in old_spans), *spans])
+            row = (len(words), sum(y - x for x, y in spans), spans, sorted({*map(str, found), *old_items}))
+            rows.append((*row, remove_spans(t, spans)) if clean else row)
+        return pd.DataFrame(rows, columns=["n_words", "n_hit", "spans", "item_ids", "clean_text"][: 5 if clean else 4])
+
+    return scan
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, max_share: float = 0.05, clean: bool = True) -> DataFrame:
     """Every column of ``docs`` plus what the benchmark has in common with its text.
 
@@ -210,19 +228,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     out = docs
     for k, automaton in enumerate(_shards(benchmark, window)):
         held = spark.sparkContext.broadcast(automaton)
-
-        @F.pandas_udf(state)
-        def scan(texts: pd.Series, before: pd.DataFrame, held=held) -> pd.DataFrame:
-            a, rows = held.value, []
-            for t, old_spans, old_items in zip(texts, before["spans"], before["item_ids"], strict=True):
-                words = WORD.findall(lower_ascii(t))
-                spans, found = a.hits(words)
-                if len(old_spans):
-                    spans = merge_spans([*([int(x), int(y)] for x, y in old_spans), *spans])
-                row = (len(words), sum(y - x for x, y in spans), spans, sorted({*map(str, found), *old_items}))
-                rows.append((*row, remove_spans(t, spans)) if clean else row)
-            return pd.DataFrame(rows, columns=["n_words", "n_hit", "spans", "item_ids", "clean_text"][: 5 if clean else 4])
-
+        scan = _scanner(held, state, clean)
         nothing = F.struct(F.array().cast("array<array<int>>").alias("spans"), F.array().cast("array<string>").alias("item_ids"))
         before = F.struct("_hits.spans", "_hits.item_ids") if k else nothing
         out = out.withColumn("_hits", scan(text_or_empty(text), before))
