@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WordHasher, lower_ascii, mix64, stored, text_or_empty
 from .components import connected_components
@@ -147,6 +148,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str
         for texts in batches:
             yield pd.DataFrame([(xxhash.xxh3_128_digest(s.tobytes()), s.view(np.int64)) for s in _sets(texts, hasher, n)], columns=["node", "items"])
 
+    # else the comparison of its result would move it below the join, to every document
+    full_set = full_set.asNondeterministic()
     est = stored(_estimated(pairs, classes), "dedup-est")
     near = est.where(F.col("est") >= threshold - MARGIN)
     needed = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -179,8 +182,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Equal sets are one class from the start. A band of registers deals the
     classes into buckets; the members of a bucket are compared with its
-    smallest member only, then those that failed among themselves, until none
-    are left, so no bucket makes all its pairs. Failing members may still be
+    smallest member only, then those that failed with the 4, 16, ... smallest of
+    them, until none are left, so no bucket makes all its pairs. Failing members may still be
     linked to one that passed: by the triangle inequality of the Jaccard
     distance only if they are within twice the allowed distance of the
     bucket's smallest; those that ended in another component are compared.
@@ -195,8 +198,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     compared: DataFrame | None = None
     verdicts: list[DataFrame] = []
     while True:
-        least = open_.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1").select("key", "a")
-        member = stored(open_.join(least, "key").where("node <> a").select("key", "a", F.col("node").alias("b")), "dedup-members")
+        pivots = 4 ** len(verdicts)
+        if pivots == 1:
+            first = open_.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1").select("key", "a")
+        else:
+            rank = Window.partitionBy("key").orderBy("node")
+            first = open_.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= pivots).select("key", F.col("node").alias("a"))
+        member = stored(open_.join(first, "key").where("node > a").select("key", "a", F.col("node").alias("b")), "dedup-members")
         if member.isEmpty():
             break
         pairs = member.select("a", "b").distinct()
@@ -204,9 +212,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         fresh = _verified(pairs, classes, docs, doc_id, text, n, threshold)
         compared = fresh if compared is None else compared.union(fresh)
-        judged = member.join(compared, ["a", "b"])
-        verdicts.append(judged.select("key", F.lit(len(verdicts)).alias("turn"), "b", "linked", "jaccard"))
-        open_ = stored(judged.where(~F.col("linked")).select("key", F.col("b").alias("node")), "dedup-open")
+        judged = stored(member.join(compared, ["a", "b"]), "dedup-judged")
+        verdicts.append(judged.select("key", F.lit(len(verdicts)).alias("turn"), "a", "b", "linked", "jaccard"))
+        failed = judged.groupBy("key", F.col("b").alias("node")).agg(F.bool_or("linked").alias("linked")).where("not linked").select("key", "node")
+        open_ = failed if pivots == 1 else failed.join(first, (failed["key"] == first["key"]) & (failed["node"] == first["a"]), "left_anti")
 
     if compared is None:
         return _result(rows, classes, None)
@@ -217,9 +226,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         seen = seen.union(v)
     seen = seen.join(component.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
     d = 1 - threshold
-    failed = seen.where((~F.col("linked")) & (F.col("jaccard") >= 1 - 2 * d - 1e-9)).select("key", "turn", F.col("b").alias("v"), F.col("jaccard").alias("jv"), F.col("component").alias("cv"))
-    passed = seen.where("linked").select("key", "turn", F.col("b").alias("u"), F.col("jaccard").alias("ju"), F.col("component").alias("cu"))
-    rest = failed.join(passed, ["key", "turn"]).where((F.col("cu") != F.col("cv")) & (F.col("ju") <= F.col("jv") + d + 1e-9))
+    failed = seen.where((~F.col("linked")) & (F.col("jaccard") >= 1 - 2 * d - 1e-9)).select("key", "turn", "a", F.col("b").alias("v"), F.col("jaccard").alias("jv"), F.col("component").alias("cv"))
+    passed = seen.where("linked").select("key", "turn", "a", F.col("b").alias("u"), F.col("jaccard").alias("ju"), F.col("component").alias("cu"))
+    rest = failed.join(passed, ["key", "turn", "a"]).where((F.col("cu") != F.col("cv")) & (F.col("ju") <= F.col("jv") + d + 1e-9))
     rest = stored(rest.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "dedup-rest")
     if not rest.isEmpty():
         more = _verified(rest, classes, docs, doc_id, text, n, threshold).where("linked").select("a", "b")
