@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import OP4_SQL, op4_ann
 from .bpe import op3_bpe
 from .chat import OP6_SQL, op6_chat
 from .decontaminate import op10_decontaminate
@@ -13,6 +14,7 @@ def queries() -> dict:
     return {
         "op1_pii": op1_pii,
         "op3_bpe": op3_bpe,
+        "op4_ann": op4_ann,
         "op6_chat": op6_chat,
         "op9_near_dedup": op9_near_dedup,
         "op10_decontaminate": op10_decontaminate,
@@ -20,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat": OP6_SQL}
+    return {"op4_ann": OP4_SQL, "op6_chat": OP6_SQL}
