@@ -8,11 +8,13 @@ from .chat import OP6_SQL, op6_chat
 from .decontaminate import op10_decontaminate
 from .near_dedup import op9_near_dedup
 from .pii import op1_pii
+from .quality import op2_quality
 
 
 def queries() -> dict:
     return {
         "op1_pii": op1_pii,
+        "op2_quality": op2_quality,
         "op3_bpe": op3_bpe,
         "op4_ann": op4_ann,
         "op6_chat": op6_chat,
