@@ -7,6 +7,7 @@ from .bpe import op3_bpe
 from .chat import OP6_SQL, op6_chat
 from .decontaminate import op10_decontaminate
 from .html_extract import op7_html
+from .lm_score import op5_lm_score
 from .near_dedup import op9_near_dedup
 from .pii import op1_pii
 from .quality import op2_quality
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op2_quality": op2_quality,
         "op3_bpe": op3_bpe,
         "op4_ann": op4_ann,
+        "op5_lm_score": op5_lm_score,
         "op6_chat": op6_chat,
         "op7_html": op7_html,
         "op9_near_dedup": op9_near_dedup,
