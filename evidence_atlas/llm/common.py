@@ -28,6 +28,11 @@ def lower_ascii(text: str) -> str:
     return text.translate(_LOWER)
 
 
+def words_of(text: str) -> list[bytes]:
+    """Words between ASCII white space, A-Z in lower case, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").lower().split()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64 over an array of unsigned 64-bit integers."""
     x = x ^ (x >> np.uint64(30))
@@ -38,22 +43,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class WordHasher(dict):
-    """word -> 64-bit hash; forgets everything when it holds too many words."""
+    """word (UTF-8) -> 64-bit hash; forgets everything when it holds too many words."""
 
     def __init__(self, limit: int = 500_000):
         super().__init__()
         self.limit = limit
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         import xxhash
 
         if len(self) >= self.limit:
             self.clear()
-        value = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        value = xxhash.xxh64_intdigest(word)
         self[word] = value
         return value
 
-    def array(self, words: list[str]) -> np.ndarray:
+    def array(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

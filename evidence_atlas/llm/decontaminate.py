@@ -14,6 +14,15 @@ from .common import lower_ascii, text_or_empty
 #: Fixed value: a word is a run of letters and digits; beyond ASCII, of anything.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
+#: The same by bytes: what is no part of a word is a space, A-Z are in lower case.
+_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def words_of(text: str) -> list[bytes]:
+    """The words of a text, A-Z in lower case, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").translate(_BYTES).split()
+
+
 #: Consecutive words of an item that make a window.
 WINDOW = 13
 
@@ -30,9 +39,9 @@ class ItemAutomaton:
     in which its strings occur.
     """
 
-    def __init__(self, items: list[tuple[object, list[str]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[object, list[bytes]]], window: int = WINDOW):
         self.window = window
-        self.ids: dict[str, int] = {}
+        self.ids: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         ends: list[set] = [set()]
@@ -125,7 +134,7 @@ class ItemAutomaton:
                     start = min(start, spans.pop()[0])
                 spans.append([start, end])
 
-    def hits(self, words: list[str]) -> tuple[list[list[int]], set]:
+    def hits(self, words: list[bytes]) -> tuple[list[list[int]], set]:
         """Spans of hit word positions and the ids of items with occurring windows."""
         spans: list[list[int]] = []
         found: set = set()
@@ -156,7 +165,7 @@ def _shards(benchmark: DataFrame, window: int):
     batch, size = [], 0
     rows = benchmark.select(F.col("item_id"), text_or_empty().alias("text")).distinct()
     for row in rows.toLocalIterator():
-        words = WORD.findall(lower_ascii(row.text))
+        words = words_of(row.text)
         if batch and size + len(words) > SHARD_WORDS:
             yield ItemAutomaton(batch, window)
             batch, size = [], 0
@@ -194,7 +203,7 @@ def _scanner(held, state: str, clean: bool):
     def scan(texts: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
         a, rows = held.value, []
         for t, old_spans, old_items in zip(texts, before["spans"], before["item_ids"], strict=True):
-            words = WORD.findall(lower_ascii(t))
+            words = words_of(t)
             spans, found = a.hits(words)
             if len(old_spans):
                 spans = merge_spans([*([int(x), int(y)] for x, y in old_spans), *spans])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,12 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WordHasher, lower_ascii, mix64, stored, text_or_empty
+from .common import WordHasher, mix64, stored, text_or_empty, words_of
 from .components import connected_components
 
-#: Fixed value: what separates words.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
 #: SetSketch: registers, base of the exponential spacing, rate, and registers in a band.
 #: At similarity 0.8 a pair shares no band with probability (1 - 0.8**4)**24 = 3e-6.
 REGISTERS, BASE, RATE, BAND = 96, 1.02, 20.0, 4
@@ -91,7 +87,7 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray,
 
 def _sets(texts, hasher: WordHasher, n: int) -> Iterator[np.ndarray]:
     for t in texts:
-        yield shingle_hashes(hasher.array(WORD.findall(lower_ascii(t))), n)
+        yield shingle_hashes(hasher.array(words_of(t)), n)
 
 
 def sketch_documents(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
@@ -182,11 +178,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Equal sets are one class from the start. A band of registers deals the
     classes into buckets; the members of a bucket are compared with its
-    smallest member only, then those that failed with the 4, 16, ... smallest of
-    them, until none are left, so no bucket makes all its pairs. Failing members may still be
+    smallest member only, then those that failed with the 2, 4, ... smallest of
+    them, until none are left, so no bucket makes all its pairs; what hangs
+    together by then is not compared again. Failing members may still be
     linked to one that passed: by the triangle inequality of the Jaccard
     distance only if they are within twice the allowed distance of the
-    bucket's smallest; those that ended in another component are compared.
+    one that it was compared with; those that ended in another component are compared.
     """
     rows = stored(sketch_documents(docs, doc_id, text, n), "dedup-rows")
     classes = stored(
@@ -196,15 +193,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     bands = [F.xxhash64(F.lit(i), F.expr(f"substring(registers, {1 + 2 * BAND * i}, {2 * BAND})")) for i in range(REGISTERS // BAND)]
     open_ = classes.select("node", F.explode(F.array(*bands)).alias("key"))
     compared: DataFrame | None = None
-    verdicts: list[DataFrame] = []
+    component: DataFrame | None = None
+    turn = 0
     while True:
-        pivots = 4 ** len(verdicts)
-        if pivots == 1:
+        if turn == 0:
             first = open_.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1").select("key", "a")
         else:
             rank = Window.partitionBy("key").orderBy("node")
-            first = open_.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= pivots).select("key", F.col("node").alias("a"))
-        member = stored(open_.join(first, "key").where("node > a").select("key", "a", F.col("node").alias("b")), "dedup-members")
+            first = open_.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= 2**turn).select("key", F.col("node").alias("a"))
+        member = open_.join(first, "key").where("node > a").select("key", "a", F.col("node").alias("b"))
+        if component is not None:  # what hangs together already need not be compared
+            member = _apart(member, component)
+        member = stored(member, "dedup-members")
         if member.isEmpty():
             break
         pairs = member.select("a", "b").distinct()
@@ -212,30 +212,37 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         fresh = _verified(pairs, classes, docs, doc_id, text, n, threshold)
         compared = fresh if compared is None else compared.union(fresh)
-        judged = stored(member.join(compared, ["a", "b"]), "dedup-judged")
-        verdicts.append(judged.select("key", F.lit(len(verdicts)).alias("turn"), "a", "b", "linked", "jaccard"))
+        component = stored(connected_components(compared.where("linked").select("a", "b"), "a", "b"), "dedup-comp")
+        judged = member.join(compared.select("a", "b", "linked"), ["a", "b"])
         failed = judged.groupBy("key", F.col("b").alias("node")).agg(F.bool_or("linked").alias("linked")).where("not linked").select("key", "node")
-        open_ = failed if pivots == 1 else failed.join(first, (failed["key"] == first["key"]) & (failed["node"] == first["a"]), "left_anti")
+        pivots = member.select("key", F.col("a").alias("node")).distinct()
+        open_ = stored(failed.join(pivots, ["key", "node"], "left_anti"), "dedup-open")
+        turn += 1
 
     if compared is None:
         return _result(rows, classes, None)
-    links = compared.where("linked").select("a", "b")
-    component = stored(connected_components(links, "a", "b"), "dedup-comp")
-    seen = verdicts[0]
-    for v in verdicts[1:]:
-        seen = seen.union(v)
-    seen = seen.join(component.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
     d = 1 - threshold
-    failed = seen.where((~F.col("linked")) & (F.col("jaccard") >= 1 - 2 * d - 1e-9)).select("key", "turn", "a", F.col("b").alias("v"), F.col("jaccard").alias("jv"), F.col("component").alias("cv"))
-    passed = seen.where("linked").select("key", "turn", "a", F.col("b").alias("u"), F.col("jaccard").alias("ju"), F.col("component").alias("cu"))
-    rest = failed.join(passed, ["key", "turn", "a"]).where((F.col("cu") != F.col("cv")) & (F.col("ju") <= F.col("jv") + d + 1e-9))
+    size = classes.select("node", "n_shingles")
+    failed = compared.where((~F.col("linked")) & (F.col("jaccard") >= 1 - 2 * d - 1e-9)).select("a", F.col("b").alias("v"), F.col("jaccard").alias("jv"))
+    failed = failed.unionByName(failed.select(F.col("v").alias("a"), F.col("a").alias("v"), "jv"))
+    passed = compared.where("linked").select("a", F.col("b").alias("u"), F.col("jaccard").alias("ju"))
+    passed = passed.unionByName(passed.select(F.col("u").alias("a"), F.col("a").alias("u"), "ju"))
+    group = lambda rows, node, name: rows.join(component.withColumnRenamed("node", node), node, "left").join(size.withColumnRenamed("node", node), node).select("*", F.coalesce("component", node).alias(f"c{name}"), F.col("n_shingles").alias(f"n{name}")).drop("component", "n_shingles")
+    rest = group(failed, "v", "v").join(group(passed, "u", "u"), "a").where((F.col("cu") != F.col("cv")) & (F.col("ju") <= F.col("jv") + d + 1e-9) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9))
     rest = stored(rest.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "dedup-rest")
     if not rest.isEmpty():
         more = _verified(rest, classes, docs, doc_id, text, n, threshold).where("linked").select("a", "b")
-        component = stored(connected_components(links.union(more), "a", "b"), "dedup-comp")
+        component = stored(connected_components(compared.where("linked").select("a", "b").union(more), "a", "b"), "dedup-comp")
     return _result(rows, classes, component)
 
 
+def _apart(member: DataFrame, component: DataFrame) -> DataFrame:
+    """Members that are in another component than their pivot."""
+    of = lambda name: component.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
+    both = member.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("key", "a", "b")
+
+
 def _result(rows: DataFrame, classes: DataFrame, component: DataFrame | None) -> DataFrame:
     found = classes.select("node", "first_id")
     if component is not None:
