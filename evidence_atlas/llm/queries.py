@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from corpus_pipeline import run as pipeline
+
 from .ann import OP4_SQL, op4_ann
 from .bpe import op3_bpe
 from .chat import OP6_SQL, op6_chat
@@ -11,6 +13,7 @@ from .lm_score import op5_lm_score
 from .near_dedup import op9_near_dedup
 from .pii import op1_pii
 from .quality import op2_quality
+from .substring_dedup import op8_substring_dedup
 
 
 def queries() -> dict:
@@ -22,8 +25,10 @@ def queries() -> dict:
         "op5_lm_score": op5_lm_score,
         "op6_chat": op6_chat,
         "op7_html": op7_html,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_decontaminate": op10_decontaminate,
+        "pipeline": pipeline,
     }
 
 
