@@ -188,10 +188,9 @@ def link_records(mentions: DataFrame, places: DataFrame, existing: DataFrame | N
     pair = pair.withColumn("far", far)
     if existing is not None:
         had = existing.groupBy("place_id").agg(F.count("*").alias("had"))
-        known = existing.select("place_id", "source_id", F.col("locator").alias("known_locator"), F.lit(True).alias("known")).distinct()
-        pair = pair.join(had, "place_id", "left").join(
-            known, (pair["place_id"] == known["place_id"]) & (pair["source_id"] == known["source_id"]) & pair["locator"].eqNullSafe(F.col("known_locator")), "left"
-        ).drop(known["place_id"]).drop(known["source_id"])
+        known = existing.select(F.col("place_id").alias("_p"), F.col("source_id").alias("_s"), F.col("locator").alias("_l"), F.lit(True).alias("known")).distinct()
+        same = (F.col("place_id") == F.col("_p")) & (F.col("source_id") == F.col("_s")) & F.col("locator").eqNullSafe(F.col("_l"))
+        pair = pair.join(had, "place_id", "left").join(known, same, "left").drop("_p", "_s", "_l")
     else:
         pair = pair.withColumn("had", F.lit(0)).withColumn("known", F.lit(False))
     seen = Window.partitionBy("place_id", "far", "source_id", "locator").orderBy("ord", "mention_id")
