@@ -242,7 +242,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
         before = F.struct("_hits.spans", "_hits.item_ids") if k else nothing
         out = out.withColumn("_hits", scan(text_or_empty(text), before))
     n_words, n_hit = F.col("_hits.n_words"), F.col("_hits.n_hit")
-    added = {"contaminated": (n_hit > 0) & (n_hit >= F.lit(max_share) * n_words)}
+    added = {"contaminated": (n_hit > 0) & (n_hit >= F.lit(max_share) * n_words - 1e-9)}
     return out.select(*[F.col(f"`{c}`") for c in kept], *[added.get(c, F.col(f"_hits.{c}")).alias(c) for c in made])
 
 

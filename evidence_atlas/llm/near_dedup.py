@@ -91,9 +91,12 @@ def _sets(texts, hasher: WordHasher, n: int) -> Iterator[np.ndarray]:
 
 
 def sketch_documents(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
-    """(doc_id, n_shingles, node, registers); node names the set: equal sets, equal nodes."""
+    """(doc_id, n_shingles, node, registers, marks); node names the set: equal sets, equal nodes.
 
-    @F.pandas_udf("n_shingles long, node binary, registers binary")
+    marks has four bytes for each band, a hash of its registers.
+    """
+
+    @F.pandas_udf("n_shingles long, node binary, registers binary, marks binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import xxhash
 
@@ -101,7 +104,8 @@ def sketch_documents(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFra
 
         def finish(sets):
             rows = sketch(sets)
-            return [(len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, r.tobytes() if len(s) else None) for s, r in zip(sets, rows, strict=True)]
+            marks = (mix64(rows.view("<u8")) >> np.uint64(32)).astype("<u4")
+            return [(len(s), xxhash.xxh3_128_digest(s.tobytes()), r.tobytes(), m.tobytes()) if len(s) else (0, None, None, None) for s, r, m in zip(sets, rows, marks, strict=True)]
 
         for texts in batches:
             out, part, size = [], [], 0
@@ -111,7 +115,7 @@ def sketch_documents(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFra
                 if size > 400_000:
                     out += finish(part)
                     part, size = [], 0
-            yield pd.DataFrame(out + finish(part), columns=["n_shingles", "node", "registers"])
+            yield pd.DataFrame(out + finish(part), columns=["n_shingles", "node", "registers", "marks"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), run(text_or_empty(text)).alias("s")).select("doc_id", "s.*")
 
@@ -178,7 +182,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Equal sets are one class from the start. A band of registers deals the
     classes into buckets; the members of a bucket are compared with its
-    smallest member only, then those that failed with the 2, 4, ... smallest of
+    smallest member only, then those that failed with the 4, 16, ... smallest of
     them, until none are left, so no bucket makes all its pairs; what hangs
     together by then is not compared again. Failing members may still be
     linked to one that passed: by the triangle inequality of the Jaccard
@@ -187,24 +191,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = stored(sketch_documents(docs, doc_id, text, n), "dedup-rows")
     classes = stored(
-        rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("registers").alias("registers"), F.min("n_shingles").alias("n_shingles")),
+        rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("registers").alias("registers"), F.min("marks").alias("marks"), F.min("n_shingles").alias("n_shingles")),
         "dedup-classes",
     )
-    bands = [F.xxhash64(F.lit(i), F.expr(f"substring(registers, {1 + 2 * BAND * i}, {2 * BAND})")) for i in range(REGISTERS // BAND)]
-    open_ = classes.select("node", F.explode(F.array(*bands)).alias("key"))
+    bands = [F.struct(F.lit(i).alias("band"), F.xxhash64(F.lit(i), F.expr(f"substring(registers, {1 + 2 * BAND * i}, {2 * BAND})")).alias("key")) for i in range(REGISTERS // BAND)]
+    open_ = classes.select("node", F.explode(F.array(*bands)).alias("x")).select("node", "x.band", "x.key")
     compared: DataFrame | None = None
     component: DataFrame | None = None
+    members: list[DataFrame] = []
     turn = 0
     while True:
         if turn == 0:
-            first = open_.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1").select("key", "a")
+            first = open_.groupBy("band", "key").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1").select("band", "key", "a")
         else:
-            rank = Window.partitionBy("key").orderBy("node")
-            first = open_.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= 2**turn).select("key", F.col("node").alias("a"))
-        member = open_.join(first, "key").where("node > a").select("key", "a", F.col("node").alias("b"))
-        if component is not None:  # what hangs together already need not be compared
-            member = _apart(member, component)
-        member = stored(member, "dedup-members")
+            rank = Window.partitionBy("band", "key").orderBy("node")
+            first = open_.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= 4**turn).select("band", "key", F.col("node").alias("a"))
+        member = open_.join(first, ["band", "key"]).where("node > a").select("band", "key", "a", F.col("node").alias("b"))
+        # what hangs together already need not be compared
+        every = stored(_with_apart(member, component) if component is not None else member.withColumn("apart", F.lit(True)), "dedup-members")
+        member = every.where("apart").drop("apart")
         if member.isEmpty():
             break
         pairs = member.select("a", "b").distinct()
@@ -214,21 +219,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         compared = fresh if compared is None else compared.union(fresh)
         component = stored(connected_components(compared.where("linked").select("a", "b"), "a", "b"), "dedup-comp")
         judged = member.join(compared.select("a", "b", "linked"), ["a", "b"])
-        failed = judged.groupBy("key", F.col("b").alias("node")).agg(F.bool_or("linked").alias("linked")).where("not linked").select("key", "node")
-        pivots = member.select("key", F.col("a").alias("node")).distinct()
-        open_ = stored(failed.join(pivots, ["key", "node"], "left_anti"), "dedup-open")
+        failed = judged.groupBy("band", "key", F.col("b").alias("node")).agg(F.bool_or("linked").alias("linked")).where("not linked").select("band", "key", "node")
+        pivots = member.select("band", "key", F.col("a").alias("node")).distinct()
+        open_ = stored(failed.join(pivots, ["band", "key", "node"], "left_anti"), "dedup-open")
+        members.append(every.withColumn("turn", F.lit(turn)))
         turn += 1
 
     if compared is None:
         return _result(rows, classes, None)
-    d = 1 - threshold
-    size = classes.select("node", "n_shingles")
-    failed = compared.where((~F.col("linked")) & (F.col("jaccard") >= 1 - 2 * d - 1e-9)).select("a", F.col("b").alias("v"), F.col("jaccard").alias("jv"))
-    failed = failed.unionByName(failed.select(F.col("v").alias("a"), F.col("a").alias("v"), "jv"))
-    passed = compared.where("linked").select("a", F.col("b").alias("u"), F.col("jaccard").alias("ju"))
-    passed = passed.unionByName(passed.select(F.col("u").alias("a"), F.col("a").alias("u"), "ju"))
-    group = lambda rows, node, name: rows.join(component.withColumnRenamed("node", node), node, "left").join(size.withColumnRenamed("node", node), node).select("*", F.coalesce("component", node).alias(f"c{name}"), F.col("n_shingles").alias(f"n{name}")).drop("component", "n_shingles")
-    rest = group(failed, "v", "v").join(group(passed, "u", "u"), "a").where((F.col("cu") != F.col("cv")) & (F.col("ju") <= F.col("jv") + d + 1e-9) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9))
+    rest = _leftovers(members, compared, component, classes, threshold)
     rest = stored(rest.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "dedup-rest")
     if not rest.isEmpty():
         more = _verified(rest, classes, docs, doc_id, text, n, threshold).where("linked").select("a", "b")
@@ -236,11 +235,40 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return _result(rows, classes, component)
 
 
-def _apart(member: DataFrame, component: DataFrame) -> DataFrame:
-    """Members that are in another component than their pivot."""
+def _leftovers(members: list[DataFrame], compared: DataFrame, component: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """(u, v) that may still be linked: v failed against a pivot that u is linked with.
+
+    What is linked with a pivot is in the pivot's component; v must be in
+    another. The Jaccard distance obeys the triangle inequality, so v is
+    within twice the allowed distance of the pivot, and u is not much nearer
+    to it (what hung together with the pivot without being compared may be at
+    any distance). A pair is made in the first band that it shares only: in every
+    band it shares it meets this test, or cannot be linked.
+    """
+    d = 1 - threshold
+    of = lambda name: component.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
+    near = compared.where(F.col("linked") | (F.col("jaccard") >= 1 - 2 * d - 1e-9))
+    rows = members[0]
+    for m in members[1:]:
+        rows = rows.union(m)
+    together = rows.where("not apart").select("band", "key", "turn", "a", F.col("b").alias("u"), F.lit(0.0).alias("ju"))
+    rows = rows.where("apart").join(near, ["a", "b"])
+    failed = rows.where("not linked").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    failed = stored(failed.select("band", "key", "turn", "a", F.col("b").alias("v"), F.col("jaccard").alias("jv")), "dedup-failed")
+    group = ["band", "key", "turn", "a"]
+    passed = rows.where("linked").select(*group, F.col("b").alias("u"), F.col("jaccard").alias("ju")).union(together)
+    passed = passed.join(failed.select(*group).distinct(), group, "left_semi")
+    side = lambda k: classes.select(F.col("node").alias(k), F.col("marks").alias(f"m{k}"), F.col("n_shingles").alias(f"n{k}"))
+    earlier = F.exists(F.sequence(F.lit(1), F.col("band")), lambda i: F.substring("mu", 4 * i - 3, F.lit(4)) == F.substring("mv", 4 * i - 3, F.lit(4)))
+    fits = (F.col("ju") <= F.col("jv") + d + 1e-9) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9)
+    return failed.join(side("v"), "v").join(passed.join(side("u"), "u"), group).where(fits & ~F.coalesce((F.col("band") > 0) & earlier, F.lit(False))).select("u", "v")
+
+
+def _with_apart(member: DataFrame, component: DataFrame) -> DataFrame:
+    """Members, and whether they are in another component than their pivot."""
     of = lambda name: component.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
     both = member.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("key", "a", "b")
+    return both.select("band", "key", "a", "b", (F.coalesce("ca", "a") != F.coalesce("cb", "b")).alias("apart"))
 
 
 def _result(rows: DataFrame, classes: DataFrame, component: DataFrame | None) -> DataFrame:
