@@ -59,6 +59,7 @@ class BytePairCodec:
         specials = sorted(self.special, key=len, reverse=True)
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
         self.cache: dict[str, bytes] = {}
+        self.limit = CACHE
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Apply merges in rank order over a doubly linked list of symbols.
@@ -107,7 +108,7 @@ class BytePairCodec:
     def _packed(self, piece: str) -> bytes:
         got = np.array(self.piece_ids(piece), "<u4").tobytes()
         if len(piece) <= 64:
-            if len(self.cache) >= CACHE:
+            if len(self.cache) >= self.limit:
                 self.cache.clear()
             self.cache[piece] = got
         return got
