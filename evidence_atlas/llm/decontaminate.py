@@ -281,3 +281,28 @@ def brute_force(texts: list[str], items: list[tuple[object, str]], window: int =
         ids = sorted(map(str, found))
         out.append((len(words), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words)))
     return out
+
+
+#: The same for DuckDB: windows as joined words.
+OP10_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents
+), b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark
+), g as (
+  select distinct item_id, least(len(ws), 13) as n, array_to_string(list_slice(ws, i, i + least(len(ws), 13) - 1), ' ') as k
+  from (select item_id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) as i from b where len(ws) > 0)
+), w as (
+  select doc_id, n, i, array_to_string(list_slice(ws, i, i + n - 1), ' ') as k
+  from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from d, (select distinct n from g) where len(ws) >= n)
+), h as (
+  select doc_id, i, n, item_id from w join g using (n, k)
+), p as (
+  select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(i, i + n)) as place from h) group by doc_id
+), t as (
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct doc_id, item_id::varchar as id from h where item_id is not null) group by doc_id
+)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
+from d left join p using (doc_id) left join t using (doc_id)
+"""

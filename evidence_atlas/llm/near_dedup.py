@@ -288,3 +288,25 @@ def op9_near_dedup(spark, sf_dir):
     """Components of documents with at least 0.8 of their four-word shingles in common."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs)
+
+
+#: The same for DuckDB: shingles meet on equality, components by reachability.
+OP9_SQL = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents
+), s as (
+  select distinct doc_id, array_to_string(list_slice(ws, i, i + 3), ' ') as k from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) as i from d where len(ws) > 0)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), c as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.k = b.k and a.doc_id <> b.doc_id group by 1, 2
+), l as (
+  select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+), r as (
+  select a, b from l union select r.a, l.b from r join l on r.b = l.a
+), m as (
+  select a, min(b) as least from r group by a
+)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(m.least, doc_id)) as component_id, least(doc_id, coalesce(m.least, doc_id)) = doc_id as kept
+from d left join n using (doc_id) left join m on m.a = doc_id
+"""

@@ -208,3 +208,49 @@ def op1_pii(spark, sf_dir):
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed(F.col("spans")).alias("spans"),
     )
+
+
+def _kind_sql(place: int, kind: str, pattern: str) -> str:
+    return f"select doc_id, '{kind}' as kind, {place} as place, regexp_extract_all(t, '{pattern}') as v, string_split_regex(t, '{pattern}') as g from d where regexp_matches(t, '{pattern}')"
+
+
+#: The same for DuckDB, with plain quantifiers.
+OP1_SQL = rf"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+m as (
+  {_kind_sql(0, 'email', r'[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')}
+  union all {_kind_sql(1, 'ip', r'[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+')}
+  union all {_kind_sql(2, 'card', r'[0-9](?:[\x20-]?[0-9])+')}
+  union all {_kind_sql(3, 'phone', r'\+[0-9][\x20().0-9-]+[0-9]')}
+), e as (select *, unnest(range(1, len(v) + 1)) as i from m),
+f as (
+  select doc_id, kind, place, v[i] as value, g[i] as l, g[i + 1] as r, regexp_replace(v[i], '[^0-9]', '', 'g') as digits,
+    (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(v[1:i - 1], lambda x: length(x))), 0))::bigint as a
+  from e
+), b as (
+  select *, a + length(value) as z from f where case kind
+    when 'ip' then len(list_filter(string_split(value, '.'), lambda x: length(ltrim(x, '0')) > 3 or coalesce(try_cast(x as hugeint), 999) > 255)) = 0
+    when 'card' then length(digits) between 13 and 19 and list_sum(list_transform(range(1, length(digits) + 1), lambda j:
+      case when (length(digits) - j) % 2 = 0 then digits[j]::int when digits[j]::int > 4 then 2 * digits[j]::int - 9 else 2 * digits[j]::int end)) % 10 = 0
+    when 'phone' then length(digits) between 9 and 15 else true end
+), total as (select count(distinct doc_id) as n from d),
+entity as (select kind, value, count(distinct doc_id) as ne from b group by all having count(distinct doc_id) >= {SUPPORT}),
+near as (
+  select distinct doc_id, kind, value, ne, unnest(regexp_extract_all(lower(
+    case when length(l) > {CONTEXT} then regexp_replace(right(l, {CONTEXT}), '^\p{{L}}+', '') else l end || ' ' || case when length(r) > {CONTEXT} then regexp_replace(left(r, {CONTEXT}), '\p{{L}}+$', '') else r end), '\p{{L}}{{4,}}')) as term
+  from b join entity using (kind, value)
+), pairs as (select term, kind, value, ne, count(*) as nte from near group by all having count(*) >= {SUPPORT}),
+counts as (select term, count(*) as nt from (select distinct doc_id, unnest(regexp_extract_all(lower(t), '\p{{L}}{{4,}}')) as term from d) group by term),
+told as (select term, kind, value from pairs join counts using (term), total where ne < n and round(ln(n * nte / (nt * ne)) / ln(n / ne), 9) >= {DISCLOSURE}),
+flagged as (select distinct doc_id, term from (select distinct doc_id, kind, value from b) join told using (kind, value)),
+cut as (select doc_id, regexp_extract_all(t, '\p{{L}}+') as v, string_split_regex(t, '\p{{L}}+') as g from d where doc_id in (select doc_id from flagged)),
+word as (select doc_id, lower(v[i]) as term, length(v[i]) as n, (sum(length(g[i]) + length(v[i])) over (partition by doc_id order by i))::bigint as z from (select *, unnest(range(1, len(v) + 1)) as i from cut)),
+spans as (
+  select doc_id, kind, place, a, z from b union all select doc_id, 'term', 4, z - n, z from word join flagged using (doc_id, term)
+), s as (
+  select doc_id, string_agg(kind || ':' || a || ':' || z, ',' order by place, a) as spans, coalesce(string_agg(case when place < 4 then kind || ':' || a || ':' || z end, ',' order by place, a), '') as base,
+    {', '.join(f"count(*) filter (kind = '{k}') as n_{k}" for k in KINDS)}
+  from spans group by doc_id
+)
+select doc_id, {', '.join(f"coalesce(n_{k}, 0)::bigint as n_{k}" for k in KINDS)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join s using (doc_id)
+"""

@@ -7,11 +7,11 @@ from corpus_pipeline import run as pipeline
 from .ann import OP4_SQL, op4_ann
 from .bpe import op3_bpe
 from .chat import OP6_SQL, op6_chat
-from .decontaminate import op10_decontaminate
+from .decontaminate import OP10_SQL, op10_decontaminate
 from .html_extract import op7_html
 from .lm_score import op5_lm_score
-from .near_dedup import op9_near_dedup
-from .pii import op1_pii
+from .near_dedup import OP9_SQL, op9_near_dedup
+from .pii import OP1_SQL, op1_pii
 from .quality import op2_quality
 from .substring_dedup import op8_substring_dedup
 
@@ -33,4 +33,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_ann": OP4_SQL, "op6_chat": OP6_SQL}
+    return {"op1_pii": OP1_SQL, "op4_ann": OP4_SQL, "op6_chat": OP6_SQL, "op9_near_dedup": OP9_SQL, "op10_decontaminate": OP10_SQL}
