@@ -308,7 +308,7 @@ def _rings(table):
     return table("lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(p)), lambda x: x["p"]).alias("ring"))
 
 
-_PTS = "(select l_orderkey, l_quantity / 7 as lon, l_extendedprice / 7000 as lat, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as i, count(*) over (partition by l_orderkey) as n from lineitem)"
+_PTS = "(select l_orderkey, l_quantity / 7 as lon, l_extendedprice / 7000 as lat, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as i, count(*) over (partition by l_orderkey) as n from lineitem)"
 
 
 @query(

@@ -8,7 +8,6 @@ from ..functions import text as X
 from ..operators import layout as L
 from .catalog import query
 
-_B = "(select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as i from lineitem)"
 _ROLE = """(with b as (select l_orderkey, l_partkey, l_suppkey, l_linenumber, left(l_returnflag || l_linestatus || 'xxxxxxx', (l_partkey % 8 + 1)::int) as text, l_quantity as x, l_extendedprice / 1000 as y, (l_suppkey % 60)::double as width, l_extendedprice / 200 as height from lineitem),
   m as (select *, coalesce(median(case when width > 0 then width end) over (partition by l_orderkey), 56) as m, max(x) over (partition by l_orderkey) as mx from b),
   g as (select *, x >= mx - 0.5 * m as inside from m), h as (select *, bool_and(not inside or length(text) <= 6) over (partition by l_orderkey) as has from g)

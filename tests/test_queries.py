@@ -1,6 +1,9 @@
 """Every registered query against its DuckDB counterpart on the smallest tables."""
 
+import numbers
+
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -21,7 +24,7 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
     def plain(x):
         if x is None or x is pd.NA or x != x:
             return None
-        return float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
+        return float(x) if isinstance(x, numbers.Number) and not isinstance(x, (bool, np.bool_)) else str(x)
 
     cells = frame[sorted(frame.columns)]
     return sorted((tuple(plain(x) for x in row) for row in cells.itertuples(index=False)), key=repr)
