@@ -19,10 +19,24 @@ from evidence_atlas.llm.pii import sanitise
 from evidence_atlas.llm.quality import score_quality
 
 
+def _packed(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and all others in one struct, so that no operator meets a name of its own."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return docs.select(*names, F.struct(F.lit(0).alias("_"), *rest).alias("_row"))
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame, *names: str, **new) -> DataFrame:
+    """The columns of ``docs`` again, with new values for some; n_chars is the length of the text as it is now."""
+    if "text" in new and "n_chars" in docs.columns:
+        new["n_chars"] = F.length(F.coalesce(new["text"], F.lit(""))).cast(dict(docs.dtypes)["n_chars"])
+    return rows.select(*[new.get(c, F.col(c) if c in names else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier and their site do not put at more than even odds of low quality or toxicity."""
-    scored = score_quality(docs, table(spark, sf_dir, "labels"))
-    return scored.where(~F.coalesce("rejected", F.lit(False))).select(docs.columns)
+    names = ("doc_id", "text", "lang", "source")
+    scored = score_quality(_packed(docs, *names), table(spark, sf_dir, "labels"))
+    return _unpacked(scored.where(~F.coalesce("rejected", F.lit(False))), docs, *names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,24 +46,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one id the smallest stays. Rows without an id stay.
     """
     found = near_duplicates(docs, n=5).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    same = Window.partitionBy("doc_id").orderBy(*[F.asc_nulls_last(c) for c, kind in docs.dtypes if not kind.startswith("map")])
-    rows = docs.join(found, F.col("doc_id") == F.col("_kept"), "left_semi").withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n")
-    return rows.unionByName(docs.where("doc_id is null"))
+    rows = _packed(docs, "doc_id", "text")
+    same = Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text"), F.asc_nulls_last("_row"))
+    one = rows.join(found, F.col("doc_id") == F.col("_kept"), "left_semi").withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n")
+    return _unpacked(one.unionByName(rows.where("doc_id is null")), docs, "doc_id", "text")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without contaminated documents (a twentieth of the words or more stand in the benchmark); shorter matches are cut out."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    kept = found.where("not contaminated")
+    found = find_contamination(_packed(docs, "doc_id", "text"), table(spark, sf_dir, "benchmark"))
     text = F.when(F.col("n_hit") > 0, F.col("clean_text")).otherwise(F.col("text"))
-    return _measured(kept.withColumn("text", text), docs)
+    return _unpacked(found.where("not contaminated"), docs, "doc_id", "text", text=text)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data masked, and terms that disclose it generalised."""
-    out = sanitise(docs)
+    out = sanitise(_packed(docs, "doc_id", "text"))
     text = F.when(F.size("spans") > 0, F.col("sanitised_text")).otherwise(F.col("text"))
-    return _measured(out.withColumn("text", text), docs)
+    return _unpacked(out, docs, "doc_id", "text", text=text)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,14 +72,6 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "lang", "source", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
 
 
-def _measured(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, with n_chars as the text is now."""
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        rows = rows.withColumn("n_chars", F.length("text").cast(kind))
-    return rows.select(docs.columns)
-
-
 STAGES = [
     ("quality classifier", quality),
     ("minhash near-dedup", near_dedup),

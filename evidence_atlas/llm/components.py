@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Count and sum of hashes: equal for equal sets of edges, in one pass without a shuffle of rows."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component): component is the smallest node reachable.
 
     Large-star / small-star rounds (each a grouped minimum and a join on the
     node); every round is written to the shared folder, so lineage stays flat
-    and nothing is gathered on the driver but one count per round. Self links
+    and nothing is gathered on the driver but a count and a sum per round. Self links
     and repeated links are harmless; an empty table gives an empty result.
     A node with very many neighbours is handled by partial aggregation and
     the skew-join splitting of Spark: no neighbour list is ever built.
@@ -21,6 +26,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a <> b")
     e = stored(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
     nodes = e.select(F.col("a").alias("node")).union(e.select(F.col("b").alias("node"))).distinct()
+    state = _fingerprint(e)
     while True:
         # large star: every neighbour larger than the node points to the least one around it
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -33,9 +39,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("x"))
             .select("x.*").where("a <> b").distinct()
         )
-        new = stored(small, "cc")
-        changed = new.join(e, ["a", "b"], "left_anti").limit(1).count() or e.join(new, ["a", "b"], "left_anti").limit(1).count()
-        e = new
-        if not changed:
+        e = stored(small, "cc")
+        before, state = state, _fingerprint(e)
+        if state == before:
             break
     return nodes.join(e.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -217,7 +217,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         fresh = _verified(pairs, classes, docs, doc_id, text, n, threshold)
         compared = fresh if compared is None else compared.union(fresh)
-        component = stored(connected_components(compared.where("linked").select("a", "b"), "a", "b"), "dedup-comp")
+        if component is None or not fresh.where("linked").isEmpty():
+            component = stored(connected_components(compared.where("linked").select("a", "b"), "a", "b"), "dedup-comp")
         judged = member.join(compared.select("a", "b", "linked"), ["a", "b"])
         failed = judged.groupBy("band", "key", F.col("b").alias("node")).agg(F.bool_or("linked").alias("linked")).where("not linked").select("band", "key", "node")
         pivots = member.select("band", "key", F.col("a").alias("node")).distinct()

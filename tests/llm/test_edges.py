@@ -129,7 +129,7 @@ def test_decontaminate(docs, none, items):
 def test_stages(spark, docs, none, labels, items, tmp_path):
     import corpus_pipeline
 
-    for name, table in (("labels", labels), ("benchmark", items), ("documents", docs)):
+    for name, table in (("labels", labels.where("doc_id = 1")), ("benchmark", items), ("documents", docs)):
         table.write.parquet(f"{tmp_path}/{name}.parquet")
     now, empty = docs, none
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
