@@ -63,8 +63,9 @@ def best_paths(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", p
         if now.where("up is not null").isEmpty() or 2 ** len(levels) > 2 * most:
             break
         far = now.select("t", F.col("n").alias("up"), F.col("up").alias("farther"), F.col("s").alias("more"))
-        step = now.join(far, ["t", "up"], "left").select("t", "n", F.when(F.col("up").isNotNull(), F.col("farther")).alias("up"), (F.col("s") + F.coalesce("more", F.lit(0.0))).alias("s"))
-        levels.append(step.checkpoint())
+        on = now.where("up is not null")  # who has met a root is done
+        step = on.join(far, ["t", "up"], "left").select("t", "n", F.when(F.col("up").isNotNull(), F.col("farther")).alias("up"), (F.col("s") + F.coalesce("more", F.lit(0.0))).alias("s"))
+        levels.append(step.unionByName(now.where("up is null")).checkpoint())
     inner = base.where("up is not null").select("t", F.col("up").alias("n")).distinct()
     leaves = levels[-1].where("up is null").join(inner, ["t", "n"], "left_anti")
     rank = Window.partitionBy("t").orderBy(F.desc("s"), F.asc("n"))
