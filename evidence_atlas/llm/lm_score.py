@@ -20,10 +20,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FREQUENT = 200_000
 #: Size of the model: width, classes, subwords with an embedding of their own, window, overlap.
 WIDTH, CLASSES, OWN, WINDOW, OVERLAP = 16, 64, 8192, 48, 12
-#: One window in so many of every training document is trained on; copies of
-#: the model trained side by side; rounds after which they are averaged; and
+#: Copies of the model trained side by side; rounds after which they are averaged; and
 #: the tokens that a small corpus is repeated up to (by at most REPEATS).
-STRIDE, COPIES, ROUNDS, LEAST_TOKENS, REPEATS = 8, 8, 3, 4_000_000, 12
+COPIES, ROUNDS, LEAST_TOKENS, REPEATS = 8, 3, 4_000_000, 12
 #: Share of the word model in a word's probability; the attention model has the rest.
 WORDS = 0.75
 
@@ -235,6 +234,12 @@ def score_words(model: Attention, v: Vocabulary, ids: list[np.ndarray], chunk: i
     return np.split(word, np.cumsum(sizes)[:-1])
 
 
+def training_windows(s: np.ndarray) -> list[bytes]:
+    """Windows to train on: every id after the first is the target of one place of one window."""
+    s = s.astype("<u2")
+    return [s[start : start + WINDOW + 1].tobytes() for start in range(0, len(s) - 1, WINDOW)]
+
+
 def _held_out(doc_id: str):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 7 == 2, F.lit(False))
 
@@ -257,7 +262,7 @@ def _fitter(state, turn: int, repeats: int):
 
 
 def train_model(docs: DataFrame, spec, text: str = "text") -> tuple[np.ndarray, Vocabulary]:
-    """Train on every document of ``docs``: subword counts over all of every text, attention on one window in STRIDE."""
+    """Train on the whole text of every document of ``docs``: subword counts, bigrams and attention."""
     spark = docs.sparkSession
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,9 +273,10 @@ def train_model(docs: DataFrame, spec, text: str = "text") -> tuple[np.ndarray,
             for t in pdf["_text"]:
                 s = subwords.ids(WORD.findall(lower_ascii(t)))
                 np.add.at(counts, s[1:], 1) if len(s) < 2000 else np.copyto(counts, counts + np.bincount(s[1:], minlength=len(counts)))
-                first = int(s.sum()) % STRIDE
-                for start in range(first * WINDOW, len(s) - 1, STRIDE * WINDOW) if len(s) > STRIDE * WINDOW else ([0] if first == 0 else []):
-                    kept.append(s[start : start + WINDOW + 1].astype("<u2").tobytes())
+                kept += training_windows(s)
+                if len(kept) >= 20_000:
+                    yield pd.DataFrame({"id": -1, "n": 0, "win": kept})
+                    kept = []
             yield pd.DataFrame({"id": -1, "n": 0, "win": kept})
         some = np.nonzero(counts)[0]
         yield pd.DataFrame({"id": some, "n": counts[some], "win": None})

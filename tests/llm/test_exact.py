@@ -163,6 +163,18 @@ def test_lm_gradient():
         assert abs((up - down) / 2e-4 - g[i]) < 1e-2 * abs(g[i]) + 1e-6
 
 
+def test_lm_trains_on_every_place(spark):
+    for n in [2, 3, 48, 49, 50, 97, 98, 384, 385, 1000]:
+        s = np.arange(n) + 7
+        got = [np.frombuffer(w, "<u2").tolist() for w in lm_score.training_windows(s)]
+        assert [p for w in got for p in zip(w, w[1:])] == list(zip(s[:-1].tolist(), s[1:].tolist()))
+    with open(bpe.default_vocabulary(), encoding="utf-8") as f:
+        spec = spark.sparkContext.broadcast(f.read())
+    for text in ["alpha beta", "gamma delta of a", "one more short text", "the sea"]:
+        flat, v = lm_score.train_model(spark.createDataFrame([(text,)], "text string"), spec)
+        assert (flat != lm_score.Attention.fresh(v.bias)).any(), text
+
+
 def test_lm_base(spark, data):
     rows = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
     out = {r.doc_id: r for r in lm_score.op5_lm_score(spark, data).collect()}
