@@ -20,9 +20,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FREQUENT = 200_000
 #: Size of the model: width, classes, subwords with an embedding of their own, window, overlap.
 WIDTH, CLASSES, OWN, WINDOW, OVERLAP = 16, 64, 8192, 48, 12
-#: Copies of the model trained side by side; rounds after which they are averaged; and
-#: the tokens that a small corpus is repeated up to (by at most REPEATS).
-COPIES, ROUNDS, LEAST_TOKENS, REPEATS = 8, 3, 4_000_000, 12
+#: Windows that a copy of the model is trained on (about); rounds after which
+#: the copies are averaged; and passes over a copy's windows.
+PART, ROUNDS, PASSES = 4096, 3, 3
 #: Share of the word model in a word's probability; the attention model has the rest.
 WORDS = 0.75
 
@@ -244,49 +244,96 @@ def _held_out(doc_id: str):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 7 == 2, F.lit(False))
 
 
-def _fitter(state, turn: int, repeats: int):
-    """Train one copy of the model on its share of the windows."""
+def _parts(batches: Iterator[pd.DataFrame], most: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The windows of rows sorted by part, part by part, at most ``most`` at a time."""
+    part, kept = None, []
+    for pdf in batches:
+        for g, w in zip(pdf["part"], pdf["win"], strict=True):
+            if kept and (g != part or len(kept) >= most):
+                yield part, kept
+                kept = []
+            part = g
+            kept.append(w)
+    if kept:
+        yield part, kept
 
-    def fit(key, pdf: pd.DataFrame) -> pd.DataFrame:
+
+def _fitter(state, turn: int):
+    """Train a copy of the model on each part; one row: how many windows, and the mean of the copies."""
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flat, v = state.value
-        rows = [np.frombuffer(w, "<u2").astype(np.int64) for w in pdf.sort_values("h")["win"]]
-        lens = np.array([len(r) for r in rows])
-        full = np.zeros((len(rows), WINDOW + 1), np.int64)
-        for i, r in enumerate(rows):
-            full[i, : len(r)] = r
-        on = np.arange(WINDOW)[None, :] < (lens - 1)[:, None]
-        got = train_copy(flat, v.slot[full[:, :-1]], v.cls[full[:, 1:]], on, turn, 0.01 / (1 + turn), repeats)
-        return pd.DataFrame([(len(rows), got.astype("<f4").tobytes())], columns=["n", "flat"])
+        total, n, least = np.zeros(len(flat)), 0, None
+        for part, wins in _parts(batches, 2 * PART):
+            rows = [np.frombuffer(w, "<u2").astype(np.int64) for w in wins]
+            lens = np.array([len(r) for r in rows])
+            full = np.zeros((len(rows), WINDOW + 1), np.int64)
+            for i, r in enumerate(rows):
+                full[i, : len(r)] = r
+            on = np.arange(WINDOW)[None, :] < (lens - 1)[:, None]
+            got = train_copy(flat, v.slot[full[:, :-1]], v.cls[full[:, 1:]], on, turn, 0.01 / (1 + turn), PASSES)
+            total += len(rows) * got.astype(float)
+            n += len(rows)
+            least = part if least is None else min(least, part)
+        if n:
+            yield pd.DataFrame([(least, n, (total / n).astype("<f4").tobytes())], columns=["part", "n", "flat"])
 
     return fit
 
 
-def train_model(docs: DataFrame, spec, text: str = "text") -> tuple[np.ndarray, Vocabulary]:
-    """Train on the whole text of every document of ``docs``: subword counts, bigrams and attention."""
+def _mean(rows) -> tuple[int, np.ndarray]:
+    """Windows and weighted mean of (n, flat) rows."""
+    total, n = 0.0, 0
+    for k, flat in rows:
+        total = total + k * np.frombuffer(flat, "<f4").astype(float)
+        n += k
+    return n, (total / n).astype(np.float32)
+
+
+def _average(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("part")
+    n, flat = _mean(zip(pdf["n"], pdf["flat"]))
+    return pd.DataFrame([(int(pdf["part"].min()), n, flat.astype("<f4").tobytes())], columns=["part", "n", "flat"])
+
+
+def in_parts(win: DataFrame, n: int) -> DataFrame:
+    """win(h, win) with the round and the part that each window is trained in: about PART windows in each."""
+    parts = max(1, -(-n // (ROUNDS * PART)))
+    return win.withColumns({"turn": F.pmod("h", F.lit(ROUNDS)).cast("int"), "part": F.pmod(F.shiftright("h", 20), F.lit(parts)).cast("int")})
+
+
+def train_model(docs: DataFrame, spec, text: str = "text", doc_id: str | None = None) -> tuple[np.ndarray, Vocabulary]:
+    """Train on the whole text of every document of ``docs``: subword counts, bigrams and attention.
+
+    A window is dealt to a round and a part by its document's id, its place
+    and its ids, so copies of a text are spread. The number of parts grows with the windows.
+    """
     spark = docs.sparkSession
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
         subwords = Subwords(spec.value)
         counts = np.zeros(subwords.end + 1, np.int64)
         for pdf in batches:
-            kept = []
-            for t in pdf["_text"]:
+            kept: list[tuple[int, bytes]] = []
+            for name, t in zip(pdf["_name"], pdf["_text"], strict=True):
                 s = subwords.ids(WORD.findall(lower_ascii(t)))
                 np.add.at(counts, s[1:], 1) if len(s) < 2000 else np.copyto(counts, counts + np.bincount(s[1:], minlength=len(counts)))
-                kept += training_windows(s)
+                kept += [(xxhash.xxh64_intdigest(w, xxhash.xxh64_intdigest(f"{i} {name}")) - 2**63, w) for i, w in enumerate(training_windows(s))]
                 if len(kept) >= 20_000:
-                    yield pd.DataFrame({"id": -1, "n": 0, "win": kept})
+                    yield pd.DataFrame({"id": -1, "n": 0}, index=range(len(kept))).assign(h=[h for h, _ in kept], win=[w for _, w in kept])
                     kept = []
-            yield pd.DataFrame({"id": -1, "n": 0, "win": kept})
+            yield pd.DataFrame({"id": -1, "n": 0}, index=range(len(kept))).assign(h=[h for h, _ in kept], win=[w for _, w in kept])
         some = np.nonzero(counts)[0]
-        yield pd.DataFrame({"id": some, "n": counts[some], "win": None})
+        yield pd.DataFrame({"id": some, "n": counts[some], "h": 0, "win": None})
 
-    seen = stored(docs.select(text_or_empty(text).alias("_text")).mapInPandas(gather, "id int, n long, win binary"), "lm-seen")
+    seen = stored(docs.select((F.col(doc_id) if doc_id else F.lit(None)).cast("string").alias("_name"), text_or_empty(text).alias("_text")).mapInPandas(gather, "id int, n long, h long, win binary"), "lm-seen")
     size = len(codec_of(spec.value).pieces) + 1
     counts = np.zeros(size, np.int64)
     for r in seen.where("id >= 0").groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most one row for each subword
         counts[r.id] = r.n
-    win = seen.where("win is not null").select("win", F.xxhash64("win").alias("h"))
+    win = seen.where("win is not null").select("win", "h")
     order = np.lexsort((np.arange(size), -counts))[: Vocabulary.TOP]
     place = np.full(size, -1)
     place[order] = np.arange(len(order))
@@ -307,16 +354,17 @@ def train_model(docs: DataFrame, spec, text: str = "text") -> tuple[np.ndarray,
     v = Vocabulary(counts, (at // Vocabulary.TOP, at % Vocabulary.TOP, pairs["n"].to_numpy(float)), codec_of(spec.value).pieces)
     flat = Attention.fresh(v.bias)
     n = win.count()
-    repeats = int(min(REPEATS, max(1, -(-LEAST_TOKENS // max(1, n * WINDOW)))))
+    dealt = in_parts(win, n)
+    wide = max(1, min(-(-n // (ROUNDS * PART)), 8 * spark.sparkContext.defaultParallelism))
     for turn in range(ROUNDS if n else 0):
         state = spark.sparkContext.broadcast((flat, v))
 
-        part = win.where(F.pmod("h", F.lit(ROUNDS)) == turn % ROUNDS)
-        split = F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(COPIES))
-        got = part.groupBy(split.alias("copy")).applyInPandas(_fitter(state, turn, repeats), "n long, flat binary").collect()  # COPIES models
+        # a number of its own, else small parts are put together in one task
+        part = dealt.where(F.col("turn") == turn).select("part", "h", "win").repartition(wide, "part").sortWithinPartitions("part", "h", "win")
+        means = part.mapInPandas(_fitter(state, turn), "part int, n long, flat binary")
+        got = means.groupBy(F.pmod("part", F.lit(16)).alias("some")).applyInPandas(_average, "part int, n long, flat binary").collect()  # 16 models
         if got:
-            weight = np.array([r.n for r in got], float)
-            flat = np.average([np.frombuffer(r.flat, "<f4") for r in got], axis=0, weights=weight).astype(np.float32)
+            flat = _mean((r.n, r.flat) for r in sorted(got, key=lambda r: r.part))[1]
         state.unpersist()
     return flat, v
 
@@ -350,7 +398,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] + n_train, sums["v"] + (n_train > 0)
     frequent = spark.sparkContext.broadcast({r.w: r.c for r in counts.orderBy(F.desc("c"), "w").limit(FREQUENT).toLocalIterator()})
-    model = spark.sparkContext.broadcast(train_model(train, spec, "_text"))
+    model = spark.sparkContext.broadcast(train_model(train, spec, "_text", "doc_id"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         subwords = Subwords(spec.value)

@@ -175,6 +175,21 @@ def test_lm_trains_on_every_place(spark):
         assert (flat != lm_score.Attention.fresh(v.bias)).any(), text
 
 
+def test_lm_parts(spark, monkeypatch):
+    import pandas as pd
+
+    pdf = pd.DataFrame({"part": [0] * 25 + [1] * 3, "win": [b"a"] * 28})
+    assert [(g, len(w)) for g, w in lm_score._parts(iter([pdf[:7], pdf[7:]]), 10)] == [(0, 10), (0, 10), (0, 5), (1, 3)]
+    with open(bpe.default_vocabulary(), encoding="utf-8") as f:
+        spec = spark.sparkContext.broadcast(f.read())
+    dealt, deal = [], lm_score.in_parts
+    monkeypatch.setattr(lm_score, "PART", 20)
+    monkeypatch.setattr(lm_score, "in_parts", lambda win, n: dealt.append(deal(win, n)) or dealt[-1])
+    lm_score.train_model(spark.createDataFrame([(i, "one text in many copies") for i in range(600)], "doc_id long, text string"), spec, doc_id="doc_id")
+    sizes = [r["count"] for r in dealt[0].groupBy("turn", "part").count().collect()]
+    assert sum(sizes) == 600 and len(sizes) == 30 and max(sizes) < 3 * 20
+
+
 def test_lm_base(spark, data):
     rows = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
     out = {r.doc_id: r for r in lm_score.op5_lm_score(spark, data).collect()}
