@@ -183,8 +183,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Equal sets are one class from the start. A band of registers deals the
     classes into buckets; the members of a bucket are compared with its
     smallest member only, then those that failed with the 4, 16, ... smallest of
-    them, until none are left, so no bucket makes all its pairs; what hangs
-    together by then is not compared again. Failing members may still be
+    them, until none are left. Failing members may still be
     linked to one that passed: by the triangle inequality of the Jaccard
     distance only if they are within twice the allowed distance of the
     one that it was compared with; those that ended in another component are compared.
@@ -197,7 +196,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     bands = [F.struct(F.lit(i).alias("band"), F.xxhash64(F.lit(i), F.expr(f"substring(registers, {1 + 2 * BAND * i}, {2 * BAND})")).alias("key")) for i in range(REGISTERS // BAND)]
     open_ = classes.select("node", F.explode(F.array(*bands)).alias("x")).select("node", "x.band", "x.key")
     compared: DataFrame | None = None
-    component: DataFrame | None = None
     members: list[DataFrame] = []
     turn = 0
     while True:
@@ -207,9 +205,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             rank = Window.partitionBy("band", "key").orderBy("node")
             first = open_.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= 4**turn).select("band", "key", F.col("node").alias("a"))
         member = open_.join(first, ["band", "key"]).where("node > a").select("band", "key", "a", F.col("node").alias("b"))
-        # what hangs together already need not be compared
-        every = stored(_with_apart(member, component) if component is not None else member.withColumn("apart", F.lit(True)), "dedup-members")
-        member = every.where("apart").drop("apart")
+        # members that hang together by a chain are compared too: what they are linked with may be far from the pivot
+        member = stored(member, "dedup-members")
         if member.isEmpty():
             break
         pairs = member.select("a", "b").distinct()
@@ -217,17 +214,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         fresh = _verified(pairs, classes, docs, doc_id, text, n, threshold)
         compared = fresh if compared is None else compared.union(fresh)
-        if component is None or not fresh.where("linked").isEmpty():
-            component = stored(connected_components(compared.where("linked").select("a", "b"), "a", "b"), "dedup-comp")
         judged = member.join(compared.select("a", "b", "linked"), ["a", "b"])
         failed = judged.groupBy("band", "key", F.col("b").alias("node")).agg(F.bool_or("linked").alias("linked")).where("not linked").select("band", "key", "node")
         pivots = member.select("band", "key", F.col("a").alias("node")).distinct()
         open_ = stored(failed.join(pivots, ["band", "key", "node"], "left_anti"), "dedup-open")
-        members.append(every.withColumn("turn", F.lit(turn)))
+        members.append(member.withColumn("turn", F.lit(turn)))
         turn += 1
 
     if compared is None:
         return _result(rows, classes, None)
+    component = stored(connected_components(compared.where("linked").select("a", "b"), "a", "b"), "dedup-comp")
     rest = _leftovers(members, compared, component, classes, threshold)
     rest = stored(rest.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "dedup-rest")
     if not rest.isEmpty():
@@ -242,8 +238,7 @@ def _leftovers(members: list[DataFrame], compared: DataFrame, component: DataFra
     What is linked with a pivot is in the pivot's component; v must be in
     another. The Jaccard distance obeys the triangle inequality, so v is
     within twice the allowed distance of the pivot, and u is not much nearer
-    to it (what hung together with the pivot without being compared may be at
-    any distance). A pair is made in the first band that it shares only: in every
+    to it. A pair is made in the first band that it shares only: in every
     band it shares it meets this test, or cannot be linked.
     """
     d = 1 - threshold
@@ -252,12 +247,11 @@ def _leftovers(members: list[DataFrame], compared: DataFrame, component: DataFra
     rows = members[0]
     for m in members[1:]:
         rows = rows.union(m)
-    together = rows.where("not apart").select("band", "key", "turn", "a", F.col("b").alias("u"), F.lit(0.0).alias("ju"))
-    rows = rows.where("apart").join(near, ["a", "b"])
+    rows = rows.join(near, ["a", "b"])
     failed = rows.where("not linked").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
     failed = stored(failed.select("band", "key", "turn", "a", F.col("b").alias("v"), F.col("jaccard").alias("jv")), "dedup-failed")
     group = ["band", "key", "turn", "a"]
-    passed = rows.where("linked").select(*group, F.col("b").alias("u"), F.col("jaccard").alias("ju")).union(together)
+    passed = rows.where("linked").select(*group, F.col("b").alias("u"), F.col("jaccard").alias("ju"))
     passed = passed.join(failed.select(*group).distinct(), group, "left_semi")
     side = lambda k: classes.select(F.col("node").alias(k), F.col("marks").alias(f"m{k}"), F.col("n_shingles").alias(f"n{k}"))
     earlier = F.exists(F.sequence(F.lit(1), F.col("band")), lambda i: F.substring("mu", 4 * i - 3, F.lit(4)) == F.substring("mv", 4 * i - 3, F.lit(4)))
@@ -265,13 +259,6 @@ def _leftovers(members: list[DataFrame], compared: DataFrame, component: DataFra
     return failed.join(side("v"), "v").join(passed.join(side("u"), "u"), group).where(fits & ~F.coalesce((F.col("band") > 0) & earlier, F.lit(False))).select("u", "v")
 
 
-def _with_apart(member: DataFrame, component: DataFrame) -> DataFrame:
-    """Members, and whether they are in another component than their pivot."""
-    of = lambda name: component.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
-    both = member.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return both.select("band", "key", "a", "b", (F.coalesce("ca", "a") != F.coalesce("cb", "b")).alias("apart"))
-
-
 def _result(rows: DataFrame, classes: DataFrame, component: DataFrame | None) -> DataFrame:
     found = classes.select("node", "first_id")
     if component is not None:

@@ -341,6 +341,38 @@ def test_near_duplicate_family(spark):
     assert got == want
 
 
+def test_near_duplicates_beyond_a_chain(spark, monkeypatch):
+    """u hangs together with all pivots of a bucket by a chain; only there it meets v, which is near u alone."""
+    import pandas as pd
+    import xxhash
+    from pyspark.sql import functions as F
+
+    from evidence_atlas.llm.common import WordHasher
+
+    ends = range(0, 121, 10)  # a text drifts by ten words a step
+    for seed in range(20_000):
+        words = [f"{seed}w{i}" for i in range(400)]
+        texts = [" ".join(words[i : i + 203]) for i in ends] + [" ".join(words[140:343]), " ".join(f"{seed}p{i}" for i in range(203))]
+        at = [xxhash.xxh3_128_digest(s.tobytes()) for i in (-1, 0, 1, 2, 3, 12, 13) for s in near_dedup._sets([texts[i]], WordHasher(), 4)]
+        if at[0] < min(at[1:]) and max(at[1:5]) < min(at[5:]):
+            break
+    shared = {(i, b): f"chain{max(i - (i + b) % 2, 0)}" for i in range(13) for b in (0, 1)} | {(i, 2): "bucket" for i in (0, 1, 2, 3, 12, 13, 14)}
+    registers = [b"".join(xxhash.xxh64_digest(shared.get((i, b), f"{i} {b}")) for b in range(24)) for i in range(15)]
+    marks = [b"".join(r[8 * b : 8 * b + 4] for b in range(24)) for r in registers]
+    sketched = near_dedup.sketch_documents
+
+    def with_registers(*args):
+        made = spark.createDataFrame([(i, r, m) for i, (r, m) in enumerate(zip(registers, marks))], "doc_id long, registers binary, marks binary")
+        return sketched(*args).drop("registers", "marks").join(F.broadcast(made), "doc_id").select("doc_id", "n_shingles", "node", "registers", "marks")
+
+    monkeypatch.setattr(near_dedup, "sketch_documents", with_registers)
+    monkeypatch.setattr(near_dedup, "MARGIN", 2.0)
+    docs = spark.createDataFrame(pd.DataFrame({"doc_id": range(15), "text": texts}))
+    want = components_by_force(docs.collect(), 4)
+    assert want[13][1] == 0
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.near_duplicates(docs).collect()} == want
+
+
 def test_sketches():
     r = np.random.default_rng(2)
     pool = r.integers(0, 2**63, 3000).astype(np.uint64)
