@@ -294,6 +294,35 @@ def test_repeated_passages(spark, data):
     assert all(x <= got[d] for d, x in want.items())
 
 
+def test_passages_in_mixed_groups(spark, monkeypatch):
+    """Texts of a family share a phrase; two in the middle share a passage around it."""
+    monkeypatch.setattr(substring_dedup, "HASHES", 2)
+    r, rows = random.Random(4), []
+    for f in range(12):
+        fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+        phrase, tail = fresh(30), fresh(22)
+        rows += [(100 * f + i, " ".join(fresh(60) + phrase + (tail if i in (5, 9) else []) + fresh(60))) for i in range(14)]
+    got = {(x.doc_id, x.source_id, x.start, x.end) for x in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(100 * f + 9, 100 * f + 5, 60, 112) for f in range(12)}
+
+
+def test_near_passages(spark):
+    """50-word passages with one or two words changed, against comparing all pairs."""
+    r, rows = random.Random(8), []
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    for k in range(80):
+        passage = fresh(50)
+        other = list(passage)
+        for i in r.choice([[25], [15, 33]]):
+            other[i] = "changed"
+        rows += [(2 * k, " ".join(fresh(40) + passage + fresh(40))), (2 * k + 1, " ".join(fresh(40) + other + fresh(40)))]
+    hasher = substring_dedup.WordHasher()
+    arrays = [hasher.array(words_of(t)) for _, t in rows]
+    want = {(d, s, e, d - 1) for d in range(1, 160, 2) for s, e, *_ in substring_dedup.common_passages(arrays[d], substring_dedup.indexed(arrays[d - 1]))}
+    got = {(x.doc_id, x.start, x.end, x.source_id) for x in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) == 80 and got == want
+
+
 def components_by_force(rows, n, threshold=0.8):
     sets = {}
     for d in rows:
