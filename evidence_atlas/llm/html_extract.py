@@ -41,17 +41,24 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("children", "marks", "slot", "tag")
+    __slots__ = ("children", "marks", "shape", "slot", "tag")
 
     def __init__(self, tag: str, marks: frozenset):
-        self.tag, self.marks, self.children, self.slot = tag, marks, [], -1
+        self.tag, self.marks, self.children, self.slot, self.shape = tag, marks, [], -1, None
 
 
 def parse(page: str) -> Node:
     """The DOM tree: nodes and, as plain strings, their texts (undecoded)."""
     root = Node("#", frozenset())
     open_ = [root]
+    count = {"#": 1}  # of open elements by tag, so that no search for one is in vain
     at, size = 0, len(page)
+
+    def close(i: int) -> None:
+        for node in open_[i:]:
+            count[node.tag] -= 1
+        del open_[i:]
+
     for_end = None
     while at < size:
         m = for_end if for_end else _TOKEN.search(page, at)
@@ -67,24 +74,22 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if m[1]:
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].tag == tag:
-                    del open_[i:]
-                    break
+            if count.get(tag):
+                close(next(i for i in range(len(open_) - 1, 0, -1) if open_[i].tag == tag))
             continue
-        if tag in BLOCK:
+        if tag in BLOCK and count.get("p"):
             for i in range(len(open_) - 1, 0, -1):
                 if open_[i].tag == "p":
-                    del open_[i:]
+                    close(i)
                     break
                 if open_[i].tag in BLOCK:
                     break
-        if tag in CLOSES:
+        if tag in CLOSES and any(count.get(x) for x in CLOSES[tag]):
             for i in range(len(open_) - 1, 0, -1):
                 if open_[i].tag in SCOPE[tag]:
                     break
                 if open_[i].tag in CLOSES[tag]:
-                    del open_[i:]
+                    close(i)
                     if tag != "tr":
                         break
         words: set[str] = set()
@@ -99,72 +104,141 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
         elif tag not in VOID and not m[3].endswith("/") or tag in BLOCK and tag not in VOID:
-            if len(open_) < 200:
-                open_.append(node)
+            open_.append(node)
+            count[tag] = count.get(tag, 0) + 1
     return root
 
 
 Skeleton = tuple  # (signature, (child skeletons))
 
 
-def skeleton(node: Node) -> Skeleton:
-    """The tree without texts, a run of equal siblings given once.
+def _structure(node: Node) -> list[Node]:
+    """The children that carry structure: inline elements do not."""
+    return [c for c in node.children if isinstance(c, Node) and (c.tag in BLOCK or c.tag in RAW)]
+
 
-    Inline elements carry no structure and are left out.
+def skeleton(root: Node) -> Skeleton:
+    """The tree without texts, a run of equal siblings given once; noted at every node.
+
+    Equal subtrees are one object, so that they are compared by identity.
     """
-    parts: list[Skeleton] = []
-    for child in node.children:
-        if isinstance(child, Node) and (child.tag in BLOCK or child.tag in RAW):
-            s = skeleton(child)
-            if not parts or parts[-1] != s:
-                parts.append(s)
-    marks = " ".join(sorted(w for w in node.marks if not w.isdigit()))
-    return (f"{node.tag}.{marks}" if marks else node.tag, tuple(parts))
+    order, known = [root], {}
+    for node in order:  # grows: parents stand before their children
+        order += _structure(node)
+    for node in reversed(order):
+        parts: list[Skeleton] = []
+        for child in _structure(node):
+            if not parts or parts[-1] is not child.shape:
+                parts.append(child.shape)
+        marks = " ".join(sorted(w for w in node.marks if not w.isdigit()))
+        made = (f"{node.tag}.{marks}" if marks else node.tag, tuple(parts))
+        node.shape = known.setdefault((made[0], *map(id, parts)), made)
+    return root.shape
+
+
+def preorder(s: Skeleton) -> list[tuple[int, Skeleton]]:
+    """(depth, subtree) of every node, in the order in which nodes are numbered."""
+    out, stack = [], [(0, s)]
+    while stack:
+        depth, x = stack.pop()
+        out.append((depth, x))
+        stack += [(depth + 1, child) for child in reversed(x[1])]
+    return out
+
+
+def flat(s: Skeleton) -> str:
+    """A shape as lines of depth and signature, in preorder."""
+    return "\n".join(f"{depth} {x[0]}" for depth, x in preorder(s))
+
+
+def unflat(text: str) -> Skeleton:
+    rows = [line.split(" ", 1) for line in text.split("\n")]
+    below: dict[int, list[Skeleton]] = {}
+    for depth, signature in reversed(rows):  # children stand after their parents
+        made = (signature, tuple(reversed(below.pop(int(depth) + 1, []))))
+        below.setdefault(int(depth), []).append(made)
+    return below[0][0]
+
+
+def _row(x: Skeleton, b: Skeleton, row: list[int], memo: dict) -> list[int]:
+    new = [0]
+    for j, y in enumerate(b[1]):
+        new.append(max(row[j + 1], new[j], row[j] + (memo[id(x), id(y)] if x[0] == y[0] else 0)))
+    return new
 
 
 def weigh(a: Skeleton, b: Skeleton, memo: dict) -> int:
-    """Simple tree matching: most nodes that match in order, level by level."""
+    """Simple tree matching: most nodes that match in order, level by level.
+
+    memo holds what is known of pairs by identity, while both trees live.
+    """
     if a[0] != b[0]:
         return 0
-    key = (a, b)
-    if key not in memo:
-        row = [0] * (len(b[1]) + 1)
-        for x in a[1]:
-            new = [0]
-            for j, y in enumerate(b[1]):
-                new.append(max(row[j + 1], new[j], row[j] + weigh(x, y, memo)))
-            row = new
-        memo[key] = 1 + row[-1]
-    return memo[key]
-
-
-def align(a: Skeleton, b: Skeleton, memo: dict, number: dict[int, int], out: dict[tuple, int], path: tuple = (), at: tuple = ()) -> None:
-    """Note at out[path in a] the number of the node of b that it is matched with."""
-    if a[0] != b[0]:
-        return
-    out[path] = number[at]
-    table = [[0] * (len(b[1]) + 1)]
-    for x in a[1]:
-        new = [0]
-        for j, y in enumerate(b[1]):
-            new.append(max(table[-1][j + 1], new[j], table[-1][j] + weigh(x, y, memo)))
-        table.append(new)
-    i, j = len(a[1]), len(b[1])
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            align(a[1][i], b[1][j], memo, number, out, (*path, i), (*at, j))
+    stack = [(a, b, False)]
+    while stack:
+        x, y, ready = stack.pop()
+        if (id(x), id(y)) in memo:
+            continue
+        if not ready:
+            stack.append((x, y, True))
+            stack += [(u, v, False) for u in x[1] for v in y[1] if u[0] == v[0] and (id(u), id(v)) not in memo]
+            continue
+        row = [0] * (len(y[1]) + 1)
+        for u in x[1]:
+            row = _row(u, y, row, memo)
+        memo[id(x), id(y)] = 1 + row[-1]
+    return memo[id(a), id(b)]
+
+
+def _firsts(s: Skeleton) -> list[list[int]]:
+    """For every node by number, the numbers of its children."""
+    out, at = [], {}
+    for i, (depth, _) in enumerate(preorder(s)):
+        out.append([])
+        at[depth] = i
+        if depth:
+            out[at[depth - 1]].append(i)
+    return out
 
 
-def numbered(s: Skeleton, path: tuple = (), out: dict | None = None) -> dict[tuple, int]:
-    out = {} if out is None else out
-    out[path] = len(out)
-    for i, child in enumerate(s[1]):
-        numbered(child, (*path, i), out)
+def matched(a: Skeleton, b: Skeleton, memo: dict) -> dict[int, int]:
+    """Number of a node of a -> number of the node of b that it is matched with."""
+    if not weigh(a, b, memo):
+        return {}
+    out, below_a, below_b = {}, _firsts(a), _firsts(b)
+    stack = [(a, b, 0, 0)]
+    while stack:
+        x, y, m, n = stack.pop()
+        out[m] = n
+        table = [[0] * (len(y[1]) + 1)]
+        for u in x[1]:
+            table.append(_row(u, y, table[-1], memo))
+        i, j = len(x[1]), len(y[1])
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                stack.append((x[1][i], y[1][j], below_a[m][i], below_b[n][j]))
+    return out
+
+
+def align(a: Skeleton, b: Skeleton, memo: dict, number: dict[tuple, int], out: dict[tuple, int]) -> None:
+    """Note at out[path in a] the number of the node of b that it is matched with."""
+    paths, order = list(numbered(a)), {n: p for p, n in number.items()}
+    out.update({paths[m]: number[order[n]] for m, n in matched(a, b, memo).items()})
+
+
+def numbered(s: Skeleton) -> dict[tuple, int]:
+    """Path -> number, in preorder."""
+    out: dict[tuple, int] = {}
+    stack: list[tuple[tuple, Skeleton]] = [((), s)]
+    while stack:
+        path, x = stack.pop()
+        out[path] = len(out)
+        stack += [((*path, i), child) for i, child in reversed(list(enumerate(x[1])))]
     return out
 
 
@@ -172,33 +246,30 @@ class Aligner:
     """Slots of a page's nodes in the reference page of its host; remembers shapes."""
 
     def __init__(self):
-        self.known: dict[tuple[Skeleton, str], dict[tuple, int]] = {}
+        self.known: dict[tuple[str, str], dict[int, int]] = {}
 
-    def slots(self, shape: Skeleton, reference: str) -> dict[tuple, int]:
-        key = (shape, reference)
+    def slots(self, shape: Skeleton, reference: str) -> dict[int, int]:
+        key = (flat(shape), reference)
         if key not in self.known:
             if len(self.known) > 20_000:
                 self.known.clear()
-            import ast
-
-            ref = ast.literal_eval(reference)
-            out: dict[tuple, int] = {}
-            align(shape, ref, {}, numbered(ref), out)
-            self.known[key] = out
+            self.known[key] = matched(shape, unflat(reference), {})
         return self.known[key]
 
     def mark(self, root: Node, reference: str | None) -> None:
-        if reference:
-            self._mark(root, skeleton(root), self.slots(skeleton(root), reference), ())
-
-    def _mark(self, node: Node, shape: Skeleton, slots: dict, path: tuple) -> None:
-        node.slot = slots.get(path, -1)
-        i = -1
-        for child in node.children:
-            if isinstance(child, Node) and (child.tag in BLOCK or child.tag in RAW):
-                if i < 0 or shape[1][i] != skeleton(child):
-                    i += 1
-                self._mark(child, shape[1][i], slots, (*path, i))
+        if not reference:
+            return
+        shape = skeleton(root)
+        slots, below = self.slots(shape, reference), _firsts(shape)
+        stack = [(root, 0)]
+        while stack:
+            node, number = stack.pop()
+            node.slot = slots.get(number, -1)
+            i, last = -1, None
+            for child in _structure(node):
+                if child.shape is not last:
+                    i, last = i + 1, child.shape
+                stack.append((child, below[number][i]))
 
 
 def _boiler(node: Node, in_article: bool) -> bool:
@@ -222,29 +293,34 @@ def blocks(root: Node) -> Iterator[tuple[str, int, bool, float]]:
         parts.clear()
         linked[0] = 0
 
-    def walk(node: Node, slot: int, inside: bool, link: bool) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                parts.append(child)
-                if link:
-                    linked[0] += len(child.strip())
-                continue
-            if child.tag == "br":
-                parts.append(" ")
-                continue
-            if _boiler(child, inside):
-                if child.tag in BLOCK:
-                    flush(slot, inside)
-                continue
-            within = inside or child.tag in ("article", "main") or bool(child.marks & ARTICLE) or child.marks >= {"role", "main"}
+    stack: list[tuple] = [(iter(root.children), root.slot, False, False, False)]
+    while stack:
+        children, slot, inside, link, last = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+            if last:
+                flush(slot, inside)
+            continue
+        if isinstance(child, str):
+            parts.append(child)
+            if link:
+                linked[0] += len(child.strip())
+            continue
+        if child.tag == "br":
+            parts.append(" ")
+            continue
+        if _boiler(child, inside):
             if child.tag in BLOCK:
                 flush(slot, inside)
-                walk(child, child.slot if child.slot >= 0 else slot, within, link)
-                flush(child.slot if child.slot >= 0 else slot, within)
-            else:
-                walk(child, slot, within, link or child.tag == "a")
+            continue
+        within = inside or child.tag in ("article", "main") or bool(child.marks & ARTICLE) or child.marks >= {"role", "main"}
+        if child.tag in BLOCK:
+            flush(slot, inside)
+            stack.append((iter(child.children), child.slot if child.slot >= 0 else slot, within, link, True))
+        else:
+            stack.append((iter(child.children), slot, within, link or child.tag == "a", False))
 
-    walk(root, root.slot, False, False)
     flush(root.slot, False)
     return iter(found)
 
@@ -289,7 +365,7 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
 
     @F.pandas_udf("string")
     def shape(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: repr(skeleton(parse(t))))
+        return texts.map(lambda t: flat(skeleton(parse(t))))
 
     shapes = rows.groupBy("_host", shape("_html").alias("shape")).agg(F.count("*").alias("n"))
     hosts = stored(shapes.groupBy("_host").agg(F.max_by("shape", F.struct("n", "shape")).alias("_reference"), F.sum("n").alias("_pages")), "html-hosts")

@@ -253,6 +253,15 @@ def test_html_wrapper(spark):
     assert out[9] == "" and out[10] == "x\ny"
 
 
+def test_html_deep_pages(spark):
+    page = "<body><div><p>Welcome to our site</p></div>" + "<div>" * 600 + "<b>" * 700 + "<p>story{0} is told</p><div class='comments'><p>no {0}</p></div>" + "</div>" * 600 + "<div><p>All rights reserved</p></div>"
+    rows = [(i, "http://a.org/", page.format(i)) for i in range(5)] + [(9, "http://b.org/", "<i>" * 300 + "<article><p>in</p></article><nav>menu</nav><p>out")]
+    out = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert out[3] == "story3 is told" and out[9] == "in"
+    shape = html_extract.skeleton(html_extract.parse(rows[0][2]))
+    assert html_extract.flat(html_extract.unflat(html_extract.flat(shape))) == html_extract.flat(shape)
+
+
 def test_tree_matching():
     a = ("a", (("b", ()), ("c", (("d", ()),)), ("e", ())))
     b = ("a", (("c", (("d", ()),)), ("x", ()), ("e", ())))
