@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -62,30 +61,42 @@ class WordHasher(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder under the shared checkpoint folder of the cluster.
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir.
 
-    Only where none is configured (single-machine tests) a local one is used.
+    Only a local master, as in tests, may do without one: a local folder is
+    then used. A cluster without one is refused, since its machines share none.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        base = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(base or "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        sc.setCheckpointDir(_shared_folder(spark))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = scratch(spark, label)
+    path = f"{_shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def release(*done: DataFrame) -> None:
+    """Delete what ``stored`` wrote for tables that nothing will read again."""
+    for df in done:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(column: str = "text"):

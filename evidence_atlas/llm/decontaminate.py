@@ -188,7 +188,7 @@ def remove_spans(text: str, spans: list[list[int]]) -> str:
     """The text without the hit words; what stands before and after is joined by a space."""
     if not spans:
         return text
-    at = [m.span() for m in WORD.finditer(text)]
+    at = [m.span() for m in WORD.finditer(lower_ascii(text))]  # lower-casing moves nothing
     parts, start = [], 0
     for a, b in spans:
         parts.append(text[start : at[a][0]].rstrip())

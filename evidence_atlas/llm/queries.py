@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from corpus_pipeline import run as pipeline
-
 from .ann import OP4_SQL, op4_ann
 from .bpe import op3_bpe
 from .chat import OP6_SQL, op6_chat
@@ -12,6 +10,7 @@ from .html_extract import op7_html
 from .lm_score import op5_lm_score
 from .near_dedup import OP9_SQL, op9_near_dedup
 from .pii import OP1_SQL, op1_pii
+from .pipeline import run as pipeline
 from .quality import op2_quality
 from .substring_dedup import op8_substring_dedup
 

@@ -127,7 +127,7 @@ def test_decontaminate(docs, none, items):
 
 
 def test_stages(spark, docs, none, labels, items, tmp_path):
-    import corpus_pipeline
+    from evidence_atlas.llm import pipeline as corpus_pipeline
 
     for name, table in (("labels", labels.where("doc_id = 1")), ("benchmark", items), ("documents", docs)):
         table.write.parquet(f"{tmp_path}/{name}.parquet")
@@ -146,7 +146,7 @@ def test_stages(spark, docs, none, labels, items, tmp_path):
 
 
 def test_pipeline_by_force(spark, data):
-    import corpus_pipeline
+    from evidence_atlas.llm import pipeline as corpus_pipeline
     from test_exact import components_by_force
 
     docs = spark.read.parquet(f"{data}/documents.parquet")

@@ -450,3 +450,37 @@ def test_automata_in_shards(spark, data, monkeypatch):
     whole = get()
     monkeypatch.setattr(decontaminate, "SHARD_WORDS", 300)
     assert get() == whole
+
+
+def test_clean_text_by_force():
+    """Mixed case, odd signs and repeats: the hit words go, all else stays in its place."""
+    r = random.Random(11)
+    words = ["The", "QUICK", "brown", "Fox", "jumps", "över", "É", "42nd", "lazy-dog", "x.Y", "a"]
+    for _ in range(400):
+        window = r.randint(2, 4)
+        text = "".join(r.choice(words) + r.choice([" ", ", ", "\n", " - ", "  "]) for _ in range(r.randint(0, 25)))
+        items = [(i, " ".join(r.choice(words) for _ in range(r.randint(0, 6)))) for i in range(4)]
+        spans, _ = decontaminate.ItemAutomaton([(i, decontaminate.words_of(x)) for i, x in items], window).hits(decontaminate.words_of(text))
+        low = text.lower()  # no letter here changes its length or is outside A-Z but for these
+        places = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text))]
+        assert len(low) == len(text)
+        hit = set()
+        for _, item in items:
+            ws = decontaminate.words_of(item)
+            n = min(len(ws), window)
+            mine = decontaminate.words_of(text)
+            for i in range(len(ws) - n + 1 if n else 0):
+                for j in range(len(mine) - n + 1):
+                    if mine[j : j + n] == ws[i : i + n]:
+                        hit |= set(range(j, j + n))
+        got = decontaminate.remove_spans(text, spans)
+        assert decontaminate.words_of(got) == [w for j, w in enumerate(decontaminate.words_of(text)) if j not in hit]
+        if not hit:
+            assert got == text
+        elif len(hit) == len(places):
+            assert got.strip() == "" or not decontaminate.words_of(got)
+        else:
+            kept = [text[a:b] for j, (a, b) in enumerate(places) if j not in hit]
+            assert [m[0] for m in re.finditer(r"\w+", got)] == [m[0] for k in kept for m in re.finditer(r"\w+", k)]
+    assert decontaminate.remove_spans("The Quick BROWN fox Jumps over the Lazy dog", [[3, 4]]) == "The Quick BROWN Jumps over the Lazy dog"
+    assert decontaminate.remove_spans("ALL CAPS TEXT HERE", [[1, 4]]) == "ALL"
