@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WordHasher, mix64, stored, text_or_empty, words_of
+from .common import WordHasher, mix64, release, stored, text_or_empty, words_of
 from .components import connected_components
 
 #: SetSketch: registers, base of the exponential spacing, rate, and registers in a band.
@@ -90,22 +90,22 @@ def _sets(texts, hasher: WordHasher, n: int) -> Iterator[np.ndarray]:
         yield shingle_hashes(hasher.array(words_of(t)), n)
 
 
-def sketch_documents(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
-    """(doc_id, n_shingles, node, registers, marks); node names the set: equal sets, equal nodes.
+def _row_key(doc_id: str, text: str):
+    """Names a row by what it says: rows share it only if id and text are the same."""
+    return F.xxhash64(F.col(doc_id), text_or_empty(text))
 
-    marks has four bytes for each band, a hash of its registers.
-    """
 
-    @F.pandas_udf("n_shingles long, node binary, registers binary, marks binary")
+def sketch_documents(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
+    """(doc_id, row, n_shingles, node, registers); node names the set: equal sets, equal nodes."""
+
+    @F.pandas_udf("n_shingles long, node binary, registers binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         hasher = WordHasher()
 
         def finish(sets):
-            rows = sketch(sets)
-            marks = (mix64(rows.view("<u8")) >> np.uint64(32)).astype("<u4")
-            return [(len(s), xxhash.xxh3_128_digest(s.tobytes()), r.tobytes(), m.tobytes()) if len(s) else (0, None, None, None) for s, r, m in zip(sets, rows, marks, strict=True)]
+            return [(len(s), xxhash.xxh3_128_digest(s.tobytes()), r.tobytes()) if len(s) else (0, None, None) for s, r in zip(sets, sketch(sets), strict=True)]
 
         for texts in batches:
             out, part, size = [], [], 0
@@ -115,13 +115,68 @@ def sketch_documents(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFra
                 if size > 400_000:
                     out += finish(part)
                     part, size = [], 0
-            yield pd.DataFrame(out + finish(part), columns=["n_shingles", "node", "registers", "marks"])
+            yield pd.DataFrame(out + finish(part), columns=["n_shingles", "node", "registers"])
+
+    return docs.select(F.col(doc_id).alias("doc_id"), _row_key(doc_id, text).alias("row"), run(text_or_empty(text)).alias("s")).select("doc_id", "row", "s.*")
+
+
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """(key, node) of every band's bucket that holds at least two classes."""
+    keys = F.array(*[F.xxhash64(F.lit(i), F.expr(f"substring(registers, {1 + 2 * BAND * i}, {2 * BAND})")) for i in range(REGISTERS // BAND)])
+    every = classes.select("node", F.explode(keys).alias("key"))
+    several = every.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    return every.join(several, "key")
+
+
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
+    """(node, items, registers, size) of the given nodes, from the whole text of one row of each class."""
+
+    @F.pandas_udf("node binary, items array<long>")
+    def full_set(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        hasher = WordHasher()
+        for texts in batches:
+            yield pd.DataFrame([(xxhash.xxh3_128_digest(s.tobytes()), s.view(np.int64)) for s in _sets(texts, hasher, n)], columns=["node", "items"])
+
+    # else the comparison of its result would move it below the join, to every document
+    full_set = full_set.asNondeterministic()
+    where = nodes.join(classes, "node").select(F.col("node").alias("_node"), "registers", F.col("n_shingles").alias("size"), F.col("row").alias("_row"))
+    rows = docs.select(_row_key(doc_id, text).alias("_row"), text_or_empty(text).alias("_text"))
+    of = rows.join(where, "_row").select("_node", "registers", "size", full_set("_text").alias("s"))
+    return of.where("_node = s.node").select("s.*", "registers", "size").dropDuplicates(["node"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), run(text_or_empty(text)).alias("s")).select("doc_id", "s.*")
 
+def supported(sets: DataFrame, percent: int) -> DataFrame:
+    """(node) of the sets that can be linked at all: enough of their items stand in another of the sets.
 
-def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """pairs(a, b) with the estimate of their similarity."""
+    What two sets share stands in both, so a set whose items are its own for
+    more than the allowed part is linked with none of the others. Items that
+    stand once are counted for the one set that has them.
+    """
+    short = F.xxhash64("node").alias("short")
+    items = sets.select(short, F.explode("items").alias("item"))
+    lonely = items.groupBy("item").agg(F.count("*").alias("times"), F.min("short").alias("short")).where("times = 1").groupBy("short").agg(F.count("*").alias("lonely"))
+    rest = F.col("size") - F.coalesce("lonely", F.lit(0))
+    return sets.select("node", short, "size").join(lonely, "short", "left").where(100 * rest >= percent * F.col("size")).select("node")
+
+
+#: Pairs for which one copy of a pivot's set is sent, so that a pivot of very many pairs is no single key.
+PARTNERS = 128
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, estimates: bool = False) -> DataFrame:
+    """pairs(a, b, ...) with the items and sizes of both; a may stand in very many pairs."""
+    more = ["registers"] if estimates else []
+    side = lambda k: [F.col("node").alias(k), F.col("items").alias(f"i{k}"), F.col("size").alias(f"n{k}"), *[F.col(m).alias(f"r{k}") for m in more]]
+    copies = pairs.groupBy("a").agg((F.floor(F.count("*") / PARTNERS) + 1).cast("int").alias("copies"))
+    few = copies.withColumnRenamed("a", "node").join(sets, "node").select(*side("a"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
+    salted = pairs.join(copies, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")).drop("copies")
+    return salted.join(sets.select(*side("b")), "b").join(few, ["a", "salt"]).drop("salt")
+
+
+def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs(a, b) that are linked: by likelihood over the registers first, those near enough on their full sets."""
 
     @F.pandas_udf("double")
     def estimate(x: pd.Series, y: pd.Series, nx: pd.Series, ny: pd.Series) -> pd.Series:
@@ -133,140 +188,135 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             out.append(joint_estimate(*rows, nx.iloc[i : i + 2000].to_numpy(float), ny.iloc[i : i + 2000].to_numpy(float)))
         return pd.Series(np.concatenate(out))
 
-    side = lambda k: classes.select(F.col("node").alias(k), F.col("registers").alias(f"r{k}"), F.col("n_shingles").alias(f"n{k}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", estimate("ra", "rb", "na", "nb").alias("est"))
+    both = _with_sets(pairs.select("a", "b"), sets, estimates=True).where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    near = both.withColumn("est", estimate("ra", "rb", "na", "nb")).where(F.col("est") >= percent / 100 - MARGIN)
+    common = F.size(F.array_intersect("ia", "ib")).cast("long")
+    return near.where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int, threshold: float) -> DataFrame:
-    """pairs(a, b) with jaccard: exact where the estimate is near the threshold, else the estimate."""
+def _labelled(rows: DataFrame, component: DataFrame) -> DataFrame:
+    """rows(node, ...) with the component of each node; a node without links is its own."""
+    return rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-    @F.pandas_udf("node binary, items array<long>")
-    def full_set(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        import xxhash
 
-        hasher = WordHasher()
-        for texts in batches:
-            yield pd.DataFrame([(xxhash.xxh3_128_digest(s.tobytes()), s.view(np.int64)) for s in _sets(texts, hasher, n)], columns=["node", "items"])
+def pivot_cells(members: DataFrame) -> DataFrame:
+    """(a, node, component): the nodes of all buckets of a pivot a, where they are not one component yet.
 
-    # else the comparison of its result would move it below the join, to every document
-    full_set = full_set.asNondeterministic()
-    est = stored(_estimated(pairs, classes), "dedup-est")
-    near = est.where(F.col("est") >= threshold - MARGIN)
-    needed = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    where = classes.join(needed, "node").select(F.col("first_id").alias(doc_id), F.col("node").alias("_node"))
-    of = docs.select(doc_id, text_or_empty(text).alias("_text")).join(where.withColumnRenamed(doc_id, "_id"), F.col(doc_id).eqNullSafe(F.col("_id"))).select("_node", full_set("_text").alias("s"))
-    sets = of.where("_node = s.node").select("s.*").dropDuplicates(["node"])
-    sets = stored(sets, "dedup-sets")
-    both = (
-        near.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b")
-        .withColumn("common", F.size(F.array_intersect("ia", "ib")).cast("long"))
-        .withColumn("linked", F.col("common") * 100 >= F.lit(round(threshold * 100)) * (F.col("na") + F.col("nb") - F.col("common")))
-        .select("a", "b", "linked", (F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("jaccard"))
-    )
-    far = est.where(F.col("est") < threshold - MARGIN).select("a", "b", F.lit(False).alias("linked"), F.col("est").alias("jaccard"))
-    return stored(both.union(far), "dedup-links")
+    A bucket's pivot is the least node of the component that has most of its
+    members, so that the many buckets of one family share one pivot, and two
+    members of a bucket always meet in a cell.
+    """
+    by = members.groupBy("key", "component").agg(F.count("*").alias("size"))
+    pivots = by.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("a"), F.count("*").alias("parts")).where("parts > 1").select("key", "a")
+    return members.join(pivots, "key").where("node <> a").select("a", "node", "component").distinct()
+
+
+def open_pairs(cells: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Links with pivots, (a, b); pairs of a cell that may be linked though neither is the pivot; tables to release.
+
+    A set is written as its difference D from the pivot. Two sets differ in
+    |D1| + |D2| - 2 |D1 and D2| items, and are linked if these are at most
+    (100 - p) / (100 + p) of their joint size. With G = (100 + p) |D| -
+    (100 - p) size, the differences must have at least (G1 + G2) / (2 (100 +
+    p)) items in common; this is above 0 unless both sets are linked with the
+    pivot, and then they are in one component. Ordered by how often the items
+    stand in differences of the cell, rarest first, the two therefore have
+    an item in common in their first |D| - needed + 1 (the prefix rule), where
+    edits that only one text has meet nothing. No pair is lost, and a cell is
+    never gathered in one place: pairs meet on (pivot, item).
+    """
+    both = _with_sets(cells.select("a", F.col("node").alias("b"), "component"), sets)
+    diff = F.array_union(F.array_except("ia", "ib"), F.array_except("ib", "ia"))
+    d = F.size("diff").cast("long")
+    size, link = F.col("nb"), (100 + percent) * d <= (100 - percent) * (F.col("na") + F.col("nb"))
+    cut = rows = stored(
+        both.withColumn("diff", diff).select("a", F.col("b").alias("node"), "component", size.alias("size"), d.alias("d"), ((100 + percent) * d - (100 - percent) * size).alias("g"), link.alias("linked"), "diff")
+        .withColumn("out", ~F.col("linked") & (F.col("component") != F.col("a"))),
+        "dedup-cells",
+    )
+    found = rows.where(F.col("linked") & (F.col("component") != F.col("a"))).select("a", F.col("node").alias("b"))
+    least = lambda on: F.min(F.when(on, F.col("g")))
+    open_ = rows.groupBy("a").agg(least(F.col("out")).alias("g_out"), least(F.col("linked")).alias("g_in"), least(~F.col("linked")).alias("g_far")).where("g_out is not null")
+    rows = rows.join(open_, "a")
+    reach = lambda other: F.col("d") - F.ceil((F.col("g") + F.col(other)) / (2.0 * (100 + percent)) - 1e-9) + 1
+    rows = rows.withColumns({"to_in": F.when(F.col("out"), reach("g_in")), "to_far": F.when(F.col("out"), reach("g_far")).otherwise(reach("g_out"))})
+    item = rows.select("a", "node", "component", "size", "d", "g", "linked", "out", "to_in", "to_far", F.explode("diff").alias("item"))
+    times = item.groupBy("a", "item").agg(F.count("*").alias("times")).where("times > 1")
+    order, whole = Window.partitionBy("a", "node").orderBy("times", "item"), Window.partitionBy("a", "node")
+    placed = item.join(times, ["a", "item"]).withColumn("at", F.col("d") - F.count("*").over(whole) + F.row_number().over(order))
+    placed = stored(placed.where(F.col("at") <= F.greatest(F.coalesce("to_in", F.lit(0)), F.coalesce("to_far", F.lit(0)))).drop("times"), "dedup-prefixes")
+    own = ["node", "component", "size", "d", "g", "at", "out"]
+    one = lambda where, k: placed.where(where).select("a", "item", *[F.col(c).alias(f"{c}{k}") for c in own])
+    needed = F.ceil((F.col("g1") + F.col("g2")) / (2.0 * (100 + percent)) - 1e-9)
+    fits = (F.col("at1") <= F.col("d1") - needed + 1) & (F.col("at2") <= F.col("d2") - needed + 1) & (100 * F.least("size1", "size2") >= percent * F.greatest("size1", "size2")) & (F.col("component1") != F.col("component2"))
+    near = one("out and at <= to_in", 1).join(one("linked and at <= to_far", 2), ["a", "item"]).where(fits)
+    far = one("out and at <= to_far", 1).join(one("not linked and at <= to_far", 2), ["a", "item"]).where(fits & (~F.col("out2") | (F.col("node1") < F.col("node2"))))
+    pairs = near.select("node1", "node2").union(far.select("node1", "node2")).select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+    return found, pairs, [cut, placed]
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, threshold: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Documents whose sets of n-word shingles have a Jaccard similarity of at
-    least ``threshold`` are linked; component_id is the smallest doc_id
-    reachable and kept marks the document that has it. Fewer than n words make
-    one shingle; null or empty texts and texts of white space have none and
-    are linked with nothing. A null doc_id counts as no id: it never is a
-    component_id unless nothing else is in the component, which then is null
-    and kept. Repeated rows are returned as often as given. An empty table
-    gives an empty result. Other columns of ``docs`` are not read.
+    least ``threshold`` (whole percents) are linked; component_id is the
+    smallest doc_id reachable and kept marks the document that has it. Fewer
+    than n words make one shingle; null or empty texts and texts of white
+    space have none and are linked with nothing. A null doc_id counts as no
+    id: it never is a component_id unless nothing else is in the component,
+    which then is null and kept. Repeated rows are returned as often as given;
+    ties need no order, every link at the threshold counts. Whole texts are
+    read, however long. An empty table gives an empty result. Other columns of
+    ``docs`` are not read.
 
     Equal sets are one class from the start. A band of registers deals the
-    classes into buckets; the members of a bucket are compared with its
-    smallest member only, then those that failed with the 4, 16, ... smallest of
-    them, until none are left. Failing members may still be
-    linked to one that passed: by the triangle inequality of the Jaccard
-    distance only if they are within twice the allowed distance of the
-    one that it was compared with; those that ended in another component are compared.
+    classes into buckets. Classes that share too few shingles with all others
+    drop out (``supported``), the members of a bucket are compared with its
+    smallest member, and what is then in one component needs no more
+    comparisons. The other pairs of a bucket are found through their
+    differences from a common pivot (``open_pairs``), so that work follows the
+    number of members and not of pairs.
     """
+    percent = round(100 * threshold)
     rows = stored(sketch_documents(docs, doc_id, text, n), "dedup-rows")
     classes = stored(
-        rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("registers").alias("registers"), F.min("marks").alias("marks"), F.min("n_shingles").alias("n_shingles")),
+        rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("row").alias("row"), F.min("registers").alias("registers"), F.min("n_shingles").alias("n_shingles")),
         "dedup-classes",
     )
-    bands = [F.struct(F.lit(i).alias("band"), F.xxhash64(F.lit(i), F.expr(f"substring(registers, {1 + 2 * BAND * i}, {2 * BAND})")).alias("key")) for i in range(REGISTERS // BAND)]
-    open_ = classes.select("node", F.explode(F.array(*bands)).alias("x")).select("node", "x.band", "x.key")
-    compared: DataFrame | None = None
-    members: list[DataFrame] = []
-    turn = 0
-    while True:
-        if turn == 0:
-            first = open_.groupBy("band", "key").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1").select("band", "key", "a")
-        else:
-            rank = Window.partitionBy("band", "key").orderBy("node")
-            first = open_.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= 4**turn).select("band", "key", F.col("node").alias("a"))
-        member = open_.join(first, ["band", "key"]).where("node > a").select("band", "key", "a", F.col("node").alias("b"))
-        # members that hang together by a chain are compared too: what they are linked with may be far from the pivot
-        member = stored(member, "dedup-members")
-        if member.isEmpty():
-            break
-        pairs = member.select("a", "b").distinct()
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = _verified(pairs, classes, docs, doc_id, text, n, threshold)
-        compared = fresh if compared is None else compared.union(fresh)
-        judged = member.join(compared.select("a", "b", "linked"), ["a", "b"])
-        failed = judged.groupBy("band", "key", F.col("b").alias("node")).agg(F.bool_or("linked").alias("linked")).where("not linked").select("band", "key", "node")
-        pivots = member.select("band", "key", F.col("a").alias("node")).distinct()
-        open_ = stored(failed.join(pivots, ["band", "key", "node"], "left_anti"), "dedup-open")
-        members.append(member.withColumn("turn", F.lit(turn)))
-        turn += 1
-
-    if compared is None:
-        return _result(rows, classes, None)
-    component = stored(connected_components(compared.where("linked").select("a", "b"), "a", "b"), "dedup-comp")
-    rest = _leftovers(members, compared, component, classes, threshold)
-    rest = stored(rest.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "dedup-rest")
-    if not rest.isEmpty():
-        more = _verified(rest, classes, docs, doc_id, text, n, threshold).where("linked").select("a", "b")
-        component = stored(connected_components(compared.where("linked").select("a", "b").union(more), "a", "b"), "dedup-comp")
+    buckets = stored(bucket_members(classes), "dedup-buckets")
+    sets = stored(full_sets(buckets.select("node").distinct(), classes, docs, doc_id, text, n), "dedup-sets")
+    alive = stored(supported(sets, percent), "dedup-alive")
+    members = stored(buckets.join(alive, "node", "left_semi"), "dedup-members")
+    release(buckets)
+    first = members.groupBy("key").agg(F.min("node").alias("a"))
+    pairs = stored(members.join(first, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "dedup-pairs")
+    links = stored(linked_pairs(pairs, sets, percent), "dedup-links")
+    component = stored(connected_components(links, "a", "b"), "dedup-component")
+    cells = stored(pivot_cells(_labelled(members, component)), "dedup-pivots")
+    found, rest, used = open_pairs(cells, sets, percent)
+    rest = stored(rest, "dedup-rest")
+    more = stored(found.union(linked_pairs(rest, sets, percent)), "dedup-more")
+    release(sets, alive, members, pairs, links, cells, rest, *used)
+    component = _joined(component, more)
     return _result(rows, classes, component)
 
 
-def _leftovers(members: list[DataFrame], compared: DataFrame, component: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """(u, v) that may still be linked: v failed against a pivot that u is linked with.
+def _joined(component: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after further links between nodes: those of the components, joined to larger ones."""
+    if more.isEmpty():
+        return component
+    of = lambda k: component.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
+    edges = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    larger = stored(connected_components(edges, "a", "b").withColumnRenamed("node", "part").withColumnRenamed("component", "whole"), "dedup-larger")
+    parts = component.unionByName(larger.join(component.select(F.col("component").alias("part")).distinct(), "part", "left_anti").select(F.col("part").alias("node"), F.col("part").alias("component")))
+    return stored(parts.join(larger, F.col("component") == F.col("part"), "left").select("node", F.coalesce("whole", "component").alias("component")), "dedup-component")
 
-    What is linked with a pivot is in the pivot's component; v must be in
-    another. The Jaccard distance obeys the triangle inequality, so v is
-    within twice the allowed distance of the pivot, and u is not much nearer
-    to it. A pair is made in the first band that it shares only: in every
-    band it shares it meets this test, or cannot be linked.
-    """
-    d = 1 - threshold
-    of = lambda name: component.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
-    near = compared.where(F.col("linked") | (F.col("jaccard") >= 1 - 2 * d - 1e-9))
-    rows = members[0]
-    for m in members[1:]:
-        rows = rows.union(m)
-    rows = rows.join(near, ["a", "b"])
-    failed = rows.where("not linked").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-    failed = stored(failed.select("band", "key", "turn", "a", F.col("b").alias("v"), F.col("jaccard").alias("jv")), "dedup-failed")
-    group = ["band", "key", "turn", "a"]
-    passed = rows.where("linked").select(*group, F.col("b").alias("u"), F.col("jaccard").alias("ju"))
-    passed = passed.join(failed.select(*group).distinct(), group, "left_semi")
-    side = lambda k: classes.select(F.col("node").alias(k), F.col("marks").alias(f"m{k}"), F.col("n_shingles").alias(f"n{k}"))
-    earlier = F.exists(F.sequence(F.lit(1), F.col("band")), lambda i: F.substring("mu", 4 * i - 3, F.lit(4)) == F.substring("mv", 4 * i - 3, F.lit(4)))
-    fits = (F.col("ju") <= F.col("jv") + d + 1e-9) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9)
-    return failed.join(side("v"), "v").join(passed.join(side("u"), "u"), group).where(fits & ~F.coalesce((F.col("band") > 0) & earlier, F.lit(False))).select("u", "v")
-
-
-def _result(rows: DataFrame, classes: DataFrame, component: DataFrame | None) -> DataFrame:
+
+def _result(rows: DataFrame, classes: DataFrame, component: DataFrame) -> DataFrame:
     found = classes.select("node", "first_id")
-    if component is not None:
-        least = component.join(found, "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
-        moved = component.join(least, "component").select("node", "component_id")
-        found = found.join(moved, "node", "left").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
-    else:
-        found = found.withColumnRenamed("first_id", "component_id")
+    least = component.join(found, "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
+    moved = component.join(least, "component").select("node", "component_id")
+    found = found.join(moved, "node", "left").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
     out = rows.select("doc_id", "n_shingles", "node").join(found, "node", "left")
     of = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", of.alias("component_id"), F.col("doc_id").eqNullSafe(of).alias("kept"))

@@ -379,38 +379,42 @@ def test_near_duplicate_family(spark):
     assert got == want
 
 
-def test_near_duplicates_beyond_a_chain(spark, monkeypatch):
-    """u hangs together with all pivots of a bucket by a chain; only there it meets v, which is near u alone."""
-    import pandas as pd
-    import xxhash
-    from pyspark.sql import functions as F
-
-    from evidence_atlas.llm.common import WordHasher
-
-    ends = range(0, 121, 10)  # a text drifts by ten words a step
-    for seed in range(20_000):
-        words = [f"{seed}w{i}" for i in range(400)]
-        texts = [" ".join(words[i : i + 203]) for i in ends] + [" ".join(words[140:343]), " ".join(f"{seed}p{i}" for i in range(203))]
-        at = [xxhash.xxh3_128_digest(s.tobytes()) for i in (-1, 0, 1, 2, 3, 12, 13) for s in near_dedup._sets([texts[i]], WordHasher(), 4)]
-        if at[0] < min(at[1:]) and max(at[1:5]) < min(at[5:]):
-            break
-    shared = {(i, b): f"chain{max(i - (i + b) % 2, 0)}" for i in range(13) for b in (0, 1)} | {(i, 2): "bucket" for i in (0, 1, 2, 3, 12, 13, 14)}
-    registers = [b"".join(xxhash.xxh64_digest(shared.get((i, b), f"{i} {b}")) for b in range(24)) for i in range(15)]
-    marks = [b"".join(r[8 * b : 8 * b + 4] for b in range(24)) for r in registers]
-    sketched = near_dedup.sketch_documents
-
-    def with_registers(*args):
-        made = spark.createDataFrame([(i, r, m) for i, (r, m) in enumerate(zip(registers, marks))], "doc_id long, registers binary, marks binary")
-        return sketched(*args).drop("registers", "marks").join(F.broadcast(made), "doc_id").select("doc_id", "n_shingles", "node", "registers", "marks")
-
-    monkeypatch.setattr(near_dedup, "sketch_documents", with_registers)
-    monkeypatch.setattr(near_dedup, "MARGIN", 2.0)
-    docs = spark.createDataFrame(pd.DataFrame({"doc_id": range(15), "text": texts}))
+def test_near_duplicates_beyond_a_chain(spark):
+    """Drifting families: what hangs together by a chain may be far from the pivot, and be all that another text is near."""
+    r, rows = random.Random(9), []
+    for family in range(12):
+        words = [f"{family}w{i}" for i in range(500)]
+        texts = [words[i : i + 203] for i in range(0, 121, 10)] + [words[140:343]]
+        rows += [" ".join(t) for t in texts]
+        rows += [" ".join(w if r.random() > 0.04 else f"x{r.randrange(10**9)}" for w in r.choice(texts)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(r.sample(rows, len(rows)))], "doc_id long, text string")
     want = components_by_force(docs.collect(), 4)
-    assert want[13][1] == 0
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.near_duplicates(docs).collect()} == want
 
 
+def test_open_pairs_by_force(spark):
+    """All pairs of a bucket that may still be linked are found by their differences, whatever the pivot."""
+    from pyspark.sql import functions as F
+
+    for seed in range(4):
+        r = random.Random(seed)
+        pool = list(range(60))
+        base = set(r.sample(pool, 40))
+        sets = {bytes([i]): frozenset(base ^ set(r.sample(pool[:18], r.randint(0, 9)))) for i in range(40)}
+        rows = spark.createDataFrame([(k, sorted(v), len(v), b"") for k, v in sets.items()], "node binary, items array<long>, size long, registers binary")
+        a, linked = bytes([0]), lambda x, y: 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])
+        together = {k for k in sets if linked(a, k) and r.random() < 0.7}
+        cells = spark.createDataFrame([(a, k, a if k in together else k) for k in sets if k != a], "a binary, node binary, component binary")
+        found, pairs, _ = near_dedup.open_pairs(cells, rows, 80)
+        got = {(bytes(x.a), bytes(x.b)) for x in found.collect()}
+        assert got == {(a, k) for k in sets if k != a and linked(a, k) and k not in together}
+        made = {(bytes(x.a), bytes(x.b)) for x in pairs.collect()}
+        want = {(x, y) for x in sets for y in sets if a < x < y and linked(x, y) and not (linked(a, x) and linked(a, y))}
+        assert want <= made and len(want) > 20
+        alive = {bytes(x.node) for x in near_dedup.supported(rows.where(F.lit(True)), 80).collect()}
+        assert {k for k in sets if any(linked(k, o) for o in sets if o != k)} <= alive
+
+
 def test_sketches():
     r = np.random.default_rng(2)
     pool = r.integers(0, 2**63, 3000).astype(np.uint64)
