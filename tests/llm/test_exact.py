@@ -108,6 +108,64 @@ def test_quality_on_labels(spark, data):
     assert labels[labels.quality == 0].rejected.mean() > 0.8
 
 
+def test_quality_on_held_out_labels(spark):
+    """A fifth of the labels is kept from training and from the sites."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    out = quality.score_quality(docs, labels.where("pmod(xxhash64(doc_id), 5) <> 0")).select("doc_id", "rejected")
+    held = labels.where("pmod(xxhash64(doc_id), 5) = 0").join(out, "doc_id").toPandas()
+    assert len(held) > 50
+    assert held[(held.quality == 1) & (held.toxic == 0)].rejected.mean() < 0.03
+    assert held[held.quality == 0].rejected.mean() > 0.8
+
+
+def test_quality_words_are_cut_alike(spark):
+    """Words beyond ASCII keep their case in training as in scoring."""
+    rows = [(i, ("ÁRBOL viejo " if i % 2 else "árbol nuevo ") + f"w{i} uno dos tres") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.train(docs, spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, low int, toxic int"))
+    at = len(quality.STYLE) * 3
+    assert model.features("ÁRBOL")[at + 2] > 0 and model.features("árbol")[at + 3] > 0 and not model.features("arbol")[at : at + 4].any()
+
+
+def test_site_rates_by_force(spark):
+    """Path and host rates of labelled sites against the formulas in plain Python; a site that all call low counts more the more it has."""
+    r = random.Random(2)
+    sites = [(f"h{h}", f"p{p}", n, r.randint(0, n) if h else n, r.randint(0, n)) for h in range(6) for p in range(4) for n in [r.choice([1, 2, 30, 400])]]
+
+    def shrunk(groups):  # key -> (n, k, parent's rate)
+        extra = sum(n * (k / n - m) ** 2 - m * (1 - m) for n, k, m in groups.values())
+        room = sum((n - 1) * m * (1 - m) for n, _, m in groups.values())
+        strength = 1 / min(max(extra / room, 1e-4), 0.99) - 1
+        return {g: (k + strength * m) / (n + strength) for g, (n, k, m) in groups.items()}
+
+    top, rates = quality.site_rates(spark.createDataFrame(sites, "_host string, _path string, n long, toxic long, low long"))
+    got = {(x._host, x._path): x.asDict() for x in rates.collect()}
+    assert len(got) == len(sites)
+    for t, at in (("toxic", 3), ("low", 4)):
+        total = sum(s[2] for s in sites)
+        mean = (sum(s[at] for s in sites) + 0.5) / (total + 1)
+        assert top[t] == pytest.approx(mean)
+        hosts = shrunk({h: (sum(s[2] for s in sites if s[0] == h), sum(s[at] for s in sites if s[0] == h), mean) for h in {s[0] for s in sites}})
+        paths = shrunk({s[:2]: (s[2], s[at], hosts[s[0]]) for s in sites})
+        for s in sites:
+            assert got[s[:2]][f"_host_{t}"] == pytest.approx(hosts[s[0]]) and got[s[:2]][f"_path_{t}"] == pytest.approx(paths[s[:2]])
+
+
+def test_site_labels_move_documents(spark):
+    """The same text is judged by its site's labels too."""
+    r = random.Random(1)
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 2
+        text = " ".join([r.choice(["fine", "plain", "calm"])] * 3 + ["junk"] * (bad and r.random() < 0.5) + [f"w{i}"])
+        rows.append((i, text, "en", "spam" if bad else "good"))
+        labels.append((i, 1 - bad, 0))
+    rows += [(900, "plain words here", "en", "spam"), (901, "plain words here", "en", "good"), (902, "plain words here", "en", "new")]
+    out = {x.doc_id: x for x in quality.score_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert out[900].p_low > out[902].p_low > out[901].p_low and out[900].host_rate > 0.9 > 0.1 > out[901].host_rate
+
+
 def test_shrinkage(spark):
     sites = spark.createDataFrame([("big", 1000, 900.0), ("small", 1, 1.0), ("calm", 1000, 100.0)], "_host string, n long, low double")
     from pyspark.sql import functions as F
