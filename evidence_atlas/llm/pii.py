@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import text_or_empty
+from .common import release, stored, text_or_empty
 
 #: The kinds in the order in which they are listed, with their
 #: patterns. Quantifiers are possessive and a run of characters is tried from
@@ -22,8 +21,9 @@ KINDS = {
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 TERM_MASK = "[TERM]"
 
-#: A term: a run of at least so many letters. Context: so many characters on either side.
-TERM = r"\p{L}{4,}+"
+#: A term: a run of two or more letters and digits. Context: so many characters on either side.
+WORD = r"[\p{L}\p{N}]++"
+TERM = r"[\p{L}\p{N}]{2,}+"
 CONTEXT = 80
 
 #: Least documents that a term must share with an entity, and least share of
@@ -75,8 +75,8 @@ def _spans(kind: str, found: Column, gaps: Column) -> Column:
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["g"])
         end = start + F.length(x["v"])
-        left = F.when(F.length(x["g"]) > CONTEXT, F.regexp_replace(F.right(x["g"], F.lit(CONTEXT)), r"^\p{L}+", "")).otherwise(x["g"])
-        right = F.when(F.length(x["after"]) > CONTEXT, F.regexp_replace(F.left(x["after"], F.lit(CONTEXT)), r"\p{L}+$", "")).otherwise(x["after"])
+        left = F.when(F.length(x["g"]) > CONTEXT, F.regexp_replace(F.right(x["g"], F.lit(CONTEXT)), r"^[\p{L}\p{N}]+", "")).otherwise(x["g"])
+        right = F.when(F.length(x["after"]) > CONTEXT, F.regexp_replace(F.left(x["after"], F.lit(CONTEXT)), r"[\p{L}\p{N}]+$", "")).otherwise(x["after"])
         row = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["v"].alias("value"), left.alias("left"), right.alias("right")).cast(_SPAN)
         return F.struct(end.alias("at"), F.when(_valid(kind, x["v"]), F.array_append(acc["out"], row)).otherwise(acc["out"]).alias("out")).cast(state)
 
@@ -97,48 +97,78 @@ def with_base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.drop(*[f"_{k}" for k in KINDS], *[f"_{k}_gaps" for k in KINDS])
 
 
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+
+
 def disclosing_terms(found: DataFrame, docs: DataFrame, doc_id: str, text: str, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """(term, kind, value, disclosed): terms that give an entity away, over the whole corpus.
 
     ``found`` has a row (doc_id, kind, value, left, right) for each base span.
     With N documents, of which n(e) hold an entity and n(t) a term, and n(t,e)
     the documents that have the term in the entity's context, a term discloses
-    log(N n(t,e) / (n(t) n(e))) of the entity's log(N / n(e)). The counts of
-    terms are pre-aggregated on the map side and joined on the term.
+    log(N n(t,e) / (n(t) n(e))) of the entity's log(N / n(e)). A document is
+    an id: rows that share one count once everywhere, rows without one never.
+    Only terms that share enough documents with an entity are counted in all
+    texts, each once a document, and counts are pre-aggregated before they meet.
     """
-    total = docs.select(F.count_distinct(doc_id)).first()[0]
-    entity = found.groupBy("kind", "value").agg(F.count_distinct("doc_id").alias("ne")).where(F.col("ne") >= support)
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws(" ", "left", "right")), F.lit(TERM), F.lit(0)))
-    near = found.join(entity, ["kind", "value"]).select("doc_id", "kind", "value", "ne", F.explode(words).alias("term")).distinct()
-    pairs = near.groupBy("term", "kind", "value", "ne").agg(F.count("*").alias("nte")).where(F.col("nte") >= support)
-    every = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(text)), F.lit(TERM), F.lit(0)))).alias("term"))
+    ids = docs.where(F.col(doc_id).isNotNull())
+    total = ids.select(doc_id).distinct().count()
+    entity = found.groupBy("kind", "value").agg(F.count_distinct("doc_id").alias("ne")).where((F.col("ne") >= support) & (F.col("ne") < total))
+    near = found.join(entity, ["kind", "value"]).select("doc_id", "kind", "value", "ne", F.explode(_terms(F.concat_ws(" ", "left", "right"))).alias("term")).distinct()
+    pairs = stored(near.groupBy("term", "kind", "value", "ne").agg(F.count("*").alias("nte")).where(F.col("nte") >= support), "pii-pairs")
+    every = ids.select(F.col(doc_id).alias("doc_id"), F.explode(_terms(text_or_empty(text))).alias("term")).join(pairs.select("term").distinct(), "term", "left_semi").distinct()
     counts = every.groupBy("term").agg(F.count("*").alias("nt"))
     share = F.ln(F.lit(total) * F.col("nte") / (F.col("nt") * F.col("ne"))) / F.ln(F.lit(total) / F.col("ne"))
-    return (
-        pairs.where(F.col("ne") < total).join(counts, "term")
-        .withColumn("disclosed", F.round(share, 9))
-        .where(F.col("disclosed") >= disclosure)
-        .select("term", "kind", "value", "disclosed")
-    )
+    told = stored(pairs.join(counts, "term").withColumn("disclosed", F.round(share, 9)).where(F.col("disclosed") >= disclosure).select("term", "kind", "value", "disclosed"), "pii-terms")
+    release(pairs)
+    return told
 
 
-def term_spans(found: DataFrame, terms: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, copy, start, end): where the disclosing terms stand in documents that hold what they disclose."""
-    flagged = found.select("doc_id", "kind", "value").distinct().join(terms.select("term", "kind", "value"), ["kind", "value"]).select("doc_id", "term").distinct()
-    at = flagged.select("doc_id").distinct()
-    body = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("_t")).join(at, "doc_id").distinct()
-    cut = body.select(
-        "doc_id",
-        F.posexplode(F.arrays_zip(F.split("_t", r"\p{L}++", -1).alias("gap"), F.regexp_extract_all("_t", F.lit(r"\p{L}++"), F.lit(0)).alias("word"))).alias("pos", "x"),
-        F.xxhash64("_t").alias("copy"),
-    )
-    before = Window.partitionBy("doc_id", "copy").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
-        cut.select("doc_id", "copy", "pos", F.lower("x.word").alias("term"), F.length("x.gap").alias("gap"), F.coalesce(F.length("x.word"), F.lit(0)).alias("len"))
-        .withColumn("end", F.sum(F.col("gap") + F.col("len")).over(before).cast("int"))
-        .where("term is not null")
-    )
-    return placed.join(flagged, ["doc_id", "term"]).select("doc_id", "copy", (F.col("end") - F.col("len")).alias("start"), "end")
+def _may_hold(text: Column) -> Column:
+    """Whether a text can have a base span: each kind has a digit or an @."""
+    return text.rlike("[0-9@]")
+
+
+def _term_spans(text: Column, terms: Column) -> Column:
+    """array<struct<start, end>> of the words of a text that are among the terms, in code points."""
+    state = "struct<at:int,out:array<struct<start:int,end:int>>>"
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out")).cast(state)
+    parts = F.arrays_zip(F.split(text, WORD, -1).alias("g"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"))
+    told = F.transform(parts, lambda x: F.struct(F.length(x["g"]).alias("g"), F.coalesce(F.length(x["w"]), F.lit(0)).alias("n"), F.coalesce(F.array_contains(terms, F.lower(x["w"])), F.lit(False)).alias("on")))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["g"]
+        row = F.struct(start.alias("start"), (start + x["n"]).alias("end"))
+        return F.struct((start + x["n"]).alias("at"), F.when(x["on"], F.array_append(acc["out"], row)).otherwise(acc["out"]).alias("out")).cast(state)
+
+    return F.aggregate(told, empty, step, lambda acc: acc["out"])
+
+
+def all_spans(docs: DataFrame, doc_id: str, text: str, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+    """(doc_id, copy, spans) of the rows that have spans, in the shared folder; copy names the text.
+
+    Base spans are searched once and kept without the texts. Terms are told
+    from them and from all texts; texts with terms are read once more for the
+    places of these.
+    """
+    t = text_or_empty(text)
+    held = with_base_spans(docs.where(_may_hold(t)).select(F.col(doc_id).alias("doc_id"), t.alias("_t")), "_t")
+    # rows without spans go in a generator: a filter would be moved down and search every text twice
+    some = F.explode(F.filter(F.array("_base"), lambda b: F.size(b) > 0)).alias("_base")
+    based = stored(held.select("doc_id", F.xxhash64("_t").alias("copy"), some).dropDuplicates(["doc_id", "copy"]), "pii-base")
+    found = based.where("doc_id is not null").select("doc_id", F.explode("_base").alias("s")).select("doc_id", "s.kind", "s.value", "s.left", "s.right")
+    terms = disclosing_terms(found, docs, doc_id, text, support, disclosure)
+    told = found.join(terms.select("term", "kind", "value"), ["kind", "value"]).groupBy("doc_id").agg(F.collect_set("term").alias("_terms"))
+    told = stored(told, "pii-told")
+    rows = docs.where(_may_hold(t)).select(F.col(doc_id).alias("doc_id"), t.alias("_t")).join(told, "doc_id")
+    placed = rows.select("doc_id", F.xxhash64("_t").alias("copy"), _term_spans(F.col("_t"), F.col("_terms")).alias("_at")).dropDuplicates(["doc_id", "copy"])
+    base = F.transform("_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    nothing = F.array().cast("array<struct<start:int,end:int>>")
+    term = F.transform(F.coalesce("_at", nothing), lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    out = stored(based.join(placed, ["doc_id", "copy"], "left").select("doc_id", "copy", F.concat(base, term).alias("spans")), "pii-spans")
+    release(based, terms, told)
+    return out
 
 
 def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
@@ -150,25 +180,25 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", suppor
     (of these, the one listed first) is replaced and the others go with it.
 
     Nulls count as empty texts; a null doc_id has base spans and takes no part
-    in the statistics of terms. Repeated rows each get their spans; rows that
-    share an id count as one document. Ties need no order: every term at or
-    above the limit goes. An empty table gives an empty result. Columns named
-    spans or sanitised_text are replaced.
+    in the statistics of terms. Whole texts are read, however long. Repeated
+    rows each get their spans; rows that share an id count as one document,
+    and each has the terms of all of them. Ties need no order: every term at
+    or above the limit goes. An empty table gives an empty result. Columns
+    named spans or sanitised_text are replaced.
+
+    Texts without a digit or an @ have no spans and are passed on as they are;
+    only the others meet the table of spans.
     """
     kept = [c for c in docs.columns if c not in ("spans", "sanitised_text")]
-    based = with_base_spans(docs.select(*[F.col(f"`{c}`") for c in kept]), text)
-    found = based.where(F.size("_base") > 0).where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.explode("_base").alias("s")).select("doc_id", "s.kind", "s.value", "s.left", "s.right")
-    terms = disclosing_terms(found, docs, doc_id, text, support, disclosure)
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept])
     t = text_or_empty(text)
-    added = term_spans(found, terms, docs, doc_id, text).groupBy("doc_id", "copy").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_terms"))
-    keyed = based.withColumn("_copy", F.xxhash64(t))
-    added = added.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_at"), "_terms")
-    joined = keyed.join(added, (F.col(doc_id) == F.col("_id")) & (F.col("_copy") == F.col("_at")), "left")
-    base = F.transform("_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    nothing = F.array().cast("array<struct<start:int,end:int>>")
-    term = F.transform(F.coalesce("_terms", nothing), lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    out = joined.withColumn("spans", F.concat(base, term))
-    return out.withColumn("sanitised_text", masked(t, F.col("spans"))).select(*[F.col(f"`{c}`") for c in kept], "spans", "sanitised_text")
+    spans = all_spans(docs, doc_id, text, support, disclosure).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_at"), F.col("spans").alias("_spans"))
+    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    some = rows.where(_may_hold(t)).withColumn("_copy", F.xxhash64(t)).join(spans, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_copy") == F.col("_at")), "left")
+    some = some.withColumn("spans", F.coalesce("_spans", none)).withColumn("sanitised_text", masked(t, F.col("spans")))
+    names = [*[F.col(f"`{c}`") for c in kept], F.col("spans"), F.col("sanitised_text")]
+    plain = rows.where(~_may_hold(t)).withColumns({"spans": none, "sanitised_text": t})
+    return some.select(*names).unionByName(plain.select(*names))
 
 
 def masked(text: Column, spans: Column) -> Column:
@@ -237,13 +267,13 @@ f as (
 entity as (select kind, value, count(distinct doc_id) as ne from b group by all having count(distinct doc_id) >= {SUPPORT}),
 near as (
   select distinct doc_id, kind, value, ne, unnest(regexp_extract_all(lower(
-    case when length(l) > {CONTEXT} then regexp_replace(right(l, {CONTEXT}), '^\p{{L}}+', '') else l end || ' ' || case when length(r) > {CONTEXT} then regexp_replace(left(r, {CONTEXT}), '\p{{L}}+$', '') else r end), '\p{{L}}{{4,}}')) as term
+    case when length(l) > {CONTEXT} then regexp_replace(right(l, {CONTEXT}), '^[\p{{L}}\p{{N}}]+', '') else l end || ' ' || case when length(r) > {CONTEXT} then regexp_replace(left(r, {CONTEXT}), '[\p{{L}}\p{{N}}]+$', '') else r end), '[\p{{L}}\p{{N}}]{{2,}}')) as term
   from b join entity using (kind, value)
 ), pairs as (select term, kind, value, ne, count(*) as nte from near group by all having count(*) >= {SUPPORT}),
-counts as (select term, count(*) as nt from (select distinct doc_id, unnest(regexp_extract_all(lower(t), '\p{{L}}{{4,}}')) as term from d) group by term),
+counts as (select term, count(*) as nt from (select distinct doc_id, unnest(regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}]{{2,}}')) as term from d) group by term),
 told as (select term, kind, value from pairs join counts using (term), total where ne < n and round(ln(n * nte / (nt * ne)) / ln(n / ne), 9) >= {DISCLOSURE}),
 flagged as (select distinct doc_id, term from (select distinct doc_id, kind, value from b) join told using (kind, value)),
-cut as (select doc_id, regexp_extract_all(t, '\p{{L}}+') as v, string_split_regex(t, '\p{{L}}+') as g from d where doc_id in (select doc_id from flagged)),
+cut as (select doc_id, regexp_extract_all(t, '[\p{{L}}\p{{N}}]+') as v, string_split_regex(t, '[\p{{L}}\p{{N}}]+') as g from d where doc_id in (select doc_id from flagged)),
 word as (select doc_id, lower(v[i]) as term, length(v[i]) as n, (sum(length(g[i]) + length(v[i])) over (partition by doc_id order by i))::bigint as z from (select *, unnest(range(1, len(v) + 1)) as i from cut)),
 spans as (
   select doc_id, kind, place, a, z from b union all select doc_id, 'term', 4, z - n, z from word join flagged using (doc_id, term)

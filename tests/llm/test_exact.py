@@ -76,6 +76,33 @@ def test_pii_terms(spark):
     assert not out[3].spans
 
 
+def test_pii_counts_ids_once(spark):
+    """Repeated rows, rows that share an id and rows without one count as the ids they have."""
+    who = "Zorbinak lives near and writes from bob@x.org today"
+    rest = [(i, f"the weather today number{i} lives near") for i in range(4, 100)]
+    named = lambda rows: {(o.doc_id, o.text[s.start : s.end]) for o in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect() for s in o.spans if s.kind == "term"}
+    plain = named([(1, who), (2, "once " + who), *rest])
+    assert plain >= {(1, "Zorbinak"), (2, "Zorbinak")}
+    assert named([(1, who)] * 9 + [(2, "once " + who), *rest, *rest]) == plain
+    assert named([(1, who), (1, "Zorbinak alone"), (2, "once " + who), (None, who), (None, "Zorbinak"), (None, "Zorbinak"), *rest]) == plain
+    assert not named([(1, who)] * 9 + rest) and not named([(None, who)] * 9 + rest)
+
+
+def test_pii_short_terms(spark):
+    who = "Li 7x9 lives near and writes from bob@x.org today"
+    rows = [(1, who), (2, "once " + who), *[(i, f"the weather today number{i} lives near and writes from once") for i in range(4, 100)]]
+    out = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {rows[0][1][s.start : s.end] for s in out[1].spans if s.kind == "term"} == {"Li", "7x9"}
+
+
+def test_pii_query(spark, data):
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{data}/documents.parquet'")
+    got = pii.op1_pii(spark, data).toPandas().sort_values("doc_id").reset_index(drop=True)
+    want = con.sql(pii.OP1_SQL).df().sort_values("doc_id").reset_index(drop=True)
+    assert len(got) == len(want) and all((got[c] == want[c]).all() for c in got.columns)
+
+
 def test_bpe_like_the_library(data):
     from tokenizers import Tokenizer
 
