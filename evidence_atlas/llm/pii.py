@@ -109,19 +109,24 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, doc_id: str, text: str,
     the documents that have the term in the entity's context, a term discloses
     log(N n(t,e) / (n(t) n(e))) of the entity's log(N / n(e)). A document is
     an id: rows that share one count once everywhere, rows without one never.
-    Only terms that share enough documents with an entity are counted in all
-    texts, each once a document, and counts are pre-aggregated before they meet.
+    Terms are counted in all texts, each once a document, and the counts are
+    pre-aggregated before they meet the pairs.
     """
-    ids = docs.where(F.col(doc_id).isNotNull())
-    total = ids.select(doc_id).distinct().count()
+    ids = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("_t"))
+    rows = ids.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    total = rows.count()
+    again = stored(rows.where("rows > 1").select("doc_id"), "pii-again")
     entity = found.groupBy("kind", "value").agg(F.count_distinct("doc_id").alias("ne")).where((F.col("ne") >= support) & (F.col("ne") < total))
     near = found.join(entity, ["kind", "value"]).select("doc_id", "kind", "value", "ne", F.explode(_terms(F.concat_ws(" ", "left", "right"))).alias("term")).distinct()
     pairs = stored(near.groupBy("term", "kind", "value", "ne").agg(F.count("*").alias("nte")).where(F.col("nte") >= support), "pii-pairs")
-    every = ids.select(F.col(doc_id).alias("doc_id"), F.explode(_terms(text_or_empty(text))).alias("term")).join(pairs.select("term").distinct(), "term", "left_semi").distinct()
+    # ids of one row are counted as they come, the terms of others made distinct first
+    term = F.explode(_terms(F.col("_t"))).alias("term")
+    once = ids.join(again, "doc_id", "left_anti").select(term)
+    every = once.unionByName(ids.join(again, "doc_id", "left_semi").select("doc_id", term).distinct().select("term"))
     counts = every.groupBy("term").agg(F.count("*").alias("nt"))
     share = F.ln(F.lit(total) * F.col("nte") / (F.col("nt") * F.col("ne"))) / F.ln(F.lit(total) / F.col("ne"))
     told = stored(pairs.join(counts, "term").withColumn("disclosed", F.round(share, 9)).where(F.col("disclosed") >= disclosure).select("term", "kind", "value", "disclosed"), "pii-terms")
-    release(pairs)
+    release(pairs, again)
     return told
 
 
