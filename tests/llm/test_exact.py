@@ -573,3 +573,21 @@ def test_clean_text_by_force():
             assert [m[0] for m in re.finditer(r"\w+", got)] == [m[0] for k in kept for m in re.finditer(r"\w+", k)]
     assert decontaminate.remove_spans("The Quick BROWN fox Jumps over the Lazy dog", [[3, 4]]) == "The Quick BROWN Jumps over the Lazy dog"
     assert decontaminate.remove_spans("ALL CAPS TEXT HERE", [[1, 4]]) == "ALL"
+
+
+def test_ann_relaxed(data):
+    """A factor above one compares less and keeps at least 0.9 of the exact neighbours of the test table."""
+    rows = duckdb.connect().sql("select vec_id, embedding from '/root/testdata/sf0.1/embeddings.parquet' order by vec_id").fetchall()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)
+    tree, asked = ann.build_tree(ids, x), ids % 50 == 0
+    got = {}
+    for factor in (1.0, ann.RELAXED):
+        search = ann.Search(tree, ids[asked], x[asked], 20, factor)
+        got[factor] = (search.run()[0], search.compared)
+    exact, relaxed = got[1.0][0], got[ann.RELAXED][0]
+    recall = np.mean([len(set(a) & set(b)) / 20 for a, b in zip(exact, relaxed)])
+    assert recall >= 0.9 and got[ann.RELAXED][1] < got[1.0][1]
+    for i in np.nonzero(asked)[0][:20]:
+        every, other = ann.inner(np.repeat(x[i : i + 1], len(x), 0), x), ids != ids[i]
+        best = np.lexsort((ids[other], -every[other]))[:20]
+        assert (ids[other][best] == exact[np.nonzero(ids[asked] == ids[i])[0][0]]).all()
