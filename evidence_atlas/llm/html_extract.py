@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ BLOCK = set(
     " h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 RAW = set("script style noscript template svg iframe object canvas textarea title xmp noembed".split())
-SKIPPED = RAW | set("head nav footer aside form button select input menu dialog label".split())
+SKIPPED = RAW | set("head nav footer aside form button select input menu dialog".split())
 #: Which open elements a start tag closes, and where the search for them stops.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
@@ -32,6 +33,9 @@ BOILER = set(
 #: Words in a class or id, and elements, that mark the article.
 ARTICLE = set("article articlebody post postbody entry story maincontent".split())
 
+#: Of these, words that mark a notice: inside an article only what repeats over the host's pages is one.
+DOUBTFUL = {"alert", "notice", "notices"}
+
 #: A text on at least this share of a host's pages, and on so many, is template.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.5, 3
 
@@ -273,34 +277,47 @@ class Aligner:
 
 
 def _boiler(node: Node, in_article: bool) -> bool:
-    if node.tag in SKIPPED or (node.tag == "header" and not in_article):
+    if node.tag in SKIPPED or (node.tag in ("header", "label") and not in_article):
         return True
-    if node.marks & BOILER and node.tag not in ("html", "body"):
+    words = node.marks & BOILER
+    if in_article and words <= DOUBTFUL:
+        return False
+    if words and node.tag not in ("html", "body"):
         return not (node.marks & ARTICLE and not node.marks & {"comment", "comments", "related", "ad", "ads"})
     return False
 
 
-def blocks(root: Node) -> Iterator[tuple[str, int, bool, float]]:
-    """(text, slot, whether in an article, share of it in links) of every block outside boilerplate."""
-    found: list[tuple[str, int, bool, float]] = []
+class Block(NamedTuple):
+    text: str
+    slot: int
+    #: in an element that marks the article; in one that may be a notice there
+    inside: bool
+    doubtful: bool
+    #: share of the text that is in links
+    links: float
+
+
+def blocks(root: Node) -> list[Block]:
+    """Every block of text outside menus, forms and the like, in page order."""
+    found: list[Block] = []
     parts: list[str] = []
     linked = [0]
 
-    def flush(slot: int, inside: bool) -> None:
+    def flush(slot: int, inside: bool, doubtful: bool) -> None:
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            found.append((text, slot, inside, min(1.0, linked[0] / max(1, len(text)))))
+            found.append(Block(text, slot, inside, doubtful, min(1.0, linked[0] / max(1, len(text)))))
         parts.clear()
         linked[0] = 0
 
-    stack: list[tuple] = [(iter(root.children), root.slot, False, False, False)]
+    stack: list[tuple] = [(iter(root.children), root.slot, False, False, False, False)]
     while stack:
-        children, slot, inside, link, last = stack[-1]
+        children, slot, inside, doubtful, link, last = stack[-1]
         child = next(children, None)
         if child is None:
             stack.pop()
             if last:
-                flush(slot, inside)
+                flush(slot, inside, doubtful)
             continue
         if isinstance(child, str):
             parts.append(child)
@@ -312,30 +329,39 @@ def blocks(root: Node) -> Iterator[tuple[str, int, bool, float]]:
             continue
         if _boiler(child, inside):
             if child.tag in BLOCK:
-                flush(slot, inside)
+                flush(slot, inside, doubtful)
             continue
         within = inside or child.tag in ("article", "main") or bool(child.marks & ARTICLE) or child.marks >= {"role", "main"}
+        notice = doubtful or (inside and bool(child.marks & DOUBTFUL))
         if child.tag in BLOCK:
-            flush(slot, inside)
-            stack.append((iter(child.children), child.slot if child.slot >= 0 else slot, within, link, True))
+            flush(slot, inside, doubtful)
+            stack.append((iter(child.children), child.slot if child.slot >= 0 else slot, within, notice, link, True))
         else:
-            stack.append((iter(child.children), slot, within, link or child.tag == "a", False))
+            stack.append((iter(child.children), slot, within, notice, link or child.tag == "a", False))
 
-    flush(root.slot, False)
-    return iter(found)
+    flush(root.slot, False, False)
+    return found
 
 
 def main_text(root: Node, constant: set[tuple[int, int]]) -> str:
-    """Blocks of the article, in page order.
+    """Blocks that are content, in page order: those whose slots vary over the host's pages.
 
-    Where a page marks its article, the blocks in it are the content (varying
-    slots, with what they hold). Elsewhere a block is content if its slot
-    varies over the host's pages and it is not mostly links.
+    A block that repeats in its slot is template, wherever it stands, and one
+    that is mostly links is a menu. What a page marks as its article breaks
+    ties: it is taken alone if at least half as much varies in it as outside
+    it, else it counts like the rest. If half of it or more repeats, other
+    pages tell the same article; then only possible notices in it are template.
     """
-    got = list(blocks(root))
-    if any(inside for _, _, inside, _ in got):
-        return "\n".join(text for text, _, inside, _ in got if inside)
-    return "\n".join(text for text, slot, _, links in got if links < 0.5 and (slot, _hash(text)) not in constant)
+    got = blocks(root)
+    fresh = [(b.slot, _hash(b.text)) not in constant for b in got]
+    size = lambda on: sum(len(b.text) for b, f in zip(got, fresh, strict=True) if on(b, f))
+    told = 2 * size(lambda b, f: b.inside and not f) >= size(lambda b, f: b.inside)
+    keep_in = [b.inside and (f or (told and not b.doubtful)) for b, f in zip(got, fresh, strict=True)]
+    keep_out = [not b.inside and f and b.links < 0.5 for b, f in zip(got, fresh, strict=True)]
+    weight = lambda on: sum(len(b.text) for b, k in zip(got, on, strict=True) if k)
+    if any(keep_in) and 2 * weight(keep_in) >= weight(keep_out):
+        keep_out = [False] * len(got)
+    return "\n".join(b.text for b, i, o in zip(got, keep_in, keep_out, strict=True) if i or o)
 
 
 def _hash(text: str) -> int:
@@ -351,13 +377,15 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     host of its own name). The most frequent shape of a host's DOM trees is
     its reference; every page is aligned with it by simple tree matching, so
     that its blocks fall into slots of the reference. A text that stands in
-    the same slot on at least half of a host's pages is template; what varies
-    is content, unless its element is a menu, header, footer, sidebar,
-    notice, advert, form or comment. Statistics cover all pages and are sums
-    by host, slot and text, so a host with most of the pages is no single
-    group. Null html is an empty page with empty text; repeated rows are
-    returned as often; an empty table gives an empty result; a column named
-    text is replaced.
+    the same slot on at least half of a host's different pages (three at
+    least) is template; what varies is content (see ``main_text``), unless its
+    element is a menu, header, footer, sidebar, advert, form or comment.
+    Statistics cover all pages and are sums by host, slot and text, so a host
+    with most of the pages is no single group. Of shapes that are equally
+    frequent the greatest text of a shape is the reference. Whole pages are
+    read, however long or deep. Null html is an empty page with empty text;
+    repeated rows are returned as often; an empty table gives an empty result;
+    a column named text is replaced, other columns stay.
     """
     kept = [c for c in pages.columns if c != "text"]
     host = F.coalesce(F.regexp_extract(F.col(url).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
@@ -367,7 +395,9 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     def shape(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: flat(skeleton(parse(t))))
 
-    shapes = rows.groupBy("_host", shape("_html").alias("shape")).agg(F.count("*").alias("n"))
+    # a page that stands more than once tells no more about its host than once
+    page = F.xxhash64("_html").alias("page")
+    shapes = rows.groupBy("_host", page, shape("_html").alias("shape")).agg(F.lit(1).alias("one")).groupBy("_host", "shape").agg(F.count("*").alias("n"))
     hosts = stored(shapes.groupBy("_host").agg(F.max_by("shape", F.struct("n", "shape")).alias("_reference"), F.sum("n").alias("_pages")), "html-hosts")
 
     @F.pandas_udf("array<struct<slot:int,hash:long>>")
@@ -378,11 +408,11 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
             for t, r in zip(texts, references, strict=True):
                 root = parse(t)
                 aligner.mark(root, r)
-                out.append([{"slot": s, "hash": h} for s, h in {(slot, _hash(text)) for text, slot, _, _ in blocks(root)}])
+                out.append([{"slot": s, "hash": h} for s, h in {(b.slot, _hash(b.text)) for b in blocks(root)}])
             yield pd.Series(out)
 
-    texts = rows.join(hosts, "_host").select("_host", F.explode(filled("_html", "_reference")).alias("x"))
-    often = texts.groupBy("_host", "x.slot", "x.hash").agg(F.count("*").alias("n")).where(F.col("n") >= CONSTANT_PAGES)
+    texts = rows.join(hosts, "_host").select("_host", page, F.explode(filled("_html", "_reference")).alias("x"))
+    often = texts.select("_host", "page", "x.slot", "x.hash").distinct().groupBy("_host", "slot", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= CONSTANT_PAGES)
     template = often.join(hosts, "_host").where(F.col("n") >= CONSTANT_SHARE * F.col("_pages"))
     constant = template.groupBy("_host").agg(F.collect_list(F.struct("slot", "hash")).alias("_constant"))  # at most 1 / share for each slot
     wrappers = stored(hosts.join(constant, "_host", "left").select("_host", "_reference", "_constant"), "html-wrappers")

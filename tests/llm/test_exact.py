@@ -338,6 +338,26 @@ def test_html_wrapper(spark):
     assert out[9] == "" and out[10] == "x\ny"
 
 
+def test_html_without_marks(spark, data):
+    """The same pages with their article tags made plain divisions give the same texts: slots alone decide."""
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    from pyspark.sql import functions as F
+
+    want = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    bare = pages.withColumn("html", F.regexp_replace("html", "<(/?)article>", "<$1div>"))
+    got = {r.page_id: r.text for r in html_extract.extract_pages(bare).collect()}
+    assert sum(got[k] == v for k, v in want.items()) >= 0.98 * len(want)
+
+
+def test_html_slots_inside_articles(spark):
+    page = "<body><div class='story'>teaser {0}</div><article><h1>Head {0}</h1><p class='alert'>Important body {0}</p><p class='notice'>Please support us</p><p>Text {0} <label>kept {0}</label></p><p>Share this article</p><div class='ad'>buy {0}</div><div class='comments'>no {0}</div></article></body>"
+    other = "<body><div class='story'>teaser {0}</div><div><p>A long body that no element marks, page {0}, with a good deal more to say than the card above it has</p></div></body>"
+    rows = [(i, "http://a.org/", page.format(f"n{i}")) for i in range(6)] + [(6, "http://a.org/", page.format("n1"))] * 9 + [(10 + i, "http://b.org/", other.format(f"n{i}")) for i in range(6)]
+    out = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id int, url string, html string").selectExpr("*", "'own' as text", "'own' as slot")).collect()}
+    assert out[2] == "teaser n2\nHead n2\nImportant body n2\nText n2 kept n2" and out[6] == out[1]
+    assert "A long body that no element marks, page n3" in out[13]
+
+
 def test_html_deep_pages(spark):
     page = "<body><div><p>Welcome to our site</p></div>" + "<div>" * 600 + "<b>" * 700 + "<p>story{0} is told</p><div class='comments'><p>no {0}</p></div>" + "</div>" * 600 + "<div><p>All rights reserved</p></div>"
     rows = [(i, "http://a.org/", page.format(i)) for i in range(5)] + [(9, "http://b.org/", "<i>" * 300 + "<article><p>in</p></article><nav>menu</nav><p>out")]
