@@ -420,6 +420,30 @@ def test_passages_in_mixed_groups(spark, monkeypatch):
     assert got == {(100 * f + 9, 100 * f + 5, 60, 112) for f in range(12)}
 
 
+def test_stretches_of_many_texts():
+    """Texts laid end to end have the windows that each has by itself, and every start of a stretch is in one."""
+    r = np.random.default_rng(5)
+    hs = [r.integers(0, 50 if k % 2 else 2**60, int(n)).astype(np.uint64) for k, n in enumerate(r.integers(0, 40, 60))]
+    for function in (0, 3):
+        text, sig, centre, first, last = substring_dedup.stretches(hs, 7, function)
+        for i, h in enumerate(hs):
+            alone = substring_dedup.stretches([h], 7, function)
+            assert sorted(zip(*[c[text == i].tolist() for c in (sig, centre, first, last)])) == sorted(zip(*[c.tolist() for c in alone[1:]]))
+            starts = sorted(s for a, b in zip(alone[3], alone[4]) for s in range(a, b + 1))
+            assert starts == list(range(max(0, len(h) - 6)))
+
+
+def test_phrases_of_many_texts_are_given_up(spark):
+    """A phrase that all texts have makes no passage; two of them share one beside it."""
+    r = random.Random(3)
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    phrase, more = fresh(35), fresh(40)
+    texts = [fresh(60) + phrase + (more if i in (120, 140) else []) + fresh(60) for i in range(150)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(x.doc_id, x.source_id, x.start, x.end) for x in substring_dedup.repeated_passages(docs).collect()}
+    assert got == {(140, 120, 60, 135)}
+
+
 def test_near_passages(spark):
     """50-word passages with one or two words changed, against comparing all pairs."""
     r, rows = random.Random(8), []
