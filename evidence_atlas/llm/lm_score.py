@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import codec_of, default_vocabulary
-from .common import lower_ascii, stored, text_or_empty
+from .common import lower_ascii, small_batches, stored, text_or_empty
 
 #: Fixed value: what separates words.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -22,7 +22,7 @@ FREQUENT = 200_000
 WIDTH, CLASSES, OWN, WINDOW, OVERLAP = 16, 64, 8192, 48, 12
 #: Windows that a copy of the model is trained on (about); rounds after which
 #: the copies are averaged; and passes over a copy's windows.
-PART, ROUNDS, PASSES = 4096, 3, 3
+PART, ROUNDS, PASSES = 4096, 3, 1
 #: Share of the word model in a word's probability; the attention model has the rest.
 WORDS = 0.75
 
@@ -387,6 +387,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     joined on the word, so that no frequent word is a hot key.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), text_or_empty(text).alias("_text"), _held_out(doc_id).alias("held_out"))
