@@ -11,13 +11,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import small_batches, text_or_empty
 
 #: Fixed value: how the published vocabulary cuts a text before merging.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pre-tokens remembered by one Python worker before it forgets them all.
-CACHE = 800_000
+CACHE = 400_000
 
 
 def byte_alphabet() -> list[str]:
@@ -160,6 +160,7 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str | None = None, text: str = "
     function as a broadcast.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
     kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids binary, decoded_text string" if ids else "")

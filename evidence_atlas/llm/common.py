@@ -44,7 +44,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHasher(dict):
     """word (UTF-8) -> 64-bit hash; forgets everything when it holds too many words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
@@ -75,6 +75,16 @@ def _shared_folder(spark: SparkSession) -> str:
     return "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python by the thousand: ten thousand of them, Spark's default, take hundreds of MB a task.
+
+    A number that the session has been given is left alone.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, "1000")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():

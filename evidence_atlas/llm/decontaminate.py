@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, text_or_empty
+from .common import lower_ascii, small_batches, text_or_empty
 
 #: Fixed value: a word is a run of letters and digits; beyond ASCII, of anything.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -231,6 +231,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     a worker holds is bounded however long the benchmark is.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     made = ["n_words", "n_hit", "spans", "item_ids", "contaminated"] + ["clean_text"] * clean
     kept = [c for c in docs.columns if c not in made]
     state = "n_words long, n_hit long, spans array<array<int>>, item_ids array<string>" + ", clean_text string" * clean

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import small_batches, stored, text_or_empty
 
 #: How HTML elements behave.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -387,6 +387,7 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     repeated rows are returned as often; an empty table gives an empty result;
     a column named text is replaced, other columns stay.
     """
+    small_batches(pages.sparkSession)
     kept = [c for c in pages.columns if c != "text"]
     host = F.coalesce(F.regexp_extract(F.col(url).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
     rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.lower(host).alias("_host"), text_or_empty(html).alias("_html"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WordHasher, mix64, release, stored, text_or_empty, words_of
+from .common import WordHasher, mix64, release, small_batches, stored, text_or_empty, words_of
 from .components import connected_components
 
 #: SetSketch: registers, base of the exponential spacing, rate, and registers in a band.
@@ -112,7 +112,7 @@ def sketch_documents(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFra
             for s in _sets(texts, hasher, n):
                 part.append(s)
                 size += len(s)
-                if size > 400_000:
+                if size > 150_000:
                     out += finish(part)
                     part, size = [], 0
             yield pd.DataFrame(out + finish(part), columns=["n_shingles", "node", "registers"])
@@ -279,6 +279,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     differences from a common pivot (``open_pairs``), so that work follows the
     number of members and not of pairs.
     """
+    small_batches(docs.sparkSession)
     percent = round(100 * threshold)
     rows = stored(sketch_documents(docs, doc_id, text, n), "dedup-rows")
     classes = stored(

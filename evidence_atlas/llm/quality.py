@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, stored, text_or_empty
+from .common import release, small_batches, stored, text_or_empty
 
 #: Words that may enter the classifier for each label, by strength of association.
 LEXICON = 400
@@ -254,6 +254,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     """
     made = ["p_low", "p_toxic", "host_rate", "path_rate", "rejected"]
     kept = [c for c in docs.columns if c not in made and (keep_text or c != text)]
+    small_batches(docs.sparkSession)
     marks = stored(usable_labels(labels), "quality-labels")
     model = train(docs, marks, doc_id, text)
     if not model.weights:
