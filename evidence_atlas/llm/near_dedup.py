@@ -141,12 +141,11 @@ def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str
 
     # else the comparison of its result would move it below the join, to every document
     full_set = full_set.asNondeterministic()
-    mine = nodes.join(classes, "node").select("node", "registers", F.col("n_shingles").alias("size"), "row")
-    # the texts meet names only: what is sent with a text is no more than it needs
-    where = mine.select(F.col("node").alias("_node"), F.col("row").alias("_row"))
+    # the texts meet names only, in a table whose size is known before the join is planned
+    where = stored(nodes.join(classes, "node").select(F.col("node").alias("_node"), F.col("row").alias("_row")), "dedup-names")
     rows = docs.select(_row_key(doc_id, text).alias("_row"), text_or_empty(text).alias("_text"))
     of = rows.join(where, "_row").select("_node", full_set("_text").alias("s"))
-    return of.where("_node = s.node").select("s.*").dropDuplicates(["node"]).join(mine.drop("row"), "node")
+    return of.where("_node = s.node").select("s.*").dropDuplicates(["node"]).join(classes.select("node", "registers", F.col("n_shingles").alias("size")), "node")
 
 
 def supported(sets: DataFrame, percent: int) -> DataFrame:
