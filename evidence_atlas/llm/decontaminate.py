@@ -211,7 +211,8 @@ def _scanner(held, state: str, clean: bool):
             rows.append((*row, remove_spans(t, spans)) if clean else row)
         return pd.DataFrame(rows, columns=["n_words", "n_hit", "spans", "item_ids", "clean_text"][: 5 if clean else 4])
 
-    return scan
+    # else a filter on what it finds would be moved below it and scan every text twice
+    return scan.asNondeterministic()
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, max_share: float = 0.05, clean: bool = True) -> DataFrame:

@@ -182,6 +182,8 @@ def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 out[target] = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) if w is not None and len(texts) else np.full(len(texts), m.rates.get(target, 0.0))
             yield pd.DataFrame(out)
 
+    # else a filter on the posterior would be moved below it and score every text twice
+    run = run.asNondeterministic()
     return docs.withColumn("_c", run(text_or_empty(text))).withColumn("_low", F.col("_c.low")).withColumn("_toxic", F.col("_c.toxic")).drop("_c")
 
 
