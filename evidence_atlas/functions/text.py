@@ -334,23 +334,32 @@ def hazards_from_text(c, keywords: list[tuple[str, str]] = V.HAZARD_KEYWORDS) ->
     return F.array_distinct(F.transform(F.filter(pairs, lambda p: F.contains(text, p["k"])), lambda p: p["h"]))
 
 
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def classify_description(
     c, disaster: list[str] = V.DISASTER_MARKERS, terrain: list[str] = V.TERRAIN_MARKERS, admin: list[str] = V.ADMIN_MARKERS,
     keywords: list[tuple[str, str]] = V.HAZARD_KEYWORDS, stop: str = "。", dated: str = "[（(][０-９0-9]{3,4}[）)]",
 ) -> Column:
     """struct(level, markers, hazards, quote, summary) of an explanation; null if it supports nothing."""
-    told = F.filter(sentences(c, stop), lambda s: ~names_any(s, admin))
-    body = F.array_join(told, "")
-    bad, ground = markers_in(body, disaster), markers_in(body, terrain)
-    pick = lambda words: F.substring(F.array_join(F.slice(F.filter(told, lambda s: names_any(s, words)), 1, 2), ""), 1, 220)
-    is_bad = F.size(bad) > 0
-    quote = F.when(is_bad, pick(disaster)).otherwise(pick(terrain))
-    level = F.when(~is_bad, 1).when(F.rlike(quote, F.lit(dated)), 3).otherwise(2)
-    claim = F.struct(
-        level.alias("level"), F.when(is_bad, bad).otherwise(ground).alias("markers"), hazards_from_text(body, keywords).alias("hazards"),
-        quote.alias("quote"), F.substring(body, 1, 140).alias("summary"),
-    )
-    return F.when((F.size(told) > 0) & (is_bad | (F.size(ground) > 0)), claim)
+    def claim(told: Column, body: Column, found: Column) -> Column:
+        bad, ground = found["bad"], found["ground"]
+        is_bad = F.size(bad) > 0
+        pick = lambda words: F.substring(F.array_join(F.slice(F.filter(told, lambda s: names_any(s, words)), 1, 2), ""), 1, 220)
+        made = _let(F.when(is_bad, pick(disaster)).otherwise(pick(terrain)), lambda quote: F.struct(
+            F.when(~is_bad, 1).when(F.rlike(quote, F.lit(dated)), 3).otherwise(2).alias("level"), F.when(is_bad, bad).otherwise(ground).alias("markers"),
+            hazards_from_text(body, keywords).alias("hazards"), quote.alias("quote"), F.substring(body, 1, 140).alias("summary"),
+        ))
+        return F.when((F.size(told) > 0) & (is_bad | (F.size(ground) > 0)), made)
+
+    def judged(told: Column) -> Column:
+        return _let(F.array_join(told, ""), lambda body: _let(
+            F.struct(markers_in(body, disaster).alias("bad"), markers_in(body, terrain).alias("ground")), lambda found: claim(told, body, found)
+        ))
+
+    return _let(F.filter(sentences(c, stop), lambda s: ~names_any(s, admin)), judged)
 
 
 def level_for(kind, text, disaster: list[str] = V.DISASTER_WORDS, landform: list[str] = V.LANDFORM_WORDS) -> Column:
