@@ -181,11 +181,13 @@ def link_records(mentions: DataFrame, places: DataFrame, existing: DataFrame | N
     keys = lambda df, c: df.withColumn("key", F.explode(F.array_distinct(F.transform(F.array_compact(c), lambda n: X.comparison_key(n)))))
     m = keys(mentions, F.array("name")).select("mention_id", "ord", X.comparison_key("municipality").alias("town"), "key", F.col("lat").alias("mlat"), F.col("lon").alias("mlon"), F.col("hazards").alias("mh"), "source_id", "locator")
     p = keys(places, F.col("names")).select("place_id", X.comparison_key("municipality").alias("town"), "key", "lat", "lon", "hazards")
-    pair = m.join(p, ["town", "key"]).dropDuplicates(["place_id", "mention_id"])
+    relation = F.when(X.hazards_compatible("hazards", "mh"), "same_place_record").otherwise("nearby_record")
+    pair = m.join(p, ["town", "key"]).withColumn("same_kind", relation).drop("hazards", "mh", "town", "key")
+    # one exchange on the place serves the distinct pairs and both windows
+    pair = pair.repartition("place_id").dropDuplicates(["place_id", "mention_id"])
     located = F.col("lat").isNotNull() & F.col("mlat").isNotNull()
-    pair = pair.withColumn("distance_km", F.when(located, F.round(haversine_km("lat", "lon", "mlat", "mlon"), 2)))
-    far = F.coalesce(F.when(located, haversine_km("lat", "lon", "mlat", "mlon") > max_km), F.lit(False))
-    pair = pair.withColumn("far", far)
+    pair = pair.withColumn("km", F.when(located, haversine_km("lat", "lon", "mlat", "mlon"))).drop("lat", "lon", "mlat", "mlon")
+    pair = pair.withColumns({"distance_km": F.round("km", 2), "far": F.coalesce(F.col("km") > max_km, F.lit(False))}).drop("km")
     if existing is not None:
         had = existing.groupBy("place_id").agg(F.count("*").alias("had"))
         known = existing.select(F.col("place_id").alias("_p"), F.col("source_id").alias("_s"), F.col("locator").alias("_l"), F.lit(True).alias("known")).distinct()
@@ -198,8 +200,7 @@ def link_records(mentions: DataFrame, places: DataFrame, existing: DataFrame | N
     turn = Window.partitionBy("place_id", "far", "first").orderBy("ord", "mention_id")
     within = F.row_number().over(turn) <= F.lit(cap) - F.coalesce("had", F.lit(0))
     status = F.when(F.col("far"), "too_far").when(~F.col("first"), "duplicate").when(~within, "over_cap").otherwise("linked")
-    relation = F.when(X.hazards_compatible("hazards", "mh"), "same_place_record").otherwise("nearby_record")
-    return pair.withColumn("status", status).select("place_id", "mention_id", "distance_km", F.when(F.col("status") == "linked", relation).alias("relation"), "status")
+    return pair.withColumn("status", status).select("place_id", "mention_id", "distance_km", F.when(F.col("status") == "linked", F.col("same_kind")).alias("relation"), "status")
 
 
 def attach_areas(records: DataFrame, areas: DataFrame) -> tuple[DataFrame, DataFrame]:
