@@ -7,6 +7,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,13 +44,38 @@ def _compatibility() -> tuple[list[tuple[str, str]], dict[str, str]]:
     return pairs, {**single, **hiragana}
 
 
+#: Characters that the table of ``_compatibility`` folds right, whatever stands beside them.
+_TABLED = "^[\\x00-\\x7f　ぁ-ゖァ-ー、。・々〆〓一-鿿！-～ｦ-ﾝｰ]*$"
+
+
+def full_kana(s: str) -> str:
+    """One reading in compatibility form, without spaces, hiragana as katakana."""
+    folded = unicodedata.normalize("NFKC", re.sub(r"\s+", "", s))
+    return "".join(chr(ord(c) + 0x60) if "ぁ" <= c <= "ゖ" else c for c in folded)
+
+
+@lru_cache
+def _full_kana():
+    @F.pandas_udf("string")
+    def udf(c: pd.Series) -> pd.Series:
+        return c.map(full_kana, na_action="ignore")
+
+    return udf
+
+
 def normalize_reading(c) -> Column:
-    """Full-width katakana without spaces."""
+    """Full-width katakana without spaces, in compatibility form (NFKC).
+
+    Kana, kanji and wide or half-width letters are folded by a table. Readings
+    with anything else (squared words, circled numbers, ligatures, loose voice
+    marks) go to Python by batch; for all others it gets nulls.
+    """
     out = strip_spaces(c)
     pairs, single = _compatibility()
     for a, b in pairs:
         out = F.replace(out, F.lit(a), F.lit(b))
-    return _translated(out, single)
+    other = F.when(~F.rlike(out, F.lit(_TABLED)), _col(c))
+    return F.coalesce(_full_kana()(other), _translated(out, single))
 
 
 def normalize_name(c) -> Column:

@@ -72,6 +72,11 @@ def evidence_by_stance(evidence: DataFrame) -> DataFrame:
     return evidence.groupBy("id").agg(F.count_if(F.col("stance") != "disputes").alias("supports"), F.count_if(F.col("stance") == "disputes").alias("disputes"))
 
 
+def write_partitions(rows: DataFrame, path: str, key: str = "pref_code") -> None:
+    """A folder for each code (null: 00), each written by few tasks; what ``load_partition`` reads."""
+    rows.withColumn(key, F.coalesce(F.col(key), F.lit("00"))).repartition(key, F.pmod(F.xxhash64(*rows.columns), F.lit(8))).write.partitionBy(key).parquet(path)
+
+
 def load_partition(spark: SparkSession, path: str, codes: list[str], schema: str, key: str = "pref_code") -> DataFrame:
     """Only the partitions of the given codes; a missing one has no rows."""
     return spark.read.schema(schema).parquet(path).where(F.col(key).isin(codes))

@@ -101,8 +101,8 @@ def verified_quotes(quotes: DataFrame, sources: DataFrame, length: int = 12, few
 
     At most ``few`` quotes are sent to every task and looked for in each text.
     More quotes and texts meet on the quote's first ``length`` characters among all
-    runs of as many characters of the text, then the whole quote is compared;
-    shorter quotes meet on what they have.
+    runs of as many characters of the text; only ids and runs are shuffled for
+    that, and the texts that meet a quote are compared with the whole of it.
     """
     q = quotes.select("quote_id", X.strip_spaces(F.coalesce("quote", F.lit(""))).alias("q")).where("q <> ''").withColumn("n", F.least(F.length("q"), F.lit(length))).withColumn("key", F.substring("q", 1, length))
     s = sources.select("source_id", X.strip_spaces(F.coalesce("text", F.lit(""))).alias("t")).where("t <> ''")
@@ -114,4 +114,5 @@ def verified_quotes(quotes: DataFrame, sources: DataFrame, length: int = 12, few
         return F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substring("t", i, n))
 
     runs = F.flatten(F.array(*map(runs_of, sizes))) if sizes else F.array().cast("array<string>")
-    return s.select("source_id", "t", F.explode(F.array_distinct(runs)).alias("key")).join(q, "key").where(F.contains("t", F.col("q"))).select("quote_id", "source_id")
+    met = s.select("source_id", F.explode(F.array_distinct(runs)).alias("key")).join(q, "key").select("quote_id", "q", "source_id").distinct()
+    return met.join(s, "source_id").where(F.contains("t", F.col("q"))).select("quote_id", "source_id")

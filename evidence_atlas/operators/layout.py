@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as X
+from ..functions.text import full_kana
 
 
 def classify_blocks(blocks: DataFrame, page: list[str], katakana: str = "^[ァ-ヶー゙゚・〓]+$", kanji: str = "^[一-龥々〆ヶ〓]+$") -> DataFrame:
@@ -80,78 +82,96 @@ def split_fields(lines: DataFrame) -> DataFrame:
 
 
 #: Layout of a column dictionary.
-NAME_COLUMN, WIDEST_AREA = 17, 6
+NAME_COLUMN, LONGEST_NAME, AREA_LINES, LEAST_PROSE = 17, 10, 6, 6
 _HEADER = re.compile("^(.{1,14}?(?:村|町|宿|新田))（([ァ-ヶー]{2,24})）$")
 _COLUMNS = re.compile("^字小字地名")
-_NUMBER = re.compile(r"^[\s　]*\d{1,3}[\s　]*$")
+_NUMBER = re.compile(r"^[\s　]*(\d{1,3})[\s　]*$")
 _READING = re.compile(r"^[｡-ﾟ\s　]+$")
 _CONTENTS = re.compile("・{3,}")
-_ENTRY_SCHEMA = "doc_id long, entry_ord int, village string, village_reading string, area string, level string, name string, reading string, description string"
+_AREA_NOTE = re.compile(r"[＊*]\s*町別小字表[^）)]*参照|[＊*][^）)]*参照")
+_RUNNING_HEAD = re.compile(r"^[（(]\s*[０-９\d]{4}\s*[）)]の水帳|水帳の字による")
+_NO_NAME = re.compile(r"[。、，,；;：:（）()｛｝\[\]・～~＊*／/｜|＜＞<>\d０-９]")
+_SCRIPT = re.compile("[぀-ヿ㐀-䶿一-鿿]")
+_GAP = re.compile(r"[\s　]{3,}")
 
+_ENTRY_SCHEMA = "doc_id long, entry_ord int, village string, village_reading string, area string, level string, name string, aza string, reading string, page int, description string"
 
-def _width(s: str) -> int:
-    import unicodedata
 
+def _width(s: str) -> int:
     return sum(2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in s)
 
 
-def _columns(line: str) -> list[tuple[int, str]]:
-    return [(_width(line[: m.start()]), m[0]) for m in re.finditer(r"[^ 　\t]+", line)]
+def _name_and_prose(line: str) -> tuple[list[tuple[int, str]], str]:
+    """The (column, text) runs before the prose, and the prose without spaces.
+
+    Names are letter-spaced, prose is set solid: it is what follows the last
+    gap of three spaces, from the name column on, if it has six characters.
+    """
+    gaps = [m.end() for m in _GAP.finditer(line)]
+    runs = [(m.start(), _width(line[: m.start()]), m[0]) for m in re.finditer(r"[^\s　]+", line)]
+    tail = next((at for at, column, _ in runs if column >= NAME_COLUMN and at >= (gaps[-1] if gaps else 0)), None)
+    if tail is None or len(line[tail:].strip()) < LEAST_PROSE:
+        return [], ""
+    return [(column, t) for at, column, t in runs if at < tail], "".join(t for at, _, t in runs if at >= tail)
+
+
+def _small_and_large(names: list[tuple[int, str]]) -> tuple[str, str]:
+    """Names of the small section (left of the name column) and of the section; one too long is two, cut at its widest gap."""
+    cut = sum(column < NAME_COLUMN for column, _ in names)
+    if cut > 1 and sum(len(t) for _, t in names[:cut]) > LONGEST_NAME:
+        cut = max(range(1, cut), key=lambda i: names[i][0] - names[i - 1][0])
+    return "".join(t for _, t in names[:cut]), "".join(t for _, t in names[cut:])
 
 
-def _prose_start(fields: list[tuple[int, str]]) -> int:
-    """Index of the first field of the prose: the tail that has no gap of three cells."""
-    i = len(fields)
-    while i > 0 and (i == len(fields) or fields[i][0] - fields[i - 1][0] - _width(fields[i - 1][1]) < 3):
-        i -= 1
-    return i
+def _place_name(s: str) -> bool:
+    return 0 < len(s) <= LONGEST_NAME and not _NO_NAME.search(s) and bool(_SCRIPT.search(s))
 
 
 def parse_layout(text: str) -> list[dict]:
     """Entries of one document of a column dictionary, line by line.
 
-    A village header names the village and its reading; parentheses after it,
-    over at most six lines, its area; a column header starts its entries. A
-    line of half-width katakana gives the reading of the next name, a line
-    with a name and prose an entry (small section left of the name column),
-    a line of prose alone goes on with the entry before.
+    A village header names the village and its reading; parentheses right
+    after it, over at most six lines, its area; nothing is an entry before the
+    first column header. A number alone is the page from there on, a line of
+    half-width katakana the reading of the next name, a name with prose an
+    entry, and an indented line of prose alone goes on with the entry before.
     """
     entries: list[dict] = []
-    village = village_reading = area = reading = None
-    collecting: list[str] | None = None
-    for line in text.split("\n"):
-        bare = re.sub(r"[\s　]+", "", line)
-        if not bare or _NUMBER.match(line) or _CONTENTS.search(line):
-            continue
-        if m := _HEADER.match(bare):
-            village, village_reading, area, collecting, reading = m[1], m[2], None, None, None
-            continue
-        if collecting is None and village and area is None and bare[0] in "（(":
-            collecting = []
-        if collecting is not None:
-            collecting.append(bare)
-            whole = "".join(collecting)
-            if sum(c in "（(" for c in whole) <= sum(c in "）)" for c in whole) or len(collecting) >= WIDEST_AREA:
-                area, collecting = whole.strip("（）()"), None
-            continue
-        if _COLUMNS.match(bare):
-            area = area or ""
-            continue
-        if _READING.match(line):
-            reading = bare
-            continue
-        fields = _columns(line)
-        cut = _prose_start(fields)
-        names, prose = fields[:cut], fields[cut:]
-        if not names and entries and entries[-1]["village"] == village and prose and prose[0][0] >= NAME_COLUMN:
-            entries[-1]["description"] += "".join(t for _, t in prose)
+    place = {"village": None, "village_reading": None, "area": None}
+    page = reading = area = None  # area: the lines of an open bracket
+    started = False
+    for line in text.replace("\f", "").split("\n"):
+        bare = re.sub(r"\s+", "", line)
+        if not bare or _CONTENTS.search(line):
             continue
-        name = "".join(t for _, t in names) or (prose.pop(0)[1] if len(prose) > 1 else "")
-        if not name or not prose or len(name) > 10:
+        if m := _NUMBER.match(line):
+            page = int(m[1])
             continue
-        at = (names or fields)[0][0]
-        entries.append({"village": village, "village_reading": village_reading, "area": area or None, "level": "koaza" if at < NAME_COLUMN else "aza", "name": name, "reading": reading, "description": "".join(t for _, t in prose)})
-        reading = None
+        columns = _COLUMNS.match(bare)
+        if area is not None and (columns or not _HEADER.match(bare)):
+            more = not columns and (area or bare[0] in "（(")
+            area += [bare] if more else []
+            whole = "".join(area)
+            if not more or len(area) >= AREA_LINES or sum(c in "（(" for c in whole) <= sum(c in "）)" for c in whole):
+                place["area"] = _AREA_NOTE.sub("", whole).strip("（）() 　、,") or None
+                area = None
+            if more:
+                continue
+        if columns:
+            started = True
+        elif m := _HEADER.match(bare):
+            place, area = {"village": m[1], "village_reading": full_kana(m[2]), "area": None}, []
+        elif _READING.match(line):
+            reading = full_kana(line)
+        elif started:
+            names, prose = _name_and_prose(line)
+            if names:
+                small, large = _small_and_large(names)
+                if _place_name(small or large):
+                    entries.append({**place, "level": "koaza" if small else "aza", "name": small or large, "aza": large if small and large not in ("", small) else None, "reading": reading, "page": page, "description": prose})
+                reading = None
+            elif entries and line[0].isspace() and not _GAP.search(line.strip()) and not _RUNNING_HEAD.search(bare):
+                entries[-1]["description"] += bare
     return entries
 
 
@@ -162,6 +182,7 @@ def layout_dictionary(docs: DataFrame) -> DataFrame:
         names = [part.split(" ")[0] for part in _ENTRY_SCHEMA.split(", ")]
         for pdf in batches:
             rows = [{"doc_id": d, "entry_ord": i, **e} for d, t in zip(pdf["doc_id"], pdf["text"], strict=True) for i, e in enumerate(parse_layout(t or ""))]
-            yield pd.DataFrame(rows, columns=names)
+            frame = pd.DataFrame(rows, columns=names)
+            yield frame.astype({"page": "Int32"})
 
     return docs.select("doc_id", "text").mapInPandas(run, _ENTRY_SCHEMA)

@@ -273,12 +273,22 @@ def resolve_finding_place(findings: DataFrame, entries: DataFrame, children: Dat
 
 
 def province_in(texts: DataFrame, provinces: DataFrame, text: str = "text", id_: str = "text_id") -> DataFrame:
-    """``texts`` with the longest known province in the text, read forward, else backward."""
-    if provinces.count() > DICTIONARY_ROWS:
-        raise ValueError(f"more than {DICTIONARY_ROWS} provinces")
-    small = F.broadcast(provinces.select("province").distinct())
-    hit = texts.join(small, F.contains(F.col(text), F.col("province")) | F.contains(F.reverse(text), F.col("province")))
+    """``texts`` with the longest known province in the text, read forward, else backward.
+
+    Up to DICTIONARY_ROWS provinces are sent to every task; more of them meet
+    the ids of texts on their first two characters, and then the texts.
+    """
+    names = provinces.select("province").where("province <> ''").distinct()
     forward = F.contains(F.col(text), F.col("province"))
+    holds = forward | F.contains(F.reverse(text), F.col("province"))
+    if names.count() <= DICTIONARY_ROWS:
+        hit = texts.join(F.broadcast(names), holds)
+    else:
+        both = F.concat(F.coalesce(text, F.lit("")), F.lit("\0"), F.reverse(F.coalesce(text, F.lit(""))))
+        runs = F.transform(F.sequence(F.lit(1), F.length(both)), lambda i: F.substring(both, i, F.lit(2)))
+        starts = F.array_distinct(F.concat(runs, F.transform(runs, lambda r: F.substring(r, 1, 1))))
+        met = texts.select(id_, F.explode(starts).alias("_s")).join(names.withColumn("_s", F.substring("province", 1, 2)), "_s").drop("_s").distinct()
+        hit = met.join(texts, id_).where(holds)
     best = hit.groupBy(id_).agg(F.max_by("province", F.struct(forward.alias("f"), F.length("province").alias("n"), "province")).alias("province"))
     return texts.join(best, id_, "left")
 

@@ -240,11 +240,13 @@ def _(spark, table):
 
 @query(
     "finding_guard",
-    """select item_id, case when item_id % 7 = 0 then 'no_name' when item_id % 5 = 0 then 'other_role' when item_id % 3 = 0 then 'short_quote' when item_id % 4 = 1 then 'not_verbatim' end as reason from benchmark""",
+    f"""select item_id, case when item_id % 7 = 0 then 'no_name' when item_id % 5 = 0 then 'other_role' when length(quote) < 8 then 'short_quote'
+      when {_FLAT.format("quote")} = '' or not contains({_FLAT.format("text")}, {_FLAT.format("quote")}) then 'not_verbatim' end as reason
+    from (select item_id, text, case when item_id % 3 = 0 then substr(text, 1, 5) when item_id % 4 = 1 then reverse(substr(text, 1, 30)) else substr(text, 4, 40) end as quote from benchmark)""",
 )
 def _(spark, table):
     b = table("benchmark").withColumn("name", F.when(F.col("item_id") % 7 == 0, "").otherwise("n")).withColumn("role", F.when(F.col("item_id") % 5 == 0, "seen").otherwise("affected"))
-    b = b.withColumn("quote", F.when(F.col("item_id") % 3 == 0, F.substring("text", 1, 5)).when(F.col("item_id") % 4 == 1, F.concat(F.substring("text", 1, 30), F.lit("~~"))).otherwise(F.substring("text", 1, 40)))
+    b = b.withColumn("quote", F.when(F.col("item_id") % 3 == 0, F.substring("text", 1, 5)).when(F.col("item_id") % 4 == 1, F.reverse(F.substring("text", 1, 30))).otherwise(F.substring("text", 4, 40)))
     return b.select("item_id", X.finding_reason("name", "quote", "text", "role").alias("reason"))
 
 
@@ -290,17 +292,17 @@ def _(spark, table):
     return table("documents").select("doc_id", F.array_join(X.hazards_from_text("text", KEYS), "|").alias("v"))
 
 
-@query(
-    "classify_description",
-    f"""with s as (select * from {_SENT} where not regexp_matches(sentence, 'idiot|worthless')),
+_CLAIM = f"""with s as (select * from {_SENT} where not regexp_matches(sentence, 'idiot|worthless')),
     b as (select doc_id, string_agg(sentence, '' order by sent_ord) as body from s group by doc_id),
     m as (select *, contains(body, 'the ') or contains(body, 'clown') as bad, contains(body, 'and ') or contains(body, 'in ') as ground from b),
     k as (select s.doc_id, s.sentence, s.sent_ord, row_number() over (partition by s.doc_id order by s.sent_ord) as n
           from s join m using (doc_id) where case when bad then regexp_matches(sentence, 'the |clown') else regexp_matches(sentence, 'and |in ') end),
     q as (select doc_id, substr(coalesce(string_agg(sentence, '' order by sent_ord) filter (n <= 2), ''), 1, 220) as quote from k group by doc_id)
     select doc_id, case when not bad then 1 when regexp_matches(coalesce(quote, ''), '[(（][0-9]{{3,4}}[）)]') then 3 else 2 end::int as level, coalesce(quote, '') as quote, substr(body, 1, 140) as summary
-    from m left join q using (doc_id) where bad or ground""",
-)
+    from m left join q using (doc_id) where bad or ground"""
+
+
+@query("classify_description", _CLAIM)
 def _(spark, table):
     claim = X.classify_description("text", BAD, GROUND, ADMIN, KEYS, ".")
     return table("documents").select("doc_id", claim.alias("c")).where("c is not null").select("doc_id", "c.level", "c.quote", "c.summary")
@@ -333,14 +335,16 @@ def _(spark, table):
 
 @query(
     "prose_evidence",
-    """with f as (select d.doc_id, d.doc_id as ord, d.doc_id % 50 as place_id, substr(text, 1, 60) as quote, quality, toxic from documents d join labels using (doc_id) where length(text) >= 60),
-    l as (select *, case when quality = 1 and contains(quote, 'the ') then 2 when contains(quote, 'the ') or contains(quote, 'and ') then 1 end::int as level from f)
+    f"""with f as (select d.doc_id, d.doc_id as ord, d.doc_id % 50 as place_id, text, case when d.doc_id % 3 = 0 then reverse(substr(text, 1, 60)) else substr(text, 1, 60) end as quote, quality, toxic from documents d left join labels using (doc_id)),
+    l as (select *, case when quality = 1 and contains(quote, 'the ') then 2 when contains(quote, 'the ') or contains(quote, 'and ') then 1 end::int as level from f
+      where length(quote) >= 8 and {_FLAT.format("quote")} <> '' and contains({_FLAT.format("text")}, {_FLAT.format("quote")}))
     select place_id, ord as doc_id, level, case when toxic = 1 then 'disputes' else 'supports' end as stance from (select *, row_number() over (partition by place_id order by level desc, ord) as n from l where level is not null) where n = 1""",
 )
 def _(spark, table):
-    d = table("documents").join(table("labels"), "doc_id").where(F.length("text") >= 60)
-    f = d.select(F.col("doc_id").alias("finding_id"), F.col("doc_id").alias("ord"), F.col("doc_id").alias("source_id"), (F.col("doc_id") % 50).alias("place_id"), F.lit("n").alias("name"), F.when(F.col("quality") == 1, "disaster").otherwise("terrain").alias("kind"), F.when(F.col("toxic") == 1, "disputes").otherwise("?").alias("stance"), F.substring("text", 1, 60).alias("quote"))
-    out = E.prose_evidence(f, d.select(F.col("doc_id").alias("source_id"), "text"), ["the "], ["and "])
+    d = table("documents").join(table("labels"), "doc_id", "left")
+    quote = F.substring("text", 1, 60)
+    f = d.select(F.col("doc_id").alias("finding_id"), F.col("doc_id").alias("ord"), F.col("doc_id").alias("source_id"), (F.col("doc_id") % 50).alias("place_id"), F.lit("n").alias("name"), F.when(F.col("quality") == 1, "disaster").otherwise("terrain").alias("kind"), F.when(F.col("toxic") == 1, "disputes").otherwise("?").alias("stance"), F.when(F.col("doc_id") % 3 == 0, F.reverse(quote)).otherwise(quote).alias("quote"))
+    out = E.prose_evidence(f, table("documents").select(F.col("doc_id").alias("source_id"), "text"), ["the "], ["and "])
     return out.select("place_id", F.col("ord").alias("doc_id"), "level", "stance")
 
 
@@ -360,18 +364,26 @@ def _(spark, table):
 
 @query(
     "gazetteer_evidence",
-    """select l_orderkey, l_partkey, l_suppkey, l_linenumber, case when told and l_returnflag = 'R' then 'dropped' when told then 'toponym' when l_quantity > 25 then 'mention' else 'dropped' end as disposition from (
-      select *, l_linenumber % 3 <> 0 and l_linestatus = 'O' as told from lineitem)""",
+    f"""with f as (select doc_id, text, coalesce(toxic = 1, false) as disputes, coalesce(quality, 0) > 0 as noted, doc_id % 4 <> 0 as claimed, doc_id % 11 <> 0 as placed,
+      case doc_id % 3 when 0 then substr(text, 21, 40) when 1 then reverse(substr(text, 1, 30)) else substr(text, 1, 6) || substr(text, 7, 50) end as quote from documents left join labels using (doc_id)),
+    t as (select *, claimed and placed and (contains(quote, 'the ') or contains(quote, 'and ')) and length(quote) >= 8 and contains({_FLAT.format("text")}, {_FLAT.format("quote")}) as told from f)
+    select doc_id, case when told and disputes then 'dropped' when told then 'toponym' when noted then 'mention' else 'dropped' end as disposition from t""",
 )
 def _(spark, table):
-    f = table("lineitem").select("*", F.concat_ws("-", "l_orderkey", "l_partkey").alias("finding_id"), F.col("l_partkey").alias("place_id"), F.when(F.col("l_linenumber") % 3 == 0, "person").otherwise("disaster").alias("kind"), F.when(F.col("l_returnflag") == "R", "disputes").otherwise("supports").alias("stance"), F.lit("the flood came").alias("quote"), F.when(F.col("l_linestatus") == "O", "then the  flood came down").otherwise("nothing").alias("body"), F.when(F.col("l_quantity") > 25, 1).otherwise(0).alias("n_records"))
-    return E.gazetteer_evidence(f, ["flood"], ["hill"]).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "disposition")
+    k, part = F.col("doc_id"), lambda at, n: F.substring("text", at, n)
+    quote = F.when(k % 3 == 0, part(21, 40)).when(k % 3 == 1, F.reverse(part(1, 30))).otherwise(F.concat(part(1, 6), part(7, 50)))
+    f = table("documents").join(table("labels"), "doc_id", "left").select("doc_id", F.when(k % 11 != 0, k).alias("place_id"), F.when(k % 4 == 0, "person").otherwise("disaster").alias("kind"), F.when(F.col("toxic") == 1, "disputes").otherwise("supports").alias("stance"), quote.alias("quote"), F.col("text").alias("body"), F.col("quality").alias("n_records"))
+    return E.gazetteer_evidence(f, ["the "], ["and "]).select("doc_id", "disposition")
 
 
-@query("local_history_evidence", "select id, arg_min(doc_id, (-level, doc_id)) as doc_id, max(level)::int as level from (select doc_id, doc_id % 40 as id, case when contains(substr(text, 1, 200), 'the ') then 2 when contains(substr(text, 1, 200), 'and ') then 1 end as level from documents where length(text) >= 20 and lang = 'en' and not contains(substr(text, 1, 200), '.')) where level is not null group by id")
+@query(
+    "local_history_evidence",
+    f"""select doc_id % 40 as id, arg_min(doc_id, (-level, doc_id)) as doc_id, max(level)::int as level from ({_CLAIM}) c join documents d using (doc_id)
+    where {_FLAT.format("quote")} <> '' and contains({_FLAT.format("text")}, {_FLAT.format("quote")}) group by 1""",
+)
 def _(spark, table):
-    d = table("documents").where("length(text) >= 20 and lang = 'en' and not contains(substring(text, 1, 200), '.')").select((F.col("doc_id") % 40).alias("id"), F.col("doc_id").alias("ord"), "doc_id", F.substring("text", 1, 200).alias("text"))
-    return E.local_history_evidence(d, X.classify_description("text", ["the "], ["and "], ["~none~"], KEYS, ".")).select("id", "doc_id", "level")
+    d = table("documents").select((F.col("doc_id") % 40).alias("id"), F.col("doc_id").alias("ord"), "doc_id", "text")
+    return E.local_history_evidence(d, X.classify_description("text", BAD, GROUND, ADMIN, KEYS, ".")).select("id", "doc_id", "level")
 
 
 @query("curated_evidence", "select b.item_id as id, d.doc_id is not null and contains(regexp_replace(d.text, '\\s+', '', 'g'), regexp_replace(substr(b.text, 1, 40), '\\s+', '', 'g')) as verified from benchmark b left join documents d on d.doc_id = b.item_id")

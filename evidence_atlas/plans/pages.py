@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import layout as L
 from .catalog import query
+from .stand_ins import jp, jp_sql
 
 _ROLE = """(with b as (select l_orderkey, l_partkey, l_suppkey, l_linenumber, left(l_returnflag || l_linestatus || 'xxxxxxx', (l_partkey % 8 + 1)::int) as text, l_quantity as x, l_extendedprice / 1000 as y, (l_suppkey % 60)::double as width, l_extendedprice / 200 as height from lineitem),
   m as (select *, coalesce(median(case when width > 0 then width end) over (partition by l_orderkey), 56) as m, max(x) over (partition by l_orderkey) as mx from b),
@@ -75,13 +76,23 @@ def _(spark, table):
     return L.split_fields(table("customer").select(F.col("c_custkey").alias("line_id"), line.alias("line"))).select(F.col("line_id").alias("c_custkey"), "pos", "column", "text")
 
 
-@query("layout_dictionary")
+@query(
+    "layout_dictionary",
+    f"""with p as (select *, min(p_partkey) over (partition by p_type, p_brand) as doc_id, string_split({jp_sql("p_name")}, ' ') as w from part),
+    n as (select *, case when length(array_to_string(w, '')) > 10 and len(w) = 2 then w[1] else array_to_string(w, '') end as name, case when length(array_to_string(w, '')) > 10 and len(w) = 2 and w[1] <> w[2] then w[2] end as aza from p),
+    k as (select *, length(name) between 1 and 10 and regexp_matches(name, '[ぁ-ヿ一-鿿]') and not regexp_matches(name, '[0-9#]') as ok from n),
+    g as (select *, sum(ok::int) over (partition by doc_id order by p_partkey rows unbounded preceding) as g from k)
+    select doc_id, (g - 1)::int as entry_ord, '新村' as village, 'シンムラ' as village_reading, '平井町' as area, 'koaza' as level, max(name) filter (ok) as name, max(aza) filter (ok) as aza, max(case when p_size % 3 = 0 then 'シン' end) filter (ok) as reading, 12 as page,
+      string_agg(case when ok then '崩壊地名である' || p_size else '' end || case when p_size % 5 = 0 then '続き' || p_size else '' end, '' order by p_partkey) as description
+    from g where g > 0 group by doc_id, g""",
+)
 def _(spark, table):
-    """Entries of a column dictionary laid out from the names of the parts of each type and brand."""
-    row = F.concat(F.rpad("p_name", 18, " "), F.lit("崩れ"), F.col("p_size").cast("string"))
+    """Entries of a column dictionary laid out from the parts of each type and brand: readings, names, prose, prose that goes on."""
+    size = F.col("p_size").cast("string")
+    row = F.concat(F.when(F.col("p_size") % 3 == 0, "ｼﾝ\n").otherwise(""), F.rpad(jp("p_name"), 40, " "), F.lit("崩壊地名である"), size, F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("\n                    続き"), size)).otherwise(""))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("r")))), lambda x: x["r"]), "\n")
     docs = table("part").groupBy("p_type", "p_brand").agg(F.min("p_partkey").alias("doc_id"), body.alias("b"))
-    return L.layout_dictionary(docs.select("doc_id", F.concat(F.lit("新村（シンムラ）\n（平井町）\n字小字地名\n 12 \n"), "b").alias("text")))
+    return L.layout_dictionary(docs.select("doc_id", F.concat(F.lit("山  崩                    前書きの文章である。\n新村（シンムラ）\n（平井町）\n字小字地名\n 12 \n"), "b").alias("text")))
 
 
 del X

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import browse as B
 from ..operators import match as M
 from ..operators import merge as D
+from ..sources.tables import shared_folder
 from .catalog import query
 from .joins import _SCORE, _places_of_supplier, _scored
 from .stand_ins import lat, lat_sql, lon, lon_sql
@@ -219,7 +222,9 @@ def _(spark, table):
 
 @query("load_partition", "select c_custkey, c_nationkey::varchar as pref_code from customer where c_nationkey::varchar in ('3', '5', '99')")
 def _(spark, table):
-    return table("customer").where(F.col("c_nationkey").cast("string").isin("3", "5", "99")).select("c_custkey", F.col("c_nationkey").cast("string").alias("pref_code"))
+    path = f"{shared_folder(spark)}/customers-{uuid.uuid4().hex}"
+    B.write_partitions(table("customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("pref_code")), path)
+    return B.load_partition(spark, path, ["3", "5", "99"], "c_custkey long, pref_code string")
 
 
 @query("validate_dataset", "select 'status' as \"column\", count(*) filter (o_orderstatus = 'P')::bigint as violations from orders union all select 'priority', count(*) filter (o_orderpriority = '5-LOW')::bigint from orders")

@@ -74,9 +74,9 @@ def _(spark, table):
 @query(
     "html_to_text",
     r"""with a as (select page_id, regexp_replace(html, '<!--.*?-->', '', 'gs') as t from pages), b as (select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '<script\b[^>]*>.*?</script\s*>', '', 'gis'), '<style\b[^>]*>.*?</style\s*>', '', 'gis'), '<noscript\b[^>]*>.*?</noscript\s*>', '', 'gis'), '<svg\b[^>]*>.*?</svg\s*>', '', 'gis'), '<head\b[^>]*>.*?</head\s*>', '', 'gis') as t from a),
-    c as (select page_id, regexp_replace(regexp_replace(t, '</?(?:p|div|br|li|ul|ol|table|tr|h1|h2|h3|h4|h5|h6|section|article)\b[^>]*>', chr(10), 'gi'), '<[^>]*>', '', 'g') as t from b),
-    d as (select page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') as t from c),
-    e as (select page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') as t from d)
+    c as (select page_id, regexp_replace(regexp_replace(t, '</?(?:p|div|br|li|tr|table|h1|h2|h3|h4|h5|h6|section|article|dt|dd)\b[^>]*>', chr(10), 'gi'), '<[^>]*>', '', 'g') as t from b),
+    d as (select page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') as t from c),
+    e as (select page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') as t from d)
     select page_id, coalesce(list_aggregate(list_filter(list_transform(string_split(regexp_replace(t, '[ \t\x{3000}]+', ' ', 'g'), chr(10)), lambda s: trim(s)), lambda s: s <> ''), 'string_agg', chr(10)), '') as text from e""",
 )
 def _(spark, table):
@@ -100,6 +100,7 @@ def _(spark, table):
 
 @query("dictionary_tables", f"select p_partkey, count(distinct element_id) as n from part left join {ELEMENTS_SQL} e on contains(p_name, surface) group by 1")
 def _(spark, table):
+    # the dictionary is the literal list ELEMENTS, so it may be sent to every task
     e = _elements(spark).select("element_id", F.explode("surfaces").alias("s"))
     hit = F.contains("p_name", F.trim("s"))
     return table("part").join(F.broadcast(e), hit, "left").groupBy("p_partkey").agg(F.count_distinct("element_id").alias("n"))

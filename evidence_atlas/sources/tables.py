@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import html
+import tempfile
+from functools import lru_cache
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,21 +121,48 @@ def flatten_findings(payloads: DataFrame, payload: str, path: str, fields: dict[
     return items.select(*keep, "pos", *[field(n, t).alias(n) for n, t in fields.items()])
 
 
-#: Elements of a page that are not shown, and those that break a line.
+#: Elements of a page that are not shown, those that break a line, and the character references met most.
 HIDDEN = "script style noscript svg head".split()
-BREAKS = "p div br li ul ol table tr h1 h2 h3 h4 h5 h6 section article".split()
+BREAKS = "p div br li tr table h1 h2 h3 h4 h5 h6 section article dt dd".split()
+REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "#39": "'", "copy": "©", "middot": "·", "amp": "&"}
+#: A reference beyond those, or one that comes to light when ``&amp;`` is decoded.
+_OTHER_REFERENCE = f"&(?!(?:{'|'.join(REFERENCES)});)|&amp;[#A-Za-z]"
+
+
+@lru_cache
+def _decoded_twice():
+    @F.pandas_udf("string")
+    def udf(c: pd.Series) -> pd.Series:
+        return c.map(lambda s: html.unescape(html.unescape(s)), na_action="ignore")
+
+    return udf
 
 
 def html_to_text(c) -> Column:
-    """Visible text: hidden elements and comments gone, blocks on lines of their own, entities decoded twice."""
+    """Visible text: hidden elements and comments gone, blocks on lines of their own, references decoded twice.
+
+    Texts with any but the commonest references go to Python by batch; for
+    all others it gets nulls.
+    """
     t = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
     t = F.regexp_replace(t, r"(?s)<!--.*?-->", "")
     for tag in HIDDEN:
         t = F.regexp_replace(t, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
     t = F.regexp_replace(t, rf"(?i)</?(?:{'|'.join(BREAKS)})\b[^>]*>", "\n")
-    t = F.regexp_replace(t, r"<[^>]*>", "")
-    for _ in range(2):
-        for name, sign in {"lt": "<", "gt": ">", "quot": '"', "#39": "'", "nbsp": " ", "copy": "©", "middot": "·", "amp": "&"}.items():
-            t = F.replace(t, F.lit(f"&{name};"), F.lit(sign))
-    lines = F.transform(F.split(F.regexp_replace(t, "[ \t　]+", " "), "\n"), lambda s: F.trim(s))
+    bare = F.regexp_replace(t, r"<[^>]*>", "")
+    t = bare
+    for name, sign in REFERENCES.items():
+        t = F.replace(t, F.lit(f"&{name};"), F.lit(sign))
+    t = F.coalesce(_decoded_twice()(F.when(F.rlike(bare, F.lit(_OTHER_REFERENCE)), bare)), t)
+    lines = F.transform(F.split(F.regexp_replace(t, "[ \t　]+", " "), "\n"), lambda s: F.regexp_replace(s, r"(?U)^\s+|\s+$", ""))
     return F.array_join(F.filter(lines, lambda s: s != ""), "\n")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; only a local master may do without one and use its own disk."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")

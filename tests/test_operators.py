@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from evidence_atlas.functions import text as X
+from evidence_atlas.operators import browse as B
 from evidence_atlas.operators import evidence as E
 from evidence_atlas.operators import geo as G
 from evidence_atlas.operators import layout as L
@@ -19,6 +20,7 @@ def cases():
     return [
         (X.strip_spaces(F.lit("蛇 抜　沢\t")), "蛇抜沢"),
         (X.normalize_reading(F.lit("ｼﾞﾔﾇｹ さわ")), "ジヤヌケサワ"),
+        (X.normalize_reading(F.lit("㌔ ㈱⑩ﬁかﾞ")), "キロ(株)10fiガ"),
         (X.normalize_name(F.lit("瀧 澤")), "滝沢"),
         (X.comparison_key(F.lit("梅が久保")), "梅ケ久保"),
         (X.comparison_key(F.lit("梅ヶ久保")), "梅ケ久保"),
@@ -147,12 +149,46 @@ def test_tiles(spark):
     assert t(0.0, 0.0, 1) == (1, 1, 0, 0)
 
 
+LAYOUT = """山  崩                      目次の前の文章がここに入る。
+梅田村・・・・・3
+                     12
+        梅   田   村（ウメダムラ）
+      （梅田町１～２丁目の一部、
+             高沢町３丁目、 * 町別小字表２参照）
+   字      小    字     地 名 語 源（寛文の
+                               （１６７３）の水帳の字による）
+ ｼﾞﾔ       ｸｽﾞﾚ
+蛇     崩                  大蛇が出た崩壊地名である。
+                            土石流の跡が残る。
+                  前      田    村の前にある広い田をいう。
+大 きな 谷 久保   下 の 前 田 原    長い名は広い間で二つに分ける。
+久安年間(1462)新町            文であり名ではない。
+"""
+
+
 def test_layout_dictionary():
-    text = "梅田村（ウメダムラ）\n（梅田町一丁目の一部）\n字小字地名\n  ｼﾞﾔｸｽﾞﾚ\n 蛇崩          崩壊地名である。\n                  土石流の跡。\n 12 \n                  梅ヶ久保　　　埋まった窪地。\n"
-    rows = L.parse_layout(text)
-    assert rows[0]["village"] == "梅田村" and rows[0]["area"] == "梅田町一丁目の一部"
-    assert rows[0]["name"] == "蛇崩" and rows[0]["reading"] == "ｼﾞﾔｸｽﾞﾚ" and rows[0]["description"] == "崩壊地名である。土石流の跡。"
-    assert rows[0]["level"] == "koaza" and rows[1]["name"] == "梅ヶ久保" and rows[1]["level"] == "aza"
+    rows = L.parse_layout(LAYOUT)
+    assert [(r["name"], r["level"], r["aza"]) for r in rows] == [("蛇崩", "koaza", None), ("前田", "aza", None), ("大きな谷久保", "koaza", "下の前田原")]
+    assert {(r["village"], r["village_reading"], r["page"], r["area"]) for r in rows} == {("梅田村", "ウメダムラ", 12, "梅田町１～２丁目の一部、高沢町３丁目")}
+    assert rows[0]["reading"] == "ジヤクズレ" and rows[1]["reading"] is None
+    assert rows[0]["description"] == "大蛇が出た崩壊地名である。土石流の跡が残る。"
+    assert L.parse_layout("") == [] and L.parse_layout("蛇     崩                  大蛇が出た崩壊地名である。") == []
+
+
+def test_province_in_both_ways(spark, monkeypatch):
+    t = spark.createDataFrame([(1, "昔の武蔵国の村"), (2, "国蔵武"), (3, "無"), (4, None), (5, ""), (6, "下総と武蔵国")], "text_id int, text string")
+    p = spark.createDataFrame([("武蔵",), ("武蔵国",), ("下総",), ("",), (None,)], "province string")
+    want = {1: "武蔵国", 2: "武蔵国", 3: None, 4: None, 5: None, 6: "武蔵国"}
+    for rows in (M.DICTIONARY_ROWS, 0):
+        monkeypatch.setattr(M, "DICTIONARY_ROWS", rows)
+        assert {r.text_id: r.province for r in M.province_in(t, p).collect()} == want
+
+
+def test_partitions(spark, tmp_path):
+    rows = spark.createDataFrame([(i, None if i == 5 else str(i % 3)) for i in range(9)], "id long, pref_code string")
+    B.write_partitions(rows, f"{tmp_path}/t")
+    read = lambda *codes: {r.id for r in B.load_partition(spark, f"{tmp_path}/t", list(codes), "id long, pref_code string").collect()}
+    assert read("1") == {1, 4, 7} and read("00", "7") == {5} and read("7") == set()
 
 
 def test_verified_quotes_both_ways(spark):
@@ -166,6 +202,8 @@ def test_verified_quotes_both_ways(spark):
 def test_html_text(spark):
     page = "<head><title>t</title></head><body><p>a &amp;lt; b<script>x</script><br>c　 d</p><!-- no --></body>"
     assert value(spark, S.html_to_text(F.lit(page))) == "a < b\nc d"
+    other = "<dl><dt>&eacute;&#x5c71;</dt><dd>&amp;hellip;&nbsp;</dd></dl>&amp;amp &copy"
+    assert value(spark, S.html_to_text(F.lit(other))) == "é山\n…\n& ©"
 
 
 def test_same_result_for_any_number_of_partitions(spark):
