@@ -128,6 +128,24 @@ def bucket_members(classes: DataFrame) -> DataFrame:
     return every.join(several, "key")
 
 
+#: Bits of the filter that ``passing`` sends to every task: 8 MB, whatever the tables' sizes.
+FILTER_BITS = 1 << 26
+
+
+def passing(rows: DataFrame, key: str, names: DataFrame, name: str) -> DataFrame:
+    """The rows whose key may stand in ``names``, picked before they are shuffled for a join with it.
+
+    One bit is set for each name, by its hash, in bitmaps of 32,768 bits that
+    Spark aggregates and broadcasts: FILTER_BITS in all. A row whose bit is not
+    set has no partner. The more names, the more rows pass in vain; none is lost.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    bits = names.select(place(name).alias("_at")).groupBy(F.shiftright("_at", 15).alias("_part")).agg(F.bitmap_construct_agg(F.expr("_at & 32767")).alias("_bits"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast((_at & 32767) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    held = rows.withColumn("_at", place(key)).join(F.broadcast(bits), F.shiftright("_at", 15) == F.col("_part")).withColumn("_byte", byte)
+    return held.where("shiftright(_byte, cast(_at & 7 as int)) & 1 = 1").select(*rows.columns)
+
+
 def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
     """(node, items, registers, size) of the given nodes, from the whole text of one row of each class."""
 
@@ -144,7 +162,7 @@ def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str
     # the texts meet names only, in a table whose size is known before the join is planned
     where = stored(nodes.join(classes, "node").select(F.col("node").alias("_node"), F.col("row").alias("_row")), "dedup-names")
     rows = docs.select(_row_key(doc_id, text).alias("_row"), text_or_empty(text).alias("_text"))
-    of = rows.join(where, "_row").select("_node", full_set("_text").alias("s"))
+    of = passing(rows, "_row", where, "_row").join(where, "_row").select("_node", full_set("_text").alias("s"))
     return of.where("_node = s.node").select("s.*").dropDuplicates(["node"]).join(classes.select("node", "registers", F.col("n_shingles").alias("size")), "node")
 
 
@@ -171,9 +189,9 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, estimates: bool = False) -> Da
     more = ["registers"] if estimates else []
     side = lambda k: [F.col("node").alias(k), F.col("items").alias(f"i{k}"), F.col("size").alias(f"n{k}"), *[F.col(m).alias(f"r{k}") for m in more]]
     copies = pairs.groupBy("a").agg((F.floor(F.count("*") / PARTNERS) + 1).cast("int").alias("copies"))
-    few = copies.withColumnRenamed("a", "node").join(sets, "node").select(*side("a"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
+    few = copies.withColumnRenamed("a", "node").join(passing(sets, "node", pairs, "a"), "node").select(*side("a"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
     salted = pairs.join(copies, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")).drop("copies")
-    return salted.join(sets.select(*side("b")), "b").join(few, ["a", "salt"]).drop("salt")
+    return salted.join(passing(sets, "node", pairs, "b").select(*side("b")), "b").join(few, ["a", "salt"]).drop("salt")
 
 
 def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -635,3 +635,13 @@ def test_ann_relaxed(data):
         every, other = ann.inner(np.repeat(x[i : i + 1], len(x), 0), x), ids != ids[i]
         best = np.lexsort((ids[other], -every[other]))[:20]
         assert (ids[other][best] == exact[np.nonzero(ids[asked] == ids[i])[0][0]]).all()
+
+
+def test_passing_loses_no_partner(spark):
+    rows = spark.range(5000).selectExpr("cast(cast(id as string) as binary) as k", "id", "id as _x")
+    names = spark.range(0, 5000, 7).selectExpr("cast(cast(id as string) as binary) as n")
+    got = near_dedup.passing(rows, "k", names, "n")
+    ids = {r.id for r in got.collect()}
+    assert got.columns == rows.columns and ids >= set(range(0, 5000, 7)) and len(ids) < 750
+    assert near_dedup.passing(rows, "k", names.where("false"), "n").isEmpty()
+    assert near_dedup.passing(rows.where("false"), "k", names, "n").isEmpty()
