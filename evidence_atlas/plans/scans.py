@@ -2,20 +2,53 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources import files as C
 from ..sources import tables as S
 from .catalog import query
-from .joins import _elements
-from .stand_ins import ELEMENTS_SQL, lat, lat_sql, lon, lon_sql
+from .stand_ins import ELEMENTS, ELEMENTS_SQL, lat, lat_sql, lon, lon_sql
+
+
+def _folder(spark, name: str) -> str:
+    return f"{S.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query("scan_address", f"select c_custkey, {lat_sql('c_custkey')} as lat, {lon_sql('c_custkey')} as lon from customer where c_custkey % 11 <> 0 and c_custkey % 13 <> 0")
+def _lines(spark, path: str, lines: list[str]) -> None:
+    """One more file, as a person would leave it there: malformed on purpose."""
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(path)
+
+
+@query(
+    "scan_address",
+    f"""select c_custkey, {lat_sql('c_custkey')} as lat, {lon_sql('c_custkey')} as lon, lpad((c_nationkey % 3)::varchar, 2, '0') as pref, false as corrupt from customer where c_custkey % 11 <> 0 and c_custkey % 13 <> 0
+    union all select -2, 35.5, 135.5, '00', true""",
+)
 def _(spark, table):
-    k = F.col("c_custkey")
-    raw = table("customer").select(k, F.when(k % 11 == 0, "?").when(k % 13 == 0, "-5").otherwise(F.concat(F.lit(" "), lat("c_custkey").cast("string"))).alias("lat"), lon("c_custkey").cast("string").alias("lon"))
-    return S.address_rows(raw)
+    k, path = F.col("c_custkey"), _folder(spark, "addresses")
+    raw = table("customer").select(F.lit("x").alias("note"), k, F.when(k % 11 == 0, "?").when(k % 13 == 0, "-5").otherwise(F.concat(F.lit(" "), lat("c_custkey").cast("string"))).alias("緯度"), lon("c_custkey").cast("string").alias("経度"), F.lpad((F.col("c_nationkey") % 3).cast("string"), 2, "0").alias("pref"))
+    raw.write.partitionBy("pref").csv(path, header=True)
+    _lines(spark, f"{path}/pref=00", ["note,c_custkey,緯度,経度", "x,-1,35", "x,-2,35.5,135.5,more", "x,-3,,"])
+    rows = C.scan_addresses(spark, path, {"c_custkey": "c_custkey", "経度": "lon", "緯度": "lat"}, ["pref"])
+    none = C.scan_addresses(spark, _folder(spark, "none"), {"c_custkey": "c_custkey", "経度": "lon", "緯度": "lat"}, ["pref"])
+    return rows.unionByName(none).select(F.col("c_custkey").cast("long").alias("c_custkey"), "lat", "lon", "pref", F.col("_corrupt").isNotNull().alias("corrupt"))
+
+
+@query(
+    "scan_report",
+    "select c_nationkey % 3 as part, count(*) + case when c_nationkey % 3 = 0 then 2 else 0 end as rows, count(*) + case when c_nationkey % 3 = 0 then 1 else 0 end as filled, case when c_nationkey % 3 = 0 then 2 else 0 end as corrupt from customer group by 1",
+)
+def _(spark, table):
+    path = _folder(spark, "counted")
+    table("customer").select("c_custkey", "c_name", (F.col("c_nationkey") % 3).alias("part")).write.partitionBy("part").csv(path, header=True)
+    _lines(spark, f"{path}/part=0", ["c_custkey,c_name", "1", "2,b,c"])
+    found = C.scan_report(C.scan_csv(spark, path, {"c_custkey": "k", "c_name": "name"}, ["part"]), "name")
+    part = F.regexp_extract("_file", "/part=([0-9]+)/", 1).try_cast("long").alias("part")
+    return found.groupBy(part).agg(F.sum("rows").alias("rows"), F.sum("filled").alias("filled"), F.sum("corrupt").alias("corrupt"))
 
 
 @query(
@@ -45,30 +78,54 @@ def _(spark, table):
 @query("scan_monuments", f"select s_suppkey::varchar as id, s_name as name, null::varchar as year, {lat_sql('s_suppkey')} as lat, {lon_sql('s_suppkey')} as lon from supplier where s_suppkey % 5 <> 0")
 def _(spark, table):
     at = F.when(F.col("s_suppkey") % 5 == 0, F.lit("[]")).otherwise(F.concat(F.lit("["), lon("s_suppkey").cast("string"), F.lit(","), lat("s_suppkey").cast("string"), F.lit("]")))
-    feature = F.concat(F.lit('{"type":"Feature","properties":{"ID":"'), F.col("s_suppkey").cast("string"), F.lit('","碑名":" '), "s_name", F.lit(' ","建立年":"  "},"geometry":{"coordinates":'), at, F.lit("}}"))
-    payload = F.concat(F.lit('{"features":['), F.array_join(F.sort_array(F.collect_list(feature)), ","), F.lit("]}"))
-    return S.monuments(table("supplier").groupBy("s_nationkey").agg(payload.alias("p")), "p", {"ID": "id", "碑名": "name", "建立年": "year"})
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"ID":"'), F.col("s_suppkey").cast("string"), F.lit('","碑名":" '), "s_name", F.lit(' ","建立年":"  "},\n"geometry":{"coordinates":'), at, F.lit("}}"))
+    document = F.concat(F.lit('{"type":"FeatureCollection",\n"features":['), F.array_join(F.sort_array(F.collect_list(feature)), ",\n"), F.lit("]}"))
+    path = _folder(spark, "monuments")  # a file for each nation
+    table("supplier").groupBy("s_nationkey").agg(document.alias("value")).select("s_nationkey", "value").repartition("s_nationkey").write.partitionBy("s_nationkey").text(path)
+    _lines(spark, f"{path}/s_nationkey=0", ['{"features":[{"type":"Feature","properties":{"ID":"b"},'])
+    _lines(spark, f"{path}/s_nationkey=1", ['{"features":7}'])
+    return C.scan_monuments(spark, path, {"ID": "id", "碑名": "name", "建立年": "year"})
 
 
-@query("scan_modern_index", f"select s_suppkey, case when s_suppkey % 3 <> 0 then s_name end as name, case when s_suppkey % 4 <> 0 then {lat_sql('s_suppkey')} end as lat, {lon_sql('s_suppkey')} as lon from supplier")
+@query("scan_modern_index", f"select s_suppkey, case when s_suppkey % 3 <> 0 then 'a, \"b\"' || chr(10) || s_name end as name, case when s_suppkey % 4 <> 0 then {lat_sql('s_suppkey')} end as lat, {lon_sql('s_suppkey')} as lon from supplier")
 def _(spark, table):
-    k = F.col("s_suppkey")
-    raw = table("supplier").select(k, F.when(k % 3 == 0, "  ").otherwise(F.concat(F.lit(" "), "s_name")).alias("name"), F.when(k % 4 == 0, "").otherwise(lat("s_suppkey").cast("string")).alias("lat"), lon("s_suppkey").cast("string").alias("lon"))
-    return S.modern_index(raw)
+    k, path = F.col("s_suppkey"), _folder(spark, "index")
+    name = F.when(k % 3 == 0, "  ").otherwise(F.concat(F.lit(' a, "b"\n'), "s_name"))
+    raw = table("supplier").select(k.alias("id"), name.alias("名称"), F.when(k % 4 == 0, F.when(k % 8 == 0, "n/a").otherwise("")).otherwise(lat("s_suppkey").cast("string")).alias("緯度"), lon("s_suppkey").cast("string").alias("経度"))
+    raw.write.csv(path, header=True, escape='"')
+    rows = C.scan_modern_index(spark, path, {"id": "s_suppkey", "名称": "name", "緯度": "lat", "経度": "lon"}, multi_line=True)
+    return rows.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "name", "lat", "lon")
 
 
-@query("scan_ocr_blocks", "select event_id, 0 as block_ord, event_type as text, json_extract(props, '$.k')::double as x, 5.0::double as width from events where event_id % 4 = 0")
+@query("scan_ocr_blocks", "select event_id, (event_id % 4)::int as block_ord, event_type as text, json_extract(props, '$.k')::double as x, 5.0::double as width from events where event_id % 4 in (0, 1)")
 def _(spark, table):
-    e = F.col("event_id")
-    good = F.concat(F.lit('[{"contenttext":"'), "event_type", F.lit('","xmin":"'), F.get_json_object("props", "$.k"), F.lit('","xmax":'), (F.get_json_object("props", "$.k").cast("int") + 5).cast("string"), F.lit(',"ymin":1,"ymax":2},{"contenttext":"","xmin":1,"xmax":1,"ymin":1,"ymax":1},{"contenttext":"x","xmin":"?","xmax":1,"ymin":1,"ymax":1},7]'))
-    payload = F.when(e % 4 == 0, good).when(e % 4 == 1, "{").when(e % 4 == 2, F.col("props")).otherwise("[]")
-    return S.ocr_blocks(table("events").select(e, payload.alias("p")), "p", ["event_id"]).select("event_id", "block_ord", "text", "x", "width")
+    e, path = F.col("event_id"), _folder(spark, "pages")
+    k = F.get_json_object("props", "$.k")
+    block = F.concat(F.lit('{"contenttext":"'), "event_type", F.lit('","xmin":"'), k, F.lit('","xmax":'), (k.cast("int") + 5).cast("string"), F.lit(',"ymin":1,"ymax":2}'))
+    bad = F.lit('{"contenttext":"","xmin":1,"xmax":1,"ymin":1,"ymax":1},{"contenttext":"x","xmin":"?","xmax":1,"ymin":1,"ymax":1},7')
+    # an array, an array as text, an object, a line cut short
+    shape = F.when(e % 4 == 0, F.concat(F.lit("["), block, F.lit(","), bad, F.lit("]"))).when(e % 4 == 1, F.concat(F.lit("\""), F.replace(F.concat(F.lit("[7,"), block, F.lit("]")), F.lit("\""), F.lit("\\\"")), F.lit("\""))).when(e % 4 == 2, F.col("props")).otherwise(F.lit("[{"))
+    table("events").select(F.concat(F.lit('{"event_id":'), e.cast("string"), F.lit(',"coordjson":'), shape, F.lit("}"))).write.text(path)
+    _lines(spark, path, ["", "no json at all", "[1]", '{"event_id":"x","coordjson":[]}'])
+    return C.scan_pages(spark, path, {"event_id": "long"}, "coordjson").select("event_id", F.col("block_ord").cast("int").alias("block_ord"), "text", "x", "width")
 
 
-@query("scan_documents", "select d.doc_id, quality, length(list_aggregate(list_filter(string_split(text, chr(10)), lambda s: not regexp_matches(s, '^[ \\t]*[0-9]{1,4}[ \\t]*$')), 'string_agg', chr(10)))::int as n from documents d left join labels using (doc_id)")
+@query(
+    "scan_documents",
+    """with f as (select doc_id // 100 as part, string_agg(text, chr(10) order by doc_id) as text from documents group by 1), m as (select doc_id // 100 as part, count(*) as labelled, sum(quality)::bigint as good from labels group by 1)
+    select part, labelled, good, length(list_aggregate(list_filter(string_split(text, chr(10)), lambda s: not regexp_matches(s, '^[ \t]*[0-9]{1,4}[ \t]*$')), 'string_agg', chr(10)))::int as n, text is null as missing from m left join f using (part)
+    union all select -1, 0, 0, null, true""",
+)
 def _(spark, table):
-    d = table("documents").select("doc_id", X.strip_page_numbers("text").alias("text"))
-    return d.join(table("labels"), "doc_id", "left").select("doc_id", "quality", F.length("text").alias("n"))
+    part, path = F.floor(F.col("doc_id") / 100).cast("long").alias("part"), _folder(spark, "texts")
+    # a file for each hundred documents, and a bibliography that names one file more
+    rows = table("documents").select("doc_id", "text", part).repartition("part").sortWithinPartitions("part", "doc_id")
+    rows.select("part", "text").write.partitionBy("part").text(path)
+    found = C.scan_texts(spark, path).select("document", F.regexp_extract("document", "^part=([0-9]+)/", 1).try_cast("long").alias("part"))
+    meta = table("labels").groupBy(part).agg(F.count("*").alias("labelled"), F.sum("quality").alias("good")).join(found, "part", "left")
+    more = spark.createDataFrame([(-1, 0, 0, "never/fetched.txt")], "part long, labelled long, good long, document string")
+    out = C.scan_documents(spark, path, meta.unionByName(more))
+    return out.select("part", "labelled", "good", (F.length("text") - 1).alias("n"), "missing")  # the writer ends each file with a line break
 
 
 @query(
@@ -98,12 +155,33 @@ def _(spark, table):
     return S.geocoder_hits(table("supplier").select(k, F.when(k % 3 == 0, '{"error":1}').otherwise(hit).alias("p")), "p", ["s_suppkey"]).select("s_suppkey", "pos", "title", "code", "lat")
 
 
-@query("dictionary_tables", f"select p_partkey, count(distinct element_id) as n from part left join {ELEMENTS_SQL} e on contains(p_name, surface) group by 1")
+@query("dictionary_tables", f"select p_partkey, count(distinct element_id) as n from part left join {ELEMENTS_SQL} e on contains(replace(p_name, ' ', ''), replace(surface, ' ', '')) group by 1")
+def _(spark, table):
+    from ..operators.match import match_elements
+
+    path = _folder(spark, "elements")
+    items = [{"id": e["id"], "label": e["id"], "meaning": "m", "surfaces": e["surfaces"], "readings": e.get("readings"), "hazard_types": e["hazards"], "specificity": e["specificity"]} for e in ELEMENTS]
+    _lines(spark, path, [json.dumps({"elements": [*items, {"id": "x", "specificity": 2}, "no element"]}, indent=1)])
+    elements = C.load_elements(spark, path).where("problem is null")
+    parts = table("part").select(F.col("p_partkey").alias("name_id"), F.col("p_name").alias("name"))
+    n = match_elements(parts, elements, surface_only=True).groupBy("name_id").agg(F.count_distinct("element_id").alias("n"))
+    return parts.join(n, "name_id", "left").select(F.col("name_id").alias("p_partkey"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
+@query(
+    "bibliography",
+    """select d.doc_id, s_name as title, case when s_suppkey % 2 = 0 then 1900 + s_nationkey end as year, s_suppkey is null as unknown, case when s_suppkey % 7 = 0 then 'no known type' end as problem
+    from documents d left join supplier on s_suppkey = doc_id % 200""",
+)
 def _(spark, table):
-    # the dictionary is the literal list ELEMENTS, so it may be sent to every task
-    e = _elements(spark).select("element_id", F.explode("surfaces").alias("s"))
-    hit = F.contains("p_name", F.trim("s"))
-    return table("part").join(F.broadcast(e), hit, "left").groupBy("p_partkey").agg(F.count_distinct("element_id").alias("n"))
+    from ..operators.match import cite_sources
+
+    k, path = F.col("s_suppkey"), _folder(spark, "sources")
+    source = F.struct(k.cast("string").alias("id"), F.when(k % 7 == 0, "scroll").otherwise("book").alias("type"), F.col("s_name").alias("title"), F.when(k % 2 == 0, 1900 + F.col("s_nationkey")).alias("year"))
+    listed = F.concat(F.lit('[7,\n'), F.array_join(F.array_sort(F.collect_list(F.to_json(source))), ",\n"), F.lit("]"))  # the suppliers are the sources of one file
+    table("supplier").agg(listed.alias("value")).write.text(path)
+    cited = cite_sources(table("documents").select("doc_id", (F.col("doc_id") % 200).cast("string").alias("source_id")), C.load_sources(spark, path))
+    return cited.select("doc_id", "title", "year", F.col("source_ord").isNull().alias("unknown"), "problem")
 
 
 @query("extraction_lookup", "select item_id, item_id % 3 = 0 as hit from benchmark")

@@ -17,11 +17,6 @@ def _blank(c: str) -> Column:
     return F.nullif(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit(""))
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Header CSV with every column as text."""
-    return spark.read.csv(path, header=True, schema=", ".join(f"`{c}` string" for c in columns), multiLine=True, escape='"')
-
-
 def address_rows(raw: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Rows whose coordinates parse and lie within bounds."""
     typed = raw.withColumn(lat, X.tolerant_double(lat)).withColumn(lon, X.tolerant_double(lon))
@@ -50,8 +45,9 @@ def assemble_places(places: DataFrame, parents: DataFrame, aliases: DataFrame, a
 
 
 def exploded(rows: DataFrame, payload: str, path: str, keep: list[str]) -> DataFrame:
-    """(keep, pos, item): the items of an array in a JSON payload; what is no JSON or no array gives none."""
-    items = F.try_variant_get(F.try_parse_json(payload), path, "array<variant>")
+    """(keep, pos, item): the items of an array in a JSON payload (text or variant); what is no JSON or no array gives none."""
+    parsed = F.col(payload) if dict(rows.dtypes)[payload] == "variant" else F.try_parse_json(payload)
+    items = F.try_variant_get(parsed, path, "array<variant>")
     return rows.select(*keep, F.posexplode(items).alias("pos", "item"))
 
 
@@ -63,9 +59,9 @@ def is_object(item: str = "item") -> Column:
     return F.startswith(F.schema_of_variant(item), F.lit("OBJECT"))
 
 
-def monuments(rows: DataFrame, payload: str, properties: dict[str, str]) -> DataFrame:
+def monuments(rows: DataFrame, payload: str, properties: dict[str, str], path: str = "$.features") -> DataFrame:
     """Features with two coordinates or more; properties trimmed, blank ones null."""
-    items = exploded(rows, payload, "$.features", [])
+    items = exploded(rows, payload, path, [])
     at = F.try_variant_get("item", "$.geometry.coordinates", "array<double>")
     props = [F.nullif(F.regexp_replace(F.try_variant_get("item", f"$.properties['{p}']", "string"), r"(?U)^\s+|\s+$", ""), F.lit("")).alias(n) for p, n in properties.items()]
     return items.withColumn("_at", at).where(F.size("_at") >= 2).select(*props, F.element_at("_at", 2).alias("lat"), F.element_at("_at", 1).alias("lon"))
