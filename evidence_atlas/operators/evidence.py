@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import vocabulary as V
+from .holding import holding
 from .match import first_rows
 
 
@@ -96,23 +97,12 @@ def chunk_text(docs: DataFrame, size: int = 9000, overlap: int = 400) -> DataFra
     return docs.select("doc_id", F.posexplode(X.chunks("text", size, overlap)).alias("chunk_ord", "chunk"))
 
 
-def verified_quotes(quotes: DataFrame, sources: DataFrame, length: int = 12, few: int = 2000) -> DataFrame:
+def verified_quotes(quotes: DataFrame, sources: DataFrame) -> DataFrame:
     """(quote_id, source_id) of quotes(quote_id, quote) that stand in sources(source_id, text), white space aside.
 
-    At most ``few`` quotes are sent to every task and looked for in each text.
-    More quotes and texts meet on the quote's first ``length`` characters among all
-    runs of as many characters of the text; only ids and runs are shuffled for
-    that, and the texts that meet a quote are compared with the whole of it.
+    Each text is run once through all quotes (``holding``); of the texts only
+    ids go on, with the quotes found, to the quotes' own ids.
     """
-    q = quotes.select("quote_id", X.strip_spaces(F.coalesce("quote", F.lit(""))).alias("q")).where("q <> ''").withColumn("n", F.least(F.length("q"), F.lit(length))).withColumn("key", F.substring("q", 1, length))
-    s = sources.select("source_id", X.strip_spaces(F.coalesce("text", F.lit(""))).alias("t")).where("t <> ''")
-    if q.count() <= few:
-        return s.join(F.broadcast(q), F.contains("t", F.col("q"))).select("quote_id", "source_id")
-    sizes = [r.n for r in q.select("n").distinct().collect()]  # at most ``length`` numbers
-
-    def runs_of(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substring("t", i, n))
-
-    runs = F.flatten(F.array(*map(runs_of, sizes))) if sizes else F.array().cast("array<string>")
-    met = s.select("source_id", F.explode(F.array_distinct(runs)).alias("key")).join(q, "key").select("quote_id", "q", "source_id").distinct()
-    return met.join(s, "source_id").where(F.contains("t", F.col("q"))).select("quote_id", "source_id")
+    q = quotes.select("quote_id", X.strip_spaces(F.coalesce("quote", F.lit(""))).alias("q")).where("q <> ''")
+    s = sources.select("source_id", X.strip_spaces(F.coalesce("text", F.lit(""))).alias("t"))
+    return holding(s, "t", q, "q").select("source_id", "q").join(q, "q").select("quote_id", "source_id")

@@ -8,9 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as X
 from ..functions import vocabulary as V
-
-#: Rows up to which a dictionary is sent to every task; a larger one is joined on its n-grams.
-DICTIONARY_ROWS = 20_000
+from .holding import held, holding, word_blocks
 
 
 def first_rows(df: DataFrame, keys: list[str], *order) -> DataFrame:
@@ -25,26 +23,19 @@ def match_elements(names: DataFrame, elements: DataFrame, surface_only: bool = F
     elements(element_id, element_ord, surfaces, readings, hazards, specificity).
     An element matches by its first surface whose key the name's key holds;
     if by none, by its first reading of two or more characters that the
-    folded reading holds. Names are matched once for each spelling. The
-    containment join broadcasts the dictionary only while its size is within
-    DICTIONARY_ROWS; beyond that names and surfaces meet on the surface's
-    first two characters.
+    folded reading holds. Each spelling and each reading is run once through
+    the dictionary (``holding``), however large that is; forms found meet
+    their elements by equality.
     """
     reading = X.fold_reading(X.normalize_reading("reading")) if "reading" in names.columns and not surface_only else F.lit("")
     keyed = names.select("name_id", X.comparison_key(F.coalesce("name", F.lit(""))).alias("k"), reading.alias("r"))
     part = lambda column, on: elements.select("element_id", F.posexplode(column).alias("ord", "form"), F.lit(on).alias("matched_on"))
     forms = part("surfaces", "surface").withColumn("fold", X.comparison_key("form"))
-    if not surface_only:
-        forms = forms.union(part("readings", "reading").withColumn("fold", X.fold_reading(X.normalize_reading("form"))).where(F.length("fold") >= 2))
-    forms = forms.where("fold <> ''")
     spelled = keyed.select("k", "r").distinct()
-    holds = F.contains(F.when(F.col("matched_on") == "surface", F.col("k")).otherwise(F.col("r")), F.col("fold"))
-    if elements.count() <= DICTIONARY_ROWS:
-        hits = spelled.join(F.broadcast(forms), holds)
-    else:
-        grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.substring(c, i, F.lit(2))))
-        starts = F.array_union(grams(F.concat("k", F.lit(" "), "r")), F.transform(F.split(F.concat("k", "r"), ""), lambda x: x))
-        hits = spelled.select("k", "r", F.explode(starts).alias("gram")).join(forms.withColumn("gram", F.substring("fold", 1, 2)), "gram").where(holds).drop("gram")
+    hits = holding(spelled, "k", forms, "fold").join(forms, "fold")
+    if not surface_only and "reading" in names.columns:
+        read = part("readings", "reading").withColumn("fold", X.fold_reading(X.normalize_reading("form"))).where(F.length("fold") >= 2)
+        hits = hits.unionByName(holding(spelled.where("r <> ''"), "r", read, "fold").join(read, "fold"))
     rank = F.struct((F.col("matched_on") != "surface").alias("later"), "ord")
     best = hits.groupBy("k", "r", "element_id").agg(F.min_by(F.struct(F.col("form").alias("surface"), "matched_on"), rank).alias("m"))
     known = elements.select("element_id", "element_ord", "specificity", "hazards")
@@ -273,24 +264,26 @@ def resolve_finding_place(findings: DataFrame, entries: DataFrame, children: Dat
 
 
 def province_in(texts: DataFrame, provinces: DataFrame, text: str = "text", id_: str = "text_id") -> DataFrame:
-    """``texts`` with the longest known province in the text, read forward, else backward.
+    """``texts`` with the longest known province in the text, read forward, else backward; null if none.
 
-    Up to DICTIONARY_ROWS provinces are sent to every task; more of them meet
-    the ids of texts on their first two characters, and then the texts.
+    Of equally long ones the last in order. Each text is run through the
+    provinces once in either direction; only where they make more than one
+    block are the ids shuffled to choose between blocks.
     """
-    names = provinces.select("province").where("province <> ''").distinct()
-    forward = F.contains(F.col(text), F.col("province"))
-    holds = forward | F.contains(F.reverse(text), F.col("province"))
-    if names.count() <= DICTIONARY_ROWS:
-        hit = texts.join(F.broadcast(names), holds)
-    else:
-        both = F.concat(F.coalesce(text, F.lit("")), F.lit("\0"), F.reverse(F.coalesce(text, F.lit(""))))
-        runs = F.transform(F.sequence(F.lit(1), F.length(both)), lambda i: F.substring(both, i, F.lit(2)))
-        starts = F.array_distinct(F.concat(runs, F.transform(runs, lambda r: F.substring(r, 1, 1))))
-        met = texts.select(id_, F.explode(starts).alias("_s")).join(names.withColumn("_s", F.substring("province", 1, 2)), "_s").drop("_s").distinct()
-        hit = met.join(texts, id_).where(holds)
-    best = hit.groupBy(id_).agg(F.max_by("province", F.struct(forward.alias("f"), F.length("province").alias("n"), "province")).alias("province"))
-    return texts.join(best, id_, "left")
+    spark, best = texts.sparkSession, []
+    for block in word_blocks(provinces, "province"):
+        longest = lambda t, block=block: F.array_max(F.transform(held(spark, block, t), lambda p: F.struct(F.length(p).alias("n"), p.alias("province"))))
+        ahead, back = longest(F.col(text)), longest(F.reverse(text))
+        best.append(F.coalesce(F.when(ahead.isNotNull(), F.struct(F.lit(True).alias("f"), ahead["n"].alias("n"), ahead["province"].alias("province"))), F.when(back.isNotNull(), F.struct(F.lit(False).alias("f"), back["n"].alias("n"), back["province"].alias("province")))))
+    if not best:
+        return texts.withColumn("province", F.lit(None).cast("string"))
+    if len(best) == 1:
+        return texts.withColumn("_best", best[0]).withColumn("province", F.col("_best.province")).drop("_best")
+    each = texts.select(id_, best[0].alias("_best"))
+    for b in best[1:]:
+        each = each.union(texts.select(id_, b.alias("_best")))
+    chosen = each.groupBy(id_).agg(F.max("_best").alias("_best")).select(id_, F.col("_best.province").alias("province"))
+    return texts.join(chosen, id_, "left")
 
 
 def cite_sources(evidence: DataFrame, sources: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from evidence_atlas.functions import text as X
 from evidence_atlas.operators import browse as B
 from evidence_atlas.operators import evidence as E
 from evidence_atlas.operators import geo as G
+from evidence_atlas.operators import holding as H
 from evidence_atlas.operators import layout as L
 from evidence_atlas.operators import match as M
 from evidence_atlas.operators import merge as D
@@ -77,8 +78,10 @@ def test_match_elements(spark, monkeypatch):
     assert pick(M.match_elements(names, elements, surface_only=True)) == {w for w in want if w[3] == "surface"}
     best = {r.name_id: (list(r.elements), list(r.hazards)) for r in M.best_matches(M.match_elements(names, elements)).collect()}
     assert best[2] == (["januke", "kubo"], ["debris_flow", "flood"])
-    monkeypatch.setattr(M, "DICTIONARY_ROWS", 0)
-    assert pick(M.match_elements(names, elements)) == want
+    for few, block in ((0, 500_000), (0, 2), (200, 1)):
+        monkeypatch.setattr(H, "FEW", few)
+        monkeypatch.setattr(H, "AUTOMATON_WORDS", block)
+        assert pick(M.match_elements(names, elements)) == want
 
 
 def test_scores(spark):
@@ -179,8 +182,9 @@ def test_province_in_both_ways(spark, monkeypatch):
     t = spark.createDataFrame([(1, "昔の武蔵国の村"), (2, "国蔵武"), (3, "無"), (4, None), (5, ""), (6, "下総と武蔵国")], "text_id int, text string")
     p = spark.createDataFrame([("武蔵",), ("武蔵国",), ("下総",), ("",), (None,)], "province string")
     want = {1: "武蔵国", 2: "武蔵国", 3: None, 4: None, 5: None, 6: "武蔵国"}
-    for rows in (M.DICTIONARY_ROWS, 0):
-        monkeypatch.setattr(M, "DICTIONARY_ROWS", rows)
+    for few, block in ((200, 500_000), (0, 500_000), (0, 1)):
+        monkeypatch.setattr(H, "FEW", few)
+        monkeypatch.setattr(H, "AUTOMATON_WORDS", block)
         assert {r.text_id: r.province for r in M.province_in(t, p).collect()} == want
 
 
@@ -191,12 +195,45 @@ def test_partitions(spark, tmp_path):
     assert read("1") == {1, 4, 7} and read("00", "7") == {5} and read("7") == set()
 
 
-def test_verified_quotes_both_ways(spark):
+def test_large_dictionary(spark):
+    """200,000 surfaces against names: brute force, in a plan without nested loops."""
+    import contextlib
+    import io
+    import random
+
+    rng = random.Random(1)
+    signs = [chr(0x4E00 + i) for i in range(300)]
+    surfaces = list({"".join(rng.choices(signs, k=rng.randint(2, 4))) for _ in range(235_000)})
+    assert len(surfaces) > 200_000
+    names = ["".join(rng.choices(signs, k=rng.randint(0, 9))) for _ in range(3000)] + ["", None]
+    elements = spark.createDataFrame([(f"e{i}", i, [w], [], [], 0.5) for i, w in enumerate(surfaces)], "element_id string, element_ord int, surfaces array<string>, readings array<string>, hazards array<string>, specificity double")
+    found = M.match_elements(spark.createDataFrame(list(enumerate(names)), "name_id int, name string"), elements, surface_only=True)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        found.explain()
+    assert "NestedLoop" not in plan.getvalue() and "Cartesian" not in plan.getvalue()
+    known = {w: f"e{i}" for i, w in enumerate(surfaces)}
+    want = {(i, known[n[a : a + k]]) for i, n in enumerate(names) if n for a in range(len(n)) for k in (2, 3, 4) if n[a : a + k] in known}
+    assert want and {(r.name_id, r.element_id) for r in found.collect()} == want
+
+
+def test_holding(spark, monkeypatch):
+    t = spark.createDataFrame([(1, "abcab"), (1, "abcab"), (2, None), (3, ""), (4, "xyz")], "id int, text string")
+    w = spark.createDataFrame([("ab",), ("bc",), ("b",), ("",), (None,), ("ab",), ("yz",)], "word string")
+    want = sorted([(1, x) for x in ("ab", "b", "bc")] * 2 + [(4, "yz")])
+    for few, block in ((200, 500_000), (0, 500_000), (0, 1)):
+        monkeypatch.setattr(H, "FEW", few)
+        monkeypatch.setattr(H, "AUTOMATON_WORDS", block)
+        assert sorted((r.id, r.word) for r in H.holding(t, "text", w, "word").collect()) == want
+    assert H.holding(t, "text", w.where("false"), "word").count() == 0
+
+
+def test_verified_quotes_both_ways(spark, monkeypatch):
     q = spark.createDataFrame([(1, "山 崩れがあった"), (2, "無い文"), (3, ""), (4, None), (5, "崩")], "quote_id int, quote string")
     s = spark.createDataFrame([(1, "昔、山崩れが あった。"), (2, None)], "source_id int, text string")
     want = {(1, 1), (5, 1)}
-    for few in (2000, 0):
-        assert {(r.quote_id, r.source_id) for r in E.verified_quotes(q, s, few=few).collect()} == want
+    for few in (200, 0):
+        monkeypatch.setattr(H, "FEW", few)
+        assert {(r.quote_id, r.source_id) for r in E.verified_quotes(q, s).collect()} == want
 
 
 def test_html_text(spark):
