@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .match import first_rows
+from .report import Stage, watched
 
 #: Kilometres: radius of the earth, and one degree of a meridian as the grid search counts it.
 RADIUS_KM, DEGREE_KM = 6371.0, 111.0
@@ -95,12 +96,20 @@ def sample_zones(points: DataFrame, tiles: DataFrame, layers: list[str], zoom: i
     return seen.withColumn("flag", flag).groupBy("point_id").pivot("layer", layers).agg(F.first("flag"))
 
 
-def corroborate(records: DataFrame, near: DataFrame, zones: DataFrame, sampled_at: str) -> DataFrame:
-    """Located records with the monuments near them and the zones they lie in."""
+def corroborate(records: DataFrame, near: DataFrame, zones: DataFrame, sampled_at: str, stage: Stage | None = None) -> DataFrame:
+    """Located records with the monuments near them and the zones they lie in.
+
+    ``stage`` counts as skipped those without a location, as produced the
+    others, and of these in_any_zone and with_monument.
+    """
+    layers = [c for c in zones.columns if c != "point_id"]
+    records = watched(records, stage, skipped=F.col("lat").isNull() | F.col("lon").isNull())
     ids = near.groupBy("point_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "monument_id"))), lambda x: x["monument_id"]).alias("monument_ids"))
     located = records.where("lat is not null and lon is not null").withColumn("point_id", F.col("record_id"))
     out = located.join(ids, "point_id", "left").join(zones, "point_id", "left").withColumn("monument_ids", F.coalesce("monument_ids", F.array().cast("array<long>")))
-    return out.withColumn("sampled_at", F.lit(sampled_at)).drop("point_id")
+    out = out.withColumn("sampled_at", F.lit(sampled_at)).drop("point_id")
+    flagged = F.coalesce(F.greatest(F.lit(False), *[F.coalesce(F.col(c), F.lit(False)) for c in layers]), F.lit(False))
+    return watched(out, stage, produced=F.lit(1), in_any_zone=flagged, with_monument=F.size("monument_ids") > 0)
 
 
 def ring_area2(ring) -> Column:

@@ -9,12 +9,17 @@ from pyspark.sql.window import Window
 from ..functions import text as X
 from ..functions import vocabulary as V
 from .holding import held, holding, word_blocks
+from .report import Stage, watched
 
 
-def first_rows(df: DataFrame, keys: list[str], *order) -> DataFrame:
-    """The first row of each key in the given order."""
+#: Mentions of a name that its places try first, as a multiple of the records a place may have.
+FIRST_TRIES = 8
+
+
+def first_rows(df: DataFrame, keys: list[str], *order, n: int = 1) -> DataFrame:
+    """The first n rows of each key in the given order."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
 
 
 def match_elements(names: DataFrame, elements: DataFrame, surface_only: bool = False) -> DataFrame:
@@ -121,7 +126,7 @@ def address_tables(addresses: DataFrame) -> dict[str, DataFrame]:
     return {"oaza": by("oaza"), "koaza": by("koaza"), "municipality": town}
 
 
-def geocode_lookup(records: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+def geocode_lookup(records: DataFrame, tables: dict[str, DataFrame], stage: Stage | None = None) -> DataFrame:
     """(record_id, lat, lon, precision) by the first that is known of: small section, large section,
     first large section that the name holds, centre of the municipality.
 
@@ -136,7 +141,8 @@ def geocode_lookup(records: DataFrame, tables: dict[str, DataFrame]) -> DataFram
     asked = records.where("pref is not null and municipality is not null").join(held, "record_id", "left")
     key = lambda level, name: F.when(F.col(name).isNotNull() & (F.col(name) != ""), F.concat(F.lit(f"{level}\x1f"), full(name)))
     keys = [key("koaza", "koaza"), key("koaza", "name"), key("oaza", "oaza"), key("oaza", "name"), key("oaza", "_part"), F.concat(F.lit("municipality\x1f"), town)]
-    return prioritised_join(asked, right, keys, "record_id").select("record_id", "lat", "lon", "precision")
+    out = prioritised_join(asked, right, keys, "record_id").select("record_id", "lat", "lon", "precision")
+    return watched(out, stage, produced=F.lit(1), **{level: F.col("precision") == level for level in ("koaza", "oaza", "municipality")})
 
 
 def resolve_location(records: DataFrame, local: DataFrame, hits: DataFrame) -> DataFrame:
@@ -158,54 +164,74 @@ def resolve_location(records: DataFrame, local: DataFrame, hits: DataFrame) -> D
     return all_.withColumn("location", F.coalesce(own, small, "named", "near", "town")).where("location is not null").drop("near", "named", "town")
 
 
-def link_records(mentions: DataFrame, places: DataFrame, existing: DataFrame | None = None, max_km: float = 10.0, cap: int = 6) -> DataFrame:
-    """(place_id, mention_id, distance_km, relation, status) of mentions that name a place of their municipality.
+def link_records(mentions: DataFrame, places: DataFrame, existing: DataFrame | None = None, max_km: float = 10.0, cap: int = 6, stage: Stage | None = None) -> DataFrame:
+    """(place_id, mention_id, distance_km, relation) of mentions linked to a place of their municipality that they name.
 
     mentions(mention_id, ord, municipality, name, lat, lon, hazards, source_id,
-    locator); places(place_id, municipality, names, lat, lon, hazards). status
-    is too_far, duplicate (same source and locator), over_cap or linked; a
-    record with other hazards is nearby only. The cap is the feature: what is
-    over it keeps its row with that status.
+    locator); places(place_id, municipality, names, lat, lon, hazards);
+    existing(place_id, source_id, locator). A place takes, in order, the first
+    mention of each source and locator that is not farther than ``max_km`` (if
+    both are located), until it has ``cap`` records with the existing ones. A
+    record of other hazards is a nearby_record.
+
+    Mentions of one municipality, name and spot are all as far from any place,
+    so only the first ``cap`` sources and locators of a spot can be taken: the
+    others end there, before they meet any place. Then places try the first
+    few mentions of their name only; for those that are full by that, later
+    mentions are turned away inside the join, so what is reduced and shuffled
+    follows the number of places and not of pairs. ``stage`` counts mentions,
+    unmatched, too_far (mention and place), demoted, and as produced the links.
     """
     from .geo import haversine_km
 
-    keys = lambda df, c: df.withColumn("key", F.explode(F.array_distinct(F.transform(F.array_compact(c), lambda n: X.comparison_key(n)))))
-    m = keys(mentions, F.array("name")).select("mention_id", "ord", X.comparison_key("municipality").alias("town"), "key", F.col("lat").alias("mlat"), F.col("lon").alias("mlon"), F.col("hazards").alias("mh"), "source_id", "locator")
-    p = keys(places, F.col("names")).select("place_id", X.comparison_key("municipality").alias("town"), "key", "lat", "lon", "hazards")
-    relation = F.when(X.hazards_compatible("hazards", "mh"), "same_place_record").otherwise("nearby_record")
-    pair = m.join(p, ["town", "key"]).withColumn("same_kind", relation).drop("hazards", "mh", "town", "key")
-    # one exchange on the place serves the distinct pairs and both windows
-    pair = pair.repartition("place_id").dropDuplicates(["place_id", "mention_id"])
+    m = mentions.select(F.struct("ord", "mention_id").alias("at"), X.comparison_key("municipality").alias("town"), X.comparison_key("name").alias("key"), F.col("lat").alias("mlat"), F.col("lon").alias("mlon"), F.col("hazards").alias("mh"), "source_id", "locator")
+    p = places.withColumn("key", F.explode(F.array_distinct(F.transform(F.array_compact("names"), lambda n: X.comparison_key(n))))).select("place_id", X.comparison_key("municipality").alias("town"), "key", "lat", "lon", "hazards")
+    spot = ["town", "key", "mlat", "mlon"]
+    first = m.groupBy(*spot, "source_id", "locator").agg(F.min("at").alias("at"), F.min_by("mh", "at").alias("mh"), F.count("*").alias("n"))
+    ranked = first.withColumns({"turn": F.row_number().over(Window.partitionBy(*spot).orderBy("at")), "weight": F.sum("n").over(Window.partitionBy(*spot))}).where(F.col("turn") <= cap)
+    each = lambda on: F.when((F.col("turn") == 1) & on, F.col("weight"))
     located = F.col("lat").isNotNull() & F.col("mlat").isNotNull()
-    pair = pair.withColumn("km", F.when(located, haversine_km("lat", "lon", "mlat", "mlon"))).drop("lat", "lon", "mlat", "mlon")
-    pair = pair.withColumns({"distance_km": F.round("km", 2), "far": F.coalesce(F.col("km") > max_km, F.lit(False))}).drop("km")
-    if existing is not None:
+    km = F.when(located, haversine_km("lat", "lon", "mlat", "mlon"))
+    far = F.coalesce(F.col("km") > max_km, F.lit(False))
+
+    def taken(pair: DataFrame) -> DataFrame:
+        """The first ``cap`` distinct sources and locators of each place, less what it had."""
+        relation = F.when(X.hazards_compatible("hazards", "mh"), "same_place_record").otherwise("nearby_record")
+        near = pair.select("place_id", "source_id", "locator", "at", F.struct(F.round("km", 2).alias("distance_km"), relation.alias("relation")).alias("link"))
+        best = near.groupBy("place_id", "source_id", "locator").agg(F.min("at").alias("at"), F.min_by("link", "at").alias("link"))
+        if existing is not None:
+            known = existing.select(F.col("place_id").alias("_p"), F.col("source_id").alias("_s"), F.col("locator").alias("_l"))
+            best = best.join(known, (F.col("place_id") == F.col("_p")) & F.col("source_id").eqNullSafe(F.col("_s")) & F.col("locator").eqNullSafe(F.col("_l")), "left_anti")
+        out = best.withColumn("turn", F.row_number().over(Window.partitionBy("place_id").orderBy("at"))).where(F.col("turn") <= cap)
+        if existing is None:
+            return out.withColumn("room", F.lit(cap))
         had = existing.groupBy("place_id").agg(F.count("*").alias("had"))
-        known = existing.select(F.col("place_id").alias("_p"), F.col("source_id").alias("_s"), F.col("locator").alias("_l"), F.lit(True).alias("known")).distinct()
-        same = (F.col("place_id") == F.col("_p")) & (F.col("source_id") == F.col("_s")) & F.col("locator").eqNullSafe(F.col("_l"))
-        pair = pair.join(had, "place_id", "left").join(known, same, "left").drop("_p", "_s", "_l")
-    else:
-        pair = pair.withColumn("had", F.lit(0)).withColumn("known", F.lit(False))
-    seen = Window.partitionBy("place_id", "far", "source_id", "locator").orderBy("ord", "mention_id")
-    pair = pair.withColumn("first", (F.row_number().over(seen) == 1) & ~F.coalesce("known", F.lit(False)))
-    turn = Window.partitionBy("place_id", "far", "first").orderBy("ord", "mention_id")
-    within = F.row_number().over(turn) <= F.lit(cap) - F.coalesce("had", F.lit(0))
-    status = F.when(F.col("far"), "too_far").when(~F.col("first"), "duplicate").when(~within, "over_cap").otherwise("linked")
-    return pair.withColumn("status", status).select("place_id", "mention_id", "distance_km", F.when(F.col("status") == "linked", F.col("same_kind")).alias("relation"), "status")
-
-
-def attach_areas(records: DataFrame, areas: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return out.join(had, "place_id", "left").withColumn("room", cap - F.coalesce("had", F.lit(0))).where("turn <= room")
+
+    early = first_rows(ranked, ["town", "key"], "at", n=FIRST_TRIES * cap).join(p, ["town", "key"]).withColumn("km", km).where(~far)
+    full = taken(early).where("turn = room").select("place_id", F.col("at").alias("last"))
+    ranked = watched(ranked, stage, mentions=each(F.lit(True)))
+    pair = ranked.join(p.join(full, "place_id", "left"), ["town", "key"], "left" if stage else "inner").withColumn("km", km).withColumn("far", far)
+    pair = watched(pair, stage, unmatched=each(F.col("place_id").isNull()), too_far=each(F.col("far") & F.col("place_id").isNotNull()))
+    pair = pair.where("place_id is not null and (last is null or at <= last) and not far")
+    out = taken(pair).select("place_id", F.col("at.mention_id").alias("mention_id"), "link.*")
+    return watched(out, stage, produced=F.lit(1), demoted=F.col("relation") == "nearby_record")
+
+
+def attach_areas(records: DataFrame, areas: DataFrame, stage: Stage | None = None) -> tuple[DataFrame, DataFrame]:
     """Records with the first area of their large section, small section or name; areas with the ids they cover.
 
     records(record_id, pref, municipality, oaza, koaza, name);
-    areas(area_key, ord, pref, municipality, name).
+    areas(area_key, ord, pref, municipality, name). ``stage`` counts the
+    records with and without an area.
     """
     full = lambda n: F.concat_ws("\x1f", "pref", "municipality", X.comparison_key(n))
     right = areas.select(full("name").alias("key"), "area_key", "ord")
     keys = [F.when(F.coalesce(F.col(c), F.lit("")) != "", full(c)) for c in ("oaza", "koaza", "name")]
     hit = prioritised_join(records, right, keys, "record_id").select("record_id", "area_key")
     covered = hit.groupBy("area_key").agg(F.array_sort(F.collect_list("record_id")).alias("record_ids"))
-    return records.join(hit, "record_id", "left"), areas.join(covered, "area_key")
+    found = watched(records.join(hit, "record_id", "left"), stage, produced=F.col("area_key").isNotNull(), skipped=F.col("area_key").isNull())
+    return found, areas.join(covered, "area_key")
 
 
 def place_keys(places: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as X
 from .match import first_rows
+from .report import Stage, watched
 
 #: Kinds of evidence that can state where a name comes from.
 ORIGIN_KINDS = "gazetteer local_history legend academic official news manual monument".split()
@@ -98,10 +99,12 @@ def count_by_relation(records: DataFrame) -> DataFrame:
     return best.where("relation is not null").groupBy("relation").agg(F.count("*").alias("n"))
 
 
-def stage_report(stages: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """(stage, produced, skipped) from each stage's rows and the condition of a produced one."""
-    out = None
-    for name, (rows, kept) in stages.items():
-        one = rows.agg(F.count_if(F.coalesce(F.expr(kept), F.lit(False))).alias("produced"), F.count_if(~F.coalesce(F.expr(kept), F.lit(False))).alias("skipped")).select(F.lit(name).alias("stage"), "produced", "skipped")
-        out = one if out is None else out.union(one)
-    return out
+def rescore_linked(places: DataFrame, evidence: DataFrame, records: DataFrame, stage: Stage | None = None) -> DataFrame:
+    """``places`` (id, evidence_level, ...) that have records, scored again with them, and ``raised``.
+
+    records(id, relation) are link_records' rows by place. ``stage`` counts
+    places_with_records and raised.
+    """
+    struck = places.withColumnRenamed("evidence_level", "level_before").join(records.select("id").distinct(), "id", "left_semi")
+    out = score(struck, evidence, records).withColumn("raised", F.col("evidence_level") > F.col("level_before"))
+    return watched(out, stage, places_with_records=F.lit(1), raised=F.col("raised"))

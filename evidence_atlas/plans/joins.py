@@ -140,16 +140,15 @@ _HAV = "2 * 6371 * asin(sqrt(least(1, power(sin(radians({b} - {a}) / 2), 2) + co
     j as (select c_custkey, event_id, source, {_HAV.format(a='p.lat', b='m.lat', c='p.lon', d='m.lon')} > 900 as far from m join p using (town, name)),
     d as (select *, row_number() over (partition by c_custkey, far, source order by event_id) = 1 as first from j),
     t as (select *, row_number() over (partition by c_custkey, far, first order by event_id) <= 6 as within from d)
-    select c_custkey, event_id, case when far then 'too_far' when not first then 'duplicate' when not within then 'over_cap' else 'linked' end as status,
-      case when far or not first or not within then null when event_id % 2 = 0 then 'same_place_record' else 'nearby_record' end as relation from t""",
+    select c_custkey, event_id, case when event_id % 2 = 0 then 'same_place_record' else 'nearby_record' end as relation from t where not far and first and within""",
 )
-def _(spark, table):
+def _linked(spark, table, stage=None):
     hazards = lambda c: F.array(F.when(F.col(c) % 2 == 0, F.lit("flood")).otherwise(F.lit("wind")))
     m = table("events").select(F.col("event_id").alias("mention_id"), F.col("event_id").alias("ord"), (F.col("user_id") % 25).cast("string").alias("municipality"), F.col("event_type").alias("name"), lat("event_id").alias("lat"), lon("event_id").alias("lon"), hazards("event_id").alias("hazards"), F.col("user_id").alias("source_id"), F.lit(None).cast("string").alias("locator"))
     name = F.when(F.col("c_mktsegment") == "BUILDING", "click").when(F.col("c_mktsegment") == "FURNITURE", "view").otherwise("purchase")
     p = table("customer").select(F.col("c_custkey").alias("place_id"), F.col("c_nationkey").cast("string").alias("municipality"), F.array(name, name).alias("names"), lat("c_custkey").alias("lat"), lon("c_custkey").alias("lon"), F.array(F.lit("flood")).alias("hazards"))
-    out = M.link_records(m, p, max_km=900.0)
-    return out.select(F.col("place_id").alias("c_custkey"), F.col("mention_id").alias("event_id"), "status", "relation")
+    out = M.link_records(m, p, max_km=900.0, stage=stage)
+    return out.select(F.col("place_id").alias("c_custkey"), F.col("mention_id").alias("event_id"), "relation")
 
 
 @query(

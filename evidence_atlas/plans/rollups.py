@@ -7,11 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import browse as B
+from ..operators import geo as G
 from ..operators import match as M
 from ..operators import merge as D
+from ..operators.report import Stage, stage_report
 from ..sources.tables import shared_folder
 from .catalog import query
-from .joins import _SCORE, _places_of_supplier, _scored
+from .joins import _HAV, _SCORE, _linked, _places_of_supplier, _scored
 from .stand_ins import lat, lat_sql, lon, lon_sql
 
 
@@ -59,9 +61,42 @@ def _(spark, table):
     return table("supplier").groupBy(F.col("s_nationkey").alias("pref_code")).agg(F.count("*").alias("n"))
 
 
-@query("stage_report", "select 'orders' as stage, count(*) filter (o_orderstatus = 'F') as produced, count(*) filter (o_orderstatus <> 'F') as skipped from orders union all select 'events', count(*) filter (value > 10), count(*) filter (not coalesce(value > 10, false)) from events")
+_REPORT = f"""with m as (select event_id, user_id % 25 as town, event_type as name, {lat_sql('event_id')} as lat, {lon_sql('event_id')} as lon, user_id as source from events),
+    p as (select c_custkey, c_nationkey as town, case c_mktsegment when 'BUILDING' then 'click' when 'FURNITURE' then 'view' else 'purchase' end as name, {lat_sql('c_custkey')} as lat, {lon_sql('c_custkey')} as lon from customer),
+    j as (select c_custkey, event_id, source, {_HAV.format(a='p.lat', b='m.lat', c='p.lon', d='m.lon')} > 900 as far from m join p using (town, name)),
+    d as (select *, row_number() over (partition by c_custkey, source order by event_id) = 1 as first from j where not far),
+    t as (select *, row_number() over (partition by c_custkey order by event_id) as turn from d where first),
+    r as (select o_orderkey, o_custkey % 25 as m, case when o_orderkey % 2 = 0 then o_orderkey % 23 end as oaza, o_orderkey % 29 as name from orders),
+    x as (select o_orderkey, exists (select 1 from customer where c_nationkey = r.m and (c_custkey % 20 = r.oaza or c_custkey % 20 = r.name)) as found from r)
+    select 'link' as stage, (select count(*) from t where turn <= 6) as produced, 0::bigint as skipped,
+      'demoted=' || (select count(*) from t where turn <= 6 and event_id % 2 <> 0) || ',mentions=' || (select count(*) from events) || ',too_far=' || (select count(*) from j where far) || ',unmatched=' || (select count(*) from m where not exists (select 1 from p where p.town = m.town and p.name = m.name)) as detail
+    union all select 'areas', count(*) filter (found), count(*) filter (not found), '' from x
+    union all select 'hazard', count(*) filter (s_suppkey % 4 <> 0), count(*) filter (s_suppkey % 4 = 0), 'in_any_zone=' || count(*) filter (s_suppkey % 4 <> 0 and s_suppkey % 3 = 0) || ',with_monument=' || count(*) filter (s_suppkey % 4 <> 0 and s_suppkey % 5 = 0) from supplier
+    union all select 'geocode', count(*) filter (c_nationkey in (select s_nationkey from supplier)), 0, 'koaza=0,municipality=' || count(*) filter (c_nationkey in (select s_nationkey from supplier) and not z) || ',oaza=' || count(*) filter (z)
+      from (select c_nationkey, exists (select 1 from supplier where s_nationkey = c_nationkey and s_suppkey % 7 = c_custkey % 9) as z from customer)"""
+
+
+@query("stage_report", _REPORT)
 def _(spark, table):
-    return D.stage_report({"orders": (table("orders"), "o_orderstatus = 'F'"), "events": (table("events"), "value > 10")})
+    """Four stages are written; what they counted on the way is the report."""
+    s = lambda c: c.cast("string")
+    folder = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
+    link, areas, hazard, geocode = (Stage(name) for name in ("link", "areas", "hazard", "geocode"))
+    _linked(spark, table, link).write.parquet(f"{folder}/link")
+    k = F.col("o_orderkey")
+    r = table("orders").select(k.alias("record_id"), F.lit("P").alias("pref"), s(F.col("o_custkey") % 25).alias("municipality"), s(F.when(k % 2 == 0, k % 23)).alias("oaza"), F.lit(None).cast("string").alias("koaza"), s(k % 29).alias("name"))
+    a = table("customer").select(F.col("c_custkey").alias("area_key"), F.col("c_custkey").alias("ord"), F.lit("P").alias("pref"), s(F.col("c_nationkey")).alias("municipality"), s(F.col("c_custkey") % 20).alias("name"))
+    M.attach_areas(r, a, areas)[0].write.parquet(f"{folder}/areas")
+    k = F.col("s_suppkey")
+    records = table("supplier").select(k.alias("record_id"), F.when(k % 4 != 0, lat("s_suppkey")).alias("lat"), lon("s_suppkey").alias("lon"))
+    near = table("supplier").where(k % 5 == 0).select(k.alias("point_id"), k.alias("monument_id"), F.lit(1).alias("rank"))
+    zones = table("supplier").select(k.alias("point_id"), (k % 3 == 0).alias("flood"), F.lit(None).cast("boolean").alias("slide"))
+    G.corroborate(records, near, zones, "2024-01-01", hazard).write.parquet(f"{folder}/hazard")
+    k = F.col("c_custkey")
+    asked = table("customer").select(k.alias("record_id"), F.lit("P").alias("pref"), s(F.col("c_nationkey")).alias("municipality"), F.concat(F.lit("z"), s(k % 9)).alias("name"), F.lit(None).cast("string").alias("koaza"), F.lit(None).cast("string").alias("oaza"))
+    M.geocode_lookup(asked, M.address_tables(_places_of_supplier(table)), geocode).write.parquet(f"{folder}/geocode")
+    pairs = F.transform(F.map_entries("detail"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return stage_report(spark, [link, areas, hazard, geocode]).select("stage", "produced", "skipped", F.array_join(F.array_sort(pairs), ",").alias("detail"))
 
 
 @query("municipality_centroid", f"select s_nationkey::varchar as municipality, round(avg({lat_sql('s_suppkey')}), 6) as lat, round(avg({lon_sql('s_suppkey')}), 6) as lon from supplier group by 1")

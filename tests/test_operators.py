@@ -10,6 +10,7 @@ from evidence_atlas.operators import holding as H
 from evidence_atlas.operators import layout as L
 from evidence_atlas.operators import match as M
 from evidence_atlas.operators import merge as D
+from evidence_atlas.operators.report import Stage, stage_report
 from evidence_atlas.sources import tables as S
 
 
@@ -95,15 +96,77 @@ def test_scores(spark):
     assert got == {1: (1, 1, True), 2: (2, 3, False), 3: (0, 0, False), 4: (2, 3, False), 5: (0, 0, True), 6: (0, 0, False)}
 
 
-def test_link_records(spark):
-    places = spark.createDataFrame([(1, "うきは市", ["大村"], 33.33, 130.75, ["debris_flow"])], "place_id int, municipality string, names array<string>, lat double, lon double, hazards array<string>")
-    m = [(1, "うきは市", "大村", 33.331, 130.751, ["debris_flow"], "s", "a"), (2, "うきは市", "大村", 33.331, 130.751, ["debris_flow"], "s", "a"), (3, "別市", "大村", 33.331, 130.751, [], "s", "b"), (4, "うきは市", "大村", 34.0, 131.5, [], "s", "c"), (5, "うきは市", "大村", None, None, ["tsunami"], "s", None)]
-    mentions = spark.createDataFrame([(i, i, *rest) for i, *rest in m], "mention_id int, ord int, municipality string, name string, lat double, lon double, hazards array<string>, source_id string, locator string")
-    got = {r.mention_id: (r.status, r.relation) for r in M.link_records(mentions, places).collect()}
-    assert got == {1: ("linked", "same_place_record"), 2: ("duplicate", None), 4: ("too_far", None), 5: ("linked", "nearby_record")}
+MENTION = "mention_id int, ord int, municipality string, name string, lat double, lon double, hazards array<string>, source_id string, locator string"
+PLACE = "place_id int, municipality string, names array<string>, lat double, lon double, hazards array<string>"
+
+
+def link_by_force(mentions, places, had, max_km, cap):
+    """Mention after mention, place after place, with the counters."""
+    import math
+
+    def km(a, b, c, d):
+        h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+        return 2 * 6371 * math.asin(math.sqrt(min(1, h)))
+
+    out, n = {p[0]: [(s, loc) for q, s, loc in had if q == p[0]] for p in places}, dict.fromkeys("mentions unmatched too_far produced demoted".split(), 0)
+    links = set()
+    for i, _, town, name, lat, lon, hazards, source, locator in sorted(mentions, key=lambda m: (m[1], m[0])):
+        n["mentions"] += 1
+        targets = [p for p in places if p[1] == town and name in p[2]]
+        n["unmatched"] += not targets
+        for p in targets:
+            far = None if lat is None or p[3] is None else km(p[3], p[4], lat, lon)
+            if far is not None and far > max_km:
+                n["too_far"] += 1
+            elif len(out[p[0]]) < cap and (source, locator) not in out[p[0]]:
+                out[p[0]].append((source, locator))
+                same = not hazards or not p[5] or bool(set(hazards) & set(p[5]))
+                n["produced"] += 1
+                n["demoted"] += not same
+                links.add((p[0], i, None if far is None else round(far, 2), "same_place_record" if same else "nearby_record"))
+    return links, n
+
+
+def test_link_records(spark, monkeypatch):
+    import random
+
+    rng = random.Random(2)
+    spots = [(33.0 + k / 40, 130.0) for k in range(6)] + [(None, None)]
+    kinds = [[], ["flood"], ["tsunami"], ["flood", "slide"]]
+    mentions = [(i, rng.randint(0, 40), rng.choice("ABC"), rng.choice("xyz"), *rng.choice(spots), rng.choice(kinds), rng.choice("stu"), rng.choice(["1", "2", None])) for i in range(300)]
+    places = [(i, rng.choice("AB"), rng.sample("xyw", rng.randint(1, 3)), *rng.choice(spots), rng.choice(kinds)) for i in range(25)]
+    had = [(rng.randint(0, 24), rng.choice("stu"), rng.choice(["1", None])) for _ in range(30)]
+    had = [h for h in dict.fromkeys(had)]
+    m, p = spark.createDataFrame(mentions, MENTION).repartition(5), spark.createDataFrame(places, PLACE)
+    for existing, cap, tries in (([], 6, 8), ([], 2, 1), (had, 3, 1), (had, 6, 8)):
+        monkeypatch.setattr(M, "FIRST_TRIES", tries)
+        stage = Stage("link")
+        e = spark.createDataFrame(existing, "place_id int, source_id string, locator string") if existing else None
+        got = {tuple(r) for r in M.link_records(m, p, e, cap=cap, stage=stage).collect()}
+        want, counted = link_by_force(mentions, places, existing, 10.0, cap)
+        assert got == want and stage.counters() == counted
+        assert {tuple(r) for r in M.link_records(m, p, e, cap=cap).collect()} == want
+    assert M.link_records(m.where("false"), p).count() == 0 and M.link_records(m, p.where("false")).count() == 0
+
+
+def test_link_records_by_hand(spark):
+    p = spark.createDataFrame([(1, "うきは市", ["大村"], 33.33, 130.75, ["debris_flow"])], PLACE)
+    rows = [(1, "うきは市", "大村", 33.331, 130.751, ["debris_flow"], "s", "a"), (2, "うきは市", "大村", 33.331, 130.751, ["debris_flow"], "s", "a"), (3, "別市", "大村", 33.331, 130.751, [], "s", "b"), (4, "うきは市", "大村", 34.0, 131.5, [], "s", "c"), (5, "うきは市", "大村", None, None, ["tsunami"], "s", None)]
+    m = spark.createDataFrame([(i, i, *rest) for i, *rest in rows], MENTION)
+    assert {r.mention_id: r.relation for r in M.link_records(m, p).collect()} == {1: "same_place_record", 5: "nearby_record"}
     had = spark.createDataFrame([(1, "s", "a"), (1, "t", "x")], "place_id int, source_id string, locator string")
-    got = {r.mention_id: r.status for r in M.link_records(mentions, places, had, cap=2).collect()}
-    assert got == {1: "duplicate", 2: "duplicate", 4: "too_far", 5: "over_cap"}
+    assert M.link_records(m, p, had, cap=2).count() == 0
+
+
+def test_rescore_linked(spark):
+    places = spark.createDataFrame([(1, 1), (2, 2), (3, 1)], "id int, evidence_level int")
+    evidence = spark.createDataFrame([(i, "gazetteer", "supports", 1, "llm") for i in (1, 2, 3)], "id int, kind string, stance string, level int, extracted_by string")
+    records = spark.createDataFrame([(1, "same_place_record"), (1, "nearby_record"), (2, "nearby_record")], "id int, relation string")
+    stage = Stage("scores")
+    rows = {r.id: (r.level_before, r.evidence_level, r.raised) for r in D.rescore_linked(places, evidence, records, stage).collect()}
+    assert rows == {1: (1, 3, True), 2: (2, 1, False)} and stage.counters() == {"places_with_records": 2, "raised": 1}
+    [row] = stage_report(spark, [stage]).collect()
+    assert (row.stage, row.produced, row.skipped, row.detail) == ("scores", 0, 0, {"places_with_records": 2, "raised": 1})
 
 
 def test_merge_order(spark):
@@ -202,7 +265,7 @@ def test_large_dictionary(spark):
     import random
 
     rng = random.Random(1)
-    signs = [chr(0x4E00 + i) for i in range(300)]
+    signs = [chr(0xAC00 + i) for i in range(300)]  # no folding changes them
     surfaces = list({"".join(rng.choices(signs, k=rng.randint(2, 4))) for _ in range(235_000)})
     assert len(surfaces) > 200_000
     names = ["".join(rng.choices(signs, k=rng.randint(0, 9))) for _ in range(3000)] + ["", None]
