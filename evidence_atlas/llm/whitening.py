@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +18,8 @@ SCALE, SHIFT = 64, 1_000_000
 LARGEST = 2.0**53
 #: Vectors packed into one row of the stored fit list.
 BLOCK = 2048
+#: Tasks whose sums the driver adds up itself.
+FEW = 64
 #: A direction shorter than this share of the largest one counts as none.
 TINY = 1e-12
 
@@ -51,8 +54,13 @@ def pack_distinct(vectors: DataFrame, x: str = "x") -> DataFrame:
     return vectors.select(x).distinct().mapInPandas(pack, "rows long, data binary")
 
 
-def _summed(blocks: DataFrame, f, size: int) -> np.ndarray:
-    """f(block) -> ``size`` numbers, summed over all blocks: by task, then by place, so that few numbers reach the driver."""
+def _summed(blocks: DataFrame, f, kind=np.float64) -> np.ndarray | None:
+    """f(block), an array of numbers, summed over all blocks.
+
+    Each task sends one array. The arrays of more than FEW tasks are summed
+    by as many tasks as the root of their number, so that the driver sums at
+    most about that many.
+    """
 
     def part(batches):
         total = None
@@ -61,25 +69,24 @@ def _summed(blocks: DataFrame, f, size: int) -> np.ndarray:
                 got = f(np.frombuffer(data).reshape(rows, -1))
                 total = got if total is None else total + got
         if total is not None:
-            yield pd.DataFrame({"place": np.arange(size), "value": np.asarray(total).astype(np.float64)})
+            yield pd.DataFrame({"data": [np.asarray(total, kind).tobytes()]})
 
-    out = np.zeros(size)
-    for r in blocks.mapInPandas(part, "place int, value double").groupBy("place").agg(F.sum("value").alias("value")).toLocalIterator():
-        out[r.place] = r.value
-    return out
+    def join(batches):
+        total = sum(np.frombuffer(d, kind) for batch in batches for d in batch["data"])
+        if not isinstance(total, int):
+            yield pd.DataFrame({"data": [total.tobytes()]})
 
+    partial = blocks.mapInPandas(part, "data binary")
+    if blocks.tasks > FEW:
+        partial = partial.repartition(math.isqrt(blocks.tasks)).mapInPandas(join, "data binary")
+    arrays = [np.frombuffer(r.data, kind) for r in partial.collect()]
+    return np.sum(arrays, axis=0) if arrays else None
 
-def exact_sums(blocks: DataFrame, dims: int) -> tuple[int, list[int]]:
-    """Number of vectors and whole-number sums by dimension."""
-
-    def part(batches):
-        for batch in batches:
-            for rows, data in zip(batch["rows"], batch["data"], strict=True):
-                total = np.frombuffer(data).reshape(rows, -1).astype(np.int64).sum(axis=0)
-                yield pd.DataFrame({"place": np.arange(dims + 1), "value": np.append(total, rows)})
 
-    got = {r.place: int(r.value) for r in blocks.mapInPandas(part, "place int, value long").groupBy("place").agg(F.sum("value").alias("value")).toLocalIterator()}
-    return got.get(dims, 0), [got.get(i, 0) for i in range(dims)]
+def exact_sums(blocks: DataFrame) -> tuple[int, list[int]]:
+    """Number of vectors and whole-number sums by dimension."""
+    total = _summed(blocks, lambda x: np.append(x.astype(np.int64).sum(axis=0), len(x)), np.int64)
+    return (0, []) if total is None else (int(total[-1]), [int(s) for s in total[:-1]])
 
 
 def bidiagonalise(blocks: DataFrame, n: int, sums: list[int], steps: int | None = None, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +123,7 @@ def bidiagonalise(blocks: DataFrame, n: int, sums: list[int], steps: int | None
             u = c @ w
             return np.concatenate([(c @ before).T @ u, [u @ u], c.T @ u])
 
-        got = _summed(blocks, f, m + 1 + dims)
+        got = _summed(blocks, f)
         return got[:m], float(got[m]), got[m + 1 :]
 
     v, largest = apart(rng.standard_normal(dims)), 0.0
@@ -154,12 +161,11 @@ def fit_whitening(vectors: DataFrame, x: str = "x", components: int = 16, steps:
     ``steps`` below the dimension save passes at the price of accuracy.
     """
     blocks = stored(pack_distinct(vectors, x), "fit")
-    head = blocks.select((F.length("data") / F.col("rows") / 8).cast("int").alias("dims")).limit(1).collect()
-    if not head or not head[0].dims:
+    blocks.tasks = blocks.rdd.getNumPartitions()
+    n, sums = exact_sums(blocks)
+    if not sums:
         release(blocks)
         return None, 0.0
-    dims = head[0].dims
-    n, sums = exact_sums(blocks, dims)
     V, B = bidiagonalise(blocks, n, sums, steps)
     _, deviations, right = np.linalg.svd(B)
     found = (V @ right.T).T[:components]
@@ -172,7 +178,7 @@ def fit_whitening(vectors: DataFrame, x: str = "x", components: int = 16, steps:
         y = (c @ found.T) / safe
         return np.concatenate([[np.square(c).sum()], (y.T @ y).ravel()])
 
-    got = _summed(blocks, moments, 1 + len(found) ** 2) / n
+    got = _summed(blocks, moments) / n
     real = np.nonzero(sd > 0)[0]
     miss = np.abs(got[1:].reshape(len(found), -1) - np.eye(len(found)))[np.ix_(real, real)]
     release(blocks)

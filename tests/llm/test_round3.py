@@ -213,6 +213,15 @@ def test_whiten_tables(spark, data):
     assert out.count() == 16 * len(rows) and out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
 
 
+def test_whiten_many_tasks(spark, monkeypatch):
+    """Sums of many tasks are added up by tasks."""
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((200, 3)))]
+    monkeypatch.setattr(whitening, "FEW", 1)
+    monkeypatch.setattr(whitening, "BLOCK", 5)
+    check_whitening(rows, whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(9)).collect())
+
+
 def test_whiten_random(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((300, 9)) * [9, 5, 3, 2, 1, 1.5, 0.7, 0.3, 0.2]
