@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions import vocabulary as V
+from ..sources.publish import Build
 from .match import first_rows
 
 
@@ -106,14 +108,32 @@ def polygon_feature(rings, properties: dict[str, Column]) -> Column:
     return F.to_json(body, {"ignoreNullFields": "false"})
 
 
-def feature_collections(features: DataFrame, key: str = "pref_code") -> DataFrame:
-    """(key, collection): one collection for each code (null: 00), features in order.
+def feature_collections(build: Build, name: str, features: DataFrame, key: str = "pref_code") -> None:
+    """One collection for each code (null: 00), features(ord, feature, key) in order; a large code makes several files."""
+    build.collection(name, features, key)
 
-    For many features write them with ``partitionBy`` instead; a collection is
-    one value.
+
+def export_dictionary(build: Build, elements: DataFrame, sources: DataFrame, level_labels: dict[int, str], hazard_labels: dict[str, str] = V.HAZARDS) -> None:
+    """The documents ``elements`` (dictionary in its order, with the labels of hazards and levels) and ``sources``."""
+    labels = {"hazardLabels": hazard_labels, "evidenceLevelLabels": {str(k): v for k, v in level_labels.items()}}
+    build.document("elements", elements, "elements", ["element_ord"], labels)
+    build.document("sources", sources, "sources", ["source_ord"])
+
+
+def stats_document(build: Build, totals: DataFrame, rollups: dict[str, tuple[DataFrame, str]]) -> None:
+    """The document ``stats``: the columns of the one row of ``totals``, and each rollup as an object by its key column.
+
+    A rollup with one more column gives numbers, with several objects. It has
+    a row for each label (level, hazard, prefecture, element), not for each
+    record, so it may be one value.
     """
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("ord", "feature"))), lambda x: x["feature"])
-    return features.groupBy(F.coalesce(key, F.lit("00")).alias(key)).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(listed, ","), F.lit("]}")).alias("collection"))
+    fields = {c: totals.select(F.col(f"`{c}`").cast("string")) for c in totals.columns}
+    for name, (rows, key) in rollups.items():
+        rest = [c for c in rows.columns if c != key]
+        value = F.col(rest[0]) if len(rest) == 1 else F.struct(*rest)
+        entry = F.struct(F.coalesce(F.col(key).cast("string"), F.lit("00")).alias("key"), value.alias("value"))
+        fields[name] = rows.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))))
+    build.object("stats", fields)
 
 
 def detail_documents(records: DataFrame, candidates: DataFrame, level_labels: dict[int, str]) -> DataFrame:

@@ -11,6 +11,7 @@ from ..operators import geo as G
 from ..operators import match as M
 from ..operators import merge as D
 from ..operators.report import Stage, stage_report
+from ..sources.publish import current_build, publish, read_items
 from ..sources.tables import shared_folder
 from .catalog import query
 from .joins import _HAV, _SCORE, _linked, _places_of_supplier, _scored
@@ -147,10 +148,13 @@ def _(spark, table):
 
 @query("feature_collections", "select coalesce(case when s_nationkey % 4 <> 0 then s_nationkey::varchar end, '00') as pref_code, count(*)::bigint as n, string_agg(s_suppkey::varchar, '|' order by s_suppkey) as ids from supplier where s_suppkey % 9 <> 0 group by 1")
 def _(spark, table):
+    root = f"{shared_folder(spark)}/atlas-{uuid.uuid4().hex}"
     f = _features(table).withColumn("pref_code", F.when(F.col("s_nationkey") % 4 != 0, F.col("s_nationkey").cast("string")))
-    c = B.feature_collections(f)
-    items = F.from_json(F.get_json_object("collection", "$.features"), "array<struct<properties:struct<id:long>>>")
-    return c.select("pref_code", F.size(items).cast("long").alias("n"), F.array_join(F.transform(items, lambda x: x["properties"]["id"].cast("string")), "|").alias("ids"))
+    publish(spark, root, lambda b: B.feature_collections(b, "candidates", f))
+    # every file is a collection of its own that any JSON reader takes
+    files = spark.read.schema("type string, features array<struct<properties:struct<id:long>>>, key string").json(f"{current_build(spark, root)}/candidates", multiLine=True)
+    each = files.where("type = 'FeatureCollection'").select(F.col("key").alias("pref_code"), F.explode("features.properties.id").alias("id"))
+    return each.groupBy("pref_code").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("id")), lambda x: x.cast("string")), "|").alias("ids"))
 
 
 @query("detail_documents", "select s_suppkey as id, 'L' || s_suppkey % 3 as label, '洪水・河川氾濫' as hazard from supplier union all select c_custkey + 100000, 'L' || c_custkey % 3, '洪水・河川氾濫' from customer where c_custkey % 2 = 0")
@@ -162,11 +166,35 @@ def _(spark, table):
     return d.select("id", F.get_json_object("document", "$.level_label").alias("label"), F.get_json_object("document", "$.hazard_labels[0]").alias("hazard"))
 
 
-@query("export_dictionary", "select p_type as element_id, count(*) as n, list_aggregate(list_sort(list(distinct p_brand)), 'string_agg', '|') as surfaces from part group by 1")
+@query(
+    "export_dictionary",
+    """select 'element' as kind, p_type as id, count(*) as n, list_aggregate(list_sort(list(distinct p_brand)), 'string_agg', '|') as names from part group by 2
+    union all select 'source', s_suppkey::varchar, s_nationkey, s_name from supplier union all select 'label', 'flood', 1, '洪水・河川氾濫' union all select 'label', '2', 1, 'L2'""",
+)
+def _(spark, table):
+    root = f"{shared_folder(spark)}/atlas-{uuid.uuid4().hex}"
+    e = table("part").groupBy(F.col("p_type").alias("element_id")).agg(F.count("*").alias("n"), F.sort_array(F.collect_set("p_brand")).alias("surfaces")).withColumn("element_ord", F.col("element_id"))
+    s = table("supplier").select(F.col("s_suppkey").alias("source_ord"), F.col("s_suppkey").cast("string").alias("source_id"), F.col("s_nationkey").alias("n"), F.col("s_name").alias("title"))
+    publish(spark, root, lambda b: B.export_dictionary(b, e, s, {0: "L0", 2: "L2"}))
+    read = lambda name, schema: spark.read.schema(schema).json(f"{current_build(spark, root)}/{name}", multiLine=True)
+    doc = read("elements", "elements array<struct<element_id:string,n:long,surfaces:array<string>>>, hazardLabels map<string,string>, evidenceLevelLabels map<string,string>")
+    out = doc.select(F.explode("elements").alias("x")).select(F.lit("element").alias("kind"), F.col("x.element_id").alias("id"), "x.n", F.array_join("x.surfaces", "|").alias("names"))
+    out = out.union(read("sources", "sources array<struct<source_id:string,n:long,title:string>>").select(F.explode("sources").alias("x")).select(F.lit("source"), "x.source_id", "x.n", "x.title"))
+    for labels, label in (("hazardLabels", "flood"), ("evidenceLevelLabels", "2")):
+        out = out.union(doc.select(F.lit("label"), F.lit(label), F.lit(1).cast("long"), F.col(labels)[label]))
+    return out
+
+
+@query("published_keys", "select strftime(o_orderdate, '%Y-%m') as key, count(*) as n, o_orderdate < timestamp '1996-01-01' as stale from orders where not (o_orderdate < timestamp '1996-01-01' and strftime(o_orderdate, '%Y-%m') in (select strftime(o_orderdate, '%Y-%m') from orders where o_orderdate >= timestamp '1996-01-01')) group by all")
 def _(spark, table):
-    e = table("part").groupBy(F.col("p_type").alias("element_id")).agg(F.count("*").alias("n"), F.sort_array(F.collect_set("p_brand")).alias("surfaces"))
-    j = e.select(F.to_json(F.struct("*")).alias("j"))
-    return j.select(F.from_json("j", "element_id string, n long, surfaces array<string>").alias("x")).select("x.element_id", "x.n", F.array_join("x.surfaces", "|").alias("surfaces"))
+    """Two builds: the first has the months before 1996, the second those from then on; what was read, and what has gone."""
+    root = f"{shared_folder(spark)}/atlas-{uuid.uuid4().hex}"
+    o = table("orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("pref_code"), F.col("o_orderkey").alias("ord"), F.to_json(F.struct("o_orderkey")).alias("feature"), (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp")).alias("early"))
+    publish(spark, root, lambda b: B.feature_collections(b, "areas", o.where("early")))
+    first = o.where("early").groupBy(F.col("pref_code").alias("key")).agg(F.count("*").alias("n"))
+    gone = publish(spark, root, lambda b: B.feature_collections(b, "areas", o.where("not early")))
+    now = read_items(spark, root, "areas").groupBy("key").agg(F.count("*").alias("n"), F.lit(False).alias("stale"))
+    return now.union(first.join(gone.select("key"), "key").select("key", "n", F.lit(True)))
 
 
 @query("dataset_meta", "select list_aggregate(list_sort(list(distinct source)), 'string_agg', '|') as datasets, count(*) as n, '2024-01-01' as built_at from documents")
@@ -174,10 +202,29 @@ def _(spark, table):
     return B.dataset_meta(table("documents").select(F.col("source").alias("dataset")), "2024-01-01")
 
 
-@query("stats_document", f"select evidence_level, count(*) as n, count(*) filter (disputed) as disputed from {_SCORE} group by 1")
+@query(
+    "stats_document",
+    f"""select 'toponymsTotal' as field, '' as label, count(*) as n from orders union all select 'disputedTotal', '', count(*) filter (disputed) from {_SCORE} union all select 'byLevel', evidence_level::varchar, count(*) from {_SCORE} group by 2
+    union all select 'byPref.' || f, coalesce(case when c_nationkey % 6 <> 0 then c_nationkey::varchar end, '00'), count(*) filter (c_custkey % 4 >= lo) from customer, (values ('total', 0), ('documented', 2), ('level3', 3)) as t(f, lo) group by all
+    union all select 'areasByPref', s_nationkey::varchar, count(*) from supplier group by 2""",
+)
 def _(spark, table):
-    s = _scored(table).groupBy(F.col("evidence_level").cast("int").alias("evidence_level")).agg(F.count("*").alias("n"), F.count_if("disputed").alias("disputed"))
-    return s.select(F.from_json(F.to_json(F.struct("*")), "evidence_level int, n long, disputed long").alias("x")).select("x.*")
+    root = f"{shared_folder(spark)}/atlas-{uuid.uuid4().hex}"
+    scored = _scored(table)
+    totals = scored.agg(F.count("*").alias("toponymsTotal"), F.count_if("disputed").alias("disputedTotal"))
+    n = F.count("*").alias("n")
+    by_pref = D.prefecture_rollup(table("customer").select(F.when(F.col("c_nationkey") % 6 != 0, F.col("c_nationkey").cast("string")).alias("pref_code"), (F.col("c_custkey") % 4).alias("evidence_level")))
+    rollups = {"byLevel": (scored.groupBy("evidence_level").agg(n), "evidence_level"), "byPref": (by_pref, "pref_code"), "areasByPref": (table("supplier").groupBy("s_nationkey").agg(n), "s_nationkey"), "byNothing": (scored.where("false").groupBy("id").agg(n), "id")}
+    publish(spark, root, lambda b: B.stats_document(b, totals, rollups))
+    counts = "map<string,long>"
+    doc = spark.read.schema(f"toponymsTotal long, disputedTotal long, byLevel {counts}, byPref map<string,struct<total:long,documented:long,level3:long>>, areasByPref {counts}, byNothing {counts}").json(f"{current_build(spark, root)}/stats", multiLine=True)
+    out = doc.select(F.lit("toponymsTotal").alias("field"), F.lit("").alias("label"), F.col("toponymsTotal").alias("n")).union(doc.select(F.lit("disputedTotal"), F.lit(""), "disputedTotal"))
+    for field in ("byLevel", "areasByPref", "byNothing"):
+        out = out.union(doc.select(F.lit(field), F.explode(field)))
+    each = doc.select(F.explode("byPref"))
+    for f in ("total", "documented", "level3"):
+        out = out.union(each.select(F.lit(f"byPref.{f}"), "key", f"value.{f}"))
+    return out
 
 
 @query("stale_keys", "select distinct o_custkey from orders where o_orderdate < timestamp '1996-01-01' except select o_custkey from orders where o_orderdate >= timestamp '1998-06-01'")
