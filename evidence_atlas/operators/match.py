@@ -105,14 +105,15 @@ def name_survives(places: DataFrame, addresses: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("survives"), "current").otherwise("historical")).drop("key", "_now")
 
 
-def prioritised_join(left: DataFrame, right: DataFrame, keys: list[Column], id_: str, key: str = "key", order: str = "ord") -> DataFrame:
+def prioritised_join(left: DataFrame, right: DataFrame, keys: list[Column | list[Column]], id_: str, key: str = "key", order: str = "ord") -> DataFrame:
     """Each left id with the right row of its first key that is found.
 
-    All keys of a row are exploded with their rank and joined at once; the
-    winner has the lowest rank and, on ties, the lowest ``order``.
+    A key is a text or, in a list, an array of texts of one rank. All keys of a row
+    are exploded with their rank and joined at once; the winner has the lowest
+    rank and, on ties, the lowest ``order``.
     """
-    ranked = F.array(*[F.struct(F.lit(i).alias("rank"), k.alias("key")) for i, k in enumerate(keys)])
-    asked = left.select(id_, F.explode(ranked).alias("x")).select(id_, "x.rank", F.col("x.key").alias(key)).where(F.col(key).isNotNull())
+    each = [F.transform(k[0], lambda x, i=i: F.struct(F.lit(i).alias("rank"), x.alias("key"))) if isinstance(k, list) else F.array(F.struct(F.lit(i).alias("rank"), k.alias("key"))) for i, k in enumerate(keys)]
+    asked = left.select(id_, F.explode(F.flatten(F.array(*each))).alias("x")).select(id_, "x.rank", F.col("x.key").alias(key)).where(F.col(key).isNotNull())
     rest = [c for c in right.columns if c != key]
     joined = asked.join(right, key).groupBy(id_).agg(F.min_by(F.struct("rank", *rest), F.struct("rank", order)).alias("hit"))
     return joined.select(id_, "hit.*")
@@ -130,17 +131,21 @@ def geocode_lookup(records: DataFrame, tables: dict[str, DataFrame], stage: Stag
     """(record_id, lat, lon, precision) by the first that is known of: small section, large section,
     first large section that the name holds, centre of the municipality.
 
-    records(record_id, pref, municipality, name, oaza, koaza).
+    records(record_id, pref, municipality, name, oaza, koaza). The large
+    sections that a name holds are found by equality: the name is cut into
+    its pieces of those lengths only that names of its municipality have.
     """
     full = lambda name: F.concat_ws("\x1f", "pref", "municipality", X.comparison_key(name))
     side = lambda t, level, tail: tables[t].select(F.concat(F.lit(f"{level}\x1f"), tail).alias("key"), "lat", "lon", F.lit(level).alias("precision"), F.col("ord") if "ord" in tables[t].columns else F.lit(0).cast("long").alias("ord"))
-    held = records.join(tables["oaza"].select("pref", "municipality", F.col("name").alias("part"), "ord"), ["pref", "municipality"]).where(F.contains(X.comparison_key("name"), X.comparison_key("part")))
-    held = held.groupBy("record_id").agg(F.min_by("part", "ord").alias("_part"))
     town = F.concat_ws("\x1f", "pref", "municipality")
     right = side("koaza", "koaza", full("name")).union(side("oaza", "oaza", full("name"))).union(side("municipality", "municipality", town))
-    asked = records.where("pref is not null and municipality is not null").join(held, "record_id", "left")
+    lengths = tables["oaza"].select("pref", "municipality", F.length(X.comparison_key("name")).alias("n")).where("n > 0").groupBy("pref", "municipality").agg(F.collect_set("n").alias("_lengths"))
+    asked = records.where("pref is not null and municipality is not null").join(lengths, ["pref", "municipality"], "left").withColumn("_k", X.comparison_key(F.coalesce("name", F.lit(""))))
     key = lambda level, name: F.when(F.col(name).isNotNull() & (F.col(name) != ""), F.concat(F.lit(f"{level}\x1f"), full(name)))
-    keys = [key("koaza", "koaza"), key("koaza", "name"), key("oaza", "oaza"), key("oaza", "name"), key("oaza", "_part"), F.concat(F.lit("municipality\x1f"), town)]
+    fits = F.filter(F.coalesce("_lengths", F.array().cast("array<int>")), lambda n: n <= F.length("_k"))
+    pieces = F.array_distinct(F.flatten(F.transform(fits, lambda n: F.transform(F.sequence(F.lit(1), F.length("_k") - n + 1), lambda i: F.substring("_k", i, n)))))
+    held_ = F.transform(pieces, lambda s: F.concat_ws("\x1f", F.lit("oaza"), "pref", "municipality", s))
+    keys = [key("koaza", "koaza"), key("koaza", "name"), key("oaza", "oaza"), key("oaza", "name"), [held_], F.concat(F.lit("municipality\x1f"), town)]
     out = prioritised_join(asked, right, keys, "record_id").select("record_id", "lat", "lon", "precision")
     return watched(out, stage, produced=F.lit(1), **{level: F.col("precision") == level for level in ("koaza", "oaza", "municipality")})
 

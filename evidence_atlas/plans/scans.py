@@ -184,13 +184,21 @@ def _(spark, table):
     return cited.select("doc_id", "title", "year", F.col("source_ord").isNull().alias("unknown"), "problem")
 
 
-@query("extraction_lookup", "select item_id, item_id % 3 = 0 as hit from benchmark")
+@query(
+    "extraction_lookup",
+    "select doc_id, case when doc_id % 5 in (0, 1) then '{\"n\":' || doc_id || '}' when doc_id % 5 = 2 and not contains(text, '\"') then '{\"text\":' || length(text) || '}' end as payload from documents",
+)
 def _(spark, table):
-    items = table("benchmark").select("item_id", F.lit("s").alias("source_id"), F.lit("m|low").alias("signature"), F.col("text").alias("prompt"))
-    k = F.col("item_id")
-    cache = items.where(k % 3 != 2).select(X.cache_key("source_id", "signature", "prompt").alias("key"), F.when(k % 3 == 0, '{"findings":[]}').otherwise("[1]").alias("payload"))
-    hits, misses = S.extraction_lookup(items, cache)
-    return hits.select("item_id", F.lit(True).alias("hit")).union(misses.select("item_id", F.lit(False)))
+    """Extractions written in two rounds: objects, later better ones, broken ones and one whose text breaks its JSON."""
+    k = F.col("doc_id")
+    items = table("documents").select("doc_id", F.lit("s").alias("source_id"), F.lit("m|low").alias("signature"), F.concat(k.cast("string"), F.lit(" "), "text").alias("prompt"), "text")
+    name = S.open_cache(spark, f"extractions_{uuid.uuid4().hex}", _folder(spark, "extractions"), 16)
+    keyed = items.withColumn("key", X.cache_key("source_id", "signature", "prompt"))
+    object_ = F.concat(F.lit('{"n":'), k.cast("string"), F.lit("}"))
+    quoted = F.when(F.contains("text", F.lit('"')), F.lit('{"text":"')).otherwise(F.concat(F.lit('{"text":'), F.length("text").cast("string"), F.lit("}")))
+    S.write_cache(spark, name, keyed.where(k % 5 != 4).select("key", F.when(k % 5 == 0, object_).when(k % 5 == 3, object_).otherwise('{"old":1}').alias("payload"), F.lit("2024-01-01").alias("written_at")))
+    S.write_cache(spark, name, keyed.where((k % 5).isin(1, 2, 3)).select("key", F.when(k % 5 == 1, object_).when(k % 5 == 2, quoted).otherwise("[1]").alias("payload"), F.lit("2024-01-02").alias("written_at")))
+    return S.extraction_lookup(items, spark.table(name)).select("doc_id", "payload")
 
 
 @query("flatten_findings", "select conv_id, turn, 0 as pos, role as name, turn as level from conversations where turn % 3 <> 2")

@@ -100,15 +100,28 @@ def dictionary_tables(spark: SparkSession, elements: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def extraction_lookup(items: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Items with a cached extraction, and those still to be asked for.
+def open_cache(spark: SparkSession, name: str, path: str, buckets: int = 64) -> str:
+    """The table of extractions at ``path``, bucketed and sorted by key; made if it is not there, else opened as it is."""
+    spark.sql(f"create table if not exists {name} (key string, payload string, written_at timestamp) using parquet clustered by (key) sorted by (key) into {int(buckets)} buckets location '{path}'")
+    return name
 
-    items(item_id, source_id, signature, prompt); cache(key, payload). Only a
-    payload that is a JSON object is a hit.
+
+def write_cache(spark: SparkSession, name: str, rows: DataFrame) -> None:
+    """Append extractions (key, payload, written_at); earlier ones of a key stay until the table is written anew, but count no more."""
+    rows.select("key", "payload", F.col("written_at").cast("timestamp").alias("written_at")).write.insertInto(name)
+
+
+def extraction_lookup(items: DataFrame, cache: DataFrame) -> DataFrame:
+    """``items`` with key and the ``payload`` of their extraction; null: still to be asked for.
+
+    items(item_id, source_id, signature, prompt); cache(key, payload,
+    written_at), the last write of a key counts. Only a payload that is a JSON
+    object is a hit. Over a table of ``open_cache`` both the choice of the
+    last write and the join use its buckets: only the items are shuffled.
     """
-    good = cache.where(F.startswith(F.schema_of_variant(F.try_parse_json("payload")), F.lit("OBJECT")))
-    keyed = items.withColumn("key", X.cache_key("source_id", "signature", "prompt"))
-    return keyed.join(good, "key"), keyed.join(good, "key", "left_anti")
+    last = cache.groupBy("key").agg(F.max_by("payload", "written_at").alias("payload"))
+    good = last.where(F.startswith(F.schema_of_variant(F.try_parse_json("payload")), F.lit("OBJECT")))
+    return items.withColumn("key", X.cache_key("source_id", "signature", "prompt")).join(good, "key", "left")
 
 
 def flatten_findings(payloads: DataFrame, payload: str, path: str, fields: dict[str, str], keep: list[str]) -> DataFrame:

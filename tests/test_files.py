@@ -93,3 +93,31 @@ def test_dictionary_files(spark, tmp_path):
     put(f"{tmp_path}/s.json", json.dumps({"sources": [{"id": "a", "type": "book", "title": "T", "year": 1900}, {"id": "b", "type": "scroll", "title": "U"}, {"type": "web"}]}))
     rows = C.load_sources(spark, f"{tmp_path}/s.json").orderBy("source_ord").collect()
     assert [(r.source_id, r.year, r.problem) for r in rows] == [("a", 1900, None), ("b", None, "no known type"), (None, None, "id or title is missing")]
+
+
+def test_extraction_cache(spark, tmp_path):
+    """The last write of a key counts; the cache side of the join is not shuffled; the table opens again by its path."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from evidence_atlas.functions import text as X
+    from evidence_atlas.sources import tables as S
+
+    items = spark.range(200).select(F.col("id").alias("item_id"), F.lit("s").alias("source_id"), F.lit("m").alias("signature"), F.col("id").cast("string").alias("prompt"))
+    keyed = items.withColumn("key", X.cache_key("source_id", "signature", "prompt"))
+    name = S.open_cache(spark, "cache_one", f"{tmp_path}/cache", 8)
+    S.write_cache(spark, name, keyed.where("item_id < 100").select("key", F.lit('{"a":1}').alias("payload"), F.lit("2024-01-01").alias("written_at")))
+    S.write_cache(spark, name, keyed.where("item_id % 2 = 0").select("key", F.when(F.col("item_id") % 4 == 0, '{"a":2}').otherwise("not json").alias("payload"), F.lit("2024-01-02").alias("written_at")))
+    S.open_cache(spark, "cache_again", f"{tmp_path}/cache", 8)
+    for table in ("cache_one", "cache_again"):
+        got = {r.item_id: r.payload for r in S.extraction_lookup(items, spark.table(table)).collect()}
+        assert got == {i: '{"a":2}' if i % 4 == 0 else None if i % 2 == 0 or i >= 100 else '{"a":1}' for i in range(200)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            S.extraction_lookup(items, spark.table("cache_one")).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.getvalue().count("Exchange") == 1 and plan.getvalue().count("Join") == 1
