@@ -31,6 +31,53 @@ def flat_km(lat1, lon1, lat2, lon2) -> Column:
     return DEGREE_KM * F.sqrt(F.pow(_c(lat2) - _c(lat1), 2) + x * x)
 
 
+#: Addresses that a cell of the fine index holds at most on average, and the most times a cell is halved.
+CELL_ADDRESSES, MOST_HALVINGS = 12, 12
+
+#: What makes one address better than another at the same distance: ring and cell in their order, then its own.
+_TIES = ["km", "ring", "dr", "dc", "ord"]
+
+
+def _best(pairs: DataFrame, *before: str) -> DataFrame:
+    """(point_id, address_id, km): the best of each point's pairs, by the columns ``before`` first."""
+    return pairs.groupBy("point_id").agg(F.min_by(F.struct("address_id", "km"), F.struct(*before, *[t for t in _TIES if t not in before])).alias("_b")).select("point_id", "_b.*")
+
+
+def _rings(points: DataFrame, there: DataFrame, first: int, last: int) -> DataFrame:
+    """Pairs of points and the addresses in rings ``first`` to ``last`` of cells around them."""
+    around = [(dr, dc) for dr in range(-last, last + 1) for dc in range(-last, last + 1) if max(abs(dr), abs(dc)) >= first]
+    cells = F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in around])
+    spread = points.withColumn("_d", F.explode(cells)).select("point_id", "plat", "plon", "_d.*", (F.col("r") + F.col("_d.dr")).alias("ar"), (F.col("c") + F.col("_d.dc")).alias("ac"))
+    near = spread.join(there, ["ar", "ac"]).withColumn("ring", F.greatest(F.abs("dr"), F.abs("dc")))
+    return near.withColumn("km", flat_km("plat", "plon", "lat", "lon"))
+
+
+def _fine(points: DataFrame, there: DataFrame, step: float) -> DataFrame:
+    """(point_id, address_id, km) of points in dense cells that are settled by the cells of a finer index.
+
+    A cell of many addresses is halved until a part holds a dozen. A point
+    looks into the four parts nearest to it, and is settled if its best
+    address is nearer than any that lies outside them could be.
+    """
+    count = there.groupBy("ar", "ac").agg(F.count("*").alias("n"))
+    halvings = F.least(F.ceil(F.log(4.0, F.col("n") / CELL_ADDRESSES)), F.lit(MOST_HALVINGS)).cast("int")
+    dense = count.select(F.col("ar").alias("r"), F.col("ac").alias("c"), halvings.alias("level")).where("level > 0")
+    size = F.lit(step) / F.pow(F.lit(2.0), F.col("level"))
+    asking = points.join(dense, ["r", "c"]).withColumn("size", size)
+    # the corner of the finer grid nearest to the point: the four parts that meet there
+    y, x = F.round(F.col("plat") / F.col("size")), F.round(F.col("plon") / F.col("size"))
+    margin = DEGREE_KM * F.least((1 - F.abs(F.col("plat") / F.col("size") - y)) * F.col("size"), (1 - F.abs(F.col("plon") / F.col("size") - x)) * F.col("size") * F.cos(F.radians("plat")))
+    parts = F.array(*[F.struct((y + a).cast("long").alias("fr"), (x + b).cast("long").alias("fc")) for a in (-1, 0) for b in (-1, 0)])
+    asking = asking.select("point_id", "plat", "plon", "r", "c", "level", margin.alias("margin"), F.explode(parts).alias("_f")).select("*", "_f.*").drop("_f")
+    # addresses stand in the grid of every level that a neighbouring cell may ask for
+    offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    wanted = dense.withColumn("_o", F.explode(offsets)).select((F.col("r") + F.col("_o.a")).alias("ar"), (F.col("c") + F.col("_o.b")).alias("ac"), "level").distinct()
+    index = there.join(wanted, ["ar", "ac"]).withColumns({"fr": F.floor(F.col("lat") / size).cast("long"), "fc": F.floor(F.col("lon") / size).cast("long")})
+    pairs = asking.join(index, ["level", "fr", "fc"]).withColumns({"km": flat_km("plat", "plon", "lat", "lon"), "dr": F.col("ar") - F.col("r"), "dc": F.col("ac") - F.col("c")})
+    pairs = pairs.where(F.col("km") < F.col("margin") * (1 - 1e-9)).withColumn("ring", F.greatest(F.abs("dr"), F.abs("dc")))
+    return _best(pairs)
+
+
 def nearest_address(points: DataFrame, addresses: DataFrame, step: float = 0.1, rings: int = 3, limit_km: float = 25.0, exact: bool = False) -> DataFrame:
     """(point_id, address_id, km): the nearest address in the cells around a point.
 
@@ -38,21 +85,25 @@ def nearest_address(points: DataFrame, addresses: DataFrame, step: float = 0.1,
     ``step`` degrees are numbered by cutting toward zero. Rings of cells are
     taken from the inside; the first ring from 1 on by which anything was
     found is the last (``exact`` takes all rings). Ties go to the cell that
-    comes first by latitude and longitude, then the first address. Points meet
-    addresses by an equality join on the cell.
+    comes first by latitude and longitude, then the first address.
+
+    Points go outward in rounds, those without an answer only: the finer
+    index of dense cells, the rings 0 and 1, then the rings beyond. Each round
+    is an equality join on a cell.
     """
     cell = lambda x: (F.col(x) / step).cast("int")
-    around = F.sequence(F.lit(-rings), F.lit(rings))
-    spread = points.select("point_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), cell("lat").alias("r"), cell("lon").alias("c"))
-    spread = spread.withColumn("dr", F.explode(around)).withColumn("dc", F.explode(around))
-    spread = spread.withColumn("cr", F.col("r") + F.col("dr")).withColumn("cc", F.col("c") + F.col("dc")).withColumn("ring", F.greatest(F.abs("dr"), F.abs("dc")))
-    there = addresses.withColumn("cr", cell("lat")).withColumn("cc", cell("lon"))
-    near = spread.join(there, ["cr", "cc"]).withColumn("km", flat_km("plat", "plon", "lat", "lon"))
-    if not exact:
-        first = Window.partitionBy("point_id")
-        near = near.withColumn("last", F.greatest(F.min("ring").over(first), F.lit(1))).where("ring <= last")
-    best = first_rows(near, ["point_id"], "km", "ring", "dr", "dc", "ord")
-    return best.where(F.col("km") <= limit_km).select("point_id", "address_id", "km")
+    here = points.where("lat is not null and lon is not null").select("point_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), cell("lat").alias("r"), cell("lon").alias("c"))
+    there = addresses.select("address_id", "ord", "lat", "lon", cell("lat").alias("ar"), cell("lon").alias("ac"))
+    if exact:
+        out = _best(_rings(here, there, 0, rings))
+    else:
+        out = _fine(here, there, step)
+        rest = here.join(out.select("point_id"), "point_id", "left_anti")
+        inner = _best(_rings(rest, there, 0, 1))
+        beyond = rest.join(inner.select("point_id"), "point_id", "left_anti")
+        outer = _rings(beyond, there, 2, rings)
+        out = out.union(inner).union(_best(outer, "ring"))
+    return out.where(F.col("km") <= limit_km)
 
 
 def nearby(points: DataFrame, monuments: DataFrame, radius_km: float = 3.0, keep: int = 5, step: float = 0.05) -> DataFrame:

@@ -112,7 +112,11 @@ def prioritised_join(left: DataFrame, right: DataFrame, keys: list[Column | list
     are exploded with their rank and joined at once; the winner has the lowest
     rank and, on ties, the lowest ``order``.
     """
-    each = [F.transform(k[0], lambda x, i=i: F.struct(F.lit(i).alias("rank"), x.alias("key"))) if isinstance(k, list) else F.array(F.struct(F.lit(i).alias("rank"), k.alias("key"))) for i, k in enumerate(keys)]
+
+    def ranked(rank: int, texts: Column) -> Column:
+        return F.transform(texts, lambda x: F.struct(F.lit(rank).alias("rank"), x.alias("key")))
+
+    each = [ranked(i, k[0] if isinstance(k, list) else F.array(k)) for i, k in enumerate(keys)]
     asked = left.select(id_, F.explode(F.flatten(F.array(*each))).alias("x")).select(id_, "x.rank", F.col("x.key").alias(key)).where(F.col(key).isNotNull())
     rest = [c for c in right.columns if c != key]
     joined = asked.join(right, key).groupBy(id_).agg(F.min_by(F.struct("rank", *rest), F.struct("rank", order)).alias("hit"))

@@ -315,3 +315,70 @@ def test_same_result_for_any_number_of_partitions(spark):
         out.append(sorted(map(tuple, catalog.QUERIES["link_records"](spark, "/root/testdata/sf0.001").collect()), key=repr))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert out[0] == out[1]
+
+
+def nearest_by_force(points, addresses, step=0.1, rings=3, limit=25.0, exact=False):
+    import math
+
+    out = {}
+    for i, lat, lon in points:
+        r, c = int(lat / step), int(lon / step)
+        found = []
+        for a, o, y, x in addresses:
+            dr, dc = int(y / step) - r, int(x / step) - c
+            ring = max(abs(dr), abs(dc))
+            if ring <= rings:
+                e = (x - lon) * math.cos(math.radians(lat))
+                found.append((111.0 * math.sqrt((y - lat) ** 2 + e * e), ring, dr, dc, o, a))
+        if not found:
+            continue
+        last = rings if exact else max(min(f[1] for f in found), 1)
+        best = min(f for f in found if f[1] <= last)
+        if best[0] <= limit:
+            out[i] = (best[5], round(best[0], 6))
+    return out
+
+
+def test_nearest_address(spark, monkeypatch):
+    """Dense cells, lonely points, ties and the cells around zero, against every pair."""
+    import random
+
+    rng = random.Random(8)
+    near = lambda y, x, d: (y + rng.uniform(-d, d), x + rng.uniform(-d, d))
+    addresses = [near(35.05, 135.05, 0.05) for _ in range(900)] + [near(0.0, 0.0, 0.2) for _ in range(300)] + [near(36.5, 137.5, 0.5) for _ in range(60)] + [(35.0625, 135.0625)] * 3 + [(35.0, 135.1), (35.1, 135.0)]
+    addresses = [(i, 5000 - i, y, x) for i, (y, x) in enumerate(addresses)]
+    points = [near(35.05, 135.05, 0.06) for _ in range(200)] + [near(0.0, 0.0, 0.3) for _ in range(100)] + [near(36.5, 137.5, 0.9) for _ in range(150)] + [(35.0625, 135.0625), (35.05, 135.05), (50.0, 10.0)]
+    points = [(i, y, x) for i, (y, x) in enumerate(points)]
+    a = spark.createDataFrame(addresses, "address_id int, ord int, lat double, lon double").repartition(5)
+    p = spark.createDataFrame(points + [(-1, None, 1.0)], "point_id int, lat double, lon double")
+    for cell, exact in ((12, False), (1, False), (10**6, False), (12, True)):
+        monkeypatch.setattr(G, "CELL_ADDRESSES", cell)
+        got = {r.point_id: (r.address_id, round(r.km, 6)) for r in G.nearest_address(p, a, exact=exact).collect()}
+        assert got == nearest_by_force(points, addresses, exact=exact)
+    monkeypatch.setattr(G, "CELL_ADDRESSES", 12)
+    here = p.where("lat is not null").selectExpr("point_id", "lat as plat", "lon as plon", "cast(lat / 0.1 as int) as r", "cast(lon / 0.1 as int) as c")
+    there = a.selectExpr("address_id", "ord", "lat", "lon", "cast(lat / 0.1 as int) as ar", "cast(lon / 0.1 as int) as ac")
+    settled = G._fine(here, there, 0.1).where("point_id < 200").count()
+    assert settled > 100  # more than half of the 200 points among the dense addresses end in the first round
+
+
+def test_geocode_parts(spark):
+    """The first large section that the name holds, by brute force."""
+    import random
+
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choices("山川谷沢", k=n))
+    addresses = [(i, "P", rng.choice("AB"), word(rng.randint(1, 3)), "", f"c{i}", float(i), 0.0) for i in range(40)]
+    records = [(i, "P", rng.choice("ABC"), word(rng.randint(1, 6)), None, None) for i in range(200)] + [(900, None, "A", "山", None, None), (901, "P", "A", None, None, None)]
+    tables = M.address_tables(spark.createDataFrame(addresses, "ord int, pref string, municipality string, oaza string, koaza string, code string, lat double, lon double"))
+    r = spark.createDataFrame(records, "record_id int, pref string, municipality string, name string, oaza string, koaza string")
+    got = {x.record_id: (x.lat, x.precision) for x in M.geocode_lookup(r, tables).collect()}
+    want = {}
+    for i, pref, town, name, _, _ in records:
+        own = [a for a in addresses if pref and a[2] == town]
+        whole, part = [a for a in own if a[3] == name], [a for a in own if name and a[3] in name]
+        if whole or part:
+            want[i] = ((whole or part)[0][6], "oaza")
+        elif own:
+            want[i] = (sum(a[6] for a in own) / len(own), "municipality")
+    assert {k: (round(v[0], 6), v[1]) for k, v in got.items()} == {k: (round(v[0], 6), v[1]) for k, v in want.items()}
