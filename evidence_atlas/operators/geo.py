@@ -197,46 +197,110 @@ def rings_from_parts(points, parts) -> Column:
     return F.filter(cut, lambda r: F.size(r) >= 4)
 
 
-def simplify_rings(areas: DataFrame, tolerance: float = 1e-4, area: str = "area_key") -> DataFrame:
-    """(area_key, ring_ord, ring, before, after) of areas(area_key, ring_ord, ring): fewer vertices.
+def _thin(points, tolerance: float):
+    """The points of a line that stay: its ends, and those farther than the tolerance from the line through the ends of their stretch."""
+    import numpy as np
+
+    keep = np.zeros(len(points), bool)
+    keep[[0, -1]] = True
+    todo = [(0, len(points) - 1)]
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        d, rest = points[b] - points[a], points[a + 1 : b] - points[a]
+        size = np.hypot(*d)
+        off = np.abs(d[0] * rest[:, 1] - d[1] * rest[:, 0]) / size if size else np.hypot(rest[:, 0], rest[:, 1])
+        far = int(off.argmax())
+        if off[far] > tolerance:
+            keep[a + 1 + far] = True
+            todo += [(a, a + 1 + far), (a + 1 + far, b)]
+    return points[keep]
+
+
+def _thin_ring(points, tolerance: float):
+    if len(points) <= 4:
+        return points
+    out = _thin(points, tolerance)
+    return out if len(out) >= 4 else points
+
+
+def _thin_arcs(points, corners, tolerance: float):
+    """A closed ring cut at its corners, each arc thinned in the direction that begins with the smaller point.
+
+    What becomes of an arc thus depends on its own points only, and is the
+    same for the ring on its other side. A ring without corners is cut at its
+    smallest point.
+    """
+    import numpy as np
+
+    ring = points[:-1] if len(points) > 1 and (points[0] == points[-1]).all() else points
+    if len(ring) < 3:
+        return points
+    at = np.nonzero(corners[: len(ring)])[0]
+    if not len(at):
+        at = np.array([np.lexsort((ring[:, 1], ring[:, 0]))[0]])
+    ring = np.roll(ring, -at[0], axis=0)
+    ends = [*(at - at[0]).tolist(), len(ring)]
+    closed = np.concatenate([ring, ring[:1]])
+    out = []
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        arc = closed[a : b + 1]
+        turned = tuple(arc[-1].tolist() + arc[-2].tolist()) < tuple(arc[0].tolist() + arc[1].tolist())
+        arc = arc[::-1] if turned else arc
+        if (arc[0] == arc[-1]).all() and len(arc) > 3:  # an arc that comes back has no line through its ends: halve it at its farthest point
+            far = int(np.hypot(*(arc - arc[0]).T).argmax())
+            thin = np.concatenate([_thin(arc[: far + 1], tolerance)[:-1], _thin(arc[far:], tolerance)])
+        else:
+            thin = _thin(arc, tolerance)
+        out.append((thin[::-1] if turned else thin)[:-1])
+    whole = np.concatenate([*out, closed[:1]])
+    return whole if len(whole) >= 4 else closed
+
+
+def border_corners(areas: DataFrame) -> DataFrame:
+    """(lon, lat) of the points of all rings at which borders part: those with more or fewer than two neighbours."""
+    ring = F.when((F.size("ring") > 1) & (F.try_element_at("ring", F.lit(1)) == F.try_element_at("ring", F.lit(-1))), F.slice("ring", 1, F.size("ring") - 1)).otherwise(F.col("ring"))
+    following = F.concat(F.slice("_r", F.lit(2), F.size("_r")), F.slice("_r", 1, 1))
+    edges = areas.where(F.size("ring") > 2).select(ring.alias("_r")).select(F.explode(F.arrays_zip(F.col("_r").alias("a"), following.alias("b"))).alias("e")).where("e.a <> e.b")
+    both = edges.select(F.explode(F.array(F.struct("e.a", "e.b"), F.struct(F.col("e.b").alias("a"), F.col("e.a").alias("b")))).alias("e")).select("e.*").distinct()
+    return both.groupBy("a").agg(F.count("*").alias("n")).where("n <> 2").select("a.lon", "a.lat")
+
+
+def simplify_rings(areas: DataFrame, tolerance: float = 1e-4, digits: int = 5, area: str = "area_key", shared: bool = False) -> DataFrame:
+    """(area_key, ring_ord, ring, before, after) of areas(area_key, ring_ord, ring): fewer vertices, rounded, closed.
 
     A vertex goes if it lies within the tolerance of the line through the ends
     of its stretch. Rings of at most four points, and those of which fewer
-    than four points would be left, stay. Rings are spread over tasks and
-    worked on as arrays.
+    than four points would be left, are not thinned. Rings that are left with
+    fewer than four points by the rounding enclose nothing and go.
+
+    With ``shared`` rings are cut where borders part (``border_corners``), and
+    a stretch of border between two areas is thinned to the same points for
+    both, so that no gaps open between neighbours. Points are compared
+    exactly for that. Rings are spread over tasks and worked on as arrays.
     """
     import numpy as np
     import pyarrow as pa
 
-    def thin(points: np.ndarray) -> np.ndarray:
-        if len(points) <= 4:
-            return points
-        keep = np.zeros(len(points), bool)
-        keep[[0, -1]] = True
-        todo = [(0, len(points) - 1)]
-        while todo:
-            a, b = todo.pop()
-            if b - a < 2:
-                continue
-            d, rest = points[b] - points[a], points[a + 1 : b] - points[a]
-            size = np.hypot(*d)
-            off = np.abs(d[0] * rest[:, 1] - d[1] * rest[:, 0]) / size if size else np.hypot(rest[:, 0], rest[:, 1])
-            far = int(off.argmax())
-            if off[far] > tolerance:
-                keep[a + 1 + far] = True
-                todo += [(a, a + 1 + far), (a + 1 + far, b)]
-        out = points[keep]
-        return out if len(out) >= 4 else points
-
-    schema = pa.schema([(area, pa.int64()), ("ring_ord", pa.int32()), ("ring", pa.list_(pa.struct([("lon", pa.float64()), ("lat", pa.float64())]))), ("before", pa.int32()), ("after", pa.int32())])
+    point = pa.struct([("lon", pa.float64()), ("lat", pa.float64())])
+    schema = pa.schema([(area, pa.int64()), ("ring_ord", pa.int32()), ("ring", pa.list_(point)), ("before", pa.int32())])
 
     def run(batches):
         for b in batches:
             rows = []
-            for key, o, ring in zip(*(b.column(c).to_pylist() for c in (area, "ring_ord", "ring")), strict=True):
+            marks = b.column("_corners").to_pylist() if shared else [None] * b.num_rows
+            for key, o, ring, corners in zip(*(b.column(c).to_pylist() for c in (area, "ring_ord", "ring")), marks, strict=True):
                 pts = np.array([(p["lon"], p["lat"]) for p in ring or []], float).reshape(-1, 2)
-                out = thin(pts)
-                rows.append({area: key, "ring_ord": o, "ring": [{"lon": x, "lat": y} for x, y in out.tolist()], "before": len(pts), "after": len(out)})
+                out = _thin_arcs(pts, np.array(corners or [], bool), tolerance) if shared and len(pts) > 4 else _thin_ring(pts, tolerance)
+                rows.append({area: key, "ring_ord": o, "ring": [{"lon": x, "lat": y} for x, y in out.tolist()], "before": len(pts)})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return areas.select(F.col(area).cast("long").alias(area), F.col("ring_ord").cast("int").alias("ring_ord"), "ring").mapInArrow(run, f"{area} long, ring_ord int, ring array<struct<lon:double,lat:double>>, before int, after int")
+    rows = areas.select(F.col(area).cast("long").alias(area), F.col("ring_ord").cast("int").alias("ring_ord"), "ring")
+    if shared:
+        corners = border_corners(rows).withColumn("_c", F.lit(True))
+        flags = rows.select(area, "ring_ord", F.posexplode("ring").alias("_i", "p")).select(area, "ring_ord", "_i", "p.lon", "p.lat").join(corners, ["lon", "lat"], "left")
+        flags = flags.groupBy(area, "ring_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_c", F.lit(False)).alias("c")))), lambda x: x["c"]).alias("_corners"))
+        rows = rows.join(flags, [area, "ring_ord"], "left")
+    thin = rows.mapInArrow(run, f"{area} long, ring_ord int, ring array<struct<lon:double,lat:double>>, before int")
+    return thin.withColumn("ring", round_ring("ring", digits)).withColumn("after", F.size("ring")).where("after >= 4").select(area, "ring_ord", "ring", "before", "after")

@@ -345,12 +345,38 @@ def _(spark, table):
     return _rings(table).select("l_orderkey", F.size(G.round_ring("ring", 0)).alias("points"))
 
 
-@query("simplify_rings")
+@query(
+    "simplify_rings",
+    f"""with recursive p as materialized {_PTS}, seg(l_orderkey, a, b) as (select distinct l_orderkey, 1::bigint, n from p where n > 4 union all
+      select l_orderkey, unnest([a, f]), unnest([f, b]) from (select l_orderkey, a, b, arg_max(i, (off, -i)) as f, max(off) as m from (select s.*, p.i, case when q.lon = o.lon and q.lat = o.lat then sqrt(power(p.lon - o.lon, 2) + power(p.lat - o.lat, 2))
+        else abs((q.lon - o.lon) * (p.lat - o.lat) - (q.lat - o.lat) * (p.lon - o.lon)) / sqrt(power(q.lon - o.lon, 2) + power(q.lat - o.lat, 2)) end as off from seg s join p on p.l_orderkey = s.l_orderkey and p.i > s.a and p.i < s.b join p o on o.l_orderkey = s.l_orderkey and o.i = s.a join p q on q.l_orderkey = s.l_orderkey and q.i = s.b) group by l_orderkey, a, b) where m > 0.5),
+    k as (select distinct l_orderkey, unnest([a, b]) as i from seg), few as (select l_orderkey from k group by 1 having count(*) >= 4),
+    t as (select p.* from p where l_orderkey not in (select l_orderkey from few) or exists (select 1 from k where k.l_orderkey = p.l_orderkey and k.i = p.i)),
+    r as (select l_orderkey, i, n, round_even(lon, 5) as x, round_even(lat, 5) as y from t), g as (select *, lag(x) over w as px, lag(y) over w as py from r window w as (partition by l_orderkey order by i)),
+    d as (select l_orderkey, any_value(n)::int as before, count(*) as m, arg_min(x, i) <> arg_max(x, i) or arg_min(y, i) <> arg_max(y, i) as open from g where px is null or x <> px or y <> py group by 1)
+    select l_orderkey, before, (m + open::int)::int as after from d where m + open::int >= 4""",
+)
 def _(spark, table):
     r = _rings(table).select(F.col("l_orderkey").alias("area_key"), F.lit(0).alias("ring_ord"), "ring")
     return G.simplify_rings(r, 0.5).select(F.col("area_key").alias("l_orderkey"), "before", "after")
 
 
+@query("simplify_borders", "select s_suppkey as area_key, 105 as before, true as thinner, true as same from supplier where s_suppkey + 1 in (select s_suppkey from supplier)")
+def _(spark, table):
+    """A row of areas between wavy borders: each border is thinned to the same points on both sides."""
+    k = F.col("s_suppkey")
+    wave = lambda c: F.transform(F.sequence(F.lit(0), F.lit(50)), lambda i: F.struct((c + F.when(i == 25, 0.25).otherwise(F.pmod(i * 7 + c, F.lit(3)) / 1000)).cast("double").alias("lon"), (i / 50).alias("lat")))
+    ring = F.concat(wave(k), F.reverse(wave(k + 1)))
+    north = F.array(F.struct((k + 0.5).alias("lon"), F.lit(1.2).alias("lat")), F.struct((k + 0.5).alias("lon"), F.lit(1.2).alias("lat")))
+    areas = table("supplier").select(k.alias("area_key"), F.lit(0).alias("ring_ord"), F.concat(F.slice(ring, 1, 51), north, F.slice(ring, 52, 51), F.slice(ring, 1, 1)).alias("ring"))
+    out = G.simplify_rings(areas, 0.01, shared=True)
+    border = lambda c: F.filter("ring", lambda p: (p["lon"] - c >= 0) & (p["lon"] - c <= 0.3) & (p["lat"] <= 1))
+    sides = lambda c: F.array_sort(F.array_distinct(border(c)))
+    east = out.select("area_key", "before", (F.col("after") < 20).alias("thinner"), sides(F.col("area_key") + 1).alias("east"))
+    west = out.select(sides(F.col("area_key")).alias("west"), (F.col("area_key") - 1).alias("before_it")).withColumnRenamed("before_it", "area_key")
+    return east.join(west, "area_key").select("area_key", "before", "thinner", ((F.col("east") == F.col("west")) & (F.size("east") >= 3)).alias("same"))
+
+
 # scoring and merging
 
 _KIND = "case l_returnflag when 'R' then 'gazetteer' when 'A' then 'map' else 'legend' end"

@@ -206,7 +206,54 @@ def test_rings(spark):
     pts = [(x / 100, 0.0) for x in range(50)] + [(0.5, 0.5), (0.0, 0.5), (0.0, 0.0)]
     df = spark.createDataFrame([(1, 0, [{"lon": x, "lat": y} for x, y in pts]), (2, 0, [])], "area_key long, ring_ord int, ring array<struct<lon:double,lat:double>>")
     got = {r.area_key: (r.before, r.after) for r in G.simplify_rings(df).collect()}
-    assert got == {1: (53, 5), 2: (0, 0)}
+    assert got == {1: (53, 5)}  # the empty ring encloses nothing
+
+
+SQUARE = [(139.0, 36.0), (139.5, 36.0), (140.0, 36.0), (140.0, 36.5), (140.0, 37.0), (139.5, 37.0), (139.0, 37.0), (139.0, 36.5), (139.0, 36.0)]
+
+
+def rings_of(spark, rings, **options):
+    rows = [(a, o, [{"lon": x, "lat": y} for x, y in ring]) for a, o, ring in rings]
+    df = spark.createDataFrame(rows, "area_key long, ring_ord int, ring array<struct<lon:double,lat:double>>")
+    return {(r.area_key, r.ring_ord): [(p.lon, p.lat) for p in r.ring] for r in G.simplify_rings(df, **options).collect()}
+
+
+def test_simplified_rings(spark):
+    dense = [(139.0 + i * 0.00001, 36.0) for i in range(200)] + [(140.0, 37.0), (139.0, 36.0)]
+    triangle = [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0)]
+    near = [(139.000001, 36.000001), (139.000002, 36.000002), (140.0, 36.0), (140.0, 37.0), (139.000001, 36.000001)]
+    got = rings_of(spark, [(1, 0, SQUARE), (1, 1, [(139.0, 36.0)] * 4), (2, 0, triangle), (3, 0, dense), (4, 0, near), (5, 0, SQUARE[:-1])], tolerance=0.001)
+    assert set(got[1, 0]) == {(139.0, 36.0), (140.0, 36.0), (140.0, 37.0), (139.0, 37.0)} and got[1, 0][0] == got[1, 0][-1]
+    assert (1, 1) not in got and got[2, 0] == triangle and len(got[3, 0]) < 100
+    assert got[4, 0][0] == (139.0, 36.0) == got[4, 0][-1] and len(got[4, 0]) < len(near)
+    assert got[5, 0][0] == got[5, 0][-1]
+    assert len(rings_of(spark, [(1, 0, SQUARE)], tolerance=100.0)[1, 0]) >= 4
+
+
+def test_shared_borders(spark):
+    """Three areas around one point, an island, a ring in a ring and a ring of few points: borders stay together."""
+    import math
+    import random
+
+    rng = random.Random(4)
+
+    def border(a, b, n=60):
+        xs = [(a[0] + (b[0] - a[0]) * i / n + rng.uniform(-0.002, 0.002), a[1] + (b[1] - a[1]) * i / n + rng.uniform(-0.002, 0.002)) for i in range(1, n)]
+        return [a, *xs, b]
+
+    hub, rim = (0.0, 0.0), [(math.cos(t), math.sin(t)) for t in (0.3, 2.4, 4.5)]
+    spokes, outer = [border(hub, p) for p in rim], [border(rim[i], rim[(i + 1) % 3]) for i in range(3)]
+    areas = [(i, 0, spokes[i] + outer[i][1:] + spokes[(i + 1) % 3][::-1][1:]) for i in range(3)]
+    circle = [(5 + math.cos(k / 50 * math.tau), math.sin(k / 50 * math.tau)) for k in range(50)]
+    turned = circle[20:] + circle[:20]
+    areas += [(7, 0, circle + circle[:1]), (8, 0, (turned + turned[:1])[::-1]), (9, 0, [(9.0, 9.0), (9.0, 9.5), (9.5, 9.0), (9.0, 9.0)])]
+    got = rings_of(spark, areas, tolerance=0.02, shared=True)
+    for i in range(3):
+        mine, next_ = set(got[i, 0]), set(got[(i + 1) % 3, 0])
+        on_spoke = {(round(x, 5), round(y, 5)) for x, y in spokes[(i + 1) % 3]}
+        assert mine & on_spoke == next_ & on_spoke and 2 <= len(mine & on_spoke) < 30
+        assert (0.0, 0.0) in mine and got[i, 0][0] == got[i, 0][-1]
+    assert set(got[7, 0]) == set(got[8, 0]) and 4 < len(got[7, 0]) < 40 and len(got[9, 0]) == 4
 
 
 def test_tiles(spark):
