@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,8 +91,8 @@ _READING = re.compile(r"^[｡-ﾟ\s　]+$")
 _CONTENTS = re.compile("・{3,}")
 _AREA_NOTE = re.compile(r"[＊*]\s*町別小字表[^）)]*参照|[＊*][^）)]*参照")
 _RUNNING_HEAD = re.compile(r"^[（(]\s*[０-９\d]{4}\s*[）)]の水帳|水帳の字による")
-_NO_NAME = re.compile(r"[。、，,；;：:（）()｛｝\[\]・～~＊*／/｜|＜＞<>\d０-９]")
-_SCRIPT = re.compile("[぀-ヿ㐀-䶿一-鿿]")
+#: A plausible name: at most ten characters, at least one of them kana or kanji, and none that ends a phrase, brackets or counts.
+_PLACE = re.compile(r"(?=.*[぀-ヿ㐀-䶿一-鿿])[^。、，,；;：:（）()｛｝\[\]・～~＊*／/｜|＜＞<>\d０-９\n]{1,10}")
 _GAP = re.compile(r"[\s　]{3,}")
 
 _ENTRY_SCHEMA = "doc_id long, entry_ord int, village string, village_reading string, area string, level string, name string, aza string, reading string, page int, description string"
@@ -115,16 +116,18 @@ def _name_and_prose(line: str) -> tuple[list[tuple[int, str]], str]:
     return [(column, t) for at, column, t in runs if at < tail], "".join(t for at, _, t in runs if at >= tail)
 
 
-def _small_and_large(names: list[tuple[int, str]]) -> tuple[str, str]:
-    """Names of the small section (left of the name column) and of the section; one too long is two, cut at its widest gap."""
-    cut = sum(column < NAME_COLUMN for column, _ in names)
-    if cut > 1 and sum(len(t) for _, t in names[:cut]) > LONGEST_NAME:
-        cut = max(range(1, cut), key=lambda i: names[i][0] - names[i - 1][0])
-    return "".join(t for _, t in names[:cut]), "".join(t for _, t in names[cut:])
+def _split_by_column(names: list[tuple[int, str]]) -> tuple[str, str]:
+    """What stands left of the name column (small section) and from it on (section).
 
-
-def _place_name(s: str) -> bool:
-    return 0 < len(s) <= LONGEST_NAME and not _NO_NAME.search(s) and bool(_SCRIPT.search(s))
+    A left part longer than a name can be holds both; the widest of the
+    distances between its columns parts them, the first of equal ones.
+    """
+    columns = np.array([column for column, _ in names])
+    words = [word for _, word in names]
+    left = int(np.searchsorted(columns, NAME_COLUMN))
+    if left > 1 and len("".join(words[:left])) > LONGEST_NAME:
+        left = 1 + int(np.diff(columns[:left]).argmax())
+    return "".join(words[:left]), "".join(words[left:])
 
 
 def parse_layout(text: str) -> list[dict]:
@@ -166,8 +169,8 @@ def parse_layout(text: str) -> list[dict]:
         elif started:
             names, prose = _name_and_prose(line)
             if names:
-                small, large = _small_and_large(names)
-                if _place_name(small or large):
+                small, large = _split_by_column(names)
+                if _PLACE.fullmatch(small or large):
                     entries.append({**place, "level": "koaza" if small else "aza", "name": small or large, "aza": large if small and large not in ("", small) else None, "reading": reading, "page": page, "description": prose})
                 reading = None
             elif entries and line[0].isspace() and not _GAP.search(line.strip()) and not _RUNNING_HEAD.search(bare):

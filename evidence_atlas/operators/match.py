@@ -68,7 +68,7 @@ def screen_addresses(addresses: DataFrame, elements: DataFrame, threshold: float
     """
     named = addresses.withColumn("name", F.coalesce(F.nullif("koaza", F.lit("")), F.col("oaza"))).where(F.coalesce("name", F.lit("")) != "")
     if scope:
-        named = named.where(F.coalesce("pref_code", F.lit("00")).isin(scope))
+        named = scope_filter(named, scope)
     named = named.where(X.in_bounds("lat", "lon"))
     found = best_matches(match_elements(named.select(F.col("ord").alias("name_id"), "name"), elements, surface_only=True)).where(F.col("specificity") >= threshold)
     rows = named.join(found, F.col("ord") == F.col("name_id")).drop("name_id")
@@ -84,7 +84,7 @@ def screen_old_names(places: DataFrame, addresses: DataFrame, nearest: DataFrame
     places(place_id, ord, name, attribute, lat, lon); nearest(place_id, pref,
     municipality, oaza) places them today. One for each municipality and name.
     """
-    kept = places.where(F.col("attribute").isin(attributes)).where(X.in_bounds("lat", "lon"))
+    kept = old_map_filter(places, attributes)
     found = best_matches(match_elements(kept.select(F.col("place_id").alias("name_id"), "name"), elements, surface_only=True)).where(F.col("specificity") >= threshold)
     rows = kept.join(found, kept["place_id"] == found["name_id"]).drop("name_id").join(nearest, "place_id").withColumn("key", X.comparison_key("name"))
     gone = rows.join(current_names(addresses), ["pref", "municipality", "key"], "left_anti")
@@ -329,3 +329,20 @@ def cite_sources(evidence: DataFrame, sources: DataFrame) -> DataFrame:
 def spelling_pairs(places: DataFrame, aliases: DataFrame, kind: str) -> DataFrame:
     """(old, new) of aliases of one kind whose place exists."""
     return aliases.where(F.col("kind") == kind).join(places.select("place_id", F.col("name").alias("new")), "place_id").select(F.col("alias").alias("old"), "new")
+
+
+def place_entry_filter(entries: DataFrame, categories: list[str], attributes: list[str], least: int, category: str = "category", attribute: str = "attribute", body: str = "body") -> DataFrame:
+    """``entries`` with the reason (null: kept) why one is no place: its category, its attribute, or a body shorter than ``least``."""
+    said = lambda c: F.coalesce(F.col(c), F.lit(""))
+    reason = F.when(said(category).isin(categories), "category").when(said(attribute).isin(attributes), "attribute").when(F.length(F.trim(said(body))) < least, "short")
+    return entries.withColumn("reason", reason)
+
+
+def old_map_filter(places: DataFrame, attributes: list[str] = V.MAP_ATTRIBUTES) -> DataFrame:
+    """Places of an old map that are sections of some kind and lie within bounds."""
+    return places.where(F.col("attribute").isin(attributes)).where(X.in_bounds("lat", "lon"))
+
+
+def scope_filter(rows: DataFrame, codes: list[str], code: str = "pref_code") -> DataFrame:
+    """Rows of the given codes; one without a code is 00. No codes, no limit."""
+    return rows.where(F.coalesce(F.col(code), F.lit("00")).isin(codes)) if codes else rows

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import vocabulary as V
 from ..operators import evidence as E
+from ..operators import match as M
 from .catalog import query
 from .stand_ins import jp, jp_sql, lat, lat_sql, lon, lon_sql
 
@@ -209,13 +210,13 @@ def _(spark, table):
 
 @query("place_entry_filter", "select doc_id, case when lang in ('de') then 'category' when source in ('src1', 'src2') then 'attribute' when length(trim(text)) < 100 then 'short' end as reason from documents")
 def _(spark, table):
-    reason = F.when(F.coalesce("lang", F.lit("")).isin("de"), "category").when(F.coalesce("source", F.lit("")).isin("src1", "src2"), "attribute").when(F.length(F.trim("text")) < 100, "short")
-    return table("documents").select("doc_id", reason.alias("reason"))
+    return M.place_entry_filter(table("documents"), ["de"], ["src1", "src2"], 100, "lang", "source", "text").select("doc_id", "reason")
 
 
 @query("old_map_filter", f"select p_partkey, p_type from part where p_type in ('SMALL', 'MEDIUM') and p_size is not null and {lat_sql('p_partkey')} * 1.1 between 20 and 46.5")
 def _(spark, table):
-    return table("part").where(F.col("p_type").isin("SMALL", "MEDIUM") & X.in_bounds(lat("p_partkey") * 1.1, lon("p_partkey"))).select("p_partkey", "p_type")
+    rows = table("part").select("p_partkey", "p_type", F.col("p_type").alias("attribute"), (lat("p_partkey") * 1.1).alias("lat"), lon("p_partkey").alias("lon"))
+    return M.old_map_filter(rows, ["SMALL", "MEDIUM"]).select("p_partkey", "p_type")
 
 
 _FLAT = "regexp_replace({}, '\\s+', '', 'g')"
@@ -260,7 +261,7 @@ def _(spark, table):
 @query("scope_filter", "select c_custkey from customer where coalesce(case when c_nationkey % 5 <> 0 then c_nationkey::varchar end, '00') in ('00', '7')")
 def _(spark, table):
     code = F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey").cast("string"))
-    return table("customer").where(F.coalesce(code, F.lit("00")).isin("00", "7")).select("c_custkey")
+    return M.scope_filter(table("customer").withColumn("pref_code", code), ["00", "7"]).select("c_custkey")
 
 
 @query("is_evidence", "select doc_id, coalesce(toxic >= 1, false) as is_evidence, quality is not null as has_record, n_chars > 500 as has_location from documents left join labels using (doc_id)")

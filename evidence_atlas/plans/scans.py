@@ -140,19 +140,24 @@ def _(spark, table):
     return table("pages").select("page_id", S.html_to_text("html").alias("text"))
 
 
-@query("article_extracts", "select page_id, url as title, 'x' || page_id as text from pages where page_id % 3 <> 0")
+#: A text that may stand in JSON as it is, in SQL.
+_NO_JSON = r"""not regexp_matches({}, '["\\\\\x00-\x1f]')"""
+
+
+@query("article_extracts", f"select doc_id, source as title, text from documents where doc_id % 3 <> 0 and {_NO_JSON.format('text')} and trim(text) <> ''")
 def _(spark, table):
-    k = F.col("page_id")
-    page = F.concat(F.lit('{"query":{"pages":[{"title":"m","missing":true},{"title":"b","extract":"  "},{"title":"'), "url", F.lit('","extract":"x'), k.cast("string"), F.lit('"},{"title":"z","extract":"z"}]}}'))
-    return S.article_extracts(table("pages").select(k, F.when(k % 3 == 0, '{"query":{}}').otherwise(page).alias("p")), "p", ["page_id"])
+    """Texts stand in their payloads as they are: one with a quotation mark, a backslash or a line break makes no JSON."""
+    k = F.col("doc_id")
+    page = F.concat(F.lit('{"query":{"pages":[{"title":"m","missing":true},{"title":"b","extract":"  "},{"title":"'), "source", F.lit('","extract":"'), "text", F.lit('"},{"title":"z","missing":true}]}}'))
+    return S.article_extracts(table("documents").select(k, F.when(k % 3 == 0, '{"query":{}}').otherwise(page).alias("p")), "p", ["doc_id"])
 
 
-@query("geocoder_hits", f"select s_suppkey, 1 as pos, s_name as title, case when s_suppkey % 2 = 0 then s_nationkey::varchar end as code, {lat_sql('s_suppkey')} as lat from supplier where s_suppkey % 3 <> 0")
+@query("geocoder_hits", f"select item_id, 1 as pos, text as title, case when item_id % 2 = 0 then 'c' || item_id end as code, {lat_sql('item_id')} as lat from benchmark where item_id % 3 <> 0 and {_NO_JSON.format('text')}")
 def _(spark, table):
-    k = F.col("s_suppkey")
-    code = F.when(k % 2 == 0, F.col("s_nationkey").cast("string")).otherwise("")
-    hit = F.concat(F.lit('[{"geometry":{"coordinates":[1]},"properties":{"title":"q"}},{"geometry":{"coordinates":['), lon("s_suppkey").cast("string"), F.lit(","), lat("s_suppkey").cast("string"), F.lit(']},"properties":{"title":"'), "s_name", F.lit('","addressCode":"'), code, F.lit('"}}]'))
-    return S.geocoder_hits(table("supplier").select(k, F.when(k % 3 == 0, '{"error":1}').otherwise(hit).alias("p")), "p", ["s_suppkey"]).select("s_suppkey", "pos", "title", "code", "lat")
+    k = F.col("item_id")
+    code = F.when(k % 2 == 0, F.concat(F.lit("c"), k.cast("string"))).otherwise("")
+    hit = F.concat(F.lit('[{"geometry":{"coordinates":[1]},"properties":{"title":"q"}},{"geometry":{"coordinates":['), lon("item_id").cast("string"), F.lit(","), lat("item_id").cast("string"), F.lit(']},"properties":{"title":"'), "text", F.lit('","addressCode":"'), code, F.lit('"}}]'))
+    return S.geocoder_hits(table("benchmark").select(k, F.when(k % 3 == 0, '{"error":1}').otherwise(hit).alias("p")), "p", ["item_id"]).select("item_id", "pos", "title", "code", "lat")
 
 
 @query("dictionary_tables", f"select p_partkey, count(distinct element_id) as n from part left join {ELEMENTS_SQL} e on contains(replace(p_name, ' ', ''), replace(surface, ' ', '')) group by 1")
