@@ -408,18 +408,19 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         norm = np.log10(total + distinct + 1)
         unit = max(1, total) / WORDS  # from a share back to the count
         share = {w: WORDS * c / total for w, c in known.items()}
-        end_share = WORDS * n_train / max(1, total)
+        end_share = np.log(WORDS * n_train / total) if n_train else -np.inf
         for pdf in batches:
             out, part, texts, size = [], [], [], 0
 
             def finish(part, texts):
                 for ws, got in zip(texts, score_words(net, v, part), strict=True):
                     mine = np.array([share.get(w, 0.0) for w in ws])
-                    other = (1 - WORDS) * np.exp(got[:-1])
-                    both = float(np.log10(mine + other, where=mine > 0, out=np.zeros(len(ws))).sum())
+                    other = np.log(1 - WORDS) + got  # stays a logarithm: the share of a long word is below any double
+                    known_ = np.nonzero(mine > 0)[0]
+                    both = _LOG10 * float(np.logaddexp(np.log(mine[known_]), other[known_]).sum())
                     base = float(np.log10(mine[mine > 0] * unit + 1).sum()) + float(np.log10(n_train + 1)) - norm * (len(ws) + 1)
-                    score = both + float(np.log10(end_share + (1 - WORDS) * np.exp(got[-1])))
-                    rare = [{"w": ws[i], "s": other[i]} for i in np.nonzero(mine == 0)[0]]
+                    score = both + _LOG10 * float(np.logaddexp(end_share, other[-1]))
+                    rare = [{"w": ws[i], "s": float(other[i])} for i in np.nonzero(mine == 0)[0]]
                     yield len(ws) + 1, len(ws) - len(rare) + (n_train > 0), base, score, rare
 
             for t in pdf["_text"]:
@@ -441,9 +442,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "lm-scored",
     )
     c = F.coalesce("c", F.lit(0))
+    share = F.ln(WORDS * F.col("c") / max(1, total))
+    high, low = F.greatest(share, "s"), F.least(share, "s")
+    both = F.when(c > 0, high + F.log1p(F.exp(low - high))).otherwise(F.col("s"))  # the sum of both shares, in logarithms
     rare = (
         scored.select("row", F.explode("rare").alias("x")).select("row", "x.w", "x.s").join(counts, "w", "left").groupBy("row")
-        .agg(F.count("c").alias("more"), F.sum(F.log10(c + 1)).alias("worth"), F.sum(F.log10(WORDS * c / max(1, total) + F.col("s"))).alias("rare_score"))
+        .agg(F.count("c").alias("more"), F.sum(F.log10(c + 1)).alias("worth"), (F.sum(both) * _LOG10).alias("rare_score"))
     )
     return scored.join(rare, "row", "left").select(
         F.col("doc_id").cast(kind).alias("doc_id"),

@@ -251,3 +251,76 @@ def test_repeated_words():
     for n in (0, 4, 5, 9, 200):
         ids = rng.integers(0, 3, n)
         assert quality_rules.repeated_words(ids) == rules_by_force(" ".join(map(str, ids)))[4]
+
+
+LM_TEXTS = ["the cat sat on the mat and the dog ran", "a dog and a cat met on the road", "the sea is wide and the road is long", "cats and dogs sleep on mats"]
+
+
+def test_lm_long_words(spark):
+    """An unknown word costs more the longer it is, however long; thousands of characters are no free pass."""
+    from evidence_atlas.llm import lm_score
+
+    rng = random.Random(6)
+    junk = "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=3000))
+    held = [i for i in range(1000, 1200) if zlib_mod(i) == 2][:4]
+    train = [i for i in range(1000, 1200) if zlib_mod(i) != 2]
+    rows = [(i, LM_TEXTS[k % 4]) for k, i in enumerate(train)] + [(h, t) for h, t in zip(held, ["the cat", "the cat zqxw", "the cat " + junk[:300], "the cat " + junk])]
+    out = {r.doc_id: r.score for r in lm_score.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    scores = [out[h] for h in held]
+    assert scores == sorted(scores, reverse=True) and scores[0] - scores[1] > 1 and scores[2] < scores[1] - 50 and scores[3] < 5 * scores[2]
+
+
+def zlib_mod(i):
+    import zlib
+
+    return zlib.crc32(str(i).encode()) % 7
+
+
+def lm_word_by_loops(flat, v, ids):
+    """Log probabilities of the words of one short text: the forward pass written with plain loops."""
+    from evidence_atlas.llm import lm_score as L
+
+    p = {k: x.astype(float) for k, x in L.Attention(flat).p.items()}
+    dot = lambda vec, m: [sum(a * m[i][j] for i, a in enumerate(vec)) for j in range(len(m[0]))]
+    hidden = [[p["E"][v.slot[s]][d] + p["P"][i][d] for d in range(L.WIDTH)] for i, s in enumerate(ids[:-1])]
+    q, k, val = ([dot(h, p[m]) for h in hidden] for m in "QKV")
+    words, word = [], None
+    for i in range(len(hidden)):
+        weight = [math.exp(sum(a * b for a, b in zip(q[i], k[j])) / math.sqrt(L.WIDTH)) for j in range(i + 1)]
+        z = [sum(w * val[j][d] for j, w in enumerate(weight)) / sum(weight) for d in range(L.WIDTH)]
+        g = [a + b for a, b in zip(hidden[i], dot(z, p["O"]))]
+        e = [math.exp(a + b) for a, b in zip(dot(g, p["U"]), p["b"])]
+        target = ids[i + 1]
+        here = math.log(e[v.cls[target]] / sum(e)) + v.within[target]
+        start = math.log(sum(a * b for a, b in zip(e, v.start_share)) / sum(e))
+        if v.starts[target]:
+            if word is not None:
+                words.append(word + start)
+            word = here - start
+        else:
+            word += here
+    return [*words, word]  # nothing starts after the end sign
+
+
+def test_lm_score_by_loops(spark):
+    """score of a held-out text is the mixture of the word's share and the attention model, by loops."""
+    from evidence_atlas.llm import bpe, lm_score
+
+    train = [i for i in range(50) if zlib_mod(i) != 2]
+    held = [i for i in range(50, 90) if zlib_mod(i) == 2][:2]
+    asked = ["the dog sat on a wide blorp", "unseen wordstuff the end"]
+    rows = [(i, LM_TEXTS[k % 4]) for k, i in enumerate(train)] + list(zip(held, asked))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in lm_score.score_documents(docs).collect()}
+    with open(bpe.default_vocabulary(), encoding="utf-8") as f:
+        text = f.read()
+    spec = spark.sparkContext.broadcast(text)
+    flat, v = lm_score.train_model(docs.where(F.crc32(F.col("doc_id").cast("string")) % 7 != 2).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("_text")), spec, "_text", "doc_id")
+    count = collections.Counter(w for k, _ in enumerate(train) for w in [*LM_TEXTS[k % 4].split(), None])
+    total = sum(count.values())
+    for i, t in zip(held, asked):
+        words = [*t.split(), None]
+        logs = lm_word_by_loops(flat, v, lm_score.Subwords(text).ids(t.split()).tolist())
+        assert len(logs) == len(words)
+        want = sum(math.log10(lm_score.WORDS * count[w] / total + (1 - lm_score.WORDS) * math.exp(x)) for w, x in zip(words, logs))
+        assert out[i].score == pytest.approx(want, rel=1e-4)
