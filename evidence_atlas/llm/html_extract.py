@@ -33,13 +33,19 @@ BOILER = set(
 #: Words in a class or id, and elements, that mark the article.
 ARTICLE = set("article articlebody post postbody entry story maincontent".split())
 
-#: Of these, words that mark a notice: inside an article only what repeats over the host's pages is one.
-DOUBTFUL = {"alert", "notice", "notices"}
+#: Of these, words that an article's own parts carry too. Inside an article such a part is none of it only if it
+#: repeats over the host's pages or is mostly links.
+DOUBTFUL = set(
+    "alert notice notices header masthead topbar banner promotion share sharing social related recommended recommendations"
+    " search signup login skip toolbar menu pager pagination breadcrumb breadcrumbs footer aside widget".split()
+)
+#: And words of a reader comment: inside an article it is told by its structure. (What bears the plural holds several.)
+COMMENT = {"comment", "reply"}
 
 #: A text on at least this share of a host's pages, and on so many, is template.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.5, 3
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
@@ -276,12 +282,31 @@ class Aligner:
                 stack.append((child, below[number][i]))
 
 
-def _boiler(node: Node, in_article: bool) -> bool:
+def _records(node: Node) -> set[tuple]:
+    """(tag, marks) that two or more children of a node share, of those with a word of comments."""
+    seen, twice = set(), set()
+    for c in node.children:
+        if not isinstance(c, str) and c.marks & COMMENT:
+            key = (c.tag, c.marks)
+            (twice if key in seen else seen).add(key)
+    return twice
+
+
+def _comments(node: Node, records: set[tuple]) -> bool:
+    """A reader's comment: one of several like records, or a part that holds further elements with a word of comments."""
+    if (node.tag, node.marks) in records:
+        return True
+    below = [c for c in node.children if not isinstance(c, str)]
+    below += [g for c in below for g in c.children if not isinstance(g, str)]
+    return any(c.marks & COMMENT for c in below)
+
+
+def _boiler(node: Node, in_article: bool, records: set[tuple] = frozenset()) -> bool:
     if node.tag in SKIPPED or (node.tag in ("header", "label") and not in_article):
         return True
     words = node.marks & BOILER
-    if in_article and words <= DOUBTFUL:
-        return False
+    if in_article and words <= DOUBTFUL | COMMENT:
+        return bool(words & COMMENT) and _comments(node, records)
     if words and node.tag not in ("html", "body"):
         return not (node.marks & ARTICLE and not node.marks & {"comment", "comments", "related", "ad", "ads"})
     return False
@@ -310,9 +335,9 @@ def blocks(root: Node) -> list[Block]:
         parts.clear()
         linked[0] = 0
 
-    stack: list[tuple] = [(iter(root.children), root.slot, False, False, False, False)]
+    stack: list[tuple] = [(iter(root.children), root.slot, False, False, False, False, _records(root))]
     while stack:
-        children, slot, inside, doubtful, link, last = stack[-1]
+        children, slot, inside, doubtful, link, last, records = stack[-1]
         child = next(children, None)
         if child is None:
             stack.pop()
@@ -327,7 +352,7 @@ def blocks(root: Node) -> list[Block]:
         if child.tag == "br":
             parts.append(" ")
             continue
-        if _boiler(child, inside):
+        if _boiler(child, inside, records):
             if child.tag in BLOCK:
                 flush(slot, inside, doubtful)
             continue
@@ -335,9 +360,9 @@ def blocks(root: Node) -> list[Block]:
         notice = doubtful or (inside and bool(child.marks & DOUBTFUL))
         if child.tag in BLOCK:
             flush(slot, inside, doubtful)
-            stack.append((iter(child.children), child.slot if child.slot >= 0 else slot, within, notice, link, True))
+            stack.append((iter(child.children), child.slot if child.slot >= 0 else slot, within, notice, link, True, _records(child)))
         else:
-            stack.append((iter(child.children), slot, within, notice, link or child.tag == "a", False))
+            stack.append((iter(child.children), slot, within, notice, link or child.tag == "a", False, _records(child)))
 
     flush(root.slot, False, False)
     return found
@@ -356,7 +381,7 @@ def main_text(root: Node, constant: set[tuple[int, int]]) -> str:
     fresh = [(b.slot, _hash(b.text)) not in constant for b in got]
     size = lambda on: sum(len(b.text) for b, f in zip(got, fresh, strict=True) if on(b, f))
     told = 2 * size(lambda b, f: b.inside and not f) >= size(lambda b, f: b.inside)
-    keep_in = [b.inside and (f or (told and not b.doubtful)) for b, f in zip(got, fresh, strict=True)]
+    keep_in = [b.inside and (f or (told and not b.doubtful)) and not (b.doubtful and b.links >= 0.5) for b, f in zip(got, fresh, strict=True)]
     keep_out = [not b.inside and f and b.links < 0.5 for b, f in zip(got, fresh, strict=True)]
     weight = lambda on: sum(len(b.text) for b, k in zip(got, on, strict=True) if k)
     if any(keep_in) and 2 * weight(keep_in) >= weight(keep_out):
@@ -379,7 +404,10 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     that its blocks fall into slots of the reference. A text that stands in
     the same slot on at least half of a host's different pages (three at
     least) is template; what varies is content (see ``main_text``), unless its
-    element is a menu, header, footer, sidebar, advert, form or comment.
+    element is a menu, header, footer, sidebar, advert, form or comment. Inside
+    an article a class word alone takes nothing away but adverts and the like:
+    a part that may be a header, notice or share bar goes if it repeats or is
+    mostly links, comments go by their repeated records.
     Statistics cover all pages and are sums by host, slot and text, so a host
     with most of the pages is no single group. Of shapes that are equally
     frequent the greatest text of a shape is the reference. Whole pages are

@@ -324,3 +324,16 @@ def test_lm_score_by_loops(spark):
         assert len(logs) == len(words)
         want = sum(math.log10(lm_score.WORDS * count[w] / total + (1 - lm_score.WORDS) * math.exp(x)) for w, x in zip(words, logs))
         assert out[i].score == pytest.approx(want, rel=1e-4)
+
+
+def test_html_class_words_in_an_article():
+    """Parts of an article keep their text whatever their class; menus of links, repeated bars and comments go."""
+    from evidence_atlas.llm import html_extract as X
+
+    page = '<body><nav>menu</nav><article class="post"><h1>Title</h1><h2 class="section-header">Part</h2><p class="share">We share bread.</p><div class="search-results">Results of the search.</div><p class="social">Social life.</p><blockquote class="comment">A remark.</blockquote><p>Last words.</p><div class="related"><a href="/x">Other story one</a> <a href="/y">Other story two</a></div><div class="ad">Buy now</div><section class="comments"><h3>Replies</h3><div class="comment">First!</div><div class="comment">Second!</div></section></article></body>'
+    assert X.main_text(X.parse(page), set()) == "Title\nPart\nWe share bread.\nResults of the search.\nSocial life.\nA remark.\nLast words."
+    root = X.parse(page)
+    bar = next(b for b in X.blocks(root) if b.text == "Social life.")
+    assert "Social life." not in X.main_text(root, {(bar.slot, X._hash(bar.text))}).split("\n")
+    two = '<article><p>Text of it.</p><div class="comment">One says.</div><div class="comment">Another says.</div></article>'
+    assert X.main_text(X.parse(two), set()) == "Text of it."
