@@ -77,6 +77,11 @@ class ItemAutomaton:
         self.short_at = [-1] * len(self.link)
         for s in order:
             self.short_at[s] = s if self.whole[s] else (self.short_at[self.link[s]] if s else -1)
+        #: last state of the suffix path, from here on, that still has a window's length
+        self.widest = list(range(len(self.link)))
+        for s in order:
+            if s and self.length[self.link[s]] >= window:
+                self.widest[s] = self.widest[self.link[s]]
 
     def _new(self, length: int, link: int, edges: dict[int, int]) -> int:
         self.length.append(length)
@@ -117,10 +122,8 @@ class ItemAutomaton:
             size = size + 1 if state else 0
             reach = 0
             if size >= window:
-                reach, s = size, state
-                while length[link[s]] >= window:
-                    s = link[s]
-                found |= self.items[s]
+                reach = size
+                found |= self.items[self.widest[state]]
             s = short_at[state]
             while s > 0:
                 for n, ids in self.whole[s]:

@@ -337,3 +337,17 @@ def test_html_class_words_in_an_article():
     assert "Social life." not in X.main_text(root, {(bar.slot, X._hash(bar.text))}).split("\n")
     two = '<article><p>Text of it.</p><div class="comment">One says.</div><div class="comment">Another says.</div></article>'
     assert X.main_text(X.parse(two), set()) == "Text of it."
+
+
+def test_decontaminate_periodic_text():
+    """One word over and over: linear, and the same as before."""
+    import time
+
+    from evidence_atlas.llm import decontaminate
+
+    words = [b"na"] * 200_000
+    automaton = decontaminate.ItemAutomaton([("a", [b"na"] * 4000), ("b", [b"na"] * 14 + [b"end"])], 13)
+    start = time.time()
+    spans, found = automaton.hits(words)
+    assert spans == [[0, 200_000]] and found == {"a", "b"} and time.time() - start < 30
+    assert automaton.hits([b"na"] * 12)[0] == [] and automaton.hits([b"na"] * 13 + [b"end"])[0] == [[0, 14]]
