@@ -351,3 +351,19 @@ def test_decontaminate_periodic_text():
     spans, found = automaton.hits(words)
     assert spans == [[0, 200_000]] and found == {"a", "b"} and time.time() - start < 30
     assert automaton.hits([b"na"] * 12)[0] == [] and automaton.hits([b"na"] * 13 + [b"end"])[0] == [[0, 14]]
+
+
+@pytest.mark.parametrize("changes", [(12, 25, 38), (9, 19, 29, 39)])
+def test_substring_among_phrases(spark, changes):
+    """A passage with a few words changed is found though other documents hold its surviving phrases one by one."""
+    from evidence_atlas.llm import substring_dedup
+
+    passage = [f"p{i}" for i in range(50)]
+    changed = [f"x{i}" if i in changes else w for i, w in enumerate(passage)]
+    fill = lambda tag, n: [f"{tag}{i}" for i in range(n)]
+    kept = [passage[i : i + 5] for i in range(46) if not set(range(i, i + 5)) & set(changes)]
+    rows = [(10, fill("a", 60) + passage + fill("b", 60)), (90, fill("c", 60) + changed + fill("d", 60))]
+    rows += [(i, [w for k, phrase in enumerate(kept) for w in [*phrase, *fill(f"f{i}q{k}z", 20)]]) for i in (5, 50, 95)]
+    docs = spark.createDataFrame([(i, " ".join(ws)) for i, ws in rows], "doc_id long, text string")
+    got = [(r.doc_id, r.source_id) for r in substring_dedup.repeated_passages(docs).collect()]
+    assert (90, 10) in got
