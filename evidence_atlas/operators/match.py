@@ -228,7 +228,7 @@ def link_records(mentions: DataFrame, places: DataFrame, existing: DataFrame | N
 
 
 def attach_areas(records: DataFrame, areas: DataFrame, stage: Stage | None = None) -> tuple[DataFrame, DataFrame]:
-    """Records with the first area of their large section, small section or name; areas with the ids they cover.
+    """Records with the first area of their large section, small section or name; and the areas that cover any, a row for each record (covers).
 
     records(record_id, pref, municipality, oaza, koaza, name);
     areas(area_key, ord, pref, municipality, name). ``stage`` counts the
@@ -238,9 +238,8 @@ def attach_areas(records: DataFrame, areas: DataFrame, stage: Stage | None = Non
     right = areas.select(full("name").alias("key"), "area_key", "ord")
     keys = [F.when(F.coalesce(F.col(c), F.lit("")) != "", full(c)) for c in ("oaza", "koaza", "name")]
     hit = prioritised_join(records, right, keys, "record_id").select("record_id", "area_key")
-    covered = hit.groupBy("area_key").agg(F.array_sort(F.collect_list("record_id")).alias("record_ids"))
     found = watched(records.join(hit, "record_id", "left"), stage, produced=F.col("area_key").isNotNull(), skipped=F.col("area_key").isNull())
-    return found, areas.join(covered, "area_key")
+    return found, areas.join(hit.select("area_key", F.col("record_id").alias("covers")), "area_key")
 
 
 def place_keys(places: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:

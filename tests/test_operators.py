@@ -429,3 +429,13 @@ def test_geocode_parts(spark):
         elif own:
             want[i] = (sum(a[6] for a in own) / len(own), "municipality")
     assert {k: (round(v[0], 6), v[1]) for k, v in got.items()} == {k: (round(v[0], 6), v[1]) for k, v in want.items()}
+
+
+def test_attach_areas(spark):
+    areas = spark.createDataFrame([(1, 0, "P", "A", "山"), (2, 1, "P", "A", "川"), (3, 2, "P", "A", "山"), (4, 3, "P", "B", "谷")], "area_key int, ord int, pref string, municipality string, name string")
+    records = spark.createDataFrame([(10, "P", "A", "川", "山", "x"), (11, "P", "A", None, "山", "x"), (12, "P", "A", "", None, "山"), (13, "P", "A", None, None, "谷"), (14, None, "B", None, None, "谷")], "record_id int, pref string, municipality string, oaza string, koaza string, name string")
+    stage = Stage("areas")
+    found, covered = M.attach_areas(records, areas, stage)
+    assert {r.record_id: r.area_key for r in found.collect()} == {10: 2, 11: 1, 12: 1, 13: None, 14: None}
+    assert stage.counters() == {"produced": 3, "skipped": 2}
+    assert sorted((r.area_key, r.covers) for r in covered.collect()) == [(1, 11), (1, 12), (2, 10)]
