@@ -40,14 +40,14 @@ def _(spark, table):
 
 @query(
     "scan_report",
-    "select c_nationkey % 3 as part, count(*) + case when c_nationkey % 3 = 0 then 2 else 0 end as rows, count(*) + case when c_nationkey % 3 = 0 then 1 else 0 end as filled, case when c_nationkey % 3 = 0 then 2 else 0 end as corrupt from customer group by 1",
+    "select c_nationkey % 3 as part, count(*) + case when c_nationkey % 3 = 0 then 2 else 0 end as rows, count(*) + case when c_nationkey % 3 = 0 then 1 else 0 end as filled, case when c_nationkey % 3 = 0 then 2 else 0 end::bigint as corrupt from customer group by 1",
 )
 def _(spark, table):
     path = _folder(spark, "counted")
     table("customer").select("c_custkey", "c_name", (F.col("c_nationkey") % 3).alias("part")).write.partitionBy("part").csv(path, header=True)
     _lines(spark, f"{path}/part=0", ["c_custkey,c_name", "1", "2,b,c"])
     found = C.scan_report(C.scan_csv(spark, path, {"c_custkey": "k", "c_name": "name"}, ["part"]), "name")
-    part = F.regexp_extract("_file", "/part=([0-9]+)/", 1).try_cast("long").alias("part")
+    part = F.regexp_extract("_file", "/part=([0-9]+)/", 1).try_cast("int").alias("part")
     return found.groupBy(part).agg(F.sum("rows").alias("rows"), F.sum("filled").alias("filled"), F.sum("corrupt").alias("corrupt"))
 
 
