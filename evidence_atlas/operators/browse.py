@@ -153,5 +153,18 @@ def size_guard(features: DataFrame, limit: int = 8 * 2**20) -> DataFrame:
     return features.agg(F.coalesce(F.sum(F.octet_length("feature")), F.lit(0)).alias("bytes")).withColumn("over_limit", F.col("bytes") > limit)
 
 
-def dataset_meta(rows: DataFrame, built_at: str) -> DataFrame:
-    return rows.agg(F.array_join(F.sort_array(F.collect_set("dataset")), "|").alias("datasets"), F.count("*").alias("n")).withColumn("built_at", F.lit(built_at))
+def dataset_meta(rows: DataFrame, built_at: str, attribution: list[str] = ()) -> DataFrame:
+    """One row: builtAt, the sorted distinct names of the datasets (few, whatever the rows), attribution, and n."""
+    said = F.array(*map(F.lit, attribution)) if attribution else F.array().cast("array<string>")
+    return rows.agg(F.sort_array(F.collect_set("dataset")).alias("datasets"), F.count("*").alias("n")).select(F.lit(built_at).alias("builtAt"), "datasets", said.alias("attribution"), "n")
+
+
+def meta_document(build: Build, meta: DataFrame) -> None:
+    """The document ``meta`` of a row of ``dataset_meta``."""
+    field = lambda c: F.to_json(F.col(c)) if c in ("datasets", "attribution") else F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    build.object("meta", {c: meta.select(field(c)) for c in meta.columns})
+
+
+def detail_files(build: Build, documents: DataFrame, buckets: int = 64) -> None:
+    """The documents of ``detail_documents``, to be asked for by id."""
+    build.records("details", documents, "id", "document", buckets)

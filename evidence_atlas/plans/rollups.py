@@ -11,7 +11,7 @@ from ..operators import geo as G
 from ..operators import match as M
 from ..operators import merge as D
 from ..operators.report import Stage, stage_report
-from ..sources.publish import current_build, publish, read_items
+from ..sources.publish import current_build, publish, read_items, read_records
 from ..sources.tables import shared_folder
 from .catalog import query
 from .joins import _HAV, _SCORE, _linked, _places_of_supplier, _scored
@@ -162,8 +162,10 @@ def _(spark, table):
     h = F.array(F.lit("flood")).alias("hazards")
     r = table("supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 3).alias("evidence_level"), h, F.array().cast("array<string>").alias("records"))
     c = table("customer").select((F.col("c_custkey") + 100000).alias("id"), (F.col("c_custkey") % 3).alias("evidence_level"), h, F.when(F.col("c_custkey") % 2 == 0, F.array(F.lit("r"))).otherwise(F.array().cast("array<string>")).alias("records"))
-    d = B.detail_documents(r, c, {0: "L0", 1: "L1", 2: "L2"})
-    return d.select("id", F.get_json_object("document", "$.level_label").alias("label"), F.get_json_object("document", "$.hazard_labels[0]").alias("hazard"))
+    root = f"{shared_folder(spark)}/atlas-{uuid.uuid4().hex}"
+    publish(spark, root, lambda b: B.detail_files(b, B.detail_documents(r, c, {0: "L0", 1: "L1", 2: "L2"}), 8))
+    d = read_records(spark, root, "details")
+    return d.select(F.col("id").cast("long").alias("id"), F.get_json_object("document", "$.level_label").alias("label"), F.get_json_object("document", "$.hazard_labels[0]").alias("hazard"))
 
 
 @query(
@@ -197,9 +199,13 @@ def _(spark, table):
     return now.union(first.join(gone.select("key"), "key").select("key", "n", F.lit(True)))
 
 
-@query("dataset_meta", "select list_aggregate(list_sort(list(distinct source)), 'string_agg', '|') as datasets, count(*) as n, '2024-01-01' as built_at from documents")
+@query("dataset_meta", "select list_aggregate(list_sort(list(distinct source)), 'string_agg', '|') as datasets, count(*) as n, '2024-01-01' as built_at, 'a \"b\"|c' as attribution from documents")
 def _(spark, table):
-    return B.dataset_meta(table("documents").select(F.col("source").alias("dataset")), "2024-01-01")
+    root = f"{shared_folder(spark)}/atlas-{uuid.uuid4().hex}"
+    meta = B.dataset_meta(table("documents").select(F.col("source").alias("dataset")), "2024-01-01", ['a "b"', "c"])
+    publish(spark, root, lambda b: B.meta_document(b, meta))
+    doc = spark.read.schema("builtAt string, datasets array<string>, attribution array<string>, n long").json(f"{current_build(spark, root)}/meta", multiLine=True)
+    return doc.select(F.array_join("datasets", "|").alias("datasets"), "n", F.col("builtAt").alias("built_at"), F.array_join("attribution", "|").alias("attribution"))
 
 
 @query(

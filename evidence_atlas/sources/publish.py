@@ -162,12 +162,16 @@ def read_items(spark: SparkSession, root: str, name: str, frame: tuple[str, str]
     return rows.where(F.col("value") != head).select("key", bare.alias("item"))
 
 
-def read_records(spark: SparkSession, root: str, name: str, ids: list, buckets: int = 64) -> DataFrame:
-    """(id, document) of the ids that were published; only their buckets are read."""
-    texts = [str(i) for i in ids]
-    of = [r.b for r in spark.createDataFrame([(t,) for t in texts], "i string").select(bucket(F.col("i"), buckets).alias("b")).distinct().collect()] if texts else []
+def read_records(spark: SparkSession, root: str, name: str, ids: list | None = None, buckets: int = 64) -> DataFrame:
+    """(id, document) of the ids that were published (all of them without ``ids``); only the buckets of these are read."""
     at = current_build(spark, root)
+    if not at:
+        return spark.createDataFrame([], "id string, document string")
     rows = spark.read.schema("id string, document string, key string").json(f"{at}/{name}")
+    if ids is None:
+        return rows.select("id", "document")
+    texts = [str(i) for i in ids]
+    of = [r.b for r in spark.createDataFrame([(t,) for t in texts], "i string").select(bucket(F.col("i"), buckets).alias("b")).distinct().collect()] if texts else []
     return rows.where(F.col("key").isin(of) & F.col("id").isin(texts)).select("id", "document")
 
 
