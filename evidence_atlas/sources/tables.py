@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import html
+import re
 import tempfile
 from functools import lru_cache
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -139,19 +141,24 @@ _OTHER_REFERENCE = f"&(?!(?:{'|'.join(REFERENCES)});)|&amp;[#A-Za-z]"
 
 
 @lru_cache
-def _decoded_twice():
+def _decoded_twice(unended: bool):
+    """References decoded twice; without ``unended`` only those that end in a semicolon."""
+
     @F.pandas_udf("string")
     def udf(c: pd.Series) -> pd.Series:
-        return c.map(lambda s: html.unescape(html.unescape(s)), na_action="ignore")
+        ended = lambda s: re.sub(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", lambda m: html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0], s)
+        once = html.unescape if unended else ended
+        return c.map(lambda s: once(once(s)), na_action="ignore")
 
     return udf
 
 
-def html_to_text(c) -> Column:
+def html_to_text(c, unended: bool = True) -> Column:
     """Visible text: hidden elements and comments gone, blocks on lines of their own, references decoded twice.
 
     Texts with any but the commonest references go to Python by batch; for
-    all others it gets nulls.
+    all others it gets nulls. Without ``unended`` a reference that lacks its
+    semicolon stays as it stands.
     """
     t = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
     t = F.regexp_replace(t, r"(?s)<!--.*?-->", "")
@@ -162,7 +169,7 @@ def html_to_text(c) -> Column:
     t = bare
     for name, sign in REFERENCES.items():
         t = F.replace(t, F.lit(f"&{name};"), F.lit(sign))
-    t = F.coalesce(_decoded_twice()(F.when(F.rlike(bare, F.lit(_OTHER_REFERENCE)), bare)), t)
+    t = F.coalesce(_decoded_twice(unended)(F.when(F.rlike(bare, F.lit(_OTHER_REFERENCE)), bare)), t)
     lines = F.transform(F.split(F.regexp_replace(t, "[ \t　]+", " "), "\n"), lambda s: F.regexp_replace(s, r"(?U)^\s+|\s+$", ""))
     return F.array_join(F.filter(lines, lambda s: s != ""), "\n")
 
