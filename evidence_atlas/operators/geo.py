@@ -177,9 +177,14 @@ def ring_box(ring) -> Column:
     return F.struct(span(F.array_min, "lon").alias("west"), span(F.array_min, "lat").alias("south"), span(F.array_max, "lon").alias("east"), span(F.array_max, "lat").alias("north"))
 
 
-def largest_rings(rings, keep: int = 8) -> Column:
-    """The rings of largest area, largest first (equal ones in their order)."""
-    ranked = F.transform(_c(rings), lambda r, i: F.struct((-ring_area2(r)).alias("a"), i.alias("i"), r.alias("r")))
+def largest_rings(rings, keep: int = 8, digits: int | None = None) -> Column:
+    """The rings of largest area, largest first (equal ones in their order).
+
+    With ``digits`` areas that agree so far after the decimal point are equal:
+    sums of floating point tell rings of one area apart by their last bits.
+    """
+    area = ring_area2 if digits is None else lambda r: F.round(ring_area2(r), digits)
+    ranked = F.transform(_c(rings), lambda r, i: F.struct((-area(r)).alias("a"), i.alias("i"), r.alias("r")))
     return F.transform(F.slice(F.array_sort(ranked), 1, keep), lambda x: x["r"])
 
 

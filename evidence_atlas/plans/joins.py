@@ -332,7 +332,7 @@ def _(spark, table):
 )
 def _(spark, table):
     r = _rings(table).groupBy(F.floor(F.col("l_orderkey") / 4).alias("area")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "ring"))), lambda x: x["ring"]).alias("rings"))
-    return r.select("area", F.array_join(F.transform(G.largest_rings("rings", 2), lambda x: F.size(x).cast("string")), "|").alias("sizes"))
+    return r.select("area", F.array_join(F.transform(G.largest_rings("rings", 2, 6), lambda x: F.size(x).cast("string")), "|").alias("sizes"))
 
 
 @query(
