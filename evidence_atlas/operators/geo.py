@@ -82,15 +82,15 @@ def _rings(points: DataFrame, there: DataFrame, first: int, last: int) -> DataFr
     return near.withColumn("km", flat_km("plat", "plon", "lat", "lon"))
 
 
-def _fine(points: DataFrame, there: DataFrame, step: float) -> DataFrame:
-    """(point_id, address_id, km) of points in dense cells that are settled by the cells of a finer index.
+def _parts_around(points: DataFrame, there: DataFrame, step: float, many: int) -> tuple[DataFrame, DataFrame]:
+    """Points in dense cells by the four parts nearest to them, and what is searched by part: to be joined on level, fr, fc.
 
-    A cell of many addresses is halved until a part holds a dozen. A point
-    looks into the four parts nearest to it, and is settled if its best
-    address is nearer than any that lies outside them could be.
+    points(plat, plon, r, c, ...); there(lat, lon, ar, ac, ...). A cell of
+    more than ``many`` is halved until a part holds at most so many on average.
+    margin: km within which a point misses nothing in its four parts.
     """
     count = there.groupBy("ar", "ac").agg(F.count("*").alias("n"))
-    halvings = F.least(F.ceil(F.log(4.0, F.col("n") / CELL_ADDRESSES)), F.lit(MOST_HALVINGS)).cast("int")
+    halvings = F.least(F.ceil(F.log(4.0, F.col("n") / many)), F.lit(MOST_HALVINGS)).cast("int")
     dense = count.select(F.col("ar").alias("r"), F.col("ac").alias("c"), halvings.alias("level")).where("level > 0")
     size = F.lit(step) / F.pow(F.lit(2.0), F.col("level"))
     asking = points.join(dense, ["r", "c"]).withColumn("size", size)
@@ -98,13 +98,24 @@ def _fine(points: DataFrame, there: DataFrame, step: float) -> DataFrame:
     y, x = F.round(F.col("plat") / F.col("size")), F.round(F.col("plon") / F.col("size"))
     margin = DEGREE_KM * F.least((1 - F.abs(F.col("plat") / F.col("size") - y)) * F.col("size"), (1 - F.abs(F.col("plon") / F.col("size") - x)) * F.col("size") * F.cos(F.radians("plat")))
     parts = F.array(*[F.struct((y + a).cast("long").alias("fr"), (x + b).cast("long").alias("fc")) for a in (-1, 0) for b in (-1, 0)])
-    asking = asking.select("point_id", "plat", "plon", "r", "c", "level", margin.alias("margin"), F.explode(parts).alias("_f")).select("*", "_f.*").drop("_f")
-    # addresses stand in the grid of every level that a neighbouring cell may ask for
+    asking = asking.select(*points.columns, "level", (margin * (1 - 1e-9)).alias("margin"), F.explode(parts).alias("_f")).select("*", "_f.*").drop("_f")
+    # what is searched stands in the grid of every level that a neighbouring cell may ask for
     offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
     wanted = dense.withColumn("_o", F.explode(offsets)).select((F.col("r") + F.col("_o.a")).alias("ar"), (F.col("c") + F.col("_o.b")).alias("ac"), "level").distinct()
     index = there.join(wanted, ["ar", "ac"]).withColumns({"fr": F.floor(F.col("lat") / size).cast("long"), "fc": F.floor(F.col("lon") / size).cast("long")})
+    return asking, index
+
+
+def _fine(points: DataFrame, there: DataFrame, step: float) -> DataFrame:
+    """(point_id, address_id, km) of points in dense cells that are settled by the cells of a finer index.
+
+    A cell of many addresses is halved until a part holds a dozen. A point
+    looks into the four parts nearest to it, and is settled if its best
+    address is nearer than any that lies outside them could be.
+    """
+    asking, index = _parts_around(points, there, step, CELL_ADDRESSES)
     pairs = asking.join(index, ["level", "fr", "fc"]).withColumns({"km": flat_km("plat", "plon", "lat", "lon"), "dr": F.col("ar") - F.col("r"), "dc": F.col("ac") - F.col("c")})
-    pairs = pairs.where(F.col("km") < F.col("margin") * (1 - 1e-9)).withColumn("ring", F.greatest(F.abs("dr"), F.abs("dc")))
+    pairs = pairs.where("km < margin").withColumn("ring", F.greatest(F.abs("dr"), F.abs("dc")))
     return _best(pairs)
 
 
@@ -136,21 +147,60 @@ def nearest_address(points: DataFrame, addresses: DataFrame, step: float = 0.1,
     return out.where(F.col("km") <= limit_km)
 
 
-def nearby(points: DataFrame, monuments: DataFrame, radius_km: float = 3.0, keep: int = 5, step: float = 0.05) -> DataFrame:
+#: Pairs that one task of ``nearby`` makes and sorts at most on average.
+TASK_PAIRS = 1 << 21
+
+
+def _meet(asking: DataFrame, there: DataFrame, keys: list[str]) -> DataFrame:
+    """The join of both by equal keys, in as many tasks as its rows need: tables that are small as files may make many pairs."""
+    n = asking.groupBy(*keys).agg(F.count("*").alias("na")).join(there.groupBy(*keys).agg(F.count("*").alias("nb")), keys).agg(F.sum(F.col("na") * F.col("nb")).alias("n")).first().n or 0
+    tasks = max(int(asking.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_PAIRS))
+    return asking.repartition(tasks, *keys).join(there.repartition(tasks, *keys), keys)
+
+
+def nearby(points: DataFrame, monuments: DataFrame, radius_km: float = 3.0, keep: int = 5, step: float | None = None) -> DataFrame:
     """(point_id, monument_id, km, rank): the nearest monuments within a radius.
 
-    Cells are ``step`` degrees high and wide; a point looks into as many
-    columns as the radius spans at its latitude, so no pair is missed.
+    Points of one spot are one question, and of the monuments of one spot only
+    the first ``keep`` can be an answer. In cells of many monuments a point
+    looks into the nearest parts of the cell, and is settled if ``keep`` are
+    nearer than any outside could be; the others look through all cells within
+    the radius. Those are ``step`` degrees high and wide (half the radius, if
+    not given); a point looks into as many columns as the radius spans at its
+    latitude, so no pair is missed.
     """
-    rows = math.ceil(radius_km / DEGREE_KM / step)
-    wide = F.least(F.ceil(F.lit(radius_km / DEGREE_KM / step) / F.greatest(F.cos(F.radians("lat")), F.lit(0.01))).cast("int") + 1, F.lit(400))
+    from .match import _stored
+
+    reach = radius_km / DEGREE_KM
+    step = step or reach / 2
+    spot = ["plat", "plon"]
+    spots = _stored(points.where("lat is not null and lon is not null").select(F.col("lat").alias("plat"), F.col("lon").alias("plon")).distinct(), "spots")
+    there = _stored(first_rows(monuments.where("lat is not null and lon is not null").select("monument_id", "lat", "lon"), ["lat", "lon"], "monument_id", n=keep), "there")
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(*spot, "monument_id", haversine_km("plat", "plon", "lat", "lon").alias("km"), *[c for c in pairs.columns if c == "margin"]).where(F.col("km") <= radius_km)
+        pairs = pairs.where("km < margin") if "margin" in pairs.columns else pairs
+        rank = Window.partitionBy(*spot).orderBy("km", "monument_id")
+        return pairs.select(*spot, "monument_id", "km", F.row_number().over(rank).alias("rank")).where(F.col("rank") <= keep)
+
+    square = min(reach, 1.0)  # degrees: beyond a few of them the margin of a part would not hold
+    at = lambda x: (F.col(x) / square).cast("int")
+    asking, index = _parts_around(spots.select(*spot, at("plat").alias("r"), at("plon").alias("c")), there.select("*", at("lat").alias("ar"), at("lon").alias("ac")), square, CELL_ADDRESSES * keep)
+    got = nearest(_meet(asking, index, ["level", "fr", "fc"]))
+    got = _stored(got.withColumn("n", F.max("rank").over(Window.partitionBy(*spot))).where(F.col("n") == keep).drop("n"), "near")
+
+    rows = math.ceil(reach / step)
+    phi = F.radians("plat")
+    sine = F.lit(math.sin(math.radians(min(reach, 90.0)))) / F.greatest(F.cos(phi), F.lit(1e-9))
+    span = F.when((sine >= 1) | (F.abs("plat") + reach >= 90), F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(sine, F.lit(1.0)))))
     cell = lambda x: F.floor(F.col(x) / step).cast("int")
-    spread = points.select("point_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), cell("lat").alias("r"), cell("lon").alias("c"), F.explode(F.sequence(F.lit(-rows - 1), F.lit(rows + 1))).alias("dr"), F.sequence(-wide, wide).alias("cols"))
-    spread = spread.withColumn("dc", F.explode("cols")).withColumn("cr", F.col("r") + F.col("dr")).withColumn("cc", F.col("c") + F.col("dc"))
-    there = monuments.withColumn("cr", cell("lat")).withColumn("cc", cell("lon"))
-    close = spread.join(there, ["cr", "cc"]).withColumn("km", haversine_km("plat", "plon", "lat", "lon")).where(F.col("km") <= radius_km)
-    rank = Window.partitionBy("point_id").orderBy("km", "monument_id")
-    return close.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= keep).select("point_id", "monument_id", "km", "rank")
+    wide = F.ceil(span / step).cast("int")
+    rest = spots.join(got.where("rank = 1"), spot, "left_anti")
+    spread = rest.select(*spot, F.explode(F.sequence(cell("plat") - rows, cell("plat") + rows)).alias("cr"), F.sequence(cell("plon") - wide, cell("plon") + wide).alias("cols"))
+    spread = spread.select(*spot, "cr", F.explode("cols").alias("cc"))
+    outer = nearest(_meet(spread, there.select("*", cell("lat").alias("cr"), cell("lon").alias("cc")), ["cr", "cc"]))
+    both = got.union(outer)
+    return points.select("point_id", F.col("lat").alias("plat"), F.col("lon").alias("plon")).join(both, spot).select("point_id", "monument_id", "km", "rank")
 
 
 def tile_pixel(lat, lon, zoom: int, size: int = 256) -> Column:
