@@ -268,11 +268,17 @@ def largest_rings(rings, keep: int = 8, digits: int | None = None) -> Column:
     return F.transform(F.slice(F.array_sort(ranked), 1, keep), lambda x: x["r"])
 
 
+def _named(x, f) -> Column:
+    """f(x), x worked out once however often f uses it."""
+    return F.transform(F.array(x), f)[0]
+
+
 def round_ring(ring, digits: int = 5) -> Column:
     """Rounded half to even, without repeated points in a row, closed."""
     near = F.transform(_c(ring), lambda p: F.struct(F.bround(p["lon"], digits).alias("lon"), F.bround(p["lat"], digits).alias("lat")))
-    kept = F.transform(F.filter(F.transform(near, lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda x: (x["i"] == 0) | (x["p"] != F.try_element_at(near, x["i"]))), lambda x: x["p"])
-    return F.when((F.size(kept) > 0) & (F.try_element_at(kept, F.lit(1)) != F.try_element_at(kept, F.lit(-1))), F.concat(kept, F.slice(kept, 1, 1))).otherwise(kept)
+    kept = _named(near, lambda n: F.filter(n, lambda p, i: (i == 0) | (p != F.try_element_at(n, i))))
+    closed = lambda k: F.when((F.size(k) > 0) & (F.try_element_at(k, F.lit(1)) != F.try_element_at(k, F.lit(-1))), F.concat(k, F.slice(k, 1, 1))).otherwise(k)
+    return _named(kept, closed)
 
 
 def rings_from_parts(points, parts) -> Column:
@@ -303,11 +309,37 @@ def _thin(points, tolerance: float):
     return points[keep]
 
 
-def _thin_ring(points, tolerance: float):
-    if len(points) <= 4:
-        return points
-    out = _thin(points, tolerance)
-    return out if len(out) >= 4 else points
+def _staying(points, sizes, tolerance: float):
+    """Which points stay of rings that follow one another, all thinned together as ``_thin`` does one; those of at most four points, and left with fewer, stay whole."""
+    import numpy as np
+
+    ring = np.repeat(np.arange(len(sizes)), sizes)
+    start = np.cumsum(sizes) - sizes
+    keep = (sizes <= 4)[ring]
+    a = start[sizes > 4]
+    b = a + sizes[sizes > 4] - 1
+    keep[a] = keep[b] = True
+    while len(a):
+        a, b = a[b - a > 1], b[b - a > 1]
+        if not len(a):
+            break
+        inner = b - a - 1
+        first = np.cumsum(inner) - inner
+        of = np.repeat(np.arange(len(a)), inner)
+        at = np.arange(len(of)) - first[of] + a[of] + 1
+        d, rest = points[b] - points[a], points[at] - points[a][of]
+        size = np.hypot(d[:, 0], d[:, 1])
+        with np.errstate(all="ignore"):
+            line = np.abs(d[of, 0] * rest[:, 1] - d[of, 1] * rest[:, 0]) / size[of]
+        off = np.where(size[of] != 0, line, np.hypot(rest[:, 0], rest[:, 1]))
+        top = np.maximum.reduceat(off, first)
+        hit = np.nonzero((off == top[of]) & (top > tolerance)[of])[0]
+        parted, i = np.unique(of[hit], return_index=True)  # the first of those that are equally far
+        far = at[hit[i]]
+        keep[far] = True
+        a, b = np.concatenate([a[parted], far]), np.concatenate([far, b[parted]])
+    few = np.bincount(ring[keep], minlength=len(sizes)) < 4
+    return keep | few[ring]
 
 
 def _thin_arcs(points, corners, tolerance: float):
@@ -348,8 +380,9 @@ def border_corners(areas: DataFrame) -> DataFrame:
     ring = F.when((F.size("ring") > 1) & (F.try_element_at("ring", F.lit(1)) == F.try_element_at("ring", F.lit(-1))), F.slice("ring", 1, F.size("ring") - 1)).otherwise(F.col("ring"))
     following = F.concat(F.slice("_r", F.lit(2), F.size("_r")), F.slice("_r", 1, 1))
     edges = areas.where(F.size("ring") > 2).select(ring.alias("_r")).select(F.explode(F.arrays_zip(F.col("_r").alias("a"), following.alias("b"))).alias("e")).where("e.a <> e.b")
-    both = edges.select(F.explode(F.array(F.struct("e.a", "e.b"), F.struct(F.col("e.b").alias("a"), F.col("e.a").alias("b")))).alias("e")).select("e.*").distinct()
-    return both.groupBy("a").agg(F.count("*").alias("n")).where("n <> 2").select("a.lon", "a.lat")
+    edge = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    once = edges.select(F.when(F.col("e.a") < F.col("e.b"), edge("e.a", "e.b")).otherwise(edge("e.b", "e.a")).alias("e")).select("e.*").distinct()
+    return once.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count("*").alias("n")).where("n <> 2").select("a.lon", "a.lat")
 
 
 def simplify_rings(areas: DataFrame, tolerance: float = 1e-4, digits: int = 5, area: str = "area_key", shared: bool = False) -> DataFrame:
@@ -368,21 +401,28 @@ def simplify_rings(areas: DataFrame, tolerance: float = 1e-4, digits: int = 5, a
     import numpy as np
     import pyarrow as pa
 
-    point = pa.struct([("lon", pa.float64()), ("lat", pa.float64())])
-    schema = pa.schema([(area, pa.int64()), ("ring_ord", pa.int32()), ("ring", pa.list_(point)), ("before", pa.int32())])
-
     def run(batches):
         for b in batches:
-            rows = []
-            marks = b.column("_corners").to_pylist() if shared else [None] * b.num_rows
-            for key, o, ring, corners in zip(*(b.column(c).to_pylist() for c in (area, "ring_ord", "ring")), marks, strict=True):
-                pts = np.array([(p["lon"], p["lat"]) for p in ring or []], float).reshape(-1, 2)
-                out = _thin_arcs(pts, np.array(corners or [], bool), tolerance) if shared and len(pts) > 4 else _thin_ring(pts, tolerance)
-                rows.append({area: key, "ring_ord": o, "ring": [{"lon": x, "lat": y} for x, y in out.tolist()], "before": len(pts)})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            rings = b.column("ring")
+            sizes = np.asarray(rings.value_lengths().fill_null(0), np.int64)
+            points = np.column_stack([rings.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("lon", "lat")])
+            if shared:
+                corners = b.column("_corners")
+                marks = corners.flatten().to_numpy(zero_copy_only=False).astype(bool)
+                starts = lambda n: np.cumsum(n) - n
+                from_ = starts(np.asarray(corners.value_lengths().fill_null(0), np.int64))
+                out = [_thin_arcs(points[a : a + n], marks[m : m + n], tolerance) if n > 4 else points[a : a + n] for a, n, m in zip(starts(sizes), sizes, from_, strict=True)]
+                left, points = np.array([len(r) for r in out], np.int64), np.concatenate([points[:0], *out])
+            else:
+                stay = _staying(points, sizes, tolerance)
+                left, points = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[stay], minlength=len(sizes)), points[stay]
+            at = pa.array(np.concatenate([[0], np.cumsum(left)]), pa.int32())
+            ring = pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(points[:, 0]), pa.array(points[:, 1])], ["lon", "lat"]))
+            yield pa.RecordBatch.from_arrays([b.column(area), b.column("ring_ord"), ring, pa.array(sizes, pa.int32())], [area, "ring_ord", "ring", "before"])
 
     rows = areas.select(F.col(area).cast("long").alias(area), F.col("ring_ord").cast("int").alias("ring_ord"), "ring")
     if shared:
+        rows = rows.repartition(area, "ring_ord")  # a small file may make large rings: their points are spread before they are counted
         corners = border_corners(rows).withColumn("_c", F.lit(True))
         flags = rows.select(area, "ring_ord", F.posexplode("ring").alias("_i", "p")).select(area, "ring_ord", "_i", "p.lon", "p.lat").join(corners, ["lon", "lat"], "left")
         flags = flags.groupBy(area, "ring_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_c", F.lit(False)).alias("c")))), lambda x: x["c"]).alias("_corners"))
