@@ -428,4 +428,6 @@ def simplify_rings(areas: DataFrame, tolerance: float = 1e-4, digits: int = 5, a
         flags = flags.groupBy(area, "ring_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_c", F.lit(False)).alias("c")))), lambda x: x["c"]).alias("_corners"))
         rows = rows.join(flags, [area, "ring_ord"], "left")
     thin = rows.mapInArrow(run, f"{area} long, ring_ord int, ring array<struct<lon:double,lat:double>>, before int")
-    return thin.withColumn("ring", round_ring("ring", digits)).withColumn("after", F.size("ring")).where("after >= 4").select(area, "ring_ord", "ring", "before", "after")
+    # exploded, so that the filter on what is left does not round each ring again; fewer than three points never make four
+    near = thin.where(F.size("ring") >= 3).select(area, "ring_ord", F.explode(F.array(round_ring("ring", digits))).alias("ring"), "before")
+    return near.withColumn("after", F.size("ring")).where("after >= 4").select(area, "ring_ord", "ring", "before", "after")

@@ -323,7 +323,7 @@ def _(spark, table):
 def _rings(table):
     at = F.struct("l_linenumber", "l_partkey", "l_suppkey")
     p = F.struct(at.alias("o"), F.struct((F.col("l_quantity") / 7).alias("lon"), (F.col("l_extendedprice") / 7000).alias("lat")).alias("p"))
-    return table("lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(p)), lambda x: x["p"]).alias("ring"))
+    return table("lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(p))["p"].alias("ring"))
 
 
 _PTS = "(select l_orderkey, l_quantity / 7 as lon, l_extendedprice / 7000 as lat, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as i, count(*) over (partition by l_orderkey) as n from lineitem)"
