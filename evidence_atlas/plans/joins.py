@@ -220,10 +220,11 @@ def _(spark, table):
 
 @query("resolve_finding_place", "select l_orderkey, l_partkey, l_suppkey, l_linenumber, case when l_linenumber = o_custkey % 7 then o_custkey when l_linenumber < 4 then l_linenumber end as place_id, case when l_linenumber <> o_custkey % 7 and l_linenumber >= 4 then 'unknown_place' end as reason from lineitem join orders on l_orderkey = o_orderkey")
 def _(spark, table):
-    f = table("lineitem").withColumn("entry_id", F.col("l_orderkey")).withColumn("name", F.col("l_linenumber").cast("string"))
+    f = table("lineitem").select(F.col("l_orderkey").alias("entry_id"), "l_partkey", "l_suppkey", F.col("l_linenumber").cast("string").alias("name"))
     e = table("orders").select(F.col("o_orderkey").alias("entry_id"), F.col("o_custkey").alias("place_id"), (F.col("o_custkey") % 7).cast("string").alias("heading"))
     kids = table("orders").select(F.col("o_custkey").alias("place_id")).distinct().select("place_id", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("i")).select("place_id", F.col("i").cast("long").alias("child_id"), F.col("i").cast("string").alias("child_name"))
-    return M.resolve_finding_place(f, e, kids).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "place_id", "reason")
+    out = M.resolve_finding_place(f, e, kids)
+    return out.select(F.col("entry_id").alias("l_orderkey"), "l_partkey", "l_suppkey", F.col("name").cast("int").alias("l_linenumber"), "place_id", "reason")
 
 
 @query("province_in", "select s_suppkey, arg_max(n_name, (contains(t, n_name), length(n_name), n_name)) as province from (select s_suppkey, case when s_suppkey % 2 = 0 then 'at NATION_' || s_nationkey || ' x' else reverse('at NATION_' || s_nationkey) end as t from supplier) left join nation on contains(t, n_name) or contains(reverse(t), n_name) group by s_suppkey")
