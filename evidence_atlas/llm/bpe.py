@@ -19,6 +19,8 @@ PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: Pre-tokens remembered by one Python worker before it forgets them all.
 CACHE = 400_000
 
+_NO_RANK = 1 << 62
+
 
 def byte_alphabet() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies.
@@ -60,6 +62,7 @@ class BytePairCodec:
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
         self.cache: dict[str, bytes] = {}
         self.limit = CACHE
+        self._pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Apply merges in rank order over a doubly linked list of symbols.
@@ -102,6 +105,70 @@ class BytePairCodec:
                 push(heap, rank << 32 | h)
         return [s for s in symbols if s >= 0]
 
+    def merge_many(self, rows: np.ndarray) -> np.ndarray:
+        """``merge`` for rows of symbols (filled up with -1) at once: each turn merges the first pair of least rank of every row."""
+        if self._pairs is None:
+            keys = np.fromiter(self.ranks, np.int64, len(self.ranks))
+            order = np.argsort(keys)
+            self._pairs = np.append(keys[order], np.iinfo(np.int64).max), np.append(np.fromiter(self.ranks.values(), np.int64, len(keys))[order], _NO_RANK), np.array(self.made, np.int64)
+        keys, values, made = self._pairs
+
+        def rank(a, b):
+            key = a << 32 | np.maximum(b, 0)
+            at = np.searchsorted(keys, key)
+            return np.where((keys[at] == key) & (a >= 0) & (b >= 0), values[at], _NO_RANK)
+
+        out = rows
+        at = np.arange(len(rows))
+        rows = np.column_stack([rows, np.full(len(rows), -1)])
+        ranks = np.column_stack([rank(rows[:, :-1], rows[:, 1:]), np.full(len(rows), _NO_RANK)])
+        while len(rows):
+            i = ranks.argmin(1)
+            every = np.arange(len(rows))
+            least = ranks[every, i]
+            done = least == _NO_RANK
+            if done.any():
+                out[at[done]] = rows[done, :-1]
+                left = ~done
+                rows, ranks, at, i, least = rows[left], ranks[left], at[left], i[left], least[left]
+                every = every[: len(rows)]
+                if not len(rows):
+                    break
+            after = np.arange(rows.shape[1] - 1) > i[:, None]
+            rows[:, :-1] = np.where(after, rows[:, 1:], rows[:, :-1])
+            ranks[:, :-1] = np.where(after, ranks[:, 1:], ranks[:, :-1])
+            rows[every, i] = made[least]
+            ranks[every, i] = rank(rows[every, i], rows[every, i + 1])
+            h = np.maximum(i - 1, 0)
+            ranks[every, h] = np.where(i > 0, rank(rows[every, h], rows[every, i]), ranks[every, h])
+        return out
+
+    def pack_many(self, texts: list[str]) -> list[bytes]:
+        """``_plain`` of many texts; short pieces of about one length are merged together, and nothing is remembered."""
+        parts = [(t,) if t.isascii() and t[:1] == " " and t[1:].isalpha() else self.cut.findall(t) for t in texts]
+        got: dict[str, bytes] = {}
+        widths: dict[int, tuple[list[str], list[bytes]]] = {}
+        for p in set().union(*parts):
+            raw = p.encode("utf-8", "surrogatepass")
+            if len(raw) > 48:
+                got[p] = self._packed(p)
+            else:
+                names, raws = widths.setdefault(-(-len(raw) // 4) * 4, ([], []))
+                names.append(p)
+                raws.append(raw)
+        table = np.array([-1 if i is None else i for i in self.byte_ids], np.int64)
+        for width, (names, raws) in widths.items():
+            for s in range(0, len(names), 8192):
+                some = raws[s : s + 8192]
+                lens = np.fromiter(map(len, some), np.int64, len(some))
+                flat = np.frombuffer(b"".join([r.ljust(width, b"\0") for r in some]), np.uint8).reshape(-1, width)
+                merged = self.merge_many(np.where(np.arange(width) < lens[:, None], table[flat], -1))
+                on = merged >= 0
+                packed, ends = merged[on].astype("<u4").tobytes(), np.cumsum(on.sum(1)) * 4
+                at = [0, *ends.tolist()]
+                got.update(zip(names[s : s + 8192], [packed[a:b] for a, b in zip(at[:-1], at[1:])]))
+        return [got[ps[0]] if len(ps) == 1 else b"".join([got[p] for p in ps]) for ps in parts]
+
     def piece_ids(self, piece: str) -> list[int]:
         return self.merge([self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")])
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,10 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import codec_of, default_vocabulary
-from .common import lower_ascii, small_batches, stored, text_or_empty
-
-#: Fixed value: what separates words.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+from .common import small_batches, stored, text_or_empty, words_of
 
 #: Words whose training counts every task holds (the rest are joined).
 FREQUENT = 200_000
@@ -30,7 +26,7 @@ _LOG10 = 1 / np.log(10)
 
 
 class Subwords(dict):
-    """word -> its subword ids as bytes; forgets everything when it holds too many words."""
+    """word (UTF-8) -> its subword ids as bytes; forgets everything when it holds too many words."""
 
     def __init__(self, spec: str, limit: int = 300_000):
         super().__init__()
@@ -38,14 +34,19 @@ class Subwords(dict):
         self.codec.limit = 20_000  # words are remembered here already
         self.end = len(self.codec.pieces)
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.limit:
+    def learn(self, texts: Iterable[list[bytes]]) -> None:
+        """Cut the new words of some texts together."""
+        new = set().union(*texts).difference(self)
+        if len(self) + len(new) > self.limit and self:
             self.clear()
-        got = self.codec._plain(" " + word)
-        self[word] = got
-        return got
+            new = set().union(*texts)
+        words = list(new)
+        self.update(zip(words, self.codec.pack_many([" " + w.decode("utf-8", "surrogatepass") for w in words])))
+
+    def __missing__(self, word: str | bytes) -> bytes:
+        return self.codec._plain(" " + (word if isinstance(word, str) else word.decode("utf-8", "surrogatepass")))
 
-    def ids(self, words: list[str]) -> np.ndarray:
+    def ids(self, words: list[bytes]) -> np.ndarray:
         """The ids of a text, with the end sign before and after it."""
         edge = np.array([self.end], "<u4").tobytes()
         return np.frombuffer(b"".join([edge, *map(self.__getitem__, words), edge]), "<u4").astype(np.int64)
@@ -90,48 +91,58 @@ class Attention:
         return np.concatenate([x.ravel() for x in parts])
 
     def forward(self, x: np.ndarray) -> dict[str, np.ndarray]:
-        p = self.p
-        h = p["E"][x] + p["P"]
-        q, k, v = h @ p["Q"], h @ p["K"], h @ p["V"]
-        s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + self.mask
+        p, (n, w) = self.p, x.shape
+        h = (p["E"][x] + p["P"]).reshape(n * w, WIDTH)
+        into = np.concatenate([p["Q"], p["K"], p["V"]], 1)
+        q, k, v = np.moveaxis((h @ into).reshape(n, w, 3, WIDTH), 2, 0)
+        s = q @ k.transpose(0, 2, 1)
+        s *= np.float32(WIDTH**-0.5)
+        s += self.mask
         s -= s.max(-1, keepdims=True)
         a = np.exp(s, out=s)
         a /= a.sum(-1, keepdims=True)
-        z = a @ v
+        z = (a @ v).reshape(n * w, WIDTH)
         g = h + z @ p["O"]
-        y = g @ p["U"] + p["b"]
+        y = g @ p["U"]
+        y += p["b"]
         y -= y.max(-1, keepdims=True)
-        return {"h": h, "q": q, "k": k, "v": v, "a": a, "z": z, "g": g, "y": y}
+        return {"h": h, "into": into, "q": q, "k": k, "v": v, "a": a, "z": z, "g": g, "y": y}
 
     def log_class(self, x: np.ndarray, target: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probabilities of each target class, and of a word's start."""
         y = self.forward(x)["y"]
-        picked = np.take_along_axis(y, target[..., None], -1)[..., 0]
+        picked = y[np.arange(len(y)), target.ravel()]
         e = np.exp(y, out=y)
         total = np.log(e.sum(-1))
-        return picked - total, np.log(e @ start + np.float32(1e-9)) - total
+        return (picked - total).reshape(x.shape), (np.log(e @ start + np.float32(1e-9)) - total).reshape(x.shape)
 
     def gradient(self, x: np.ndarray, target: np.ndarray, on: np.ndarray) -> np.ndarray:
-        p, f = self.p, self.forward(x)
-        d = np.exp(f["y"])
+        p, f, (n, w) = self.p, self.forward(x), x.shape
+        d = np.exp(f["y"], out=f["y"])
         d /= d.sum(-1, keepdims=True)
-        np.put_along_axis(d, target[..., None], np.take_along_axis(d, target[..., None], -1) - 1, -1)
-        d *= (on / max(1.0, on.sum()))[..., None].astype(np.float32)
-        two = lambda m: m.reshape(-1, m.shape[-1])
-        out = {"U": two(f["g"]).T @ two(d), "b": two(d).sum(0)}
+        d[np.arange(len(d)), target.ravel()] -= 1
+        d *= (on / max(1.0, on.sum())).ravel()[:, None].astype(d.dtype)
+        by_window = lambda m: m.reshape(n, w, WIDTH)
+        out = {"U": f["g"].T @ d, "b": d.sum(0)}
         dg = d @ p["U"].T
-        out["O"] = two(f["z"]).T @ two(dg)
-        dz = dg @ p["O"].T
+        out["O"] = f["z"].T @ dg
+        dz = by_window(dg @ p["O"].T)
         da = dz @ f["v"].transpose(0, 2, 1)
-        dv = f["a"].transpose(0, 2, 1) @ dz
-        ds = f["a"] * (da - (da * f["a"]).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        for name, dx in (("Q", dq), ("K", dk), ("V", dv)):
-            out[name] = two(f["h"]).T @ two(dx)
-        dh = dg + dq @ p["Q"].T + dk @ p["K"].T + dv @ p["V"].T
-        out["P"] = dh.sum(0)
+        a = f["a"]
+        da -= np.einsum("nij,nij->ni", da, a)[..., None]
+        da *= a
+        da *= np.float32(WIDTH**-0.5)
+        into = np.empty((n, w, 3, WIDTH), dg.dtype)  # what comes back by queries, keys and values
+        into[:, :, 0], into[:, :, 1], into[:, :, 2] = da @ f["k"], da.transpose(0, 2, 1) @ f["q"], a.transpose(0, 2, 1) @ dz
+        into = into.reshape(n * w, 3 * WIDTH)
+        out["Q"], out["K"], out["V"] = np.split(f["h"].T @ into, 3, 1)
+        dh = dg + into @ f["into"].T
+        out["P"] = by_window(dh).sum(0)
         out["E"] = np.zeros_like(p["E"])
-        np.add.at(out["E"], x.ravel(), two(dh))
+        order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
+        at = x.ravel()[order]
+        first = np.nonzero(np.append(True, at[1:] != at[:-1]))[0]
+        out["E"][at[first]] = np.add.reduceat(dh[order], first, 0)
         return np.concatenate([out[k].ravel() for k in self.SHAPES])
 
 
@@ -145,9 +156,18 @@ def train_copy(flat: np.ndarray, x: np.ndarray, target: np.ndarray, on: np.ndarr
     for t, i in enumerate(range(0, len(order), batch), 1):
         pick = order[i : i + batch]
         g = model.gradient(x[pick], target[pick], on[pick])
-        m += 0.1 * (g - m)
-        v += 0.01 * (g * g - v)
-        flat -= np.float32(rate) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        m *= np.float32(0.9)
+        m += np.float32(0.1) * g
+        v *= np.float32(0.99)
+        np.multiply(g, g, out=g)
+        g *= np.float32(0.01)
+        v += g
+        size = np.sqrt(v, out=g)
+        size *= np.float32((1 - 0.99**t) ** -0.5)
+        size += np.float32(1e-8)
+        np.divide(m, size, out=size)
+        size *= np.float32(rate / (1 - 0.9**t))
+        flat -= size
     return flat
 
 
@@ -265,15 +285,12 @@ def _fitter(state, turn: int):
         flat, v = state.value
         total, n, least = np.zeros(len(flat)), 0, None
         for part, wins in _parts(batches, 2 * PART):
-            rows = [np.frombuffer(w, "<u2").astype(np.int64) for w in wins]
-            lens = np.array([len(r) for r in rows])
-            full = np.zeros((len(rows), WINDOW + 1), np.int64)
-            for i, r in enumerate(rows):
-                full[i, : len(r)] = r
+            lens = np.array([len(w) // 2 for w in wins])
+            full = np.frombuffer(b"".join([w.ljust(2 * WINDOW + 2, b"\0") for w in wins]), "<u2").reshape(-1, WINDOW + 1)
             on = np.arange(WINDOW)[None, :] < (lens - 1)[:, None]
             got = train_copy(flat, v.slot[full[:, :-1]], v.cls[full[:, 1:]], on, turn, 0.01 / (1 + turn), PASSES)
-            total += len(rows) * got.astype(float)
-            n += len(rows)
+            total += len(wins) * got.astype(float)
+            n += len(wins)
             least = part if least is None else min(least, part)
         if n:
             yield pd.DataFrame([(least, n, (total / n).astype("<f4").tobytes())], columns=["part", "n", "flat"])
@@ -317,9 +334,11 @@ def train_model(docs: DataFrame, spec, text: str = "text", doc_id: str | None =
         counts = np.zeros(subwords.end + 1, np.int64)
         for pdf in batches:
             kept: list[tuple[int, bytes]] = []
-            for name, t in zip(pdf["_name"], pdf["_text"], strict=True):
-                s = subwords.ids(WORD.findall(lower_ascii(t)))
-                np.add.at(counts, s[1:], 1) if len(s) < 2000 else np.copyto(counts, counts + np.bincount(s[1:], minlength=len(counts)))
+            texts = [words_of(t) for t in pdf["_text"]]
+            subwords.learn(texts)
+            for name, words in zip(pdf["_name"], texts, strict=True):
+                s = subwords.ids(words)
+                np.add.at(counts, s[1:], 1)
                 kept += [(xxhash.xxh64_intdigest(w, xxhash.xxh64_intdigest(f"{i} {name}")) - 2**63, w) for i, w in enumerate(training_windows(s))]
                 if len(kept) >= 20_000:
                     yield pd.DataFrame({"id": -1, "n": 0}, index=range(len(kept))).assign(h=[h for h, _ in kept], win=[w for _, w in kept])
@@ -335,17 +354,16 @@ def train_model(docs: DataFrame, spec, text: str = "text", doc_id: str | None =
         counts[r.id] = r.n
     win = seen.where("win is not null").select("win", "h")
     order = np.lexsort((np.arange(size), -counts))[: Vocabulary.TOP]
-    place = np.full(size, -1)
+    place = np.full(1 << 16, -1)
     place[order] = np.arange(len(order))
 
     def bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         top = Vocabulary.TOP
         total = np.zeros(top * top, np.int64)
         for pdf in batches:
-            for w in pdf["win"]:
-                p = place[np.frombuffer(w, "<u2")]
-                on = (p[:-1] >= 0) & (p[1:] >= 0)
-                np.add.at(total, p[:-1][on] * top + p[1:][on], 1)
+            p = place[np.frombuffer(b"\xff\xff".join(pdf["win"]), "<u2")]  # between windows what is no subword
+            on = (p[:-1] >= 0) & (p[1:] >= 0)
+            np.add.at(total, p[:-1][on] * top + p[1:][on], 1)
         some = np.nonzero(total)[0]
         yield pd.DataFrame({"pair": some, "n": total[some]})
 
@@ -398,7 +416,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     n_train = train.count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] + n_train, sums["v"] + (n_train > 0)
-    frequent = spark.sparkContext.broadcast({r.w: r.c for r in counts.orderBy(F.desc("c"), "w").limit(FREQUENT).toLocalIterator()})
+    frequent = spark.sparkContext.broadcast({r.w.encode("utf-8", "surrogatepass"): r.c for r in counts.orderBy(F.desc("c"), "w").limit(FREQUENT).toLocalIterator()})
     model = spark.sparkContext.broadcast(train_model(train, spec, "_text", "doc_id"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -420,11 +438,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     both = _LOG10 * float(np.logaddexp(np.log(mine[known_]), other[known_]).sum())
                     base = float(np.log10(mine[mine > 0] * unit + 1).sum()) + float(np.log10(n_train + 1)) - norm * (len(ws) + 1)
                     score = both + _LOG10 * float(np.logaddexp(end_share, other[-1]))
-                    rare = [{"w": ws[i], "s": float(other[i])} for i in np.nonzero(mine == 0)[0]]
+                    rare = [{"w": ws[i].decode("utf-8", "surrogatepass"), "s": float(other[i])} for i in np.nonzero(mine == 0)[0]]
                     yield len(ws) + 1, len(ws) - len(rare) + (n_train > 0), base, score, rare
 
-            for t in pdf["_text"]:
-                ws = WORD.findall(lower_ascii(t))
+            every = [words_of(t) for t in pdf["_text"]]
+            subwords.learn(every)
+            for ws in every:
                 texts.append(ws)
                 part.append(subwords.ids(ws))
                 size += len(part[-1])
