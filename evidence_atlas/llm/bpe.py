@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,9 @@ CACHE = 400_000
 
 _NO_RANK = 1 << 62
 
+#: What is printed in ASCII and neither letter nor digit: one piece, however many of them stand together.
+_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+
 
 def byte_alphabet() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies.
@@ -146,27 +150,43 @@ class BytePairCodec:
     def pack_many(self, texts: list[str]) -> list[bytes]:
         """``_plain`` of many texts; short pieces of about one length are merged together, and nothing is remembered."""
         parts = [(t,) if t.isascii() and t[:1] == " " and t[1:].isalpha() else self.cut.findall(t) for t in texts]
-        got: dict[str, bytes] = {}
-        widths: dict[int, tuple[list[str], list[bytes]]] = {}
-        for p in set().union(*parts):
-            raw = p.encode("utf-8", "surrogatepass")
-            if len(raw) > 48:
-                got[p] = self._packed(p)
+        return self._joined([[p.encode("utf-8", "surrogatepass") for p in ps] for ps in parts])
+
+    def pack_words(self, words: list[bytes]) -> list[bytes]:
+        """``pack_many`` of words (UTF-8, without white space of ASCII) that follow a space."""
+        parts, mixed = [], []
+        for i, w in enumerate(words):
+            if w.isalpha():  # letters of ASCII
+                parts.append((b" " + w,))
+                continue
+            head = w.rstrip(_SIGNS)
+            if head.isalpha():
+                parts.append((b" " + head, w[len(head) :]))
             else:
-                names, raws = widths.setdefault(-(-len(raw) // 4) * 4, ([], []))
-                names.append(p)
-                raws.append(raw)
-        table = np.array([-1 if i is None else i for i in self.byte_ids], np.int64)
-        for width, (names, raws) in widths.items():
-            for s in range(0, len(names), 8192):
-                some = raws[s : s + 8192]
+                parts.append(None)
+                mixed.append(i)
+        for i in mixed:
+            parts[i] = [p.encode("utf-8", "surrogatepass") for p in self.cut.findall(" " + words[i].decode("utf-8", "surrogatepass"))]
+        return self._joined(parts)
+
+    def _joined(self, parts: list) -> list[bytes]:
+        """The ids of each text, given its pieces."""
+        widths: dict[int, list[bytes]] = {}
+        got: dict[bytes, bytes] = {}
+        for p in set(chain.from_iterable(parts)):
+            widths.setdefault(-(-len(p) // 4) * 4 if len(p) <= 48 else 0, []).append(p)
+        for p in widths.pop(0, []):
+            got[p] = self._packed(p.decode("utf-8", "surrogatepass")) if p else b""
+        table = np.array([-1 if i is None else i for i in self.byte_ids], np.int32)
+        for width, every in widths.items():
+            for s in range(0, len(every), 8192):
+                some = every[s : s + 8192]
+                flat = np.array(some, f"S{width}").view(np.uint8).reshape(-1, width)
                 lens = np.fromiter(map(len, some), np.int64, len(some))
-                flat = np.frombuffer(b"".join([r.ljust(width, b"\0") for r in some]), np.uint8).reshape(-1, width)
                 merged = self.merge_many(np.where(np.arange(width) < lens[:, None], table[flat], -1))
                 on = merged >= 0
-                packed, ends = merged[on].astype("<u4").tobytes(), np.cumsum(on.sum(1)) * 4
-                at = [0, *ends.tolist()]
-                got.update(zip(names[s : s + 8192], [packed[a:b] for a, b in zip(at[:-1], at[1:])]))
+                packed, ends = merged[on].astype("<u4").tobytes(), (np.cumsum(on.sum(1)) * 4).tolist()
+                got.update(zip(some, map(packed.__getitem__, map(slice, [0, *ends[:-1]], ends))))
         return [got[ps[0]] if len(ps) == 1 else b"".join([got[p] for p in ps]) for ps in parts]
 
     def piece_ids(self, piece: str) -> list[int]:

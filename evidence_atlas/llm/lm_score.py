@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import codec_of, default_vocabulary
-from .common import small_batches, stored, text_or_empty, words_of
+from .common import release, small_batches, stored, text_or_empty, words_of
 
 #: Words whose training counts every task holds (the rest are joined).
 FREQUENT = 200_000
@@ -41,15 +41,18 @@ class Subwords(dict):
             self.clear()
             new = set().union(*texts)
         words = list(new)
-        self.update(zip(words, self.codec.pack_many([" " + w.decode("utf-8", "surrogatepass") for w in words])))
+        self.update(zip(words, self.codec.pack_words(words)))
 
     def __missing__(self, word: str | bytes) -> bytes:
         return self.codec._plain(" " + (word if isinstance(word, str) else word.decode("utf-8", "surrogatepass")))
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         """The ids of a text, with the end sign before and after it."""
+        return np.frombuffer(self.packed(words), "<u4").astype(np.int64)
+
+    def packed(self, words: list[bytes]) -> bytes:
         edge = np.array([self.end], "<u4").tobytes()
-        return np.frombuffer(b"".join([edge, *map(self.__getitem__, words), edge]), "<u4").astype(np.int64)
+        return b"".join([edge, *map(self.__getitem__, words), edge])
 
 
 def windows(n: int, size: int = WINDOW, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +85,8 @@ class Attention:
             self.p[name] = flat[at : at + size].reshape(shape)
             at += size
         self.flat = flat
-        self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+        self.seen = np.tril(np.ones((WINDOW, WINDOW), flat.dtype))
+        self._tables: tuple[np.ndarray, np.ndarray] | None = None
 
     @classmethod
     def fresh(cls, bias: np.ndarray, seed: int = 7) -> np.ndarray:
@@ -90,62 +94,108 @@ class Attention:
         parts = [bias.astype(np.float32) if k == "b" else (r.standard_normal(s) * (0.02 if k in "UO" else s[-1] ** -0.5)).astype(np.float32).ravel() for k, s in cls.SHAPES.items()]
         return np.concatenate([x.ravel() for x in parts])
 
-    def forward(self, x: np.ndarray) -> dict[str, np.ndarray]:
-        p, (n, w) = self.p, x.shape
-        h = (p["E"][x] + p["P"]).reshape(n * w, WIDTH)
-        into = np.concatenate([p["Q"], p["K"], p["V"]], 1)
-        q, k, v = np.moveaxis((h @ into).reshape(n, w, 3, WIDTH), 2, 0)
-        s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(WIDTH**-0.5)
-        s += self.mask
-        s -= s.max(-1, keepdims=True)
-        a = np.exp(s, out=s)
-        a /= a.sum(-1, keepdims=True)
-        z = (a @ v).reshape(n * w, WIDTH)
-        g = h + z @ p["O"]
-        y = g @ p["U"]
-        y += p["b"]
-        y -= y.max(-1, keepdims=True)
-        return {"h": h, "into": into, "q": q, "k": k, "v": v, "a": a, "z": z, "g": g, "y": y}
+    def into(self) -> np.ndarray:
+        """Queries (scaled), keys and values, side by side."""
+        return np.concatenate([self.p["Q"] * self.flat.dtype.type(WIDTH**-0.5), self.p["K"], self.p["V"]], 1)
 
     def log_class(self, x: np.ndarray, target: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probabilities of each target class, and of a word's start."""
-        y = self.forward(x)["y"]
-        picked = y[np.arange(len(y)), target.ravel()]
+        lp, ls = self.log_places(x, target, np.ones(x.shape, bool), start)
+        return lp.reshape(x.shape), ls.reshape(x.shape)
+
+    def log_places(self, x: np.ndarray, target: np.ndarray, on: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``log_class`` of the places that are on, in order; no queries are made before the first column that has one."""
+        p, skip = self.p, int(on.any(0).argmax())
+        if self._tables is None:  # what an id and a place add to queries, keys and values, and a one that sums weights up
+            self._tables = tuple(np.column_stack([p[k] @ self.into(), np.full(len(p[k]), k == "P", self.flat.dtype)]) for k in "EP")
+        of_id, of_place = self._tables
+        f = of_id.take(x, 0)
+        f += of_place
+        a = attended(f[:, skip:, :WIDTH], f[:, :, WIDTH : 2 * WIDTH], self.seen[skip:])
+        z = (a @ f[:, :, 2 * WIDTH :])[on[:, skip:]]
+        z = z[:, :WIDTH] / z[:, WIDTH:]
+        g = p["E"].take(x[on], 0)
+        g += p["P"].take(np.nonzero(on)[1], 0)
+        g += z @ p["O"]
+        y = logits(g, p["U"], p["b"])
+        picked = y.ravel().take(np.arange(0, y.size, CLASSES) + target[on])
         e = np.exp(y, out=y)
-        total = np.log(e.sum(-1))
-        return (picked - total).reshape(x.shape), (np.log(e @ start + np.float32(1e-9)) - total).reshape(x.shape)
-
-    def gradient(self, x: np.ndarray, target: np.ndarray, on: np.ndarray) -> np.ndarray:
-        p, f, (n, w) = self.p, self.forward(x), x.shape
-        d = np.exp(f["y"], out=f["y"])
-        d /= d.sum(-1, keepdims=True)
-        d[np.arange(len(d)), target.ravel()] -= 1
-        d *= (on / max(1.0, on.sum())).ravel()[:, None].astype(d.dtype)
-        by_window = lambda m: m.reshape(n, w, WIDTH)
-        out = {"U": f["g"].T @ d, "b": d.sum(0)}
-        dg = d @ p["U"].T
-        out["O"] = f["z"].T @ dg
-        dz = by_window(dg @ p["O"].T)
-        da = dz @ f["v"].transpose(0, 2, 1)
-        a = f["a"]
-        da -= np.einsum("nij,nij->ni", da, a)[..., None]
-        da *= a
-        da *= np.float32(WIDTH**-0.5)
-        into = np.empty((n, w, 3, WIDTH), dg.dtype)  # what comes back by queries, keys and values
-        into[:, :, 0], into[:, :, 1], into[:, :, 2] = da @ f["k"], da.transpose(0, 2, 1) @ f["q"], a.transpose(0, 2, 1) @ dz
-        into = into.reshape(n * w, 3 * WIDTH)
-        out["Q"], out["K"], out["V"] = np.split(f["h"].T @ into, 3, 1)
-        dh = dg + into @ f["into"].T
-        out["P"] = by_window(dh).sum(0)
-        out["E"] = np.zeros_like(p["E"])
+        total, begun = (e @ np.stack([np.ones_like(start, e.dtype), start.astype(e.dtype)], 1)).T
+        return picked - np.log(total), np.log(begun / total + e.dtype.type(1e-9))
+
+    def gradient(self, x: np.ndarray, target: np.ndarray, on: np.ndarray, some: int = 16) -> np.ndarray:
+        """Gradient of the mean loss; ``some`` windows at a time, so that what is at work stays in the processor's cache."""
+        p, kind = self.p, self.flat.dtype.type
+        into, unit = self.into(), kind(1 / max(1.0, on.sum()))
+        out = {k: np.zeros_like(p[k]) for k in "EPOUb"}
+        to_into = np.zeros_like(into)
+        dhs = np.empty((*x.shape, WIDTH), self.flat.dtype)
+        for i in range(0, len(x), some):
+            part, n = x[i : i + some], len(x[i : i + some])
+            flat = lambda m: m.reshape(n * x.shape[1], -1)  # noqa: E731, B023
+            h = p["E"].take(part, 0)
+            h += p["P"]
+            f = np.empty((*part.shape, 3 * WIDTH + 1), h.dtype)
+            f[..., -1] = 1
+            np.matmul(h, into, out=f[..., :-1])
+            q, k, v = f[..., :WIDTH], f[..., WIDTH : 2 * WIDTH], f[..., 2 * WIDTH : -1]
+            a = attended(q, k, self.seen)
+            z = a @ f[..., 2 * WIDTH :]
+            share = 1 / z[..., WIDTH:]
+            a *= share
+            z = z[..., :WIDTH] * share
+            g = flat(h) + flat(z) @ p["O"]
+            d = logits(g, p["U"], p["b"])
+            np.exp(d, out=d)
+            weight = on[i : i + some].reshape(-1) * unit
+            d *= (weight / (d @ np.ones(CLASSES, d.dtype)))[:, None]
+            d.ravel()[np.arange(0, d.size, CLASSES) + target[i : i + some].ravel()] -= weight
+            out["U"] += g.T @ d
+            out["b"] += np.ones(len(d), d.dtype) @ d
+            dg = d @ p["U"].T
+            out["O"] += flat(z).T @ dg
+            dz = (dg @ p["O"].T).reshape(z.shape)
+            da = dz @ v.transpose(0, 2, 1)
+            da -= np.einsum("nwd,nwd->nw", dz, z)[..., None]  # the sum of da * a
+            da *= a
+            back = np.empty((*part.shape, 3 * WIDTH), h.dtype)  # what comes back by queries, keys and values
+            np.matmul(da, k, out=back[..., :WIDTH])
+            np.matmul(da.transpose(0, 2, 1), q, out=back[..., WIDTH : 2 * WIDTH])
+            np.matmul(a.transpose(0, 2, 1), dz, out=back[..., 2 * WIDTH :])
+            to_into += flat(h).T @ flat(back)
+            dh = dhs[i : i + some]
+            np.matmul(back, into.T, out=dh)
+            dh += dg.reshape(dh.shape)
+            out["P"] += dh.sum(0)
+        out["Q"], out["K"], out["V"] = np.split(to_into, 3, 1)
+        out["Q"] = out["Q"] * kind(WIDTH**-0.5)
         order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
         at = x.ravel()[order]
         first = np.nonzero(np.append(True, at[1:] != at[:-1]))[0]
-        out["E"][at[first]] = np.add.reduceat(dh[order], first, 0)
+        out["E"][at[first]] = np.add.reduceat(dhs.reshape(-1, WIDTH).take(order, 0), first, 0)
         return np.concatenate([out[k].ravel() for k in self.SHAPES])
 
 
+def attended(q: np.ndarray, k: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Weights, not yet divided by their sums, of the keys that each query sees."""
+    s = q @ k.transpose(0, 2, 1)
+    if not (s.max(initial=0) < 60 and s.min(initial=0) > -60):  # else no exponential overflows, nor vanishes
+        s = np.where(seen > 0, s, -np.inf)
+        s -= s.max(-1, keepdims=True)
+    np.exp(s, out=s)
+    s *= seen
+    return s
+
+
+def logits(g: np.ndarray, u: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Scores of the classes, within the range of exponentials."""
+    y = g @ u
+    y += b
+    if not (y.max(initial=0) < 60 and y.min(initial=0) > -60):
+        y -= y.max(-1, keepdims=True)
+    return y
+
+
 def train_copy(flat: np.ndarray, x: np.ndarray, target: np.ndarray, on: np.ndarray, seed: int, rate: float = 0.01, repeats: int = 1, batch: int = 64) -> np.ndarray:
     """Passes of Adam over the windows, each in a seeded order."""
     flat = flat.copy()
@@ -234,15 +284,21 @@ def cut(v: Vocabulary, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, n
     return v.slot[flat[where]], v.cls[flat[where + 1]], on, np.concatenate(of)
 
 
-def score_words(model: Attention, v: Vocabulary, ids: list[np.ndarray], chunk: int = 64) -> list[np.ndarray]:
+def score_words(model: Attention, v: Vocabulary, ids: list[np.ndarray], chunk: int = 16) -> list[np.ndarray]:
     """Natural log probability of every word of each text, and of its end sign.
 
     Overlapping windows score each subword once, in the order of the text.
+    First windows of texts go apart from later ones, which only look back at
+    what they have in common with the one before.
     """
     x, target, on, _ = cut(v, ids)
     lp, ls = np.empty(x.shape, np.float32), np.empty(x.shape, np.float32)
-    for i in range(0, len(x), chunk):
-        lp[i : i + chunk], ls[i : i + chunk] = model.log_class(x[i : i + chunk], target[i : i + chunk], v.start_share)
+    for some in (np.nonzero(on[:, 0])[0], np.nonzero(~on[:, 0])[0]):
+        for i in range(0, len(some), chunk):
+            rows = some[i : i + chunk]
+            at, here = on[rows], np.nonzero(on[rows])
+            where = rows[here[0]], here[1]
+            lp[where], ls[where] = model.log_places(x[rows], target[rows], at, v.start_share)
     lp, ls = lp[on].astype(np.float64), ls[on].astype(np.float64)
     flat = np.concatenate([s[1:] for s in ids])
     lp += v.within[flat]
@@ -319,64 +375,92 @@ def in_parts(win: DataFrame, n: int) -> DataFrame:
     return win.withColumns({"turn": F.pmod("h", F.lit(ROUNDS)).cast("int"), "part": F.pmod(F.shiftright("h", 20), F.lit(parts)).cast("int")})
 
 
-def train_model(docs: DataFrame, spec, text: str = "text", doc_id: str | None = None) -> tuple[np.ndarray, Vocabulary]:
-    """Train on the whole text of every document of ``docs``: subword counts, bigrams and attention.
+def cut_texts(rows: DataFrame, spec, label: str = "lm-texts") -> DataFrame:
+    """Texts of rows(doc_id, _text, held_out), cut once: stored rows of three kinds.
 
-    A window is dealt to a round and a part by its document's id, its place
-    and its ids, so copies of a text are spread. The number of parts grows with the windows.
+    (doc_id, held_out, ids, dealt) for each text: its subword ids (two bytes
+    each) and, if it is learned from, the hashes that deal out its windows; (w, n) and (id, n) for words and subwords of texts
+    that are learned from, summed up in part.
     """
-    spark = docs.sparkSession
+    from collections import Counter
+    from itertools import chain
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
+    import xxhash
 
-        subwords = Subwords(spec.value)
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        subwords, words = Subwords(spec.value), Counter()
         counts = np.zeros(subwords.end + 1, np.int64)
+        digest = xxhash.xxh64_intdigest
         for pdf in batches:
-            kept: list[tuple[int, bytes]] = []
             texts = [words_of(t) for t in pdf["_text"]]
             subwords.learn(texts)
-            for name, words in zip(pdf["_name"], texts, strict=True):
-                s = subwords.ids(words)
-                np.add.at(counts, s[1:], 1)
-                kept += [(xxhash.xxh64_intdigest(w, xxhash.xxh64_intdigest(f"{i} {name}")) - 2**63, w) for i, w in enumerate(training_windows(s))]
-                if len(kept) >= 20_000:
-                    yield pd.DataFrame({"id": -1, "n": 0}, index=range(len(kept))).assign(h=[h for h, _ in kept], win=[w for _, w in kept])
-                    kept = []
-            yield pd.DataFrame({"id": -1, "n": 0}, index=range(len(kept))).assign(h=[h for h, _ in kept], win=[w for _, w in kept])
+            learned = ~pdf["held_out"].to_numpy(bool)
+            words.update(chain.from_iterable(t for t, on in zip(texts, learned) if on))
+            every, dealt = [], []
+            for name, text, on in zip(pdf["doc_id"], texts, learned, strict=True):
+                s = np.frombuffer(subwords.packed(text), "<u4").astype("<u2")
+                every.append(s.tobytes())
+                if on:
+                    np.add.at(counts, s[1:], 1)
+                    dealt.append([digest(w, digest(f"{i} {name}")) - 2**63 for i, w in enumerate(training_windows(s))])
+                else:
+                    dealt.append(None)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "ids": every, "dealt": dealt, "w": None, "id": -1, "n": 0})
+            if len(words) > 300_000:
+                yield counted(words)
+                words.clear()
+        yield counted(words)
         some = np.nonzero(counts)[0]
-        yield pd.DataFrame({"id": some, "n": counts[some], "h": 0, "win": None})
+        yield pd.DataFrame({"doc_id": None, "held_out": None, "ids": None, "dealt": None, "w": None, "id": some, "n": counts[some]})
+
+    def counted(words) -> pd.DataFrame:
+        return pd.DataFrame({"doc_id": None, "held_out": None, "ids": None, "dealt": None, "w": list(words), "id": -1, "n": list(words.values())})
+
+    return stored(rows.select("doc_id", "_text", "held_out").mapInPandas(gather, "doc_id string, held_out boolean, ids binary, dealt array<long>, w binary, id int, n long"), label, "zstd")
+
+
+def train_model(docs: DataFrame, spec, text: str = "text", doc_id: str | None = None) -> tuple[np.ndarray, Vocabulary]:
+    """Train on the whole text of every document of ``docs``: subword counts, bigrams and attention.
 
-    seen = stored(docs.select((F.col(doc_id) if doc_id else F.lit(None)).cast("string").alias("_name"), text_or_empty(text).alias("_text")).mapInPandas(gather, "id int, n long, h long, win binary"), "lm-seen")
+    A window is dealt to a round and a part by its document's id, its place
+    and its ids, so copies of a text are spread. The number of parts grows with the windows.
+    """
+    rows = docs.select((F.col(doc_id) if doc_id else F.lit(None)).cast("string").alias("doc_id"), text_or_empty(text).alias("_text"), F.lit(False).alias("held_out"))
+    return train_on(cut_texts(rows, spec), spec)
+
+
+def train_on(seen: DataFrame, spec) -> tuple[np.ndarray, Vocabulary]:
+    """``train_model`` on texts as ``cut_texts`` stored them."""
+    spark = seen.sparkSession
     size = len(codec_of(spec.value).pieces) + 1
     counts = np.zeros(size, np.int64)
     for r in seen.where("id >= 0").groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most one row for each subword
         counts[r.id] = r.n
-    win = seen.where("win is not null").select("win", "h")
+    texts = seen.where("dealt is not null").select("ids", "dealt")
     order = np.lexsort((np.arange(size), -counts))[: Vocabulary.TOP]
-    place = np.full(1 << 16, -1)
+    place = np.full(1 << 16, -1, np.int32)
     place[order] = np.arange(len(order))
 
     def bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         top = Vocabulary.TOP
         total = np.zeros(top * top, np.int64)
         for pdf in batches:
-            p = place[np.frombuffer(b"\xff\xff".join(pdf["win"]), "<u2")]  # between windows what is no subword
-            on = (p[:-1] >= 0) & (p[1:] >= 0)
-            np.add.at(total, p[:-1][on] * top + p[1:][on], 1)
+            p = place[np.frombuffer(b"\xff\xff".join(pdf["ids"]), "<u2")]  # between texts what is no subword
+            on = np.nonzero((p[:-1] >= 0) & (p[1:] >= 0))[0]
+            np.add.at(total, p[on] * top + p[on + 1], 1)
         some = np.nonzero(total)[0]
         yield pd.DataFrame({"pair": some, "n": total[some]})
 
-    pairs = win.mapInPandas(bigrams, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most TOP squared rows
+    pairs = texts.select("ids").mapInPandas(bigrams, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most TOP squared rows
     at = pairs["pair"].to_numpy(np.int64)
     v = Vocabulary(counts, (at // Vocabulary.TOP, at % Vocabulary.TOP, pairs["n"].to_numpy(float)), codec_of(spec.value).pieces)
     flat = Attention.fresh(v.bias)
-    n = win.count()
+    n = texts.agg(F.coalesce(F.sum(F.size("dealt")), F.lit(0)).alias("n")).first().n
+    win = texts.select("ids", F.posexplode("dealt").alias("at", "h")).select("h", F.substring("ids", F.col("at") * (2 * WINDOW) + 1, F.lit(2 * WINDOW + 2)).alias("win"))
     dealt = in_parts(win, n)
     wide = max(1, min(-(-n // (ROUNDS * PART)), 8 * spark.sparkContext.defaultParallelism))
     for turn in range(ROUNDS if n else 0):
         state = spark.sparkContext.broadcast((flat, v))
-
         # a number of its own, else small parts are put together in one task
         part = dealt.where(F.col("turn") == turn).select("part", "h", "win").repartition(wide, "part").sortWithinPartitions("part", "h", "win")
         means = part.mapInPandas(_fitter(state, turn), "part int, n long, flat binary")
@@ -400,7 +484,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Repeated rows are learned from and scored each; an empty table gives an
     empty result; other columns are not read.
 
-    Word counts are grouped on the word over all training texts. The FREQUENT
+    Texts are read and cut once: what follows works on the stored ids, from
+    which the words are put together again. Word counts are grouped on the
+    word over all training texts. The FREQUENT
     most frequent are held by every task, the occurrences of the others are
     joined on the word, so that no frequent word is a hot key.
     """
@@ -409,18 +495,16 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), text_or_empty(text).alias("_text"), _held_out(doc_id).alias("held_out"))
-    train = rows.where("not held_out")
-    lower = F.translate("_text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = train.select(F.explode(F.split(lower, r"[\x20\x09-\x0D]+")).alias("w")).where("w <> ''")
-    counts = stored(words.groupBy("w").agg(F.count("*").alias("c")), "lm-counts")
-    n_train = train.count()
+    seen = cut_texts(rows, spec)
+    counts = stored(seen.where("w is not null").groupBy("w").agg(F.sum("n").alias("c")), "lm-counts")
+    n_train = seen.where("dealt is not null").count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] + n_train, sums["v"] + (n_train > 0)
-    frequent = spark.sparkContext.broadcast({r.w.encode("utf-8", "surrogatepass"): r.c for r in counts.orderBy(F.desc("c"), "w").limit(FREQUENT).toLocalIterator()})
-    model = spark.sparkContext.broadcast(train_model(train, spec, "_text", "doc_id"))
+    frequent = spark.sparkContext.broadcast({bytes(r.w): r.c for r in counts.orderBy(F.desc("c"), "w").limit(FREQUENT).toLocalIterator()})
+    model = spark.sparkContext.broadcast(train_on(seen, spec))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        subwords = Subwords(spec.value)
+        pieces = codec_of(spec.value).pieces
         flat, v = model.value
         net, known = Attention(flat), frequent.value
         norm = np.log10(total + distinct + 1)
@@ -428,38 +512,38 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         share = {w: WORDS * c / total for w, c in known.items()}
         end_share = np.log(WORDS * n_train / total) if n_train else -np.inf
         for pdf in batches:
-            out, part, texts, size = [], [], [], 0
+            out, part, size = [], [], 0
 
-            def finish(part, texts):
-                for ws, got in zip(texts, score_words(net, v, part), strict=True):
+            def finish(part):
+                for s, got in zip(part, score_words(net, v, part), strict=True):
+                    ws = b"".join(map(pieces.__getitem__, s[1:-1].tolist())).split(b" ")[1:]
                     mine = np.array([share.get(w, 0.0) for w in ws])
                     other = np.log(1 - WORDS) + got  # stays a logarithm: the share of a long word is below any double
                     known_ = np.nonzero(mine > 0)[0]
                     both = _LOG10 * float(np.logaddexp(np.log(mine[known_]), other[known_]).sum())
                     base = float(np.log10(mine[mine > 0] * unit + 1).sum()) + float(np.log10(n_train + 1)) - norm * (len(ws) + 1)
                     score = both + _LOG10 * float(np.logaddexp(end_share, other[-1]))
-                    rare = [{"w": ws[i].decode("utf-8", "surrogatepass"), "s": float(other[i])} for i in np.nonzero(mine == 0)[0]]
+                    rare = [{"w": ws[i], "s": float(other[i])} for i in np.nonzero(mine == 0)[0]]
                     yield len(ws) + 1, len(ws) - len(rare) + (n_train > 0), base, score, rare
 
-            every = [words_of(t) for t in pdf["_text"]]
-            subwords.learn(every)
-            for ws in every:
-                texts.append(ws)
-                part.append(subwords.ids(ws))
+            for ids in pdf["ids"]:
+                part.append(np.frombuffer(ids, "<u2").astype(np.int64))
                 size += len(part[-1])
                 if size > 200_000:
-                    out += finish(part, texts)
-                    part, texts, size = [], [], 0
+                    out += finish(part)
+                    part, size = [], 0
             if part:
-                out += finish(part, texts)
+                out += finish(part)
             frame = pd.DataFrame(out, columns=["n_tokens", "known", "base", "score", "rare"])
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"]}).reset_index(drop=True).join(frame)
 
     kind = dict(docs.dtypes)[doc_id]
     scored = stored(
-        rows.mapInPandas(run, "doc_id string, held_out boolean, n_tokens long, known long, base double, score double, rare array<struct<w:string,s:double>>").withColumn("row", F.monotonically_increasing_id()),
+        seen.where("ids is not null").select("doc_id", "held_out", "ids")
+        .mapInPandas(run, "doc_id string, held_out boolean, n_tokens long, known long, base double, score double, rare array<struct<w:binary,s:double>>").withColumn("row", F.monotonically_increasing_id()),
         "lm-scored",
     )
+    release(seen)
     c = F.coalesce("c", F.lit(0))
     share = F.ln(WORDS * F.col("c") / max(1, total))
     high, low = F.greatest(share, "s"), F.least(share, "s")
